@@ -14,7 +14,7 @@ from palimpsest.llm.common import text_of
 
 #: Share of documents that a lexicon term must be in: idf between ln 10 and ln 100.
 LOW, HIGH = 0.01, 0.1
-#: Each family deals the lexicon at random into so many subsets; the finer ones survive more edits.
+#: The lexicon is dealt at random into the first number of subsets, and each of those again, to the second number in all; the finer ones survive more edits.
 FAMILIES = (8, 32)
 #: A non-word run; words are ASCII letters and digits and everything beyond ASCII.
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -40,15 +40,19 @@ def _signed(df: DataFrame, text: Column, band: list[int], name: str) -> DataFram
     The last is for texts without any lexicon term, which the subsets can't tell apart.
     """
 
-    def subset(m: int, shift: int) -> Column:
-        def one(k: Column) -> Column:
-            part = F.filter("_kept", lambda h: F.pmod(F.shiftright(h, shift), F.lit(m)) == k)
-            return F.when(F.size(part) > 0, F.xxhash64(part))
+    coarse, fine = FAMILIES
+    bits = [coarse - 1, fine - coarse]  # of a term's hash: they name its subset, and the finer part of that
 
-        return F.transform(F.sequence(F.lit(0), F.lit(m - 1)), one)
+    def dealt(terms: Column, mask: int) -> Column:
+        step = mask & -mask
+        return F.transform(F.array(*(F.lit(k) for k in range(0, mask + 1, step))), lambda k: F.filter(terms, lambda h: h.bitwiseAND(F.lit(mask)) == k))
 
+    def hashed(part: Column) -> Column:
+        return F.when(F.size(part) > 0, F.xxhash64(part))
+
+    subsets = F.transform(dealt(F.col("_kept"), bits[0]), lambda p: F.concat(F.array(hashed(p)), F.transform(dealt(p, bits[1]), hashed)))
     inside = F.expr(f"filter(_terms, h -> h IN ({','.join(map(str, band or [0]))}))")
-    sig = F.concat(*(subset(m, 16 * i) for i, m in enumerate(FAMILIES)), F.array(F.xxhash64("_terms")))
+    sig = F.concat(F.flatten(subsets), F.array(F.xxhash64("_terms")))
     return df.withColumn("_terms", F.array_sort(term_hashes(text))).withColumn("_kept", inside).withColumn(name, sig).drop("_terms", "_kept")
 
 
