@@ -2,22 +2,50 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from palimpsest.llm import imatch, line_dedup
-from palimpsest.llm.common import read
+from palimpsest.llm import imatch, langid, license_scan, line_dedup, packing, simhash, token_counts
+from palimpsest.llm.common import read, remainder
 
 
 def op1_imatch_fingerprints(spark, sf_dir):
     return imatch.edited_pairs(read(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark, sf_dir):
+    return license_scan.scan_licenses(read(spark, sf_dir, "documents")).drop("spans")
+
+
+def op3_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    learned = langid.fit_dictionaries(docs, ~held_out)
+    return langid.identify(docs.withColumn("held_out", held_out), learned, keep=["held_out"])
+
+
+def op5_simhash_neardup(spark, sf_dir):
+    found = simhash.groups(read(spark, sf_dir, "documents"), simhash.EXACT)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op7_token_counts(spark, sf_dir):
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op9_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op10_line_dedup(spark, sf_dir):
     out = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_imatch_fingerprints, op10_line_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_imatch_fingerprints, op2_license_scan, op3_language_id, op5_simhash_neardup, op7_token_counts, op9_packing, op10_line_dedup)
+}
 
 ORACLES = {
     "op10_line_dedup": r"""
