@@ -20,18 +20,18 @@ def _hashes(key: Column) -> tuple[Column, Column]:
     return F.xxhash64(key).alias("h"), F.xxhash64(F.lit(1), key).alias("g")
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """Per row of docs: id, n_lines, n_dropped and the kept text (column `kept`).
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS, keep: list[str] = ()) -> DataFrame:
+    """Per row of docs: id, n_lines, n_dropped, the kept text (column `kept`) and the columns of `keep`.
 
     A key of at least min_chars code points that at least min_documents ids hold loses its lines everywhere but in the largest id
     that holds it. A null or empty text is one empty line. Rows that repeat an id count as one document; each row keeps its own lines.
-    A null id is a document of its own that sorts below all others. Extra columns are not read.
+    A null id is a document of its own that sorts below all others. Other columns are not read.
 
     Only hashes of long lines are exploded. Counts are combined before their shuffle; a line that a third of all documents hold is one
     key there, and on the join back a skewed key on the side that adaptive execution splits. Texts are shuffled once, to meet the
     positions to drop, with the small side built into a hash table so that no text is sorted.
     """
-    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"), F.coalesce(id_col, F.lit(-(2**63))).alias("_n")).withColumn("_sum", F.xxhash64("_text"))
+    rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"), F.coalesce(id_col, F.lit(-(2**63))).alias("_n"), F.struct(*keep, F.lit(None).alias("_")).alias("_keep")).withColumn("_sum", F.xxhash64("_text"))
     lines = F.split("_text", "\n", -1)
     keyed = F.transform(lines, lambda x, i: F.struct(i.alias("pos"), line_key(x).alias("key")))
     hashed = F.transform(F.filter(keyed, lambda x: F.char_length(x["key"]) >= min_chars), lambda x: F.struct(x["pos"].alias("pos"), *_hashes(x["key"])))
@@ -41,5 +41,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = gone.groupBy("_n", "_sum").agg(F.collect_set("pos").alias("_gone"))
     kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n"))
     return rows.join(gone.hint("shuffle_hash"), ["_n", "_sum"], "left").select(
-        F.col("_id").alias(id_col), F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept")
+        F.col("_id").alias(id_col), F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept"), *(F.col("_keep")[c].alias(c) for c in keep)
     )

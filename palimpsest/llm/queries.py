@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from palimpsest.llm import imatch, langid, license_scan, line_dedup, packing, simhash, token_counts
+from palimpsest.llm import imatch, langid, license_scan, line_dedup, packing, sampling, simhash, suffix_tree, token_counts, topk
 from palimpsest.llm.common import read, remainder
 
 
@@ -24,15 +24,27 @@ def op3_language_id(spark, sf_dir):
     return langid.identify(docs.withColumn("held_out", held_out), learned, keep=["held_out"])
 
 
+def op4_suffix_tree_scores(spark, sf_dir):
+    return suffix_tree.score(read(spark, sf_dir, "documents"), remainder("doc_id", 5) == 1)
+
+
 def op5_simhash_neardup(spark, sf_dir):
     found = simhash.groups(read(spark, sf_dir, "documents"), simhash.EXACT)
     return found.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_gumbel_segmentations(spark, sf_dir):
+    return sampling.sample_segmentations(read(spark, sf_dir, "conversations"), public_tokenizers.path("piece_bpe_32k.model"), ["conv_id", "turn"])
+
+
 def op7_token_counts(spark, sf_dir):
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op8_exact_topk(spark, sf_dir):
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -42,12 +54,15 @@ def op10_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
-QUERIES = {
-    f.__name__: f
-    for f in (op1_imatch_fingerprints, op2_license_scan, op3_language_id, op5_simhash_neardup, op7_token_counts, op9_packing, op10_line_dedup)
-}
+QUERIES = {name: f for name, f in sorted(globals().items()) if name.startswith("op")}
 
 ORACLES = {
+    "op8_exact_topk": r"""
+WITH v AS (SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+ WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q, v c WHERE q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20""",
     "op10_line_dedup": r"""
 WITH lines AS (
  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents),
