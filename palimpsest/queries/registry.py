@@ -1,7 +1,7 @@
 """Every registered query and its oracle, gathered from the query modules."""
 
-from palimpsest.queries import bitemporal
+from palimpsest.queries import bitemporal, joins_windows, surface
 
-MODULES = [bitemporal]
+MODULES = [bitemporal, joins_windows, surface]
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
