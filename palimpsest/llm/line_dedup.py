@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palimpsest.llm.common import BLANKS, ascii_lower, text_of
+from palimpsest.llm.common import BLANKS, ascii_lower, stored, text_of
 
 MIN_CHARS, MIN_DOCUMENTS = 40, 5
 
@@ -37,7 +37,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hashed = F.transform(F.filter(keyed, lambda x: F.char_length(x["key"]) >= min_chars), lambda x: F.struct(x["pos"].alias("pos"), *_hashes(x["key"])))
     each = rows.select("_n", "_sum", F.inline(hashed))
     held = each.groupBy("h", "g").agg(F.countDistinct("_n").alias("_documents"), F.max("_n").alias("_keeper")).filter(F.col("_documents") >= min_documents)
-    gone = each.join(held.select("h", "g", "_keeper"), ["h", "g"]).filter(F.col("_n") != F.col("_keeper"))
+    # Stored, for a join whose two sides are both dealt for it: only then is a line of very many rows split over tasks.
+    gone = each.join(stored(held.select("h", "g", "_keeper")), ["h", "g"]).filter(F.col("_n") != F.col("_keeper"))
     gone = gone.groupBy("_n", "_sum").agg(F.collect_set("pos").alias("_gone"))
     kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n"))
     return rows.join(gone.hint("shuffle_hash"), ["_n", "_sum"], "left").select(
