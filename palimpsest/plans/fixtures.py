@@ -57,6 +57,8 @@ SELECT 'r' || CAST(event_id % 30 AS VARCHAR(10)) AS run_id, event_type AS datase
  FROM events GROUP BY event_id % 30, event_type""",
 }
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+#: Words that follow a table without an alias of its own.
+AFTER_TABLE = set("WHERE GROUP ORDER LIMIT JOIN LEFT RIGHT FULL CROSS INNER ON UNION EXCEPT HAVING LATERAL PIVOT UNPIVOT QUALIFY WINDOW".split())
 
 
 def _needs(sql: str) -> list[str]:
@@ -90,5 +92,6 @@ def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     text = with_fixtures(text)
     used = {t for t in TABLES if re.search(rf"\b(FROM|JOIN)\s+{t}\b", text, re.I)}
     for t in used:
-        text = re.sub(rf"\b(FROM|JOIN)\s+{t}\b", rf"\1 parquet.`{sf_dir}/{t}.parquet` AS {t}", text, flags=re.I)
+        named = lambda m, t=t: f"{m[1]} parquet.`{sf_dir}/{t}.parquet`" + ("" if m[2] and m[2].upper() not in AFTER_TABLE else f" AS {t}")
+        text = re.sub(rf"\b(FROM|JOIN)\s+{t}\b(?=(?:\s+(\w+))?)", named, text, flags=re.I)
     return spark.sql(text)
