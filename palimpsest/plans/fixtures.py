@@ -55,6 +55,29 @@ SELECT s_suppkey AS o, CAST(floor(s_suppkey / 3) AS BIGINT) AS a FROM supplier W
 SELECT 'r' || CAST(event_id % 30 AS VARCHAR(10)) AS run_id, event_type AS dataset, count(*) AS rows_downloaded,
  count(*) - CASE WHEN event_type = 'error' AND event_id % 30 = 7 THEN 1 ELSE 0 END AS rows_written, max(ts) AS loaded_at
  FROM events GROUP BY event_id % 30, event_type""",
+    "raw_macro": """
+SELECT event_type || CAST(user_id % 20 AS VARCHAR(10)) AS fred_id, CAST(ts AS DATE) AS obs_date, CAST(CAST(ts AS DATE) + CAST(event_id % 4 AS INTEGER) AS DATE) AS realtime_start,
+ CASE WHEN event_id % 37 = 0 THEN '.' ELSE CAST(event_id % 1000 AS VARCHAR(10)) END AS value, 'r' || CAST(event_id % 3 AS VARCHAR(10)) AS run_id FROM events""",
+    "raw_macro_series": """
+SELECT fred_id, CASE WHEN w.n = 1 THEN DATE '2000-01-01' ELSE DATE '2024-01-10' END AS realtime_start, CASE WHEN w.n = 1 THEN DATE '2024-01-09' ELSE DATE '9999-12-31' END AS realtime_end,
+ w.units AS units, fred_id || ' title' AS title, 'D' AS frequency_short, 'NSA' AS seasonal_adjustment_short, '2000-01-01' AS observation_start, w.run_id AS run_id
+ FROM (SELECT DISTINCT fred_id FROM raw_macro) x
+ CROSS JOIN (SELECT 1 AS n, 'r1' AS run_id, '2012 dollars' AS units UNION ALL SELECT 2, 'r1', '2017 dollars' UNION ALL SELECT 2, 'r0', '2012 dollars') w""",
+    "raw_bars": """
+SELECT substr(o_orderpriority, 3) AS ticker, CAST(o_orderdate AS DATE) AS obs_date, max(o_totalprice) AS close, CAST(date_trunc('month', o_orderdate) AS DATE) AS pull_end,
+ CASE WHEN month(o_orderdate) % 4 = 1 THEN 'rebase' ELSE 'incremental' END AS pull_reason
+ FROM orders GROUP BY substr(o_orderpriority, 3), CAST(o_orderdate AS DATE), CAST(date_trunc('month', o_orderdate) AS DATE), CASE WHEN month(o_orderdate) % 4 = 1 THEN 'rebase' ELSE 'incremental' END""",
+    "raw_index": """
+SELECT o_custkey AS cik, 'Company ' || CAST(o_custkey AS VARCHAR(10)) AS company_name, o_orderstatus AS form_type, CAST(o_orderdate AS DATE) AS date_filed,
+ 'edgar/data/' || CAST(o_custkey AS VARCHAR(10)) || '/' || lpad(CAST(o_orderkey AS VARCHAR(10)), 10, '0') || '-97-000001.txt' AS filename,
+ CAST(year(o_orderdate) AS VARCHAR(10)) || 'Q' || CAST(quarter(o_orderdate) AS VARCHAR(10)) AS quarter FROM orders""",
+    "raw_facts": """
+SELECT l_suppkey AS cik, 'us-gaap' AS taxonomy, l_returnflag || l_linestatus AS concept, 'USD' AS unit, CAST(NULL AS VARCHAR(10)) AS start_text, CAST(CAST(l_shipdate AS DATE) AS VARCHAR(10)) AS end_text,
+ CAST(l_partkey AS VARCHAR(10)) AS val, CAST(l_orderkey AS VARCHAR(10)) AS accn, l_linenumber AS fy, 'FY' AS fp, '10-K' AS form,
+ CAST(CAST(CAST(l_shipdate AS DATE) + CAST(l_orderkey % 90 AS INTEGER) AS DATE) AS VARCHAR(10)) AS filed, CAST(NULL AS VARCHAR(10)) AS frame FROM lineitem""",
+    "raw_years": """
+SELECT year(o_orderdate) AS fy, count(*) AS total, count(*) FILTER (WHERE o_orderstatus = 'F') AS f, count(*) FILTER (WHERE o_orderstatus = 'O') AS o, count(*) FILTER (WHERE o_orderstatus = 'P') AS p,
+ CAST(max(o_orderdate) AS DATE) AS retrieved FROM orders GROUP BY year(o_orderdate)""",
 }
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 #: Words that follow a table without an alias of its own.
