@@ -73,6 +73,11 @@ def list_overlap(a: DataFrame, b: DataFrame, keys: list[str], by: list[str]) ->
     )
 
 
+def array_membership(df: DataFrame, lists: DataFrame, keys: list[str], value: str, array: str) -> DataFrame:
+    """Each row with `listed`: whether the list of its key holds its value; null if the key has no list."""
+    return df.join(lists.select(*keys, F.col(array).alias("_list")), keys, "left").withColumn("listed", F.array_contains("_list", F.col(value))).drop("_list")
+
+
 def period_average(periods: DataFrame, series: DataFrame, date_col: str, value_col: str, keys: list[str], start: str, end: str) -> DataFrame:
     """Mean and number of a series' values within each period [start, end)."""
     on = (F.col(date_col) >= F.col(start)) & (F.col(date_col) < F.col(end))

@@ -45,10 +45,13 @@ def full_pull_flag(df: DataFrame, reason: str = "pull_reason", full: tuple[str,
 
 
 def price_observations(raw: DataFrame, source: str = "yf") -> DataFrame:
-    """Bars as observations. A vintage is the day of the ticker's latest full pull at or before the bar's own pull: later incremental bars belong to it."""
+    """Bars as observations. A vintage is the day of the ticker's latest full pull at or before the bar's own pull: later incremental bars belong to it.
+
+    Distinct pulls are looked up and joined back by equality, so a ticker of very many bars isn't one task's work."""
     flagged = full_pull_flag(raw)
     pulls = flagged.filter("is_full_pull").select("ticker", F.col("pull_end").alias("vintage")).distinct()
-    met = asof_join(flagged.drop("is_full_pull"), pulls, "pull_end", "vintage", ["ticker"], ["vintage"])
+    asked = flagged.select("ticker", "pull_end").distinct()
+    met = flagged.join(asof_join(asked, pulls, "pull_end", "vintage", ["ticker"], ["vintage"]), ["ticker", "pull_end"], "left")
     series = F.concat(F.lit(f"{source}:close:"), "ticker")
     return met.select(series.alias("series_id"), "obs_date", F.col("close").alias("value"), F.lit("USD").alias("units"), F.col("obs_date").alias("available_date"), "vintage", *_lineage(raw))
 

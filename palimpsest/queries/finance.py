@@ -54,6 +54,9 @@ SQL: dict[str, str | tuple[str, str]] = {
     "l39_company_index": "SELECT cik, min(end_date) AS first_date, max(end_date) AS last_date, max(filed) >= DATE '1998-10-01' AS recent FROM facts GROUP BY cik",
     "l40_form_mix": "SELECT year(filed) AS y, form, count(*) AS n FROM facts GROUP BY 1, 2",
     "l41_per_person": "SELECT n_name, round(CAST(sum(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) / count(*), 4) AS per_person, rank() OVER (ORDER BY sum(CAST(c_acctbal AS DECIMAL(12,2))) / CAST(count(*) AS DECIMAL(10,0)) DESC) AS rk FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name",
+    "l42_latest_actual": (
+        "SELECT s_suppkey, coalesce(TRY_CAST(label AS INTEGER), rule + TRY_CAST(regexp_extract(label, '^[FS]Y([0-9]{4})/[0-9]{2}$', 1) AS INTEGER)) AS latest_actual FROM (SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN '2023' WHEN 1 THEN 'FY2023/24' WHEN 2 THEN 'SY2024/25' ELSE '' END AS label, CASE s_suppkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 END AS rule FROM supplier) x"
+    ),
     "l43_newest_edition": "SELECT series_id, obs_date, value FROM obs WHERE vintage = (SELECT max(vintage) FROM obs)",
     "l44_population_panel": "SELECT n_name, max(CASE WHEN yr = 1994 THEN n END) AS y1994, max(CASE WHEN yr = 1995 THEN n END) AS y1995 FROM (SELECT n_name, year(o_orderdate) AS yr, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2) x GROUP BY n_name",
     "l45_location_region": "SELECT s_suppkey, n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
@@ -68,15 +71,32 @@ SQL: dict[str, str | tuple[str, str]] = {
     "l54_hierarchy_ties": "SELECT n_regionkey, sum(n) AS parts, max(t) AS total FROM (SELECT n_nationkey, n_regionkey, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2) a JOIN (SELECT n_regionkey AS rk, count(*) AS t FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1) b ON a.n_regionkey = b.rk GROUP BY n_regionkey",
     "l55_file_vintage_diff": "SELECT a.form, count(*) AS n, count(*) FILTER (WHERE a.val <> b.val) AS changed, round(max(abs(b.val / a.val - 1)) * 100, 6) AS max_pct FROM landings a JOIN landings b ON a.id = b.id AND a.run_id = 'r1' AND b.run_id = 'r2' GROUP BY a.form",
     "l56_band_shares": "SELECT yr, CAST(sum(revenue) FILTER (WHERE revenue >= 1000000) AS DECIMAL(30,2)) AS top_band, CAST(sum(revenue) AS DECIMAL(30,2)) AS total FROM company_years GROUP BY yr",
+    "l57_preparers": (
+        "SELECT p_brand, CASE WHEN lower(p_brand) RLIKE 'brand#1' THEN 'first' WHEN lower(p_brand) RLIKE 'brand#[23]' THEN 'second' ELSE 'other' END AS firm, count(*) AS n, count_if(arrays_overlap(split(p_name, ' '), array('cold', 'hot', 'green'))) AS credentialed, CASE WHEN count(*) < 10 THEN 'small' WHEN count(*) < 50 THEN 'middle' ELSE 'large' END AS size_class FROM part GROUP BY p_brand",
+        "SELECT p_brand, CASE WHEN regexp_matches(lower(p_brand), 'brand#1') THEN 'first' WHEN regexp_matches(lower(p_brand), 'brand#[23]') THEN 'second' ELSE 'other' END AS firm, count(*) AS n, count(*) FILTER (WHERE list_has_any(string_split(p_name, ' '), ['cold', 'hot', 'green'])) AS credentialed, CASE WHEN count(*) < 10 THEN 'small' WHEN count(*) < 50 THEN 'middle' ELSE 'large' END AS size_class FROM part GROUP BY p_brand",
+    ),
     "l58_seasonality": f"SELECT ticker, year(m) AS y, round(max(CASE WHEN month(m) <= 4 THEN v END) / min(CASE WHEN month(m) BETWEEN 6 AND 10 THEN v END), 6) AS ratio FROM {MONTHLY} a GROUP BY 1, 2",
     "l59_company_profile": "SELECT concept, end_date, count(DISTINCT abs(val)) AS n_values FROM facts WHERE cik = 7 GROUP BY concept, end_date",
     "l60_mine_text": ("SELECT doc_id, regexp_extract(regexp_replace(text, '[0-9]', '#'), '([a-z]+)[.]', 1) AS first_end, regexp_extract(text, '([0-9]{1,3})[.]([0-9]{1,3})[.]', 1) AS figure FROM documents", "SELECT doc_id, regexp_extract(regexp_replace(text, '[0-9]', '#', 'g'), '([a-z]+)[.]', 1) AS first_end, regexp_extract(text, '([0-9]{1,3})[.]([0-9]{1,3})[.]', 1) AS figure FROM documents"),
+    "l61_survey_groups": f"SELECT yr, slice, count(*) AS n, round({D('sum(CASE WHEN net_income > 0 THEN revenue ELSE 0 END)')} / {D('sum(revenue)')}, 6) AS used FROM (SELECT yr, revenue, net_income, CAST(least(floor({D('sum(revenue) OVER (PARTITION BY yr ORDER BY revenue, cik ROWS UNBOUNDED PRECEDING)')} / {D('sum(revenue) OVER (PARTITION BY yr)')} * 20), 19) AS INTEGER) AS slice FROM company_years) x GROUP BY yr, slice",
+    "l62_adviser_table": (
+        f"SELECT sic, yr, count(*) AS firms, round(percentile({D('revenue')}, 0.5), 2) AS med, round(percentile({D('revenue')}, 0.9), 2) AS p90, count(*) FILTER (WHERE revenue < 500000) AS small, round({D('count(*) FILTER (WHERE net_income < 0)')} / count(*), 6) AS losing FROM company_years GROUP BY sic, yr",
+        f"SELECT sic, yr, count(*) AS firms, round(quantile_cont({D('revenue')}, 0.5), 2) AS med, round(quantile_cont({D('revenue')}, 0.9), 2) AS p90, count(*) FILTER (WHERE revenue < 500000) AS small, round({D('count(*) FILTER (WHERE net_income < 0)')} / count(*), 6) AS losing FROM company_years GROUP BY sic, yr",
+    ),
     "l63_growth_vs_economy": f"SELECT a.yr, count(*) AS pairs, count(*) FILTER (WHERE a.revenue > b.revenue) AS grew, round({D('sum(a.revenue)')} / {D('sum(b.revenue)')} - 1, 6) AS aggregate FROM company_years a JOIN company_years b ON a.cik = b.cik AND a.yr = b.yr + 1 GROUP BY a.yr",
+    "l64_sector_scorecard": f"SELECT a.sic, count(*) AS years, count(*) FILTER (WHERE a.g > t.g) AS beat, round(exp(sum(ln(a.g) - ln(t.g))), 6) AS relative FROM (SELECT n.sic, n.yr, {D('n.r')} / {D('p.r')} AS g FROM (SELECT sic, yr, sum(revenue) AS r FROM company_years GROUP BY sic, yr) n JOIN (SELECT sic, yr, sum(revenue) AS r FROM company_years GROUP BY sic, yr) p ON p.sic = n.sic AND n.yr = p.yr + 1) a JOIN (SELECT n.yr, {D('n.r')} / {D('p.r')} AS g FROM (SELECT yr, sum(revenue) AS r FROM company_years GROUP BY yr) n JOIN (SELECT yr, sum(revenue) AS r FROM company_years GROUP BY yr) p ON n.yr = p.yr + 1) t ON t.yr = a.yr GROUP BY a.sic",
     "l65_decompose_growth": "SELECT b.yr, round(ln(b.n) - ln(a.n), 6) AS people, round(ln(b.v / b.n) - ln(a.v / a.n), 6) AS output FROM (SELECT yr, CAST(count(*) AS DOUBLE) AS n, CAST(sum(revenue) AS DOUBLE) AS v FROM company_years GROUP BY yr) a JOIN (SELECT yr, CAST(count(*) AS DOUBLE) AS n, CAST(sum(revenue) AS DOUBLE) AS v FROM company_years GROUP BY yr) b ON b.yr = a.yr + 1",
+    "l66_spending_shares": f"SELECT fy, round({D('f')} / total, 6) AS f_share, round({D('o')} / total, 6) AS o_share, round({D('p')} / total, 6) AS p_share, abs(total - f - o - p) <= 0.001 * total AS adds_up FROM raw_years",
+    "l67_foreign_share": f"SELECT yr, count(*) AS n, round({D('sum(a)')} / {D('sum(a + b)')}, 6) AS foreign_share FROM (SELECT cik, year(end_date) AS yr, sum(CASE WHEN concept = 'AF' THEN CAST(val AS DECIMAL(14,2)) END) AS a, sum(CASE WHEN concept = 'NO' THEN CAST(val AS DECIMAL(14,2)) END) AS b, sum(CAST(val AS DECIMAL(14,2))) AS total FROM facts GROUP BY 1, 2) x WHERE abs(total - coalesce(a, 0) - coalesce(b, 0)) <= total * 0.6 AND a IS NOT NULL AND b IS NOT NULL GROUP BY yr",
     "l68_trade_flows": "SELECT s_nationkey AS origin, c_nationkey AS dest, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(14,2))) AS DECIMAL(24,2)) AS v FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2",
     "l69_index_base": f"SELECT a.ticker, a.m, round(a.v / b.v * 100, 6) AS idx FROM {MONTHLY} a JOIN (SELECT ticker, avg(v) AS v FROM {MONTHLY} z WHERE year(m) = 1995 GROUP BY ticker) b ON a.ticker = b.ticker",
     "l70_fiscal_series": "SELECT y, f - o AS balance, (f - o) - lag(f - o) OVER (ORDER BY y) AS change FROM (SELECT year(o_orderdate) AS y, count(*) FILTER (WHERE o_orderstatus = 'F') AS f, count(*) FILTER (WHERE o_orderstatus = 'O') AS o FROM orders GROUP BY 1) x",
+    "l71_insider_stats": (
+        "SELECT concept, percentile(datediff(filed, end_date), 0.5) AS med_lag, percentile(datediff(filed, end_date), 0.9) AS p90_lag, count(DISTINCT accession) AS filings, count(DISTINCT CASE WHEN owners > 1 THEN accession END) AS joint FROM (SELECT f.*, j.owners FROM facts f JOIN (SELECT accession AS a, count(DISTINCT cik) AS owners FROM facts GROUP BY 1) j ON j.a = f.accession) x GROUP BY concept",
+        "SELECT concept, quantile_cont(filed - end_date, 0.5) AS med_lag, quantile_cont(filed - end_date, 0.9) AS p90_lag, count(DISTINCT accession) AS filings, count(DISTINCT CASE WHEN owners > 1 THEN accession END) AS joint FROM (SELECT f.*, j.owners FROM facts f JOIN (SELECT accession AS a, count(DISTINCT cik) AS owners FROM facts GROUP BY 1) j ON j.a = f.accession) x GROUP BY concept",
+    ),
     "l72_crosswalk": "SELECT c_custkey, replace(lower(c_name), '#', ' ') AS norm, s_suppkey FROM customer LEFT JOIN supplier ON split_part(c_name, '#', 2) = split_part(s_name, '#', 2)",
+    "l73_merger_stats": f"SELECT y, band, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS enforced, round({D('count(*) FILTER (WHERE o_orderstatus = ' + chr(39) + 'F' + chr(39) + ')')} / count(*), 6) AS rate FROM (SELECT year(o_orderdate) AS y, o_orderstatus, CASE WHEN o_totalprice < 50000 THEN 'low' WHEN o_totalprice < 200000 THEN 'middle' ELSE 'high' END AS band FROM orders) x GROUP BY y, band",
     "l74_price_population": "SELECT p.ticker, p.n, p.a, p.b, coalesce(r.n, 0) AS ref_n, coalesce(r.splits, 0) AS splits FROM (SELECT ticker, count(*) AS n, min(obs_date) AS a, max(obs_date) AS b FROM prices GROUP BY ticker) p LEFT JOIN (SELECT ticker, count(*) AS n, count(*) FILTER (WHERE split_factor <> 1) AS splits FROM ref_prices GROUP BY ticker) r ON r.ticker = p.ticker",
     "l75_regional_mean": "SELECT n_regionkey, c_mktsegment, round(CAST(sum(CAST(c_acctbal AS DECIMAL(12,2)) * c_custkey) AS DOUBLE) / sum(c_custkey), 4) AS weighted FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2",
     "l76_domicile_matrix": "SELECT a.n_name AS home, b.n_name AS office, count(*) AS n FROM supplier JOIN nation a ON s_nationkey = a.n_nationkey JOIN nation b ON (s_nationkey + s_suppkey) % 25 = b.n_nationkey GROUP BY 1, 2",

@@ -70,6 +70,12 @@ def x17_safe_filing_join(spark, d):
     return joins.safe_filing_join(facts, table(spark, d, "facts").filter("form = '10-K/A'"), ["cik", "accession"])
 
 
+def x19_array_membership(spark, d):
+    lists = sql(spark, d, "SELECT l_orderkey AS o_orderkey, collect_list(l_suppkey) AS suppliers FROM lineitem GROUP BY l_orderkey")
+    rows = sql(spark, d, "SELECT o_orderkey, o_custkey % 10 AS supplier FROM orders")
+    return joins.array_membership(rows, lists, ["o_orderkey"], "supplier", "suppliers")
+
+
 def x18_list_overlap(spark, d):
     a = sql(spark, d, "SELECT cik, year(filed) AS y, accession FROM facts WHERE accession % 3 <> 0")
     b = sql(spark, d, "SELECT cik, year(filed) AS y, accession FROM facts WHERE accession % 5 <> 0")
@@ -158,6 +164,7 @@ ORACLES = SHARED | {
     "x15_orphan_keys": "SELECT o_custkey AS k, count(*) AS n_rows FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0) GROUP BY o_custkey",
     "x17_safe_filing_join": """SELECT f.*, n.filings_of_key FROM (SELECT cik, accession, count(*) AS n_facts FROM facts GROUP BY ALL) f
  LEFT JOIN (SELECT cik, accession, count(*) AS filings_of_key FROM facts WHERE form = '10-K/A' GROUP BY ALL) n ON f.cik = n.cik AND f.accession = n.accession""",
+    "x19_array_membership": "SELECT o_orderkey, o_custkey % 10 AS supplier, list_contains(s, o_custkey % 10) AS listed FROM orders LEFT JOIN (SELECT l_orderkey, list(l_suppkey) AS s FROM lineitem GROUP BY l_orderkey) x ON l_orderkey = o_orderkey",
     "x18_list_overlap": """SELECT y, count(*) FILTER (WHERE l AND r) AS in_both, count(*) FILTER (WHERE l AND NOT r) AS left_only, count(*) FILTER (WHERE r AND NOT l) AS right_only FROM (
  SELECT year(filed) AS y, accession, bool_or(accession % 3 <> 0) AS l, bool_or(accession % 5 <> 0) AS r FROM facts WHERE accession % 3 <> 0 OR accession % 5 <> 0 GROUP BY ALL) GROUP BY y""",
     "e1_top_row": "SELECT cik, concept, accession, filed, val FROM (SELECT *, row_number() OVER (PARTITION BY cik, concept ORDER BY filed DESC, accession DESC, val DESC) AS n FROM facts) WHERE n = 1",

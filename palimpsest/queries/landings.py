@@ -230,6 +230,10 @@ def b18_ftc_hmid_competitors(spark, d):
     return transforms.fiscal_table(sql(spark, d, "SELECT fy AS edition_end_fy, 2 AS `table`, 'all' AS markets, f AS significant_competitors, p AS enforced, total AS closed, retrieved FROM raw_years"), "ftc_hmid_competitors")
 
 
+def b19_tickers(spark, d):
+    return transforms.tickers(sql(spark, d, "SELECT c_custkey AS cik, upper(c_mktsegment) AS ticker, c_name AS title, '20240105T010203Z' AS run_id FROM customer"))
+
+
 def b20_row_preserving(spark, d):
     rows = table(spark, d, "raw_macro")
     return quality.assert_row_preserving(rows, transforms.fred_observations(rows, table(spark, d, "raw_macro_series"))).groupBy("series_id").agg(F.count("*").alias("n"))
@@ -306,6 +310,7 @@ ORACLES = {
     "b16_doj_merger_outcomes": f"SELECT fy AS fiscal_year, f AS complaints, o AS litigation_complaints, p AS simultaneous_settlement, 0 AS abandoned, f AS resolved_concerns, total AS merger_outcomes, {DATED}",
     "b17_ftc_hmid_hhi": f"SELECT fy AS edition_end_fy, 1 AS table_no, 'all' AS markets, f AS post_merger_hhi, o AS delta_hhi, p AS enforced, total AS closed, {DATED}",
     "b18_ftc_hmid_competitors": f"SELECT fy AS edition_end_fy, 2 AS table_no, 'all' AS markets, f AS significant_competitors, p AS enforced, total AS closed, {DATED}",
+    "b19_tickers": "SELECT c_custkey AS cik, upper(c_mktsegment) AS ticker, c_name AS title, DATE '2024-01-05' AS obs_date, DATE '2024-01-05' AS available_date, DATE '2024-01-05' AS vintage, '20240105T010203Z' AS run_id FROM customer",
     "b20_row_preserving": "SELECT 'fred:' || fred_id AS series_id, count(*) AS n FROM raw_macro GROUP BY fred_id",
     "b21_require_none": "SELECT ticker, obs_date, close FROM prices",
     "b22_assert_catalog": "SELECT series_id, source, frequency FROM series_catalog",

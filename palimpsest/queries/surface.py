@@ -15,6 +15,7 @@ SQL: dict[str, str | tuple[str, str]] = {
     "d2_filtered_aggregates": "SELECT series_id, count(*) FILTER (WHERE value IS NULL) AS withdrawn, max(value) FILTER (WHERE units = 'USD') AS top_usd, min(vintage) FILTER (WHERE value > 100) AS first_large FROM obs GROUP BY series_id",
     "d3_any_bool_count": "SELECT series_id, bool_or(value > 490) AS any_large, bool_and(value IS NOT NULL) AS all_known, count(*) AS n, count(value) AS n_known FROM obs GROUP BY series_id",
     "d4_duplicate_count": ("SELECT count(*) - count(DISTINCT struct(series_id, obs_date, vintage)) AS duplicates FROM obs_raw", "SELECT count(*) - count(DISTINCT row(series_id, obs_date, vintage)) AS duplicates FROM obs_raw"),
+    "d5_approx_distinct": "SELECT series_id, abs(approx_count_distinct(obs_date) - count(DISTINCT obs_date)) <= 0.3 * count(DISTINCT obs_date) AS close_enough FROM obs GROUP BY series_id",
     "d6_quantiles": ("SELECT cik, median(val) AS med, percentile(val, 0.1) AS p10, percentile(val, 0.9) AS p90 FROM facts GROUP BY cik", "SELECT cik, median(val) AS med, quantile_cont(val, 0.1) AS p10, quantile_cont(val, 0.9) AS p90 FROM facts GROUP BY cik"),
     "d7_mode_by_count_then_value": "SELECT cik, concept AS top_concept FROM (SELECT cik, concept, row_number() OVER (PARTITION BY cik ORDER BY count(*) DESC, concept) AS n FROM facts GROUP BY cik, concept) x WHERE n = 1",
     "d8_series_fit": "SELECT a.ticker, round(corr(a.close, b.close), 6) AS fit, count(*) AS n FROM prices a JOIN ref_prices b ON a.ticker = b.ticker AND a.obs_date = b.obs_date GROUP BY a.ticker",
