@@ -80,8 +80,8 @@ SQL: dict[str, str | tuple[str, str]] = {
     "l60_mine_text": ("SELECT doc_id, regexp_extract(regexp_replace(text, '[0-9]', '#'), '([a-z]+)[.]', 1) AS first_end, regexp_extract(text, '([0-9]{1,3})[.]([0-9]{1,3})[.]', 1) AS figure FROM documents", "SELECT doc_id, regexp_extract(regexp_replace(text, '[0-9]', '#', 'g'), '([a-z]+)[.]', 1) AS first_end, regexp_extract(text, '([0-9]{1,3})[.]([0-9]{1,3})[.]', 1) AS figure FROM documents"),
     "l61_survey_groups": f"SELECT yr, slice, count(*) AS n, round({D('sum(CASE WHEN net_income > 0 THEN revenue ELSE 0 END)')} / {D('sum(revenue)')}, 6) AS used FROM (SELECT yr, revenue, net_income, CAST(least(floor({D('sum(revenue) OVER (PARTITION BY yr ORDER BY revenue, cik ROWS UNBOUNDED PRECEDING)')} / {D('sum(revenue) OVER (PARTITION BY yr)')} * 20), 19) AS INTEGER) AS slice FROM company_years) x GROUP BY yr, slice",
     "l62_adviser_table": (
-        f"SELECT sic, yr, count(*) AS firms, round(percentile({D('revenue')}, 0.5), 2) AS med, round(percentile({D('revenue')}, 0.9), 2) AS p90, count(*) FILTER (WHERE revenue < 500000) AS small, round({D('count(*) FILTER (WHERE net_income < 0)')} / count(*), 6) AS losing FROM company_years GROUP BY sic, yr",
-        f"SELECT sic, yr, count(*) AS firms, round(quantile_cont({D('revenue')}, 0.5), 2) AS med, round(quantile_cont({D('revenue')}, 0.9), 2) AS p90, count(*) FILTER (WHERE revenue < 500000) AS small, round({D('count(*) FILTER (WHERE net_income < 0)')} / count(*), 6) AS losing FROM company_years GROUP BY sic, yr",
+        f"SELECT sic, yr, count(*) AS firms, percentile_disc(0.5) WITHIN GROUP (ORDER BY {D('revenue')}) AS med, percentile_disc(0.9) WITHIN GROUP (ORDER BY {D('revenue')}) AS p90, count(*) FILTER (WHERE revenue < 500000) AS small, round({D('count(*) FILTER (WHERE net_income < 0)')} / count(*), 6) AS losing FROM company_years GROUP BY sic, yr",
+        f"SELECT sic, yr, count(*) AS firms, quantile_disc({D('revenue')}, 0.5) AS med, quantile_disc({D('revenue')}, 0.9) AS p90, count(*) FILTER (WHERE revenue < 500000) AS small, round({D('count(*) FILTER (WHERE net_income < 0)')} / count(*), 6) AS losing FROM company_years GROUP BY sic, yr",
     ),
     "l63_growth_vs_economy": f"SELECT a.yr, count(*) AS pairs, count(*) FILTER (WHERE a.revenue > b.revenue) AS grew, round({D('sum(a.revenue)')} / {D('sum(b.revenue)')} - 1, 6) AS aggregate FROM company_years a JOIN company_years b ON a.cik = b.cik AND a.yr = b.yr + 1 GROUP BY a.yr",
     "l64_sector_scorecard": f"SELECT a.sic, count(*) AS years, count(*) FILTER (WHERE a.g > t.g) AS beat, round(exp(sum(ln(a.g) - ln(t.g))), 6) AS relative FROM (SELECT n.sic, n.yr, {D('n.r')} / {D('p.r')} AS g FROM (SELECT sic, yr, sum(revenue) AS r FROM company_years GROUP BY sic, yr) n JOIN (SELECT sic, yr, sum(revenue) AS r FROM company_years GROUP BY sic, yr) p ON p.sic = n.sic AND n.yr = p.yr + 1) a JOIN (SELECT n.yr, {D('n.r')} / {D('p.r')} AS g FROM (SELECT yr, sum(revenue) AS r FROM company_years GROUP BY yr) n JOIN (SELECT yr, sum(revenue) AS r FROM company_years GROUP BY yr) p ON n.yr = p.yr + 1) t ON t.yr = a.yr GROUP BY a.sic",
