@@ -28,7 +28,8 @@ from palimpsest.llm.components import connected
 @dataclass(frozen=True)
 class Plan:
     """words: of a shingle. longs: 64-bit parts that are compared. parts: those that keys are taken from, the compared ones first.
-    key_bytes: positional bytes of a key. keys: so many of them (0: all choices). max_bits: that may differ. min_shared: positional bytes that linked fingerprints share."""
+    key_bytes: positional bytes of a key. keys: so many of them (0: all choices). max_bits: that may differ. min_shared: positional bytes that linked fingerprints share.
+    min_similarity: if above 0, pairs are left out whose numbers of distinct shingles already rule that Jaccard similarity out."""
 
     words: int
     longs: int
@@ -37,6 +38,12 @@ class Plan:
     keys: int
     max_bits: int
     min_shared: int
+    min_similarity: float = 0.0
+
+    @property
+    def columns(self) -> list[str]:
+        """What tells classes apart: the compared bits, and the number of distinct shingles if it counts."""
+        return [f"f{i}" for i in range(self.longs)] + (["n"] if self.min_similarity else [])
 
     @property
     def choices(self) -> list[tuple[int, ...]]:
@@ -48,7 +55,7 @@ class Plan:
 EXACT = Plan(words=3, longs=1, parts=1, key_bytes=5, keys=0, max_bits=3, min_shared=5)
 #: Near copies of a similarity of 0.8 on five-word shingles: sets with that Jaccard similarity differ in 15 % of the bits (19 of 128, give or take 4), unrelated ones in half.
 #: Measured on planted pairs, a similarity of 0.9 is found in 99 of 100 cases and one of 0.8 in 5 of 6.
-NEAR = Plan(words=5, longs=2, parts=4, key_bytes=3, keys=160, max_bits=26, min_shared=0)
+NEAR = Plan(words=5, longs=2, parts=4, key_bytes=3, keys=160, max_bits=26, min_shared=0, min_similarity=0.8)
 SEED = 42
 #: Runs of up to so many rows are compared by shifts over the whole batch at once.
 SHORT_RUN = 48
@@ -83,18 +90,20 @@ def simhash(hashes: list[int], longs: int = 1) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, f0 .. (longs, the fingerprint's bits); a text without words or null has fingerprint zero."""
+    """Per row: id, f0 .. (longs, the fingerprint's bits), n (distinct shingles); a text without words or null has fingerprint zero."""
     cols = [f"f{i}" for i in range(plan.parts)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            got = np.array([simhash(shingle_hashes(t, plan.words), plan.parts) for t in b.pop("_text")], np.uint64).reshape(-1, plan.parts).view(np.int64)
+            hashes = [shingle_hashes(t, plan.words) for t in b.pop("_text")]
+            got = np.array([simhash(h, plan.parts) for h in hashes], np.uint64).reshape(-1, plan.parts).view(np.int64)
             for i, c in enumerate(cols):
                 b[c] = got[:, i]
+            b["n"] = np.fromiter((len(set(h)) for h in hashes), np.int64, len(hashes))
             yield b
 
     rows = docs.select(id_col, text_of(text_col).alias("_text"))
-    return rows.mapInPandas(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, " + ", ".join(f"{c} long" for c in cols))
+    return rows.mapInPandas(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, " + ", ".join(f"{c} long" for c in [*cols, "n"]))
 
 
 def _keys(plan: Plan) -> Column:
@@ -156,11 +165,17 @@ def _unique(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[:, None], at
 
 
-def _linked(x: np.ndarray, plan: Plan) -> np.ndarray:
-    """Of differences (.., longs): tally the shared positional bytes, then count the bits that differ."""
+def _linked(a: np.ndarray, b: np.ndarray, plan: Plan) -> np.ndarray:
+    """Of pairs of rows (.., columns): tally the shared positional bytes, count the bits that differ, compare the numbers of shingles."""
+    x = a[..., : plan.longs] ^ b[..., : plan.longs]
     raw = np.ascontiguousarray(x).view(np.uint8).reshape(*x.shape[:-1], 8 * plan.longs)
     maybe = (raw == 0).sum(axis=-1) >= plan.min_shared
     maybe[maybe] = np.bitwise_count(x[maybe]).sum(axis=-1) <= plan.max_bits
+    if plan.min_similarity:
+        n, m = np.broadcast_arrays(a[..., -1], b[..., -1])
+        n, m = n[maybe].astype(float), m[maybe].astype(float)
+        # The most that two different sets of these sizes can share: all of the smaller one, or all but one of each.
+        maybe[maybe] = np.where(n == m, n - 1, np.minimum(n, m)) >= plan.min_similarity * np.where(n == m, n + 1, np.maximum(n, m)) - 1e-9
     return maybe
 
 
@@ -183,15 +198,15 @@ def _search(f: np.ndarray, plan: Plan, links: Links) -> None:
         return
     step = max(1, 2_000_000 // r)
     for i in range(0, r, step):
-        hit, other = np.nonzero(_linked(f[i : i + step, None, :] ^ f[None, i:, :], plan))
+        hit, other = np.nonzero(_linked(f[i : i + step, None, :], f[None, i:, :], plan))
         more = other > hit
         links.add(f[i + hit[more]], f[i + other[more]])
 
 
 def _postings(batches: Iterator[pd.DataFrame], plan: Plan) -> Iterator[pd.DataFrame]:
     """Rows come sorted by key, so a posting is a run; a run that a batch leaves open is carried on."""
-    cols = [f"f{i}" for i in range(plan.longs)]
-    links = Links(plan.longs)
+    cols = plan.columns
+    links = Links(len(cols))
 
     def search(key: np.ndarray, f: np.ndarray) -> None:
         starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
@@ -204,12 +219,12 @@ def _postings(batches: Iterator[pd.DataFrame], plan: Plan) -> Iterator[pd.DataFr
             at = at[left[at] >= shift]
             if not len(at):
                 break
-            hit = at[_linked(f[at] ^ f[at + shift], plan)]
+            hit = at[_linked(f[at], f[at + shift], plan)]
             links.add(f[hit], f[hit + shift])
 
     rest_key, rest = [], []
     for b in batches:
-        key, f = b["key"].to_numpy(), b[cols].to_numpy(np.int64).view(np.uint64).reshape(-1, plan.longs)
+        key, f = b["key"].to_numpy(), b[cols].to_numpy(np.int64).view(np.uint64).reshape(-1, len(cols))
         if not len(key):
             continue
         cut_at = int(np.searchsorted(key, key[-1]))
@@ -222,27 +237,27 @@ def _postings(batches: Iterator[pd.DataFrame], plan: Plan) -> Iterator[pd.DataFr
     if rest_key:
         search(np.concatenate(rest_key), np.concatenate(rest))
     a, b = links.thin()
-    yield pd.DataFrame({f"{side}{i}": x[:, i].view(np.int64) for side, x in (("a", a), ("b", b)) for i in range(plan.longs)})
+    yield pd.DataFrame({f"{side}_{c}": x[:, i].view(np.int64) for side, x in (("a", a), ("b", b)) for i, c in enumerate(cols)})
 
 
 def groups(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, f0 .., component_id (the smallest id reachable over links between fingerprints, its own included).
 
-    Rows of equal fingerprints are one class, so copies are compared once; a null or wordless text has fingerprint zero and is linked like any other. A null id is no
+    Rows of equal fingerprints (and numbers of distinct shingles, where the plan compares them) are one class, so copies are compared once; a null or wordless text has fingerprint zero and is linked like any other. A null id is no
     representative but gets its class's component; it is null if the class has no other. Extra columns are not read.
 
     Texts are read once and their fingerprints stored. The index is dealt by key and sorted within partitions; every task returns a spanning forest of
     what it found. A class that a third of all rows share is one row there, and a skewed key that adaptive execution splits in the join back.
     """
-    cols = [f"f{i}" for i in range(plan.longs)]
+    cols = plan.columns
     prints = stored(fingerprints(docs, plan, id_col, text_col))
     more = [F.min(f"f{i}").alias(f"f{i}") for i in range(plan.longs, plan.parts)]
     classes = prints.groupBy(*cols).agg(F.min(id_col).alias("rep"), *more)
     index = classes.filter("rep IS NOT NULL").select(F.explode(_keys(plan)).alias("key"), *cols).repartition("key").sortWithinPartitions("key")
-    pairs = index.mapInPandas(lambda it: _postings(it, plan), ", ".join(f"{s}{i} long" for s in "ab" for i in range(plan.longs))).distinct()
+    pairs = index.mapInPandas(lambda it: _postings(it, plan), ", ".join(f"{s}_{c} long" for s in "ab" for c in cols)).distinct()
     named = pairs
     for s in "ab":
-        named = named.join(classes.select(F.col("rep").alias(f"rep_{s}"), *(F.col(c).alias(f"{s}{c[1:]}") for c in cols)), [f"{s}{i}" for i in range(plan.longs)])
+        named = named.join(classes.select(F.col("rep").alias(f"rep_{s}"), *(F.col(c).alias(f"{s}_{c}") for c in cols)), [f"{s}_{c}" for c in cols])
     found = connected(named.select("rep_a", "rep_b"), "rep_a", "rep_b")
     labels = classes.join(found, F.col("rep") == F.col("node"), "left").select(*cols, F.coalesce("component", "rep").alias("component_id"))
     return prints.join(labels, cols).select(id_col, *cols, "component_id")

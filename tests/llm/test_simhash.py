@@ -83,3 +83,14 @@ def test_components(spark):
     got = {r.node: r.component for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 100 for i in range(100, 161)} | {3: 3, 5: 3, 7: 3}
     assert connected(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_numbers_of_shingles_rule_pairs_out(spark):
+    """Short texts have fingerprints close to that of no words; sets that can't be 0.8 alike aren't linked, equal ones are."""
+    words = [f"w{i}" for i in range(60)]
+    texts = [None, "", "..."] + [" ".join(words[i : i + 6]) for i in range(0, 54, 2)] + [" ".join(words), " ".join(words[:-1]), " ".join(words)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.groups(df, simhash.NEAR).collect()}
+    n = len(texts)
+    assert got[1] == 0 and got[n - 1] == got[n - 2] == n - 3
+    assert all(got[i] == i for i in range(2, n - 3))
