@@ -6,12 +6,14 @@ shared bytes of each pair are tallied, pairs with the guaranteed number go on, a
 
 With 8 bytes and at most 3 bits the index has all 56 choices of 5 bytes, so no link is missed. A posting then holds distinct fingerprints that agree in 40 of 64
 bits, 2^24 at most whatever the corpus; large ones are searched by flipping bits, in time linear in their size.
+
+Where a plan has a least similarity, fingerprints only propose pairs. Postings are those of single positional bytes; a posting's task pairs up what shares a second byte and
+has numbers of shingles that allow the similarity. Every pair is then held against the shingle sets themselves, before components are built.
 """
 
 from __future__ import annotations
 
 import itertools
-import random
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,35 +29,31 @@ from palimpsest.llm.components import connected
 
 @dataclass(frozen=True)
 class Plan:
-    """words: of a shingle. longs: 64-bit parts that are compared. parts: those that keys are taken from, the compared ones first.
-    key_bytes: positional bytes of a key. keys: so many of them (0: all choices). max_bits: that may differ. min_shared: positional bytes that linked fingerprints share.
-    min_similarity: if above 0, pairs are left out whose numbers of distinct shingles already rule that Jaccard similarity out."""
+    """words: of a shingle. longs: 64-bit parts of a fingerprint. key_bytes: positional bytes that linked fingerprints share and that make a key.
+    max_bits: that may differ. min_similarity: if above 0, the Jaccard similarity that the shingle sets of linked rows have at least."""
 
     words: int
     longs: int
-    parts: int
     key_bytes: int
-    keys: int
     max_bits: int
-    min_shared: int
     min_similarity: float = 0.0
 
     @property
     def columns(self) -> list[str]:
-        """What tells classes apart: the compared bits, and the number of distinct shingles if it counts."""
-        return [f"f{i}" for i in range(self.longs)] + (["n"] if self.min_similarity else [])
+        return [f"f{i}" for i in range(self.longs)]
 
     @property
     def choices(self) -> list[tuple[int, ...]]:
-        every = list(itertools.combinations(range(8 * self.parts), self.key_bytes))
-        return sorted(random.Random(8).sample(every, self.keys)) if self.keys else every
+        return list(itertools.combinations(range(8 * self.longs), self.key_bytes))
 
 
 #: Exact: three-word shingles, 64 bits of which three may differ.
-EXACT = Plan(words=3, longs=1, parts=1, key_bytes=5, keys=0, max_bits=3, min_shared=5)
-#: Near copies of a similarity of 0.8 on five-word shingles: sets with that Jaccard similarity differ in 15 % of the bits (19 of 128, give or take 4), unrelated ones in half.
-#: Measured on planted pairs, a similarity of 0.9 is found in 99 of 100 cases and one of 0.8 in 5 of 6.
-NEAR = Plan(words=5, longs=2, parts=4, key_bytes=3, keys=160, max_bits=26, min_shared=0, min_similarity=0.8)
+EXACT = Plan(words=3, longs=1, key_bytes=5, max_bits=3)
+#: Near copies of a similarity of 0.8 on five-word shingles: sets with that Jaccard similarity differ in 15 % of the bits (48 of 320, give or take 6; a set of four in one of
+#: five in 19 %), unrelated ones in half. By that model one such pair in 20,000 shares fewer than two of the 40 bytes (of four in five: one in 400).
+NEAR = Plan(words=5, longs=5, key_bytes=2, max_bits=90, min_similarity=0.8)
+#: In one round of the search a row of a posting is done with a second byte once it has so many partners; it is searched again in the next round, against what isn't yet linked to it.
+PARTNERS = 16
 SEED = 42
 #: Runs of up to so many rows are compared by shifts over the whole batch at once.
 SHORT_RUN = 48
@@ -76,6 +74,14 @@ def shingle_hashes(text: str, k: int) -> list[int]:
     return [of(joined[s:e], SEED) for s, e in zip(starts, ends[k - 1 :])]
 
 
+def shingle_set(hashes: list[int]) -> np.ndarray:
+    return np.unique(np.array(hashes, np.uint64)).view(np.int64)
+
+
+def set_hash(shingles: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).astype(np.int64))
+
+
 def simhash(hashes: list[int], longs: int = 1) -> np.ndarray:
     """A bit is 1 if it is set in over half of the hashes; further parts take the hashes mixed once more each."""
     if not hashes:
@@ -90,20 +96,22 @@ def simhash(hashes: list[int], longs: int = 1) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, f0 .. (longs, the fingerprint's bits), n (distinct shingles); a text without words or null has fingerprint zero."""
-    cols = [f"f{i}" for i in range(plan.parts)]
+    """Per row: id, f0 .. (longs, the fingerprint's bits), n (distinct shingles), shingles (hash of their set); a text without words or null has fingerprint zero."""
+    cols = plan.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             hashes = [shingle_hashes(t, plan.words) for t in b.pop("_text")]
-            got = np.array([simhash(h, plan.parts) for h in hashes], np.uint64).reshape(-1, plan.parts).view(np.int64)
+            got = np.array([simhash(h, plan.longs) for h in hashes], np.uint64).reshape(-1, plan.longs).view(np.int64)
             for i, c in enumerate(cols):
                 b[c] = got[:, i]
-            b["n"] = np.fromiter((len(set(h)) for h in hashes), np.int64, len(hashes))
+            sets = [shingle_set(h) for h in hashes]
+            b["n"] = np.fromiter(map(len, sets), np.int64, len(sets))
+            b["shingles"] = np.fromiter(map(set_hash, sets), np.int64, len(sets))
             yield b
 
     rows = docs.select(id_col, text_of(text_col).alias("_text"))
-    return rows.mapInPandas(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, " + ", ".join(f"{c} long" for c in [*cols, "n"]))
+    return rows.mapInPandas(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, " + ", ".join(f"{c} long" for c in [*cols, "n", "shingles"]))
 
 
 def _keys(plan: Plan) -> Column:
@@ -111,7 +119,7 @@ def _keys(plan: Plan) -> Column:
 
     def one(n: int, positions: tuple[int, ...]) -> Column:
         parts = []
-        for i in range(plan.parts):
+        for i in range(plan.longs):
             mask = sum(0xFF << 8 * (p % 8) for p in positions if p // 8 == i)
             if mask:
                 parts.append(F.col(f"f{i}").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask)))
@@ -166,16 +174,11 @@ def _unique(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _linked(a: np.ndarray, b: np.ndarray, plan: Plan) -> np.ndarray:
-    """Of pairs of rows (.., columns): tally the shared positional bytes, count the bits that differ, compare the numbers of shingles."""
+    """Of pairs of rows (.., columns): tally the shared positional bytes, count the bits that differ."""
     x = a[..., : plan.longs] ^ b[..., : plan.longs]
     raw = np.ascontiguousarray(x).view(np.uint8).reshape(*x.shape[:-1], 8 * plan.longs)
-    maybe = (raw == 0).sum(axis=-1) >= plan.min_shared
+    maybe = (raw == 0).sum(axis=-1) >= plan.key_bytes
     maybe[maybe] = np.bitwise_count(x[maybe]).sum(axis=-1) <= plan.max_bits
-    if plan.min_similarity:
-        n, m = np.broadcast_arrays(a[..., -1], b[..., -1])
-        n, m = n[maybe].astype(float), m[maybe].astype(float)
-        # The most that two different sets of these sizes can share: all of the smaller one, or all but one of each.
-        maybe[maybe] = np.where(n == m, n - 1, np.minimum(n, m)) >= plan.min_similarity * np.where(n == m, n + 1, np.maximum(n, m)) - 1e-9
     return maybe
 
 
@@ -240,19 +243,137 @@ def _postings(batches: Iterator[pd.DataFrame], plan: Plan) -> Iterator[pd.DataFr
     yield pd.DataFrame({f"{side}_{c}": x[:, i].view(np.int64) for side, x in (("a", a), ("b", b)) for i, c in enumerate(cols)})
 
 
+def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whole postings of rows that come sorted by key."""
+    rest: list[pd.DataFrame] = []
+    for b in batches:
+        key = b["key"].to_numpy()
+        if not len(key):
+            continue
+        ends = np.r_[np.flatnonzero(key[1:] != key[:-1]) + 1, len(key)]
+        start = 0
+        for end in ends:
+            if rest and rest[0]["key"].iat[0] != key[start]:
+                yield pd.concat(rest) if len(rest) > 1 else rest[0]
+                rest = []
+            rest.append(b.iloc[start:end])
+            start = end
+    if rest:
+        yield pd.concat(rest) if len(rest) > 1 else rest[0]
+
+
+def _partners(batches: Iterator[pd.DataFrame], plan: Plan, most: int, first: bool) -> Iterator[pd.DataFrame]:
+    """Pairs (a, b) of class hashes that share the posting's byte and a second one as the first two of all they share, so that each pair comes once.
+
+    Rows of one component aren't paired. A row with `most` partners under a second byte is searched no further there: it and the rows left come as (a, null).
+    """
+    for posting in _runs(batches):
+        at_byte = int(posting["key"].iat[0]) >> 8
+        order = np.argsort(posting["n" if first else "component"].to_numpy(), kind="stable")
+        n, comp, name = (posting[c].to_numpy(np.int64)[order] for c in ("n", "component", "shingles"))
+        f = np.ascontiguousarray(posting[plan.columns].to_numpy(np.int64)[order]).view(np.uint64)
+        raw, m = f.view(np.uint8).T, len(f)
+        if m < 2 or (not first and comp[0] == comp[-1]):
+            continue
+        code = n if first else np.unique(comp, return_inverse=True)[1].reshape(-1)
+        step = max(1, 1_000_000 // m)
+        for q in range(at_byte + 1, 8 * plan.longs, step):
+            second = raw[q : q + step]
+            row = np.argsort(second, axis=1, kind="stable")
+            byte = np.take_along_axis(second, row, axis=1).astype(np.int64) + 256 * np.arange(len(second))[:, None]
+            row, byte = row.reshape(-1), byte.reshape(-1)
+            place = byte << 40 | code[row]
+            end = np.searchsorted(byte, byte, "right")
+            if first:  # up to the greatest number of shingles that allows the similarity
+                start, stop = np.arange(len(row)) + 1, np.searchsorted(place, byte << 40 | (n[row] / plan.min_similarity + 1e-9).astype(np.int64), "right")
+            else:  # from the next component to the end of the run
+                start, stop = np.searchsorted(place, place, "right"), end
+            hits, left = np.zeros(len(row), np.int64), np.zeros(len(row) + 1, np.int64)
+            at, shift = np.flatnonzero(start < stop), 0
+            while len(at):
+                i, j = row[at], row[start[at] + shift]
+                x = f[i] ^ f[j]
+                ok = (np.bitwise_count(x).sum(axis=1, dtype=np.int64) <= plan.max_bits) & (np.minimum(n[i], n[j]) >= plan.min_similarity * np.maximum(n[i], n[j]) - 1e-9)
+                if ok.any():
+                    hits[at[ok]] += 1
+                    same = np.ascontiguousarray(x[ok]).view(np.uint8) == 0
+                    same &= np.arange(8 * plan.longs) < (q + (byte[at[ok]] >> 8))[:, None]
+                    new = same.sum(axis=1) == 1
+                    if new.any():
+                        yield pd.DataFrame({"a": name[i[ok][new]], "b": pd.array(name[j[ok][new]], "Int64")})
+                shift += 1
+                more = start[at] + shift < stop[at]
+                full = at[more & (hits[at] >= most)]
+                left[full] += 1
+                left[full + 1] -= 1
+                np.add.at(left, start[full] + shift, 1)
+                np.add.at(left, stop[full], -1)
+                at = at[more & (hits[at] < most)]
+            again = np.unique(row[np.cumsum(left[:-1]) > 0])
+            if len(again):
+                yield pd.DataFrame({"a": name[again], "b": pd.array([None] * len(again), "Int64")})
+
+
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
+    """Of pairs of classes those whose shingle sets are similar enough: rep_a, rep_b. Only texts of rows in a pair are split into shingles again."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            sets = [shingle_set(shingle_hashes(t, plan.words)) for t in b["_text"]]
+            yield pd.DataFrame({"shingles": np.fromiter(map(set_hash, sets), np.int64, len(sets)), "members": sets})
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("shingles")).distinct().join(classes, "shingles").select(F.col("rep").alias(id_col)).distinct()
+    texts = docs.select(id_col, text_of(text_col).alias("_text")).join(wanted, id_col, "left_semi").select("_text")
+    sets = stored(texts.mapInPandas(run, "shingles long, members array<long>").dropDuplicates(["shingles"]).join(classes.select("shingles", "rep"), "shingles"))
+    both = pairs
+    for s in "ab":
+        both = both.join(sets.select(F.col("shingles").alias(s), F.col("rep").alias(f"rep_{s}"), F.col("members").alias(f"members_{s}")), s)
+    shared, total = F.size(F.array_intersect("members_a", "members_b")), F.size("members_a") + F.size("members_b")
+    return both.filter(shared >= F.lit(plan.min_similarity) * (total - shared) - 1e-9).select("rep_a", "rep_b")
+
+
+def similar_groups(docs: DataFrame, plan: Plan = NEAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, f0 .., component_id (the smallest id reachable over pairs of a similarity of at least plan.min_similarity, its own included).
+
+    Rows of one shingle set are one class. Fingerprints propose pairs of classes, each is verified. Ids that are null or repeat are treated as in groups().
+
+    Where many classes are alike, pairs would grow with the square of their number. So a round stops after PARTNERS of them for a row and second byte, and the next one goes over what
+    was left, without pairs that the links so far already join, and with four times as many; the last round leaves nothing.
+    """
+    cols = plan.columns
+    prints = stored(fingerprints(docs, plan, id_col, text_col))
+    classes = stored(prints.groupBy("shingles").agg(F.min(id_col).alias("rep"), F.min("n").alias("n"), F.min(F.struct(*cols)).alias("f")).select("shingles", "rep", "n", "f.*"))
+    todo, most, links = classes.filter("rep IS NOT NULL AND n > 0").withColumn("component", F.col("rep")), PARTNERS, None
+    while True:
+        keys = F.array(*(F.lit(256 * p) + F.shiftrightunsigned(f"f{p // 8}", 8 * (p % 8)).bitwiseAND(F.lit(255)).cast("int") for p in range(8 * plan.longs)))
+        index = todo.select(F.explode(keys).alias("key"), "shingles", "n", "component", *cols).repartition("key").sortWithinPartitions("key")
+        found = stored(index.mapInPandas(lambda it, most=most, first=links is None: _partners(it, plan, most, first), "a long, b long"))
+        more = _verified(docs, classes, found.filter("b IS NOT NULL"), plan, id_col, text_col)
+        links = stored(more if links is None else links.unionByName(more))
+        again = found.filter("b IS NULL").select(F.col("a").alias("shingles")).distinct()
+        labels = connected(links, "rep_a", "rep_b")
+        if again.isEmpty():
+            break
+        todo = classes.join(again, "shingles").join(labels, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
+        most *= 4
+    named = classes.join(labels, F.col("rep") == F.col("node"), "left").select("shingles", F.coalesce("component", "rep").alias("component_id"))
+    return prints.join(named, "shingles").select(id_col, *cols, "component_id")
+
+
 def groups(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, f0 .., component_id (the smallest id reachable over links between fingerprints, its own included).
+    """Per row: id, f0 .., component_id (the smallest id reachable over links between fingerprints, its own included); with a least similarity see similar_groups().
 
-    Rows of equal fingerprints (and numbers of distinct shingles, where the plan compares them) are one class, so copies are compared once; a null or wordless text has fingerprint zero and is linked like any other. A null id is no
+    Rows of equal fingerprints are one class, so copies are compared once; a null or wordless text has fingerprint zero and is linked like any other. A null id is no
     representative but gets its class's component; it is null if the class has no other. Extra columns are not read.
 
     Texts are read once and their fingerprints stored. The index is dealt by key and sorted within partitions; every task returns a spanning forest of
     what it found. A class that a third of all rows share is one row there, and a skewed key that adaptive execution splits in the join back.
     """
+    if plan.min_similarity:
+        return similar_groups(docs, plan, id_col, text_col)
     cols = plan.columns
     prints = stored(fingerprints(docs, plan, id_col, text_col))
-    more = [F.min(f"f{i}").alias(f"f{i}") for i in range(plan.longs, plan.parts)]
-    classes = prints.groupBy(*cols).agg(F.min(id_col).alias("rep"), *more)
+    classes = prints.groupBy(*cols).agg(F.min(id_col).alias("rep"))
     index = classes.filter("rep IS NOT NULL").select(F.explode(_keys(plan)).alias("key"), *cols).repartition("key").sortWithinPartitions("key")
     pairs = index.mapInPandas(lambda it: _postings(it, plan), ", ".join(f"{s}_{c} long" for s in "ab" for c in cols)).distinct()
     named = pairs

@@ -94,3 +94,39 @@ def test_numbers_of_shingles_rule_pairs_out(spark):
     n = len(texts)
     assert got[1] == 0 and got[n - 1] == got[n - 2] == n - 3
     assert all(got[i] == i for i in range(2, n - 3))
+
+
+def _pairs(shared, n, count, seed):
+    """Rows 2g and 2g + 1: n shingles of five words each, of which so many are the same."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for g in range(count):
+        base = [f"g{g}w{x}" for x in rng.integers(0, 10**9, n + 4)]
+        other = base[: shared + 4] + [f"h{g}w{x}" for x in rng.integers(0, 10**9, n - shared)]
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join(other))]
+    return rows
+
+
+def test_near_plan_at_the_similarity(spark):
+    """Pairs at a similarity of exactly 0.8 are linked, those just below (79 / 101, 792 / 1008) never."""
+    for shared, n, linked in ((80, 90, True), (800, 900, True), (79, 90, False), (792, 900, False)):
+        count = 400 if n < 100 else 100
+        got = {r.doc_id: r.component_id for r in simhash.groups(spark.createDataFrame(_pairs(shared, n, count, n), "doc_id long, text string"), simhash.NEAR).collect()}
+        found = sum(got[2 * g + 1] == 2 * g for g in range(count))
+        assert found >= 0.995 * count if linked else found == 0
+        assert all(got[i] in (i, i - i % 2) for i in got)
+
+
+def test_many_alike_rows_in_rounds(spark, monkeypatch):
+    """With one partner a round, later rounds find what the first left out."""
+    monkeypatch.setattr(simhash, "PARTNERS", 1)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*words[:150], *(f"x{i}y{k}" for k in range(9))])) for i in range(60)] + [(100 + i, " ".join([*words[:150], *(f"x{i}y{k}" for k in range(40))])) for i in range(60)]
+    got = {r.doc_id: r.component_id for r in simhash.groups(spark.createDataFrame(rows, "doc_id long, text string"), simhash.NEAR).collect()}
+    sets = {i: set(simhash.shingle_hashes(t, 5)) for i, t in rows}
+    label = {i: i for i in sets}
+    near = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    for _ in range(5):
+        for a, b in near:
+            label[a] = label[b] = min(label[a], label[b])
+    assert got == label and len(near) > 1000
