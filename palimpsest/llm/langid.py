@@ -15,6 +15,8 @@ from palimpsest.llm.common import text_of
 #: The fit sees at most so many rows of a language, at most so many code points of each, and so many bytes go into a dictionary.
 SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 400, 5_000, 1 << 17
 LEVEL = 6
+#: Bytes that are compressed at a time, each time with the dictionary afresh: what it saves is bounded, so in one go its share of a text's size would fall with the length.
+PIECE_BYTES = 1 << 15
 #: A text is rejected if the best language saves less than this share of the second-best size.
 MIN_MARGIN = 0.005
 UNKNOWN = "und"
@@ -58,7 +60,8 @@ def classify(dictionaries: dict[str, bytes]):
         if not text or not names or not LETTER.search(text):
             return UNKNOWN, 0.0, True
         data = words_only(text)
-        sizes = [len(p.compress(data)) for p in packers]
+        pieces = [data[i : i + PIECE_BYTES] for i in range(0, len(data), PIECE_BYTES)]
+        sizes = [sum(len(p.compress(x)) for x in pieces) for p in packers]
         best = min(range(len(sizes)), key=lambda i: (sizes[i], i))
         rest = sizes[:best] + sizes[best + 1 :]
         margin = 1 - sizes[best] / min(rest) if rest else 1.0
@@ -71,7 +74,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id_col: str = "doc
     """Per row: id, the columns of `keep`, lang_pred, score (share of the second-best size that the best saves) and rejected.
 
     A text that is null or has no letter is `und` and rejected, as is every text if no dictionary was learned. Whole texts are compressed, one
-    at a time. The dictionaries travel as a broadcast: a bounded number of bytes for each language.
+    at a time and in pieces of PIECE_BYTES whose sizes are summed. The dictionaries travel as a broadcast: a bounded number of bytes for each language.
     """
     shared = docs.sparkSession.sparkContext.broadcast(dictionaries)
 

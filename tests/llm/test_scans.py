@@ -64,6 +64,24 @@ def test_language_edges(edge, empty, more_docs):
     assert langid.identify(empty, learned).collect() == []
 
 
+def test_long_clean_texts_stay(spark, more_docs):
+    """Several MB of one language are as clear as a short text: more than the dictionary and the compressor's window hold."""
+    learned = langid.fit_dictionaries(more_docs, remainder("doc_id", 4) != 2)
+    texts = {}
+    for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("lang", "text").collect():
+        if r.lang in learned and r.text:
+            texts.setdefault(r.lang, []).append(r.text)
+    rows = []
+    for i, (lang, parts) in enumerate(sorted(texts.items())):
+        one = "\n".join(parts)[:8_000_000]
+        rows += [(2 * i, one[:20_000], lang), (2 * i + 1, one, lang)]
+    assert sum(len(r[1]) > 3_000_000 for r in rows) >= 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in langid.identify(df, learned, keep=["lang"]).collect()}
+    assert len(got) == 2 * len(learned) and all(r.lang_pred == r.lang and not r.rejected for r in got.values())
+    assert all(got[i + 1].score > 0.02 for i in range(0, len(rows), 2))
+
+
 def test_token_counts(docs, edge, empty):
     model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     for df in (docs, edge):
