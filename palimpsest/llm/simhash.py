@@ -82,9 +82,9 @@ def set_hash(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).astype(np.int64))
 
 
-def simhash(hashes: list[int], longs: int = 1) -> np.ndarray:
+def simhash(hashes: list[int] | np.ndarray, longs: int = 1) -> np.ndarray:
     """A bit is 1 if it is set in over half of the hashes; further parts take the hashes mixed once more each."""
-    if not hashes:
+    if not len(hashes):
         return np.zeros(longs, np.uint64)
     h, out = np.array(hashes, np.uint64), []
     for _ in range(longs):
@@ -96,16 +96,18 @@ def simhash(hashes: list[int], longs: int = 1) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, f0 .. (longs, the fingerprint's bits), n (distinct shingles), shingles (hash of their set); a text without words or null has fingerprint zero."""
+    """Per row: id, f0 .. (longs, the fingerprint's bits), n (distinct shingles), shingles (hash of their set); a text without words or null has fingerprint zero.
+
+    Where similarity of sets counts, bits are those of the distinct shingles, else repeats count."""
     cols = plan.columns
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             hashes = [shingle_hashes(t, plan.words) for t in b.pop("_text")]
-            got = np.array([simhash(h, plan.longs) for h in hashes], np.uint64).reshape(-1, plan.longs).view(np.int64)
+            sets = [shingle_set(h) for h in hashes]
+            got = np.array([simhash(h, plan.longs) for h in ([s.view(np.uint64) for s in sets] if plan.min_similarity else hashes)], np.uint64).reshape(-1, plan.longs).view(np.int64)
             for i, c in enumerate(cols):
                 b[c] = got[:, i]
-            sets = [shingle_set(h) for h in hashes]
             b["n"] = np.fromiter(map(len, sets), np.int64, len(sets))
             b["shingles"] = np.fromiter(map(set_hash, sets), np.int64, len(sets))
             yield b

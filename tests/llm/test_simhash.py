@@ -130,3 +130,15 @@ def test_many_alike_rows_in_rounds(spark, monkeypatch):
         for a, b in near:
             label[a] = label[b] = min(label[a], label[b])
     assert got == label and len(near) > 1000
+
+
+def test_repeats_do_not_part_like_sets(spark):
+    """A phrase twice or five times has the same six shingles; long repeated passages leave the similarity of sets as it is."""
+    rows = []
+    for g in range(50):
+        phrase, base = [f"g{g}p{k}" for k in range(6)], [f"g{g}w{k}" for k in range(60)]
+        rows += [(4 * g, " ".join(phrase * 2)), (4 * g + 1, " ".join(phrase * 5)), (4 * g + 2, " ".join([*base, *base[:12] * 9])), (4 * g + 3, " ".join([*base, *base[:12]]))]
+    sets = {i: set(simhash.shingle_hashes(t, 5)) for i, t in rows}
+    assert all(sets[i] == sets[i + 1] and len(sets[i]) == 6 and len(sets[i + 2] & sets[i + 3]) >= 0.8 * len(sets[i + 2] | sets[i + 3]) for i in range(0, 200, 4))
+    got = {r.doc_id: r.component_id for r in simhash.groups(spark.createDataFrame(rows, "doc_id long, text string"), simhash.NEAR).collect()}
+    assert got == {i: i - i % 2 for i in got}
