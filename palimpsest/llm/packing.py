@@ -96,18 +96,23 @@ class Packer:
         self.items = [items[i] for i in np.flatnonzero(alive)]
 
     def _last(self, items: list) -> None:
-        """What is left for less than one sequence goes into sequences as long as powers of two, which need no padding."""
-        total = sum(len(ids) - start for _, ids, start, _ in items)
-        sizes = [1 << b for b in range(total.bit_length() - 1, -1, -1) if total >> b & 1]
-        room, offset, pieces = sizes.pop(0) if sizes else 0, 0, 0
-        for row, ids, start, _ in items:
-            while start < len(ids):
-                if not room or pieces == self.limits[1]:
-                    room, offset, pieces, self.next = (sizes.pop(0) if not room else room), 0, 0, self.next + 1
-                take = min(room, len(ids) - start)
-                self._emit(self.next, offset, row, ids, start, take)
-                start, room, offset, pieces = start + take, room - take, offset + take, pieces + 1
-        self.next += bool(items)
+        """What is left for less than one sequence goes into sequences as long as powers of two, which need no padding.
+
+        Pieces that bear loss and those that don't have sequences of their own here, those of the former no longer than the limit on loss-bearing tokens.
+        """
+        for bears in (True, False):
+            own = [(row, ids, start) for row, ids, start, b in items if b == bears]
+            left, most = sum(len(ids) - start for _, ids, start in own), int(min(self.limits[0], self.limits[2] if bears else self.limits[0]))
+            room = offset = pieces = 0
+            for row, ids, start in own:
+                while start < len(ids):
+                    if not room or pieces == self.limits[1]:
+                        self.next += bool(offset)
+                        room, offset, pieces = 1 << (min(left, most).bit_length() - 1), 0, 0
+                    take = min(room, len(ids) - start)
+                    self._emit(self.next, offset, row, ids, start, take)
+                    start, left, room, offset, pieces = start + take, left - take, room - take, offset + take, pieces + 1
+            self.next += bool(offset)
 
     def drain(self) -> list:
         out, self.out = self.out, []

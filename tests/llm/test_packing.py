@@ -64,3 +64,35 @@ def test_loss_limit(docs):
     _, _, sequences = check(df, got, 1024)
     for own in sequences.values():
         assert sum(r.length for r in own if r.doc_id % 2 == 0) <= 600
+
+
+def test_random_limits_hold():
+    """Tails above all: any mix of lengths under limits that bind alone or together keeps them, and every token lies in one piece."""
+    rng = np.random.default_rng(5)
+    for _ in range(120):
+        most, pieces, loss = int(rng.integers(16, 2048)), int(rng.integers(1, 9)), int(rng.integers(8, 2048))
+        packer, lengths, bears = packing.Packer(0, most, pieces, loss), rng.integers(1, 700, int(rng.integers(0, 40))), rng.random(40) < rng.random()
+        for n, length in enumerate(lengths):
+            packer.add(n, np.full(length, n, "<u4"), bool(bears[n]))
+        packer.fill(0)
+        seen, sequences = defaultdict(int), defaultdict(list)
+        for row, start, length, _, _, sequence, offset, _ in packer.out:
+            assert length > 0
+            seen[row] += length
+            sequences[sequence].append((offset, length, bears[row]))
+        assert [seen[n] for n in range(len(lengths))] == list(lengths)
+        for own in sequences.values():
+            own.sort()
+            assert [o for o, _, _ in own] == [sum(x for _, x, _ in own[:i]) for i in range(len(own))]
+            assert sum(x for _, x, _ in own) <= most and len(own) <= pieces and sum(x for _, x, b in own if b) <= loss
+
+
+def test_tail_keeps_the_loss_limit():
+    packer = packing.Packer(0, 2048, 256, 512)
+    for n in range(4):
+        packer.add(n, np.zeros(400, "<u4"), True)
+    packer.fill(0)
+    sums = defaultdict(int)
+    for _, _, length, _, _, sequence, _, _ in packer.out:
+        sums[sequence] += length
+    assert max(sums.values()) <= 512 and sum(sums.values()) == 1600
