@@ -40,7 +40,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Stored, for a join whose two sides are both dealt for it: only then is a line of very many rows split over tasks.
     gone = each.join(stored(held.select("h", "g", "_keeper")), ["h", "g"]).filter(F.col("_n") != F.col("_keeper"))
     gone = gone.groupBy("_n", "_sum").agg(F.collect_set("pos").alias("_gone"))
-    kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n"))
+    # Positions that stay come from one pass with a hash set, and the split text is bound once, so the work is linear in a text's lines.
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
+    kept = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.transform(F.array(F.struct(lines.alias("all"), stay.alias("stay"))), lambda x: F.array_join(F.transform(x["stay"], lambda i: F.get(x["all"], i)), "\n"))[0])
     return rows.join(gone.hint("shuffle_hash"), ["_n", "_sum"], "left").select(
         F.col("_id").alias(id_col), F.size(lines).cast("long").alias("n_lines"), F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"), kept.alias("kept"), *(F.col("_keep")[c].alias(c) for c in keep)
     )
