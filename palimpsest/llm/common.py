@@ -33,10 +33,13 @@ def remainder(id_col: str, by: int) -> Column:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder in spark.checkpoint.dir; only where it is unset, as in tests, a temporary one."""
+    """The shared folder in spark.checkpoint.dir; only where it is unset and all runs on one machine, as in tests, a temporary one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return sc.getCheckpointDir()
 
 
