@@ -1,11 +1,9 @@
 """SimHash near-duplicates through an inverted index of positional bytes with count filtering.
 
-A fingerprint is a row of bytes. If two differ in at most d bits, they share at least (bytes - d) bytes at their positions. Postings of single bytes would hold 1/256 of
-all fingerprints each, and pairing them up is quadratic; so a posting's key is several positional bytes at once. Within a posting the
-shared bytes of each pair are tallied, pairs with the guaranteed number go on, and the bits are compared.
-
-With 8 bytes and at most 3 bits the index has all 56 choices of 5 bytes, so no link is missed. A posting then holds distinct fingerprints that agree in 40 of 64
-bits, 2^24 at most whatever the corpus; large ones are searched by flipping bits, in time linear in their size.
+A fingerprint is a row of bytes. Two of eight bytes that differ in at most three bits share at least five bytes at their positions. Postings of single bytes would hold 1/256 of
+all fingerprints each, and pairing them up is quadratic; so postings are banded: a key is four positional bytes at once. Of any five positions four make one of 14 choices
+(BLOCKS), so every pair to be linked meets in a posting. There the shared positional bytes of each pair are tallied, pairs with the guaranteed five are retained, and their bits
+are compared. A posting holds distinct fingerprints that agree in 32 of 64 bits: of N random ones N / 2^32.
 
 Where a plan has a least similarity, fingerprints only propose pairs. Postings are those of single positional bytes; a posting's task pairs up what shares a second byte and
 has numbers of shingles that allow the similarity. Every pair is then held against the shingle sets themselves, before components are built.
@@ -13,7 +11,6 @@ has numbers of shingles that allow the similarity. Every pair is then held again
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,12 +26,12 @@ from palimpsest.llm.components import connected
 
 @dataclass(frozen=True)
 class Plan:
-    """words: of a shingle. longs: 64-bit parts of a fingerprint. key_bytes: positional bytes that linked fingerprints share and that make a key.
+    """words: of a shingle. longs: 64-bit parts of a fingerprint. min_shared: positional bytes that linked fingerprints share at least.
     max_bits: that may differ. min_similarity: if above 0, the Jaccard similarity that the shingle sets of linked rows have at least."""
 
     words: int
     longs: int
-    key_bytes: int
+    min_shared: int
     max_bits: int
     min_similarity: float = 0.0
 
@@ -42,21 +39,24 @@ class Plan:
     def columns(self) -> list[str]:
         return [f"f{i}" for i in range(self.longs)]
 
-    @property
-    def choices(self) -> list[tuple[int, ...]]:
-        return list(itertools.combinations(range(8 * self.longs), self.key_bytes))
+
+def blocks() -> list[tuple[int, ...]]:
+    """Choices of four of eight positions such that any five positions contain one: both halves, and two of each half where the pairs are of like matchings."""
+    halves = [((0, 1), (2, 3)), ((0, 2), (1, 3)), ((0, 3), (1, 2))]
+    return [(0, 1, 2, 3), (4, 5, 6, 7)] + [(*p, *(4 + x for x in q)) for matching in halves for p in matching for q in matching]
 
 
+BLOCKS = blocks()
 #: Exact: three-word shingles, 64 bits of which three may differ.
-EXACT = Plan(words=3, longs=1, key_bytes=5, max_bits=3)
+EXACT = Plan(words=3, longs=1, min_shared=5, max_bits=3)
 #: Near copies of a similarity of 0.8 on five-word shingles: sets with that Jaccard similarity differ in 15 % of the bits (48 of 320, give or take 6; a set of four in one of
 #: five in 19 %), unrelated ones in half. By that model one such pair in 20,000 shares fewer than two of the 40 bytes (of four in five: one in 400).
-NEAR = Plan(words=5, longs=5, key_bytes=2, max_bits=90, min_similarity=0.8)
+NEAR = Plan(words=5, longs=5, min_shared=2, max_bits=90, min_similarity=0.8)
 #: In one round of the search a row of a posting is done with a second byte once it has so many partners; it is searched again in the next round, against what isn't yet linked to it.
 PARTNERS = 16
 SEED = 42
-#: Runs of up to so many rows are compared by shifts over the whole batch at once.
-SHORT_RUN = 48
+#: After so many comparisons of each row, and every time that number has doubled, postings that are one component already are done.
+FIRST_LOOK = 64
 #: Links are thinned to a spanning forest beyond so many.
 MANY_LINKS = 500_000
 
@@ -96,7 +96,7 @@ def simhash(hashes: list[int] | np.ndarray, longs: int = 1) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, f0 .. (longs, the fingerprint's bits), n (distinct shingles), shingles (hash of their set); a text without words or null has fingerprint zero.
+    """Per row: id, text_hash, f0 .. (longs, the fingerprint's bits), n (distinct shingles), shingles (hash of their set); a text without words or null has fingerprint zero.
 
     Where similarity of sets counts, bits are those of the distinct shingles, else repeats count."""
     cols = plan.columns
@@ -112,29 +112,21 @@ def fingerprints(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", te
             b["shingles"] = np.fromiter(map(set_hash, sets), np.int64, len(sets))
             yield b
 
-    rows = docs.select(id_col, text_of(text_col).alias("_text"))
-    return rows.mapInPandas(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, " + ", ".join(f"{c} long" for c in [*cols, "n", "shingles"]))
+    rows = docs.select(id_col, text_of(text_col).alias("_text")).withColumn("text_hash", F.xxhash64("_text"))
+    return rows.mapInPandas(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, text_hash long, " + ", ".join(f"{c} long" for c in [*cols, "n", "shingles"]))
 
 
-def _keys(plan: Plan) -> Column:
-    """One hash for each choice of byte positions. Hashes that meet by chance cost a comparison and can't make a link."""
-
-    def one(n: int, positions: tuple[int, ...]) -> Column:
-        parts = []
-        for i in range(plan.longs):
-            mask = sum(0xFF << 8 * (p % 8) for p in positions if p // 8 == i)
-            if mask:
-                parts.append(F.col(f"f{i}").bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask)))
-        return F.xxhash64(F.lit(n), *parts)
-
-    return F.array(*(one(n, p) for n, p in enumerate(plan.choices)))
+def _keys() -> Column:
+    """One hash for each block of positions. Hashes that meet by chance cost a comparison and can't make a link."""
+    masks = [sum(0xFF << 8 * p for p in block) for block in BLOCKS]
+    return F.array(*(F.xxhash64(F.lit(n), F.col("f0").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m))) for n, m in enumerate(masks)))
 
 
 class Links:
     """Pairs of fingerprints, kept as a spanning forest: what matters is who reaches whom."""
 
-    def __init__(self, longs: int):
-        self.longs, self.parts, self.n = longs, [], 0
+    def __init__(self):
+        self.parts, self.n = [], 0
 
     def add(self, a: np.ndarray, b: np.ndarray) -> None:
         if len(a):
@@ -142,24 +134,20 @@ class Links:
             self.n += len(a)
             if self.n > MANY_LINKS:
                 self.thin()
-                if self.n > MANY_LINKS // 2:
-                    self.parts, self.n = [tuple(np.concatenate(x) for x in zip(*self.parts))], self.n
 
     def thin(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each fingerprint of any link but the least of its component, with that."""
         if not self.parts:
-            return (np.zeros((0, self.longs), np.uint64),) * 2
+            return (np.zeros(0, np.uint64),) * 2
         a, b = (np.concatenate(x) for x in zip(*self.parts))
-        nodes, at = np.unique(np.concatenate([a, b]), axis=0, return_inverse=True) if self.longs > 1 else _unique(np.concatenate([a, b]))
-        at = at.reshape(-1)
+        nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
         u, v = at[: len(a)], at[len(a) :]
         label = np.arange(len(nodes))
         while True:
             low = np.minimum(label[u], label[v])
             new = label.copy()
-            np.minimum.at(new, u, low)
-            np.minimum.at(new, v, low)
-            np.minimum.at(new, label[u], low)
-            np.minimum.at(new, label[v], low)
+            for x in (u, v, label[u], label[v]):
+                np.minimum.at(new, x, low)
             new = new[new]
             if (new == label).all():
                 break
@@ -169,67 +157,46 @@ class Links:
         self.parts, self.n = [out], len(far)
         return out
 
-
-def _unique(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    nodes, at = np.unique(x[:, 0], return_inverse=True)
-    return nodes[:, None], at
+    def labels(self, f: np.ndarray) -> np.ndarray:
+        """The least fingerprint of each one's component, as far as it is known."""
+        a, b = self.thin()
+        at = np.minimum(np.searchsorted(a, f), max(0, len(a) - 1))
+        return np.where(a[at] == f, b[at], f) if len(a) else f
 
 
-def _linked(a: np.ndarray, b: np.ndarray, plan: Plan) -> np.ndarray:
-    """Of pairs of rows (.., columns): tally the shared positional bytes, count the bits that differ."""
-    x = a[..., : plan.longs] ^ b[..., : plan.longs]
-    raw = np.ascontiguousarray(x).view(np.uint8).reshape(*x.shape[:-1], 8 * plan.longs)
-    maybe = (raw == 0).sum(axis=-1) >= plan.key_bytes
-    maybe[maybe] = np.bitwise_count(x[maybe]).sum(axis=-1) <= plan.max_bits
+def _linked(x: np.ndarray, plan: Plan) -> np.ndarray:
+    """Of pairs, given where their bits differ: tally the shared positional bytes, then count the bits of those with the guaranteed number."""
+    maybe = (x.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1) >= plan.min_shared
+    maybe[maybe] = np.bitwise_count(x[maybe]) <= plan.max_bits
     return maybe
 
 
-def _search(f: np.ndarray, plan: Plan, links: Links) -> None:
-    """Links within one long posting."""
-    r = len(f)
-    vary = int(np.bitwise_or.reduce(f[:, 0] ^ f[0, 0])) if plan.longs == 1 else -1
-    bits = [i for i in range(64) if vary >> i & 1]
-    flips = [m for k in range(1, plan.max_bits + 1) for m in itertools.combinations(range(len(bits)), k)] if 0 <= vary and len(bits) <= 24 and plan.max_bits <= 3 else None
-    if flips is not None and len(flips) < r / 2:
-        code = np.zeros(r, np.int64)
-        for j, i in enumerate(bits):
-            code |= (f[:, 0] >> np.uint64(i) & np.uint64(1)).astype(np.int64) << j
-        at = np.full(1 << len(bits), -1, np.int32)
-        at[code] = np.arange(r)
-        for m in flips:
-            other = at[code ^ sum(1 << j for j in m)]
-            hit = np.flatnonzero(other > np.arange(r))
-            links.add(f[hit], f[other[hit]])
-        return
-    step = max(1, 2_000_000 // r)
-    for i in range(0, r, step):
-        hit, other = np.nonzero(_linked(f[i : i + step, None, :], f[None, i:, :], plan))
-        more = other > hit
-        links.add(f[i + hit[more]], f[i + other[more]])
+def _search(key: np.ndarray, f: np.ndarray, plan: Plan, links: Links) -> None:
+    """Links within postings, which are runs of equal keys: each row is held against the next, the second next .. to the end of its posting."""
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    lengths = np.diff(np.r_[starts, len(key)])
+    posting = np.repeat(np.arange(len(starts)), lengths)
+    left = np.repeat(starts + lengths, lengths) - np.arange(len(key)) - 1
+    at, shift, look = np.flatnonzero(left > 0), 1, FIRST_LOOK
+    while len(at):
+        for i in range(0, len(at), 1_000_000):
+            some = at[i : i + 1_000_000]
+            hit = some[_linked(f[some] ^ f[some + shift], plan)]
+            links.add(f[hit], f[hit + shift])
+        shift += 1
+        at = at[left[at] >= shift]
+        if shift == look and len(at):
+            look *= 2
+            label = links.labels(f)
+            apart = np.maximum.reduceat(label, starts) != np.minimum.reduceat(label, starts)
+            at = at[apart[posting[at]]]
 
 
 def _postings(batches: Iterator[pd.DataFrame], plan: Plan) -> Iterator[pd.DataFrame]:
     """Rows come sorted by key, so a posting is a run; a run that a batch leaves open is carried on."""
-    cols = plan.columns
-    links = Links(len(cols))
-
-    def search(key: np.ndarray, f: np.ndarray) -> None:
-        starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-        lengths = np.diff(np.r_[starts, len(key)])
-        for s, n in zip(starts[lengths > SHORT_RUN], lengths[lengths > SHORT_RUN]):
-            _search(f[s : s + n], plan, links)
-        left = np.repeat(np.where(lengths <= SHORT_RUN, lengths, 0), lengths) - (np.arange(len(key)) - np.repeat(starts, lengths)) - 1
-        at = np.flatnonzero(left > 0)
-        for shift in range(1, SHORT_RUN):
-            at = at[left[at] >= shift]
-            if not len(at):
-                break
-            hit = at[_linked(f[at], f[at + shift], plan)]
-            links.add(f[hit], f[hit + shift])
-
-    rest_key, rest = [], []
+    links, rest_key, rest = Links(), [], []
     for b in batches:
-        key, f = b["key"].to_numpy(), b[cols].to_numpy(np.int64).view(np.uint64).reshape(-1, len(cols))
+        key, f = b["key"].to_numpy(), b["f0"].to_numpy(np.int64).view(np.uint64)
         if not len(key):
             continue
         cut_at = int(np.searchsorted(key, key[-1]))
@@ -237,12 +204,13 @@ def _postings(batches: Iterator[pd.DataFrame], plan: Plan) -> Iterator[pd.DataFr
             rest_key.append(key)
             rest.append(f)
             continue
-        search(np.concatenate([*rest_key, key[:cut_at]]), np.concatenate([*rest, f[:cut_at]])) if rest_key or cut_at else None
+        if rest_key or cut_at:
+            _search(np.concatenate([*rest_key, key[:cut_at]]), np.concatenate([*rest, f[:cut_at]]), plan, links)
         rest_key, rest = [key[cut_at:]], [f[cut_at:]]
     if rest_key:
-        search(np.concatenate(rest_key), np.concatenate(rest))
+        _search(np.concatenate(rest_key), np.concatenate(rest), plan, links)
     a, b = links.thin()
-    yield pd.DataFrame({f"{side}_{c}": x[:, i].view(np.int64) for side, x in (("a", a), ("b", b)) for i, c in enumerate(cols)})
+    yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
 
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -316,36 +284,40 @@ def _partners(batches: Iterator[pd.DataFrame], plan: Plan, most: int, first: boo
                 yield pd.DataFrame({"a": name[again], "b": pd.array([None] * len(again), "Int64")})
 
 
+def _same_row(id_col: str) -> list[Column]:
+    """A row of the left side is that with the id and text of the right side's `rep`; null ids are equal."""
+    return [F.col(id_col).eqNullSafe(F.col("rep.id")), F.col("text_hash") == F.col("rep.text_hash")]
+
+
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
-    """Of pairs of classes those whose shingle sets are similar enough: rep_a, rep_b. Only texts of rows in a pair are split into shingles again."""
+    """Of pairs (a, b) of classes those whose shingle sets are similar enough. Only one text of each class in a pair is split into shingles again."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             sets = [shingle_set(shingle_hashes(t, plan.words)) for t in b["_text"]]
             yield pd.DataFrame({"shingles": np.fromiter(map(set_hash, sets), np.int64, len(sets)), "members": sets})
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("shingles")).distinct().join(classes, "shingles").select(F.col("rep").alias(id_col)).distinct()
-    texts = docs.select(id_col, text_of(text_col).alias("_text")).join(wanted, id_col, "left_semi").select("_text")
-    sets = stored(texts.mapInPandas(run, "shingles long, members array<long>").dropDuplicates(["shingles"]).join(classes.select("shingles", "rep"), "shingles"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("shingles")).distinct().join(classes, "shingles").select("rep")
+    texts = docs.select(id_col, text_of(text_col).alias("_text")).withColumn("text_hash", F.xxhash64("_text")).join(wanted, _same_row(id_col), "left_semi").select("_text")
+    sets = stored(texts.mapInPandas(run, "shingles long, members array<long>").dropDuplicates(["shingles"]))
     both = pairs
     for s in "ab":
-        both = both.join(sets.select(F.col("shingles").alias(s), F.col("rep").alias(f"rep_{s}"), F.col("members").alias(f"members_{s}")), s)
+        both = both.join(sets.select(F.col("shingles").alias(s), F.col("members").alias(f"members_{s}")), s)
     shared, total = F.size(F.array_intersect("members_a", "members_b")), F.size("members_a") + F.size("members_b")
-    return both.filter(shared >= F.lit(plan.min_similarity) * (total - shared) - 1e-9).select("rep_a", "rep_b")
-
+    return both.filter(shared >= F.lit(plan.min_similarity) * (total - shared) - 1e-9).select("a", "b")
 
-def similar_groups(docs: DataFrame, plan: Plan = NEAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, f0 .., component_id (the smallest id reachable over pairs of a similarity of at least plan.min_similarity, its own included).
 
-    Rows of one shingle set are one class. Fingerprints propose pairs of classes, each is verified. Ids that are null or repeat are treated as in groups().
+def _similar(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Stored rows of fingerprints(), and of each class of equal shingle sets: shingles, rep (its first row) and component (a hash that all classes reachable from it have in common).
 
     Where many classes are alike, pairs would grow with the square of their number. So a round stops after PARTNERS of them for a row and second byte, and the next one goes over what
     was left, without pairs that the links so far already join, and with four times as many; the last round leaves nothing.
     """
     cols = plan.columns
     prints = stored(fingerprints(docs, plan, id_col, text_col))
-    classes = stored(prints.groupBy("shingles").agg(F.min(id_col).alias("rep"), F.min("n").alias("n"), F.min(F.struct(*cols)).alias("f")).select("shingles", "rep", "n", "f.*"))
-    todo, most, links = classes.filter("rep IS NOT NULL AND n > 0").withColumn("component", F.col("rep")), PARTNERS, None
+    row = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "text_hash")
+    classes = stored(prints.groupBy("shingles").agg(F.min(row).alias("rep"), F.min("n").alias("n"), F.min(F.struct(*cols)).alias("f")).select("shingles", "rep", "n", "f.*"))
+    todo, most, links = classes.filter("n > 0").withColumn("component", F.col("shingles")), PARTNERS, None
     while True:
         keys = F.array(*(F.lit(256 * p) + F.shiftrightunsigned(f"f{p // 8}", 8 * (p % 8)).bitwiseAND(F.lit(255)).cast("int") for p in range(8 * plan.longs)))
         index = todo.select(F.explode(keys).alias("key"), "shingles", "n", "component", *cols).repartition("key").sortWithinPartitions("key")
@@ -353,34 +325,53 @@ def similar_groups(docs: DataFrame, plan: Plan = NEAR, id_col: str = "doc_id", t
         more = _verified(docs, classes, found.filter("b IS NOT NULL"), plan, id_col, text_col)
         links = stored(more if links is None else links.unionByName(more))
         again = found.filter("b IS NULL").select(F.col("a").alias("shingles")).distinct()
-        labels = connected(links, "rep_a", "rep_b")
+        labels = connected(links)
         if again.isEmpty():
             break
-        todo = classes.join(again, "shingles").join(labels, F.col("rep") == F.col("node"), "left").withColumn("component", F.coalesce("component", "rep")).drop("node")
+        todo = classes.join(again, "shingles").join(labels, F.col("shingles") == F.col("node"), "left").withColumn("component", F.coalesce("component", "shingles")).drop("node")
         most *= 4
-    named = classes.join(labels, F.col("rep") == F.col("node"), "left").select("shingles", F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(named, "shingles").select(id_col, *cols, "component_id")
+    return prints, classes.join(labels, F.col("shingles") == F.col("node"), "left").select("shingles", "rep", F.coalesce("component", "shingles").alias("component"))
+
+
+def deduplicate(docs: DataFrame, plan: Plan = NEAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each group of near copies, with all its columns: that of the smallest id, of equal ids that of the smallest text hash; null ids come last.
+
+    A row is told by its id and text, so one that shares only its id with a copy stays. Rows that repeat id and text are copies too: one of them stays. All texts without
+    words, null ones among them, are one group. Columns named as the operator's own don't clash with them.
+    """
+    prints, classes = _similar(docs, plan, id_col, text_col)
+    keepers = classes.groupBy("component").agg(F.min("rep").alias("rep")).select("rep")
+    repeated = prints.groupBy(id_col, "text_hash").agg(F.count("*").alias("times")).filter("times > 1")
+    keepers = keepers.join(repeated, _same_row(id_col), "left").select("rep", F.coalesce("times", F.lit(1)).alias("times"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), id_col, F.xxhash64(text_of(text_col)).alias("text_hash"))
+    kept = rows.join(keepers.hint("shuffle_hash"), _same_row(id_col))
+    once = kept.filter("times = 1").select("row")
+    more = kept.filter("times > 1").groupBy("rep").agg(F.first("row").alias("row")).select("row")
+    return once.unionByName(more).select("row.*")
 
 
 def groups(docs: DataFrame, plan: Plan = EXACT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, f0 .., component_id (the smallest id reachable over links between fingerprints, its own included); with a least similarity see similar_groups().
+    """Per row: id, f0 .., component_id (the smallest id reachable over links between fingerprints, its own included).
+
+    With a least similarity, links are those between shingle sets of at least that similarity.
 
-    Rows of equal fingerprints are one class, so copies are compared once; a null or wordless text has fingerprint zero and is linked like any other. A null id is no
-    representative but gets its class's component; it is null if the class has no other. Extra columns are not read.
+    Rows of equal fingerprints (or sets) are one class, so copies are compared once; a null or wordless text has fingerprint zero and is linked like any other (a wordless set
+    only to its like). Rows are told apart by what they hold, so rows that repeat an id with different texts aren't linked by it. A null id is no component_id; that is null if no
+    row reachable has an id. Extra columns are not read.
 
     Texts are read once and their fingerprints stored. The index is dealt by key and sorted within partitions; every task returns a spanning forest of
     what it found. A class that a third of all rows share is one row there, and a skewed key that adaptive execution splits in the join back.
     """
-    if plan.min_similarity:
-        return similar_groups(docs, plan, id_col, text_col)
     cols = plan.columns
+    if plan.min_similarity:
+        prints, found = _similar(docs, plan, id_col, text_col)
+        least = found.groupBy("component").agg(F.min("rep.id").alias("component_id"))
+        return prints.join(found.join(least, "component").select("shingles", "component_id"), "shingles").select(id_col, *cols, "component_id")
     prints = stored(fingerprints(docs, plan, id_col, text_col))
-    classes = prints.groupBy(*cols).agg(F.min(id_col).alias("rep"))
-    index = classes.filter("rep IS NOT NULL").select(F.explode(_keys(plan)).alias("key"), *cols).repartition("key").sortWithinPartitions("key")
-    pairs = index.mapInPandas(lambda it: _postings(it, plan), ", ".join(f"{s}_{c} long" for s in "ab" for c in cols)).distinct()
-    named = pairs
-    for s in "ab":
-        named = named.join(classes.select(F.col("rep").alias(f"rep_{s}"), *(F.col(c).alias(f"{s}_{c}") for c in cols)), [f"{s}_{c}" for c in cols])
-    found = connected(named.select("rep_a", "rep_b"), "rep_a", "rep_b")
-    labels = classes.join(found, F.col("rep") == F.col("node"), "left").select(*cols, F.coalesce("component", "rep").alias("component_id"))
-    return prints.join(labels, cols).select(id_col, *cols, "component_id")
+    classes = prints.groupBy("f0").agg(F.min(id_col).alias("rep"))
+    index = classes.select(F.explode(_keys()).alias("key"), "f0").repartition("key").sortWithinPartitions("key")
+    links = index.mapInPandas(lambda it: _postings(it, plan), "a long, b long").distinct()
+    found = connected(links)
+    named = classes.join(found, F.col("f0") == F.col("node"), "left").select("f0", "rep", F.coalesce("component", "f0").alias("component"))
+    least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
+    return prints.join(named.join(least, "component").select("f0", "component_id"), "f0").select(id_col, "f0", "component_id")

@@ -21,8 +21,8 @@ def test_stages(spark, docs):
     def alike(i, j):
         return len(shingles[i] & shingles[j]) / max(1, len(shingles[i] | shingles[j])) if shingles[i] or shingles[j] else 1
 
-    assert not [(i, j) for i in stay for j in stay if i < j and alike(i, j) >= 0.85]
-    assert all(any(alike(i, j) > 0.4 for j in texts if j != i) for i in texts if i not in stay)
+    assert not [(i, j) for i in stay for j in stay if i < j and alike(i, j) >= 0.8]
+    assert all(any(alike(i, j) >= 0.8 for j in texts if j != i) for i in texts if i not in stay)
     assert len({texts[i] for i in texts}) - len({texts[i] for i in stay}) < 0.2 * len(texts)
     pieces = corpus_pipeline.packed(spark, last, "").collect()
     assert {r.doc_id for r in pieces} == stay

@@ -1,9 +1,12 @@
 """SimHash groups against all pairs."""
 
+import itertools
 import re
 
 import numpy as np
+import pandas as pd
 import xxhash
+from pyspark.sql import functions as F
 
 from palimpsest.llm import simhash
 from palimpsest.llm.components import connected
@@ -42,25 +45,48 @@ def test_groups(docs, edge, empty):
     assert simhash.groups(empty).collect() == []
 
 
-def _rows(spark, prints):
-    return spark.createDataFrame([(i, int(np.uint64(f).astype(np.int64))) for i, f in prints], "doc_id long, f0 long")
+def test_blocks_cover_five_shared_bytes():
+    assert len(simhash.BLOCKS) == 14
+    assert all(any(set(b) <= set(five) for b in simhash.BLOCKS) for five in itertools.combinations(range(8), 5))
 
 
-def test_dense_postings_both_ways(monkeypatch):
-    """A long posting searched by flips and by blocks gives the same reachability as all pairs."""
+def test_postings_against_all_pairs(monkeypatch):
+    """Dense, sparse and mixed postings, over several batches and with early looks at components, reach what all pairs reach."""
     rng = np.random.default_rng(3)
-    low = rng.choice(1 << 24, 3000, replace=False).astype(np.uint64)
-    f = np.unique((np.uint64(0xABCDEF0123) << np.uint64(24)) | (low & np.uint64(0xFFF)))[:, None]
-    found = []
-    for most in (10**9, 0):
-        links = simhash.Links(1)
-        if most == 0:
-            real = simhash.itertools.combinations
-            monkeypatch.setattr(simhash.itertools, "combinations", lambda *a: list(real(*a)) * 9999 if a[1] == 1 else real(*a))
-        simhash._search(f, simhash.EXACT, links)
-        a, b = links.thin()
-        found.append(sorted(zip(a[:, 0].tolist(), b[:, 0].tolist())))
-    assert found[0] == found[1]
+    for trial in range(6):
+        monkeypatch.setattr(simhash, "FIRST_LOOK", 2 + 3 * trial)
+        low = rng.integers(0, 1 << (8 + 3 * trial), 500).astype(np.uint64)
+        f = np.unique(low << np.uint64(8 * (trial % 5)) ^ np.uint64(0xABCDEF0123))
+        rows = sorted((hash((n, int(x) & sum(0xFF << 8 * p for p in block))), int(x)) for n, block in enumerate(simhash.BLOCKS) for x in f)
+        frame = pd.DataFrame({"key": [k for k, _ in rows], "f0": np.array([x for _, x in rows], np.uint64).view(np.int64)})
+        out = pd.concat(simhash._postings(iter([frame[i : i + 333] for i in range(0, len(frame), 333)]), simhash.EXACT))
+        got = brute_groups_of_links(f.tolist(), list(zip(out["a"].to_numpy(np.int64).view(np.uint64).tolist(), out["b"].to_numpy(np.int64).view(np.uint64).tolist())))
+        assert got == brute_groups([(x, x) for x in f.tolist()])
+
+
+def brute_groups_of_links(nodes, links):
+    label = {x: x for x in nodes}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            m = min(label[a], label[b])
+            if label[a] != m or label[b] != m:
+                label[a] = label[b] = m
+                changed = True
+    return label
+
+
+def test_rows_are_told_by_id_and_text(spark):
+    """A copy goes, another text of the same id stays; rows that repeat id and text leave one; clashing columns stay as they are."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a, 0), (2, a, 1), (2, b, 2), (None, b, 3), (None, c, 4), (None, c, 5), (3, None, 6), (4, " ", 7), (2, b, 8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, rep int").withColumn("times", F.lit("x"))
+    got = simhash.deduplicate(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted([(1, a), (2, b), (None, c), (3, None)], key=repr)
+    near = {(r.doc_id, r.component_id) for r in simhash.groups(df, simhash.NEAR).collect()}
+    assert near == {(1, 1), (2, 1), (2, 2), (None, 2), (None, None), (3, 3), (4, 3)}
 
 
 def test_near_plan_finds_near_copies(spark):
