@@ -26,10 +26,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that of the smallest id. Rows without an id stay."""
-    docs = docs.select(*COLUMNS)
-    gone = simhash.groups(docs, simhash.NEAR).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*COLUMNS)
+    """One document of each group of near copies, that of the smallest id. Rows are told apart by id and text: one that repeats a copy's id with another text stays."""
+    return simhash.deduplicate(docs.select(*COLUMNS), simhash.NEAR)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
