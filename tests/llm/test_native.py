@@ -40,6 +40,13 @@ def test_line_dedup_hot_line(spark):
     assert lines_of(spark.createDataFrame(rows, "doc_id long, text string")) == brute_lines(rows)
 
 
+def test_line_dedup_many_lines(spark):
+    """A document of 100,000 repeated lines is done in time linear in its lines."""
+    long = "\n".join(f"A line of some length that several documents repeat {k}" for k in range(100_000))
+    rows = [(i, long) for i in range(6)]
+    assert lines_of(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)) == brute_lines(rows)
+
+
 def brute_edits(rows):
     rows = sorted(rows, key=lambda r: r[0])
     out = []

@@ -87,29 +87,58 @@ def test_automaton_follows_the_longest_retained_suffix(spark, monkeypatch):
 
 
 def brute_top(rows, k):
-    ok = [(i, np.floor(64 * np.array(v, float))) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    ok = [(i, [math.floor(64 * x) if abs(64 * x) < 2**52 else int(64 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    queries = {}
+    for i, v in ok:
+        queries[i] = min(v, queries.get(i, v))
     out = []
-    for q, a in {i: v for i, v in ok}.items():
+    for q, a in queries.items():
         if q % 20 == 0:
-            s = sorted((-int(a @ b), c) for c, b in ok if c != q and len(a) == len(b))[:k]
+            score = {n: max(-(2**63), min(2**63 - 1, sum(x * y for x, y in zip(a, b)))) for n, (c, b) in enumerate(ok) if c != q and len(a) == len(b)}
+            s = sorted((-x, ok[n][0]) for n, x in score.items())[:k]
             out += [(q, n + 1, c, -x) for n, (x, c) in enumerate(s)]
     return sorted(out)
 
 
-def test_top_k(spark, monkeypatch):
+def small_shards(monkeypatch):
     monkeypatch.setattr(topk, "SHARD_ROWS", 100)
-    monkeypatch.setattr(topk, "BLOCK_QUERIES", 7)
+    monkeypatch.setattr(topk, "SAMPLE_ROWS", 200)
     monkeypatch.setattr(topk, "LEAF", 8)
+
+
+def test_top_k(spark, monkeypatch):
+    small_shards(monkeypatch)
     rng = np.random.default_rng(2)
-    rows = [(i, rng.normal(size=6).round(1).tolist()) for i in range(400)] + [(i, [0.5] * 6) for i in range(400, 460)]
-    rows += [(460, None), (461, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (462, [float("nan")] * 6), (463, [float("inf")] * 6), (480, [1.0, 2.0]), (481, [3.0, 4.0]), (None, [1.0] * 6)]
-    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<float>, id string, shard int")
+    rows = [(i, rng.normal(size=6).round(1).tolist()) for i in range(400)] + [(i, [0.5] * 6) for i in range(400, 560)]
+    rows += [(560, None), (561, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (562, [float("nan")] * 6), (563, [float("inf")] * 6), (580, [1.0, 2.0]), (581, [3.0, 4.0]), (None, [1.0] * 6), (600, []), (601, [])]
+    rows += [(20, [9.0] * 6), (20, [-9.0] * 6), (7, [0.1] * 6)]
+    df = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], "vec_id long, embedding array<float>, id string, cell int")
     rows = [(r.vec_id, r.embedding) for r in df.collect()]
     got = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 20 == 0).collect())
     assert got == brute_top(rows, 20)
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_top_k_of_large_components(spark, monkeypatch):
+    """Components beyond exact doubles are scored in whole numbers, and scores beyond a long stand at its ends."""
+    small_shards(monkeypatch)
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=4) * 10.0 ** rng.integers(-1, 12)).tolist()) for i in range(150)] + [(160, [1e30, 0.0, 0.0, 1.0]), (161, [-1e30, 1.0, 1.0, 1.0]), (162, [3e8] * 4)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 20 == 0, k=7).collect())
+    assert got == brute_top(rows, 7)
+
+
+def test_top_k_prunes_clusters(spark, monkeypatch):
+    """On clustered vectors cells are left out and trees score a small part of all pairs."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(16, 12)) * 10
+    points = np.floor(64 * (centres[rng.integers(0, 16, 4000)] + rng.normal(size=(4000, 12)) * 0.3))
+    tree = topk.BallTree(np.arange(4000), points)
+    tree.search(np.arange(200), points[:200], np.full(200, -np.inf), 20)
+    assert tree.scored < 0.2 * 200 * 4000
+
+
 def ways(lattice, word):
     edges = lattice.edges(word)
 
