@@ -27,12 +27,13 @@ from palimpsest.llm.components import connected
 @dataclass(frozen=True)
 class Plan:
     """words: of a shingle. longs: 64-bit parts of a fingerprint. min_shared: positional bytes that linked fingerprints share at least.
-    max_bits: that may differ. min_similarity: if above 0, the Jaccard similarity that the shingle sets of linked rows have at least."""
+    max_bits: that may differ, max_bits_small where a set has fewer than SMALL_SET shingles. min_similarity: if above 0, the Jaccard similarity that the shingle sets of linked rows have at least."""
 
     words: int
     longs: int
     min_shared: int
     max_bits: int
+    max_bits_small: int = 0
     min_similarity: float = 0.0
 
     @property
@@ -50,10 +51,11 @@ BLOCKS = blocks()
 #: Exact: three-word shingles, 64 bits of which three may differ.
 EXACT = Plan(words=3, longs=1, min_shared=5, max_bits=3)
 #: Near copies of a similarity of 0.8 on five-word shingles: sets with that Jaccard similarity differ in 15 % of the bits (48 of 320, give or take 6; a set of four in one of
-#: five in 19 %), unrelated ones in half. By that model one such pair in 20,000 shares fewer than two of the 40 bytes (of four in five: one in 400).
-NEAR = Plan(words=5, longs=5, min_shared=2, max_bits=90, min_similarity=0.8)
-#: In one round of the search a row of a posting is done with a second byte once it has so many partners; it is searched again in the next round, against what isn't yet linked to it.
-PARTNERS = 16
+#: five in 19 %), unrelated ones in half. By that model one such pair in 20,000 shares fewer than two of the 40 bytes (of four in five: one in 400), and one in 50,000 differs in more than 76 bits.
+NEAR = Plan(words=5, longs=5, min_shared=2, max_bits=76, max_bits_small=92, min_similarity=0.8)
+SMALL_SET = 40
+#: In the first round of the search a row is held against so many rows under each pair of bytes, and its best partner of each posting is proposed; in each later round so many times as many.
+LOOKS, MORE = 16, 16
 SEED = 42
 #: After so many comparisons of each row, and every time that number has doubled, postings that are one component already are done.
 FIRST_LOOK = 64
@@ -235,53 +237,71 @@ def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _partners(batches: Iterator[pd.DataFrame], plan: Plan, most: int, first: bool) -> Iterator[pd.DataFrame]:
     """Pairs (a, b) of class hashes that share the posting's byte and a second one as the first two of all they share, so that each pair comes once.
 
-    Rows of one component aren't paired. A row with `most` partners under a second byte is searched no further there: it and the rows left come as (a, null).
+    Of each posting a pair is proposed that is among the `most` with the fewest differing bits of either row. In the first round rows are held against the next LOOKS under each second byte,
+    in the order of the bytes behind it; later ones against all of other components there. A row with a pair left out or not looked at comes as (a, null).
     """
+    width = 8 * plan.longs
     for posting in _runs(batches):
         at_byte = int(posting["key"].iat[0]) >> 8
-        order = np.argsort(posting["n" if first else "component"].to_numpy(), kind="stable")
-        n, comp, name = (posting[c].to_numpy(np.int64)[order] for c in ("n", "component", "shingles"))
-        f = np.ascontiguousarray(posting[plan.columns].to_numpy(np.int64)[order]).view(np.uint64)
+        n, comp, name = (posting[c].to_numpy(np.int64) for c in ("n", "component", "shingles"))
+        f = np.ascontiguousarray(posting[plan.columns].to_numpy(np.int64)).view(np.uint64)
         raw, m = f.view(np.uint8).T, len(f)
-        if m < 2 or (not first and comp[0] == comp[-1]):
+        if m < 2 or (not first and comp.min() == comp.max()):
             continue
-        code = n if first else np.unique(comp, return_inverse=True)[1].reshape(-1)
+        code = np.unique(comp, return_inverse=True)[1].reshape(-1)
+        open_rows, held = np.zeros(m, bool), [np.zeros((3, 0), np.int64)]
+
+        def best() -> np.ndarray:
+            """Of the pairs held the best of each row; rows of the others stay open."""
+            i, j, bits = pairs = np.concatenate(held, axis=1)
+            keep = np.zeros(len(i), bool)
+            for side in (i, j):
+                order = np.lexsort((bits, side))
+                starts = np.flatnonzero(np.r_[True, side[order][1:] != side[order][:-1]]) if len(order) else order
+                rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
+                keep[order[rank < most]] = True
+            open_rows[i[~keep]] = open_rows[j[~keep]] = True
+            return pairs[:, keep]
+
         step = max(1, 1_000_000 // m)
-        for q in range(at_byte + 1, 8 * plan.longs, step):
-            second = raw[q : q + step]
-            row = np.argsort(second, axis=1, kind="stable")
-            byte = np.take_along_axis(second, row, axis=1).astype(np.int64) + 256 * np.arange(len(second))[:, None]
-            row, byte = row.reshape(-1), byte.reshape(-1)
-            place = byte << 40 | code[row]
-            end = np.searchsorted(byte, byte, "right")
-            if first:  # up to the greatest number of shingles that allows the similarity
-                start, stop = np.arange(len(row)) + 1, np.searchsorted(place, byte << 40 | (n[row] / plan.min_similarity + 1e-9).astype(np.int64), "right")
+        for q in range(at_byte + 1, width, step):
+            second = np.arange(q, min(q + step, width))
+            behind = [raw[(second + k) % width].astype(np.int64) for k in range(3)]
+            place = behind[0] << 40 | ((behind[1] << 8 | behind[2]) if first else code[None, :])
+            row = np.argsort(place, axis=1, kind="stable")
+            place = (np.take_along_axis(place, row, axis=1) + (np.arange(len(second))[:, None] << 48)).reshape(-1)
+            row, at_second = row.reshape(-1), np.repeat(second, m)
+            end = np.searchsorted(place >> 40, place >> 40, "right")
+            if first:
+                start, stop = np.arange(len(row)) + 1, np.minimum(end, np.arange(len(row)) + 1 + LOOKS)
+                far = end > stop
+                open_rows[row[far]] = True
+                beyond = np.flatnonzero(far) + 1 + LOOKS
+                open_rows[row[beyond]] = True
             else:  # from the next component to the end of the run
                 start, stop = np.searchsorted(place, place, "right"), end
-            hits, left = np.zeros(len(row), np.int64), np.zeros(len(row) + 1, np.int64)
             at, shift = np.flatnonzero(start < stop), 0
             while len(at):
-                i, j = row[at], row[start[at] + shift]
-                x = f[i] ^ f[j]
-                ok = (np.bitwise_count(x).sum(axis=1, dtype=np.int64) <= plan.max_bits) & (np.minimum(n[i], n[j]) >= plan.min_similarity * np.maximum(n[i], n[j]) - 1e-9)
-                if ok.any():
-                    hits[at[ok]] += 1
-                    same = np.ascontiguousarray(x[ok]).view(np.uint8) == 0
-                    same &= np.arange(8 * plan.longs) < (q + (byte[at[ok]] >> 8))[:, None]
-                    new = same.sum(axis=1) == 1
-                    if new.any():
-                        yield pd.DataFrame({"a": name[i[ok][new]], "b": pd.array(name[j[ok][new]], "Int64")})
+                for c in range(0, len(at), 500_000):
+                    some = at[c : c + 500_000]
+                    i, j = row[some], row[start[some] + shift]
+                    x = f[i] ^ f[j]
+                    bits, less = np.bitwise_count(x).sum(axis=1, dtype=np.int64), np.minimum(n[i], n[j])
+                    ok = (bits <= np.where(less < SMALL_SET, plan.max_bits_small, plan.max_bits)) & (less >= plan.min_similarity * np.maximum(n[i], n[j]) - 1e-9)
+                    if ok.any():  # tally the positional bytes shared up to the second one
+                        same = np.ascontiguousarray(x[ok]).view(np.uint8) == 0
+                        new = (same & (np.arange(width) < at_second[some][ok][:, None])).sum(axis=1) == plan.min_shared - 1
+                        held.append(np.stack([i[ok][new], j[ok][new], bits[ok][new]]))
+                        if sum(h.shape[1] for h in held) > 2_000_000:
+                            held[:] = [best()]
                 shift += 1
-                more = start[at] + shift < stop[at]
-                full = at[more & (hits[at] >= most)]
-                left[full] += 1
-                left[full + 1] -= 1
-                np.add.at(left, start[full] + shift, 1)
-                np.add.at(left, stop[full], -1)
-                at = at[more & (hits[at] < most)]
-            again = np.unique(row[np.cumsum(left[:-1]) > 0])
-            if len(again):
-                yield pd.DataFrame({"a": name[again], "b": pd.array([None] * len(again), "Int64")})
+                at = at[start[at] + shift < stop[at]]
+        i, j, _ = best()
+        if len(i):
+            yield pd.DataFrame({"a": np.minimum(name[i], name[j]), "b": pd.array(np.maximum(name[i], name[j]), "Int64")})
+        again = np.flatnonzero(open_rows)
+        if len(again):
+            yield pd.DataFrame({"a": name[again], "b": pd.array([None] * len(again), "Int64")})
 
 
 def _same_row(id_col: str) -> list[Column]:
@@ -310,26 +330,30 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, plan: Plan,
 def _similar(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """Stored rows of fingerprints(), and of each class of equal shingle sets: shingles, rep (its first row) and component (a hash that all classes reachable from it have in common).
 
-    Where many classes are alike, pairs would grow with the square of their number. So a round stops after PARTNERS of them for a row and second byte, and the next one goes over what
-    was left, without pairs that the links so far already join, and with four times as many; the last round leaves nothing.
+    Where many classes are alike, pairs would grow with the square of their number. So in a round only the pairs of the fewest differing bits are proposed, and the next one goes over the rows
+    with pairs left, without those whose classes the links so far already join, and with MORE times as many; the last round leaves nothing. No pair is verified twice.
     """
     cols = plan.columns
     prints = stored(fingerprints(docs, plan, id_col, text_col))
     row = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "text_hash")
     classes = stored(prints.groupBy("shingles").agg(F.min(row).alias("rep"), F.min("n").alias("n"), F.min(F.struct(*cols)).alias("f")).select("shingles", "rep", "n", "f.*"))
-    todo, most, links = classes.filter("n > 0").withColumn("component", F.col("shingles")), PARTNERS, None
+    todo, most, links, tested = classes.filter("n > 0").withColumn("component", F.col("shingles")), 1, None, None
     while True:
         keys = F.array(*(F.lit(256 * p) + F.shiftrightunsigned(f"f{p // 8}", 8 * (p % 8)).bitwiseAND(F.lit(255)).cast("int") for p in range(8 * plan.longs)))
         index = todo.select(F.explode(keys).alias("key"), "shingles", "n", "component", *cols).repartition("key").sortWithinPartitions("key")
         found = stored(index.mapInPandas(lambda it, most=most, first=links is None: _partners(it, plan, most, first), "a long, b long"))
-        more = _verified(docs, classes, found.filter("b IS NOT NULL"), plan, id_col, text_col)
+        pairs = found.filter("b IS NOT NULL")
+        if tested is not None:
+            pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"))
+        more = _verified(docs, classes, pairs, plan, id_col, text_col)
         links = stored(more if links is None else links.unionByName(more))
+        tested = pairs if tested is None else tested.unionByName(pairs)
         again = found.filter("b IS NULL").select(F.col("a").alias("shingles")).distinct()
         labels = connected(links)
         if again.isEmpty():
             break
         todo = classes.join(again, "shingles").join(labels, F.col("shingles") == F.col("node"), "left").withColumn("component", F.coalesce("component", "shingles")).drop("node")
-        most *= 4
+        most *= MORE
     return prints, classes.join(labels, F.col("shingles") == F.col("node"), "left").select("shingles", "rep", F.coalesce("component", "shingles").alias("component"))
 
 

@@ -144,8 +144,9 @@ def test_near_plan_at_the_similarity(spark):
 
 
 def test_many_alike_rows_in_rounds(spark, monkeypatch):
-    """With one partner a round, later rounds find what the first left out."""
-    monkeypatch.setattr(simhash, "PARTNERS", 1)
+    """With few looks and partners a round, later rounds find what the first left out."""
+    monkeypatch.setattr(simhash, "LOOKS", 2)
+    monkeypatch.setattr(simhash, "MORE", 2)
     words = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join([*words[:150], *(f"x{i}y{k}" for k in range(9))])) for i in range(60)] + [(100 + i, " ".join([*words[:150], *(f"x{i}y{k}" for k in range(40))])) for i in range(60)]
     got = {r.doc_id: r.component_id for r in simhash.groups(spark.createDataFrame(rows, "doc_id long, text string"), simhash.NEAR).collect()}
