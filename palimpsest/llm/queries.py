@@ -34,7 +34,7 @@ def op5_simhash_neardup(spark, sf_dir):
 
 
 def op6_gumbel_segmentations(spark, sf_dir):
-    return sampling.sample_segmentations(read(spark, sf_dir, "conversations"), public_tokenizers.path("piece_bpe_32k.model"), ["conv_id", "turn"])
+    return sampling.sample_segmentations(read(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), ["doc_id"])
 
 
 def op7_token_counts(spark, sf_dir):

@@ -2,159 +2,368 @@
 
 The vocabulary is a SentencePiece model's pieces. A piece's weight is 1 / (rank + RANK_OFFSET), after Zipf, from its rank in the model; a byte no piece covers
 falls back to its byte piece. A segmentation's probability is the product of its weights over the sum of that for all segmentations of the text.
+
+No piece goes over a space, so a text's lattice is a chain of its words' lattices, and a segmentation is a chain of decisions, one for each piece. The search holds sets of
+segmentations that agree up to a decision and differ there from those already emitted. A set's best perturbed log probability is a Gumbel value about the logarithm of the set's mass,
+cut off at that of the set which it was split from. So the search of many texts goes on together, in array operations: each round takes every text's best set, completes a
+segmentation of it by free draws, and splits what is left of the set.
 """
 
 from __future__ import annotations
 
-import heapq
 import math
-import random
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLES, RANK_OFFSET, SPACE = 3, 10.0, "▁"
-#: Lattices of words are remembered, up to so many and for words up to so long.
-CACHE_WORDS, CACHE_CHARS = 50_000, 32
+#: Code points of texts that are searched together; a longer text is searched alone.
+TOGETHER = 1_000_000
+#: Runs of spaces with the word behind them.
+WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+#: Log probabilities and positions within distributions are multiples of this, so that sums are exact and results don't depend on which texts are searched together.
+GRAIN = 2.0**-26
+#: What a draw is for.
+ROOT, WALK, SPLIT, TURN, REST = range(5)
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64 bits in which every bit of x has a say (the finish of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-class Lattice:
-    """Pieces of one vocabulary and the ways to spell a text with them."""
+class Vocabulary:
+    """Pieces of a model, findable by hashes of their beginnings, of each length."""
 
     def __init__(self, path: str):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
-        self.bytes = {int(p[1:-1], 16): i for i, p in enumerate(self.pieces) if model.is_byte(i)}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
-        normal = [i for i in range(len(self.pieces)) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
-        self.weight = {self.pieces[i]: (i, -math.log(r + RANK_OFFSET)) for r, i in enumerate(normal)}
-        self.byte_weight = -math.log(len(normal) + RANK_OFFSET)
-        self.starts = {p[:n] for p in self.weight for n in range(1, len(p) + 1)}
-        self.words: dict[str, list] = {}
-        if any(SPACE in p.lstrip(SPACE) for p in self.weight):
+        pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
+        self.bytes = {int(p[1:-1], 16): i for i, p in enumerate(pieces) if model.is_byte(i)}
+        self.ascii = np.array([self.bytes[b] for b in range(128)])
+        byte_of = {i: b for b, i in self.bytes.items()}
+        self.raw = [bytes([byte_of[i]]) if i in byte_of else p.encode() for i, p in enumerate(pieces)]
+        normal = [i for i in range(len(pieces)) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
+        if any(SPACE in pieces[i].lstrip(SPACE) for i in normal):
             raise ValueError("a piece of this vocabulary goes on after a space")
-
-    @staticmethod
-    def split(text: str) -> list[str]:
-        """Runs of spaces with the word behind them, spaces as the model writes them and one put in front. No piece goes over such a border."""
-        if not text:
-            return []
-        marked, out, at = SPACE + text.replace(" ", SPACE), [], 0
-        while at < len(marked):
-            end = at
-            while end < len(marked) and marked[end] == SPACE:
-                end += 1
-            end = marked.find(SPACE, end)
-            end = len(marked) if end < 0 else end
-            out.append(marked[at:end])
-            at = end
-        return out
-
-    def edges(self, word: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
-        """At each position of a word the pieces that may follow: their end, ids and log probability given all ways to spell the rest."""
-        got = self.words.get(word)
-        if got is not None:
-            return got
-        n = len(word)
-        out, rest = [[] for _ in range(n)], [0.0] * (n + 1)
-        for i in range(n - 1, -1, -1):
-            ways = []
-            for j in range(i + 1, n + 1):
-                piece = word[i:j]
-                if piece not in self.starts:
-                    break
-                if piece in self.weight:
-                    k, w = self.weight[piece]
-                    ways.append((j, (k,), w + rest[j]))
-            if word[i] not in self.weight:
-                raw = word[i].encode()
-                ways.append((i + 1, tuple(self.bytes[b] for b in raw), len(raw) * self.byte_weight + rest[i + 1]))
-            top = max(w for *_, w in ways)
-            rest[i] = top + math.log(sum(math.exp(w - top) for *_, w in ways))
-            out[i] = [(j, k, w - rest[i]) for j, k, w in ways]
-        if n <= CACHE_CHARS:
-            if len(self.words) >= CACHE_WORDS:
-                self.words.clear()
-            self.words[word] = out
-        return out
-
-    def sample(self, text: str, k: int, key: str) -> list[tuple[list[int], float, float, float]]:
-        """Up to k distinct segmentations, by falling perturbed log probability: ids, log probability, perturbed, chance to be among the k given the rest.
-
-        A beginning's perturbed log probability is the largest of all its endings': a Gumbel value about its own log probability. The children of a
-        beginning share its value: drawn freely, then bent so that their largest equals it. So the best-first search ends segmentations in the order
-        of their perturbed log probabilities, and the next value on the heap after k of them is the threshold of the inclusion chances.
-        """
-        draw = random.Random(xxhash.xxh64_intdigest(key)).random
-        words = [self.edges(w) for w in self.split(text)]
-        last = len(words)
-        heap, tie, done, log = [(-(-math.log(-math.log(draw() or 1e-300))), 0, 0.0, 0, 0, None)], 1, [], math.log
-        while heap and len(done) < k:
-            value, _, phi, w, at, path = heapq.heappop(heap)
-            value = -value
-            while w < last:
-                ways, n = words[w][at], len(words[w])
-                if len(ways) == 1:
-                    end, ids, p = ways[0]
-                    phi += p
-                else:
-                    free = [phi + x[2] - log(-log(draw() or 1e-300)) for x in ways]
-                    top = max(free)
-                    chosen = free.index(top)
-                    for i, g in enumerate(free):
-                        if i == chosen:
-                            continue
-                        # -log(exp(-value) - exp(-top) + exp(-g)), without overflow
-                        v = value - g + math.log1p(-math.exp(g - top)) if g < top else -math.inf
-                        bent = value - max(0.0, v) - math.log1p(math.exp(-abs(v)))
-                        end, ids, p = ways[i]
-                        heapq.heappush(heap, (-bent, tie, phi + p, w + (end == n), 0 if end == n else end, (path, ids)))
-                        tie += 1
-                    end, ids, p = ways[chosen]
-                    phi += p
-                path = (path, ids)
-                w, at = (w + 1, 0) if end == n else (w, end)
-            done.append((path, phi, value))
-        bound = -heap[0][0] if heap else -math.inf
-        out = []
-        for path, phi, value in done:
-            ids: list[int] = []
-            while path:
-                path, own = path
-                ids += reversed(own)
-            out.append((ids[::-1], phi, value, 1.0 if bound == -math.inf else -math.expm1(-math.exp(min(700.0, phi - bound)))))
-        return out
+        self.weight = np.zeros(len(pieces))
+        self.weight[normal] = -np.log(np.arange(len(normal)) + RANK_OFFSET)
+        self.byte_weight = -math.log(len(normal) + RANK_OFFSET)
+        found: list[dict[int, int]] = []
+        for i in normal:
+            h = np.zeros(1, np.uint64)
+            for n, c in enumerate(pieces[i]):
+                h = h * MULTIPLIER + np.uint64(ord(c) + 1)
+                if n == len(found):
+                    found.append({})
+                found[n].setdefault(int(h[0]), -1)
+            found[len(pieces[i]) - 1][int(h[0])] = i
+        self.starts = []
+        for by_hash in found:
+            hashes = np.array(sorted(by_hash), np.uint64)
+            self.starts.append((hashes, np.array([by_hash[int(h)] for h in hashes], np.int64)))
 
     def decode(self, ids: list[int]) -> str:
         """The text of any of its segmentations, but that a space sign in it has become a space."""
-        raw = b"".join(bytes([self.byte_of[i]]) if i in self.byte_of else self.pieces[i].encode() for i in ids)
-        return raw.decode("utf-8", "replace").replace(SPACE, " ")[1:]
+        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")[1:]
+
+
+def split(text: str) -> list[str]:
+    """Runs of spaces with the word behind them, spaces as the model writes them and one put in front. No piece goes over such a border."""
+    return WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
+
+
+class Lattices:
+    """Lattices of words, laid out one after another: edges sorted by the position where they start, and for each the probability given all ways to spell the rest.
+
+    first: a position's first edge. upto: position plus the probability of its edges so far, so that a search for position + uniform draw finds an edge. other: logarithm of what the position's
+    other edges have together. Byte fallbacks have the id -1 - code point.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, words: list[str]):
+        length = np.array([len(w) for w in words], np.int64)
+        self.base = np.cumsum(length) - length
+        points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        self.points, n = points, len(points)
+        self.word_end = np.repeat(self.base + length, length)
+        pos, size, ids = [], [], []
+        active, h, single = np.arange(n), np.zeros(n, np.uint64), np.zeros(n, bool)
+        for k, (hashes, own) in enumerate(vocabulary.starts):
+            active = active[active + k < self.word_end[active]]
+            h[active] = h[active] * MULTIPLIER + points[active + k] + np.uint64(1)
+            at = np.minimum(np.searchsorted(hashes, h[active]), len(hashes) - 1)
+            met = hashes[at] == h[active]
+            active, at = active[met], own[at[met]]
+            whole = at >= 0
+            pos.append(active[whole])
+            ids.append(at[whole])
+            size.append(np.full(int(whole.sum()), k + 1))
+            if k == 0:
+                single[active[whole]] = True
+        bare = np.flatnonzero(~single)
+        pos, size, ids = (np.concatenate([*x, y]) for x, y in ((pos, bare), (size, np.ones(len(bare), np.int64)), (ids, -1 - points[bare].astype(np.int64))))
+        order = np.argsort(pos, kind="stable")
+        self.pos, self.ids = pos[order], ids[order]
+        self.end = self.pos + size[order]
+        coded = -1 - self.ids
+        n_bytes = 1 + (coded > 0x7F) + (coded > 0x7FF) + (coded > 0xFFFF)
+        weight = np.where(self.ids >= 0, vocabulary.weight[np.maximum(self.ids, 0)], n_bytes * vocabulary.byte_weight)
+        self.first = np.searchsorted(self.pos, np.arange(n + 1))
+        self.last_piece = self.end == self.word_end[self.pos] if n else np.zeros(0, bool)
+        self.log_p = np.round(self._given_the_rest(weight, n) / GRAIN) * GRAIN
+        p = np.exp(self.log_p)
+        many = np.diff(self.first)
+        upto, other = np.zeros(len(p)), np.zeros(len(p))
+        for k in range(int(many.max(initial=0))):  # the k-th edge of each position that has one
+            e = self.first[:-1][many > k] + k
+            upto[e] = p[e] + (upto[e - 1] if k else 0)
+            own = np.repeat(e, many[many > k])
+            mine = np.arange(len(own)) - np.repeat(np.cumsum(many[many > k]) - many[many > k], many[many > k]) + np.repeat(self.first[:-1][many > k], many[many > k])
+            other[mine] += np.where(mine == own, 0, p[own])
+        upto[self.first[1:] - 1] = 1.0
+        self.p, self.upto = p, self.pos + np.round(np.minimum(upto, 1.0) / GRAIN) * GRAIN
+        with np.errstate(divide="ignore"):
+            self.other = np.log(other)
+
+    def _given_the_rest(self, weight: np.ndarray, n: int) -> np.ndarray:
+        """Log probability of each edge given all ways to spell the rest of its word; from the words' ends on, positions equally far from them together."""
+        rest, log_p = np.zeros(n), np.zeros(len(weight))
+        far = self.word_end[self.pos] - self.pos if n else np.zeros(0, np.int64)
+        order = np.argsort(far, kind="stable")  # within one distance edges stay sorted by position
+        cuts = np.flatnonzero(np.r_[True, far[order][1:] != far[order][:-1], True]) if n else []
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            e = order[a:b]
+            value = weight[e] + np.where(self.last_piece[e], 0.0, rest[np.minimum(self.end[e], n - 1)])
+            starts = np.flatnonzero(np.r_[True, self.pos[e][1:] != self.pos[e][:-1]])
+            total = np.logaddexp.reduceat(value, starts)
+            rest[self.pos[e][starts]] = total
+            log_p[e] = value - np.repeat(total, np.diff(np.r_[starts, len(e)]))
+        return log_p
+
+
+class Paths:
+    """One segmentation of each of some texts: words and edges in order, and the log probability before each edge."""
+
+    def __init__(self, lattices: Lattices, word_text: np.ndarray, texts: int, word: np.ndarray, edge: np.ndarray):
+        order = np.argsort(word << 32 | (lattices.pos[edge] - lattices.base[lattices.word_type[word]]), kind="stable")
+        self.word, self.edge = word[order], edge[order]
+        self.text = word_text[self.word]
+        self.start = np.searchsorted(self.text, np.arange(texts + 1))
+        log_p = lattices.log_p[self.edge]
+        sums = np.concatenate([[0.0], np.cumsum(log_p)])
+        self.before = sums[:-1] - sums[self.start[self.text]]
+        self.total = np.add.reduceat(np.append(log_p, 0.0), self.start[:-1]) * (np.diff(self.start) > 0) if len(log_p) else np.zeros(texts)
+
+
+def ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from start to end of each range, and the range of each."""
+    n = np.maximum(end - start, 0)
+    owner = np.repeat(np.arange(len(n)), n)
+    return np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n) + start[owner], owner
+
+
+def search(vocabulary: Vocabulary, keys: list[str], texts: list[list[str]], k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
+    """For each text, given as its words, up to k distinct segmentations by falling perturbed log probability: ids, log probability, perturbed, log of the chance to be among the k given the rest.
+
+    The threshold of the chances is the value of the best set left after k. A set's value can matter only if it is among the best of its split that are still to be emitted, or next to them, so
+    no more are kept. Draws are hashes of a text's key, the round, the use and the place in the text.
+    """
+    number: dict[str, int] = {}
+    flat = np.array([number.setdefault(w, len(number)) for words in texts for w in words], np.int64)
+    lattices = Lattices(vocabulary, list(number))
+    lattices.word_type = flat
+    n_texts = len(texts)
+    counts = np.array([len(x) for x in texts], np.int64)
+    word_text = np.repeat(np.arange(n_texts), counts)
+    text_end = np.cumsum(counts)
+    size = lattices.word_end[lattices.base[flat]] - lattices.base[flat] if len(flat) else flat
+    place = np.cumsum(size) - size  # of a word among all code points; within a text only differences count
+    place -= place[np.minimum(text_end - counts, max(0, len(place) - 1))][word_text] if len(flat) else 0
+    seed = np.array([xxhash.xxh64_intdigest(x) for x in keys], np.uint64)
+
+    def uniform(text: np.ndarray, at: np.ndarray, turn: int, use: int) -> np.ndarray:
+        x = mixed(mixed(seed[text] + np.array([8 * turn + use + 1], np.uint64) * MULTIPLIER) + at.astype(np.uint64) * MULTIPLIER)
+        return np.maximum((x >> np.uint64(11)).astype(float) * 2.0**-53, 1e-300)
+
+    def place_of(word: np.ndarray, edge: np.ndarray) -> np.ndarray:
+        return place[word] + lattices.pos[edge] - lattices.base[flat[word]]
+
+    def walk(word: np.ndarray, at: np.ndarray, turn: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Words from positions on to their ends, drawn freely."""
+        words, edges = [], []
+        while len(word):
+            u = np.floor(uniform(word_text[word], place[word] + at - lattices.base[flat[word]], turn, WALK) / GRAIN) * GRAIN
+            e = np.clip(np.searchsorted(lattices.upto, at + u, "right"), lattices.first[at], lattices.first[at + 1] - 1)
+            words.append(word)
+            edges.append(e)
+            more = ~lattices.last_piece[e]
+            word, at = word[more], lattices.end[e][more]
+        return words, edges
+
+    def cut_off(mass: np.ndarray, u: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """Gumbel values about the masses' logarithms, given that they are below the bounds."""
+        with np.errstate(invalid="ignore"):
+            return np.where(mass > -np.inf, -np.logaddexp(-bound, np.log(-np.log(u)) - mass), -np.inf)
+
+    room = k * (k + 2)
+    value = np.full((n_texts, room), -np.inf)
+    holds = np.zeros((n_texts, room, 2), np.int64)  # path and decision
+    gone = np.full((n_texts, room, k), -1, np.int64)  # edges that the set doesn't take there
+    used = np.zeros(n_texts, np.int64)
+
+    def put(text: np.ndarray, values: np.ndarray, path: int, decision: np.ndarray, without: np.ndarray) -> None:
+        some = values > -np.inf
+        text, slot = text[some], used[text[some]]
+        value[text, slot], holds[text, slot, 0], holds[text, slot, 1] = values[some], path, decision[some]
+        gone[text, slot] = without[some]
+        used[text] += 1
+
+    def put_decisions(path: Paths, number: int, live: np.ndarray, start: np.ndarray, bound: np.ndarray, most: int) -> None:
+        """Sets that leave a path at its decisions from `start` on: the best `most` of each live text."""
+        at, owner = ranges(start, path.start[live + 1])
+        if not len(at):
+            return
+        text = live[owner]
+        values = cut_off(path.before[at] + lattices.other[path.edge[at]], uniform(text, place_of(path.word[at], path.edge[at]), number, SPLIT), bound[text])
+        firsts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        of = np.cumsum(np.r_[True, owner[1:] != owner[:-1]]) - 1
+        for _ in range(most):
+            top = np.maximum.reduceat(values, firsts)
+            hit = np.flatnonzero((values == top[of]) & (values > -np.inf))
+            if not len(hit):
+                break
+            hit = hit[np.unique(of[hit], return_index=True)[1]]
+            without = np.full((len(hit), k), -1, np.int64)
+            without[:, 0] = path.edge[at[hit]]
+            put(text[hit], values[hit], number, at[hit], without)
+            values[hit] = -np.inf
+
+    every = np.arange(n_texts)
+    perturbed = np.full((k, n_texts), -np.inf)
+    perturbed[0] = -np.log(-np.log(uniform(every, np.zeros(n_texts, np.int64), 0, ROOT)))
+    words, edges = walk(np.arange(len(flat)), lattices.base[flat], 0)
+    none = np.zeros(0, np.int64)
+    paths = [Paths(lattices, word_text, n_texts, np.concatenate([*words, none]), np.concatenate([*edges, none]))]
+    put_decisions(paths[0], 0, every, paths[0].start[:-1], perturbed[0], k)
+    for turn in range(1, k):
+        best = value.argmax(axis=1) if room else every
+        bound = value[every, best]
+        live = np.flatnonzero(bound > -np.inf)
+        value[live, best[live]] = -np.inf
+        perturbed[turn, live] = bound[live]
+        base, decision, without = holds[live, best[live], 0], holds[live, best[live], 1], gone[live, best[live]]
+        word, edge, start, before, kept_words, kept_edges = (np.zeros(len(live), t) for t in (np.int64, np.int64, np.int64, float, np.int64, np.int64))
+        kept_words, kept_edges = [], []
+        for number, path in enumerate(paths):
+            mine = np.flatnonzero(base == number)
+            word[mine], edge[mine], before[mine], start[mine] = path.word[decision[mine]], path.edge[decision[mine]], path.before[decision[mine]], path.start[live[mine]]
+            at, _ = ranges(start[mine], decision[mine])
+            kept_words.append(path.word[at])
+            kept_edges.append(path.edge[at])
+        # Another edge at the decision, by the probabilities of those that the set may take.
+        from_ = lattices.pos[edge]
+        choice, owner = ranges(lattices.first[from_], lattices.first[from_ + 1])
+        odds = np.where((choice[:, None] == without[owner]).any(axis=1), 0.0, lattices.p[choice])
+        firsts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else none
+        total = np.add.reduceat(odds, firsts) if len(owner) else np.zeros(0)
+        target = uniform(live, place_of(word, edge), turn, TURN) * total
+        sums = np.cumsum(odds)
+        sums -= (sums[firsts] - odds[firsts])[owner] if len(owner) else 0
+        fits = np.flatnonzero((odds > 0) & (sums >= target[owner]))
+        taken_at = np.full(len(live), -1, np.int64)
+        taken_at[owner[fits][::-1]] = fits[::-1]
+        spare = np.flatnonzero(odds > 0)
+        missing = taken_at < 0
+        if missing.any():  # rounding: the last edge with a chance
+            last = np.full(len(live), -1, np.int64)
+            last[owner[spare]] = spare
+            taken_at[missing] = last[missing]
+        taken = choice[taken_at]
+        odds[taken_at] = 0.0
+        left = np.add.reduceat(odds, firsts) if len(owner) else np.zeros(0)
+        onward = ~lattices.last_piece[taken]
+        later, _ = ranges(word + 1, text_end[live])
+        rest_words, rest_edges = walk(np.concatenate([word[onward], later]), np.concatenate([lattices.end[taken][onward], lattices.base[flat[later]]]), turn)
+        path = Paths(lattices, word_text, n_texts, np.concatenate([*kept_words, word, *rest_words]), np.concatenate([*kept_edges, taken, *rest_edges]))
+        paths.append(path)
+        at = path.start[live] + decision - start
+        without = np.concatenate([without[:, :turn], taken[:, None], without[:, turn + 1 :]], axis=1)
+        with np.errstate(divide="ignore"):
+            put(live, cut_off(before + np.log(left), uniform(live, place_of(word, edge), turn, REST), bound[live]), turn, at, without)
+        put_decisions(path, turn, live, at + 1, bound, k - turn)
+    threshold = value.max(axis=1, initial=-np.inf)
+    out = []
+    for t in range(n_texts):
+        own = []
+        for turn in range(k):
+            if perturbed[turn, t] > -np.inf and (turn == 0 or counts[t]):
+                path = paths[turn]
+                p = float(path.total[t])
+                own.append((spelled(vocabulary, lattices.ids[path.edge[path.start[t] : path.start[t + 1]]]), p, float(perturbed[turn, t]), log_chance(p - float(threshold[t]))))
+        out.append(own)
+    return out
+
+
+def spelled(vocabulary: Vocabulary, ids: np.ndarray) -> np.ndarray:
+    """Ids with byte fallbacks as their bytes' pieces."""
+    plain = (ids < 0) & (ids >= -128)
+    ids = np.where(plain, vocabulary.ascii[np.where(plain, -1 - ids, 0)], ids)
+    if (ids >= 0).all():
+        return ids.astype(np.int32)
+    return np.array([x for i in ids.tolist() for x in ([i] if i >= 0 else [vocabulary.bytes[b] for b in chr(-1 - i).encode()])], np.int32)
+
+
+def log_chance(d: float) -> float:
+    """log(1 - exp(-exp(d))): chance that a Gumbel value about d is above 0, which no double but its logarithm holds for long texts."""
+    return d if d < -30 else 0.0 if d > 4 else math.log(-math.expm1(-math.exp(d)))
+
+
+def sample(vocabulary: Vocabulary, keys: list[str], texts: list[str], k: int) -> Iterator[list[tuple[np.ndarray, float, float, float]]]:
+    """Samples of each text, in order; so many texts are searched together as have about TOGETHER code points."""
+    start = 0
+    while start < len(texts):
+        end, total = start, 0
+        while end < len(texts) and (end == start or total + len(texts[end]) <= TOGETHER):
+            total, end = total + len(texts[end]), end + 1
+        yield from search(vocabulary, keys[start:end], [split(t) for t in texts[start:end]], k)
+        start = end
 
 
 def sample_segmentations(df: DataFrame, path: str, keys: list[str], text_col: str = "text", k: int = SAMPLES, seed: int = 0) -> DataFrame:
-    """Per row and sample: the keys, sample (from 1), ids, log_prob, perturbed, inclusion and round_trip (the ids decode to the text).
+    """Per row and sample: the keys, sample (from 1), ids, log_prob, perturbed, log_inclusion and round_trip (the ids decode to the text).
 
     Draws depend on the seed and the row's keys alone, so rows repeated with equal keys and texts have equal samples. A null or empty text has one
     segmentation, the empty one, of probability 1; a text with fewer than k segmentations has all of them, each sure to be included. Extra columns are not
-    read. Nothing is shuffled; whole texts are segmented, one at a time.
+    read. Nothing is shuffled; whole texts are segmented, and memory is bounded by one text or TOGETHER code points.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lattice = Lattice(path)
+        vocabulary = Vocabulary(path)
         for b in batches:
-            cols: dict[str, list] = {c: [] for c in ("at", "sample", "ids", "log_prob", "perturbed", "inclusion", "round_trip")}
-            for n, (key, text) in enumerate(zip(b.pop("_key"), b.pop("_text"))):
-                for i, (ids, p, g, q) in enumerate(lattice.sample(text, k, key)):
-                    for c, x in zip(cols, (n, i + 1, ids, p, g, q, lattice.decode(ids) == text.replace(SPACE, " "))):
+            row_keys, texts = b.pop("_key").tolist(), b.pop("_text").tolist()
+            names = ("at", "sample", "ids", "log_prob", "perturbed", "log_inclusion", "round_trip")
+            cols: dict[str, list] = {c: [] for c in names}
+            held = 0
+            for n, got in enumerate(sample(vocabulary, row_keys, texts, k)):
+                want = texts[n].replace(SPACE, " ")
+                for i, (ids, p, g, q) in enumerate(got):
+                    for c, x in zip(names, (n, i + 1, ids, p, g, q, vocabulary.decode(ids.tolist()) == want)):
                         cols[c].append(x)
-            out = b.iloc[cols.pop("at")].reset_index(drop=True)
-            yield out.assign(**cols)
+                    held += len(ids)
+                if held > 2 * TOGETHER:
+                    yield b.iloc[cols.pop("at")].reset_index(drop=True).assign(**cols)
+                    cols, held = {c: [] for c in names}, 0
+            yield b.iloc[cols.pop("at")].reset_index(drop=True).assign(**cols)
 
     rows = df.select(*keys, F.concat_ws("\x1f", F.lit(str(seed)), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys)).alias("_key"), F.coalesce(text_col, F.lit("")).alias("_text"))
     own = ", ".join(f"`{n}` {t}" for n, t in rows.drop("_key", "_text").dtypes)
-    return rows.mapInPandas(run, own + ", sample int, ids array<int>, log_prob double, perturbed double, inclusion double, round_trip boolean")
+    return rows.mapInPandas(run, own + ", sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double, round_trip boolean")

@@ -139,48 +139,95 @@ def test_top_k_prunes_clusters(spark, monkeypatch):
     assert tree.scored < 0.2 * 200 * 4000
 
 
-def ways(lattice, word):
-    edges = lattice.edges(word)
+@pytest.fixture(scope="module")
+def vocabulary():
+    return sampling.Vocabulary(MODEL)
+
+
+def ways(word):
+    """All spellings of a word with their log weights, by recursion over the model's own pieces."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    normal = [i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
+    rank = {model.id_to_piece(i): (i, -math.log(r + sampling.RANK_OFFSET)) for r, i in enumerate(normal)}
 
     def go(at):
         if at == len(word):
             yield (), 0.0
             return
-        for end, ids, p in edges[at]:
+        steps = [(end, (rank[word[at:end]][0],), rank[word[at:end]][1]) for end in range(at + 1, len(word) + 1) if word[at:end] in rank]
+        if word[at] not in rank:
+            raw = word[at].encode()
+            steps.append((at + 1, tuple(model.piece_to_id(f"<0x{b:02X}>") for b in raw), -len(raw) * math.log(len(normal) + sampling.RANK_OFFSET)))
+        for end, ids, w in steps:
             for rest, q in go(end):
-                yield ids + rest, p + q
+                yield ids + rest, w + q
 
     return dict(go(0))
 
 
-def test_samples_follow_the_lattice():
-    lattice = sampling.Lattice(MODEL)
-    every = ways(lattice, "▁the")
-    assert sum(map(math.exp, every.values())) == pytest.approx(1)
-    n, first, both = 4000, Counter(), Counter()
-    for i in range(n):
-        got = lattice.sample("the", 2, f"k{i}")
-        assert len({tuple(x[0]) for x in got}) == 2 and got[0][2] >= got[1][2]
-        assert all(x[1] == pytest.approx(every[tuple(x[0])]) for x in got)
-        first[tuple(got[0][0])] += 1
-        both.update(tuple(x[0]) for x in got)
+def every_way(text):
+    out = {(): 0.0}
+    for word in sampling.split(text):
+        out = {x + y: p + q for x, p in out.items() for y, q in ways(word).items()}
+    total = math.log(sum(map(math.exp, out.values())))
+    return {x: p - total for x, p in out.items()}
+
+
+def drawn(vocabulary, text, k, n, key="k"):
+    return [[(tuple(ids.tolist()), *x) for ids, *x in got] for got in sampling.sample(vocabulary, [f"{key}{i}" for i in range(n)], [text] * n, k)]
+
+
+@pytest.mark.parametrize("text", ["the", "of an", "é\U0001f600 a"])
+def test_samples_follow_the_lattice(text, vocabulary):
+    """First samples have the lattice's probabilities, and pairs those of draws without replacement."""
+    every, n, first, pairs = every_way(text), 8000, Counter(), Counter()
+    for got in drawn(vocabulary, text, 2, n):
+        assert len({x[0] for x in got}) == min(2, len(every)) and got[0][2] >= got[-1][2]
+        assert all(x[1] == pytest.approx(every[x[0]], abs=1e-6) and x[3] <= 0 for x in got)
+        first[got[0][0]] += 1
+        pairs[got[0][0], got[-1][0]] += 1
     for way, p in every.items():
-        assert first[way] / n == pytest.approx(math.exp(p), abs=0.03)
-    top = sorted(every, key=every.get)[-2:]
-    p, q = (math.exp(every[t]) for t in top)
-    assert p < q and both[top[1]] / n == pytest.approx(q + sum(math.exp(x) * q / (1 - math.exp(x)) for w, x in every.items() if w != top[1]), abs=0.03)
+        assert first[way] / n == pytest.approx(math.exp(p), abs=0.025)
+        for other, q in every.items():
+            if other != way:
+                assert pairs[way, other] / n == pytest.approx(math.exp(p) * math.exp(q) / -math.expm1(p), abs=0.025)
+
+
+def test_third_samples_follow(vocabulary):
+    every, n = every_way("a of"), 8000
+    third = Counter(got[2][0] for got in drawn(vocabulary, "a of", 3, n))
+    ways_ = {x: math.exp(p) for x, p in every.items()}
+    for z, r in ways_.items():
+        want = sum(p * q / (1 - p) * r / (1 - p - q) for x, p in ways_.items() for y, q in ways_.items() if len({x, y, z}) == 3)
+        assert third[z] / n == pytest.approx(want, abs=0.025)
+
+
+def test_inclusion_scores_weigh_up(vocabulary):
+    """Sums over samples, each divided by its chance to be among them, estimate sums over all segmentations."""
+    found = [sum(math.exp(p - q) for _, p, _, q in got) for got in drawn(vocabulary, "in the house", 4, 3000)]
+    assert np.mean(found) == pytest.approx(1, abs=0.05)
+
+
+def test_all_segmentations_of_a_short_text(vocabulary):
+    every = every_way("of a")
+    (got,) = drawn(vocabulary, "of a", len(every) + 5, 1)
+    assert len(got) == len(every) and {x[0] for x in got} == set(every) and all(x[3] == 0.0 for x in got)
 
 
-def test_all_segmentations_of_a_short_text():
-    lattice = sampling.Lattice(MODEL)
-    every = ways(lattice, "▁of")
-    got = lattice.sample("of", 1000, "x")
-    assert {tuple(x[0]) for x in got} == set(every) and all(x[3] == 1.0 for x in got)
+def test_samples_do_not_depend_on_company(vocabulary, monkeypatch):
+    texts, keys = ["the house", "", "of the " * 50, "x" * 300, "an é\U0001f600"], list("abcde")
+    whole = list(sampling.sample(vocabulary, keys, texts, 4))
+    monkeypatch.setattr(sampling, "TOGETHER", 1)
+    for got, want in zip(sampling.sample(vocabulary, keys, texts, 4), whole, strict=True):
+        assert [x[0].tolist() for x in got] == [x[0].tolist() for x in want]
+        assert [x[1:] for x in got] == [pytest.approx(x[1:]) for x in want]
 
 
 def test_segmentations(docs, edge, empty, spark):
-    got = sampling.sample_segmentations(edge.filter("length(text) < 9999 OR text IS NULL"), MODEL, ["doc_id"], k=2).collect()
-    assert all(r.round_trip for r in got) and all(0 < r.inclusion <= 1 and r.log_prob <= 1e-9 for r in got)
+    got = sampling.sample_segmentations(edge, MODEL, ["doc_id"], k=2).collect()
+    assert all(r.round_trip for r in got) and all(math.isfinite(r.log_inclusion) and r.log_inclusion <= 0 and r.log_prob <= 1e-9 for r in got)
     assert {r.doc_id: r.ids for r in got if r.doc_id in (0, 1)} == {0: [], 1: []}
     again = sampling.sample_segmentations(docs.limit(20).repartition(3), MODEL, ["doc_id"], k=2)
     assert sorted(map(str, again.collect())) == sorted(map(str, sampling.sample_segmentations(docs.limit(20), MODEL, ["doc_id"], k=2).collect()))
