@@ -6,7 +6,8 @@ all fingerprints each, and pairing them up is quadratic; so postings are banded:
 are compared. A posting holds distinct fingerprints that agree in 32 of 64 bits: of N random ones N / 2^32.
 
 Where a plan has a least similarity, fingerprints only propose pairs. Postings are those of single positional bytes; a posting's task pairs up what shares a second byte and
-has numbers of shingles that allow the similarity. Every pair is then held against the shingle sets themselves, before components are built.
+has numbers of shingles that allow the similarity. Every pair is then held against the shingle sets themselves. In dense postings each row is held against a bounded number of others,
+which links large groups of near copies by few pairs; rows that were not held against all go through an exact search by prefix filtering over their shingles (_rest).
 """
 
 from __future__ import annotations
@@ -54,8 +55,8 @@ EXACT = Plan(words=3, longs=1, min_shared=5, max_bits=3)
 #: five in 19 %), unrelated ones in half. By that model one such pair in 20,000 shares fewer than two of the 40 bytes (of four in five: one in 400), and one in 50,000 differs in more than 76 bits.
 NEAR = Plan(words=5, longs=5, min_shared=2, max_bits=76, max_bits_small=92, min_similarity=0.8)
 SMALL_SET = 40
-#: In the first round of the search a row is held against so many rows under each pair of bytes, and its best partner of each posting is proposed; in each later round so many times as many.
-LOOKS, MORE = 16, 16
+#: A row is held against so many rows under each pair of bytes, and so many of its best partners of each posting are proposed; rows with more go on to the exact search over shingles.
+LOOKS, PARTNERS = 16, 1
 SEED = 42
 #: After so many comparisons of each row, and every time that number has doubled, postings that are one component already are done.
 FIRST_LOOK = 64
@@ -234,21 +235,20 @@ def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(rest) if len(rest) > 1 else rest[0]
 
 
-def _partners(batches: Iterator[pd.DataFrame], plan: Plan, most: int, first: bool) -> Iterator[pd.DataFrame]:
+def _partners(batches: Iterator[pd.DataFrame], plan: Plan) -> Iterator[pd.DataFrame]:
     """Pairs (a, b) of class hashes that share the posting's byte and a second one as the first two of all they share, so that each pair comes once.
 
-    Of each posting a pair is proposed that is among the `most` with the fewest differing bits of either row. In the first round rows are held against the next LOOKS under each second byte,
-    in the order of the bytes behind it; later ones against all of other components there. A row with a pair left out or not looked at comes as (a, null).
+    Under each second byte rows are held against the next LOOKS, in the order of the bytes behind it. Of each posting a pair is proposed that is among the PARTNERS with the fewest
+    differing bits of either row. A row with a pair left out or not looked at comes as (a, null).
     """
     width = 8 * plan.longs
     for posting in _runs(batches):
         at_byte = int(posting["key"].iat[0]) >> 8
-        n, comp, name = (posting[c].to_numpy(np.int64) for c in ("n", "component", "shingles"))
+        n, name = (posting[c].to_numpy(np.int64) for c in ("n", "shingles"))
         f = np.ascontiguousarray(posting[plan.columns].to_numpy(np.int64)).view(np.uint64)
         raw, m = f.view(np.uint8).T, len(f)
-        if m < 2 or (not first and comp.min() == comp.max()):
+        if m < 2:
             continue
-        code = np.unique(comp, return_inverse=True)[1].reshape(-1)
         open_rows, held = np.zeros(m, bool), [np.zeros((3, 0), np.int64)]
 
         def best() -> np.ndarray:
@@ -259,7 +259,7 @@ def _partners(batches: Iterator[pd.DataFrame], plan: Plan, most: int, first: boo
                 order = np.lexsort((bits, side))
                 starts = np.flatnonzero(np.r_[True, side[order][1:] != side[order][:-1]]) if len(order) else order
                 rank = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
-                keep[order[rank < most]] = True
+                keep[order[rank < PARTNERS]] = True
             open_rows[i[~keep]] = open_rows[j[~keep]] = True
             return pairs[:, keep]
 
@@ -267,35 +267,27 @@ def _partners(batches: Iterator[pd.DataFrame], plan: Plan, most: int, first: boo
         for q in range(at_byte + 1, width, step):
             second = np.arange(q, min(q + step, width))
             behind = [raw[(second + k) % width].astype(np.int64) for k in range(3)]
-            place = behind[0] << 40 | ((behind[1] << 8 | behind[2]) if first else code[None, :])
+            place = behind[0] << 16 | behind[1] << 8 | behind[2]
             row = np.argsort(place, axis=1, kind="stable")
-            place = (np.take_along_axis(place, row, axis=1) + (np.arange(len(second))[:, None] << 48)).reshape(-1)
+            place = (np.take_along_axis(place, row, axis=1) + (np.arange(len(second))[:, None] << 24)).reshape(-1)
             row, at_second = row.reshape(-1), np.repeat(second, m)
-            end = np.searchsorted(place >> 40, place >> 40, "right")
-            if first:
-                start, stop = np.arange(len(row)) + 1, np.minimum(end, np.arange(len(row)) + 1 + LOOKS)
-                far = end > stop
-                open_rows[row[far]] = True
-                beyond = np.flatnonzero(far) + 1 + LOOKS
-                open_rows[row[beyond]] = True
-            else:  # from the next component to the end of the run
-                start, stop = np.searchsorted(place, place, "right"), end
-            at, shift = np.flatnonzero(start < stop), 0
-            while len(at):
-                for c in range(0, len(at), 500_000):
-                    some = at[c : c + 500_000]
-                    i, j = row[some], row[start[some] + shift]
-                    x = f[i] ^ f[j]
-                    bits, less = np.bitwise_count(x).sum(axis=1, dtype=np.int64), np.minimum(n[i], n[j])
-                    ok = (bits <= np.where(less < SMALL_SET, plan.max_bits_small, plan.max_bits)) & (less >= plan.min_similarity * np.maximum(n[i], n[j]) - 1e-9)
-                    if ok.any():  # tally the positional bytes shared up to the second one
-                        same = np.ascontiguousarray(x[ok]).view(np.uint8) == 0
-                        new = (same & (np.arange(width) < at_second[some][ok][:, None])).sum(axis=1) == plan.min_shared - 1
-                        held.append(np.stack([i[ok][new], j[ok][new], bits[ok][new]]))
-                        if sum(h.shape[1] for h in held) > 2_000_000:
-                            held[:] = [best()]
-                shift += 1
-                at = at[start[at] + shift < stop[at]]
+            end, here = np.searchsorted(place >> 16, place >> 16, "right"), np.arange(len(row))
+            far = np.flatnonzero(end > here + 1 + LOOKS)
+            open_rows[row[far]] = open_rows[row[far + 1 + LOOKS]] = True
+            for shift in range(1, LOOKS + 1):
+                at = np.flatnonzero(here + shift < end)
+                if not len(at):
+                    break
+                i, j = row[at], row[at + shift]
+                x = f[i] ^ f[j]
+                bits, less = np.bitwise_count(x).sum(axis=1, dtype=np.int64), np.minimum(n[i], n[j])
+                ok = (bits <= np.where(less < SMALL_SET, plan.max_bits_small, plan.max_bits)) & (less >= plan.min_similarity * np.maximum(n[i], n[j]) - 1e-9)
+                if ok.any():  # tally the positional bytes shared up to the second one
+                    same = np.ascontiguousarray(x[ok]).view(np.uint8) == 0
+                    new = (same & (np.arange(width) < at_second[at][ok][:, None])).sum(axis=1) == plan.min_shared - 1
+                    held.append(np.stack([i[ok][new], j[ok][new], bits[ok][new]]))
+            if sum(h.shape[1] for h in held) > 2_000_000:
+                held = [best()]
         i, j, _ = best()
         if len(i):
             yield pd.DataFrame({"a": np.minimum(name[i], name[j]), "b": pd.array(np.maximum(name[i], name[j]), "Int64")})
@@ -309,51 +301,63 @@ def _same_row(id_col: str) -> list[Column]:
     return [F.col(id_col).eqNullSafe(F.col("rep.id")), F.col("text_hash") == F.col("rep.text_hash")]
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
-    """Of pairs (a, b) of classes those whose shingle sets are similar enough. Only one text of each class in a pair is split into shingles again."""
+def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, plan: Plan, id_col: str, text_col: str) -> DataFrame:
+    """Stored: shingles (the class) and members (its shingle set) of the wanted classes. One text of each is split into shingles again."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             sets = [shingle_set(shingle_hashes(t, plan.words)) for t in b["_text"]]
             yield pd.DataFrame({"shingles": np.fromiter(map(set_hash, sets), np.int64, len(sets)), "members": sets})
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("shingles")).distinct().join(classes, "shingles").select("rep")
-    texts = docs.select(id_col, text_of(text_col).alias("_text")).withColumn("text_hash", F.xxhash64("_text")).join(wanted, _same_row(id_col), "left_semi").select("_text")
-    sets = stored(texts.mapInPandas(run, "shingles long, members array<long>").dropDuplicates(["shingles"]))
-    both = pairs
+    reps = classes.join(wanted.select("shingles").distinct(), "shingles").select("rep")
+    texts = docs.select(id_col, text_of(text_col).alias("_text")).withColumn("text_hash", F.xxhash64("_text")).join(reps, _same_row(id_col), "left_semi").select("_text")
+    return stored(texts.mapInPandas(run, "shingles long, members array<long>").dropDuplicates(["shingles"]))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
+    """Of pairs (a, b) of classes those whose shingle sets are similar enough."""
     for s in "ab":
-        both = both.join(sets.select(F.col("shingles").alias(s), F.col("members").alias(f"members_{s}")), s)
+        pairs = pairs.join(sets.select(F.col("shingles").alias(s), F.col("members").alias(f"members_{s}")), s)
     shared, total = F.size(F.array_intersect("members_a", "members_b")), F.size("members_a") + F.size("members_b")
-    return both.filter(shared >= F.lit(plan.min_similarity) * (total - shared) - 1e-9).select("a", "b")
+    return pairs.filter(shared >= F.lit(plan.min_similarity) * (total - shared) - 1e-9).select("a", "b")
 
 
-def _similar(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """Stored rows of fingerprints(), and of each class of equal shingle sets: shingles, rep (its first row) and component (a hash that all classes reachable from it have in common).
+def _rest(sets: DataFrame, labels: DataFrame, plan: Plan) -> DataFrame:
+    """Pairs (a, b) of classes of different components that may be similar enough; none that is gets lost.
 
-    Where many classes are alike, pairs would grow with the square of their number. So in a round only the pairs of the fewest differing bits are proposed, and the next one goes over the rows
-    with pairs left, without those whose classes the links so far already join, and with MORE times as many; the last round leaves nothing. No pair is verified twice.
+    Prefix filtering: with shingles in the order of how many of these sets hold them, two sets with a Jaccard similarity of t share one of the first n - ceil(t n) + 1 of either. Shingles of one set
+    alone can't be shared, but stand first and use up its prefix, so most rows drop out before any pair is made. The first that two sets share bounds their overlap by what stands from it on in either.
     """
+    t = plan.min_similarity
+    each = sets.select("shingles", F.size("members").alias("n"), F.explode("members").alias("g"))
+    common = each.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1")
+    held = each.join(common, "g").groupBy("shingles", "n").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("m"))
+    alone = F.col("n") - F.size("m")
+    length = F.col("n") - F.ceil(F.lit(t) * F.col("n") - 1e-9).cast("int") + 1 - alone
+    first = held.filter(length > 0).select("shingles", "n", F.posexplode(F.slice("m", F.lit(1), length)).alias("at", "x"), alone.alias("alone"))
+    first = first.join(labels, F.col("shingles") == F.col("node"), "left").select("shingles", "n", (F.col("at") + F.col("alone")).alias("at"), "x.g", F.coalesce("component", "shingles").alias("component"))
+    a, b = (first.select("g", *(F.col(c).alias(f"{c}_{s}") for c in ("shingles", "n", "at", "component"))) for s in "ab")
+    need = F.lit(t / (1 + t)) * (F.col("n_a") + F.col("n_b")) - 1e-9
+    most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    met = a.join(b, (a["g"] == b["g"]) & (F.col("shingles_a") < F.col("shingles_b")) & (F.col("component_a") != F.col("component_b")) & (F.least("n_a", "n_b") >= t * F.greatest("n_a", "n_b") - 1e-9) & (most >= need))
+    return met.select(F.col("shingles_a").alias("a"), F.col("shingles_b").alias("b")).distinct()
+
+
+def _similar(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Stored rows of fingerprints(), and of each class of equal shingle sets: shingles, rep (its first row) and component (a hash that all classes reachable from it have in common)."""
     cols = plan.columns
     prints = stored(fingerprints(docs, plan, id_col, text_col))
     row = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "text_hash")
     classes = stored(prints.groupBy("shingles").agg(F.min(row).alias("rep"), F.min("n").alias("n"), F.min(F.struct(*cols)).alias("f")).select("shingles", "rep", "n", "f.*"))
-    todo, most, links, tested = classes.filter("n > 0").withColumn("component", F.col("shingles")), 1, None, None
-    while True:
-        keys = F.array(*(F.lit(256 * p) + F.shiftrightunsigned(f"f{p // 8}", 8 * (p % 8)).bitwiseAND(F.lit(255)).cast("int") for p in range(8 * plan.longs)))
-        index = todo.select(F.explode(keys).alias("key"), "shingles", "n", "component", *cols).repartition("key").sortWithinPartitions("key")
-        found = stored(index.mapInPandas(lambda it, most=most, first=links is None: _partners(it, plan, most, first), "a long, b long"))
-        pairs = found.filter("b IS NOT NULL")
-        if tested is not None:
-            pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"))
-        more = _verified(docs, classes, pairs, plan, id_col, text_col)
-        links = stored(more if links is None else links.unionByName(more))
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        again = found.filter("b IS NULL").select(F.col("a").alias("shingles")).distinct()
-        labels = connected(links)
-        if again.isEmpty():
-            break
-        todo = classes.join(again, "shingles").join(labels, F.col("shingles") == F.col("node"), "left").withColumn("component", F.coalesce("component", "shingles")).drop("node")
-        most *= MORE
+    keys = F.array(*(F.lit(256 * p) + F.shiftrightunsigned(f"f{p // 8}", 8 * (p % 8)).bitwiseAND(F.lit(255)).cast("int") for p in range(8 * plan.longs)))
+    index = classes.filter("n > 0").select(F.explode(keys).alias("key"), "shingles", "n", *cols).repartition("key").sortWithinPartitions("key")
+    found = stored(index.mapInPandas(lambda it: _partners(it, plan), "a long, b long"))
+    pairs, dense = found.filter("b IS NOT NULL"), stored(found.filter("b IS NULL").select(F.col("a").alias("shingles")).distinct())
+    sets = _sets(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("shingles")).unionByName(dense), plan, id_col, text_col)
+    links = stored(_verified(pairs, sets, plan))
+    labels = connected(links)
+    more = stored(_rest(sets.join(dense, "shingles", "left_semi"), labels, plan).join(pairs, ["a", "b"], "left_anti"))
+    labels = connected(links.unionByName(_verified(more, sets, plan)))
     return prints, classes.join(labels, F.col("shingles") == F.col("node"), "left").select("shingles", "rep", F.coalesce("component", "shingles").alias("component"))
 
 

@@ -143,10 +143,9 @@ def test_near_plan_at_the_similarity(spark):
         assert all(got[i] in (i, i - i % 2) for i in got)
 
 
-def test_many_alike_rows_in_rounds(spark, monkeypatch):
-    """With few looks and partners a round, later rounds find what the first left out."""
-    monkeypatch.setattr(simhash, "LOOKS", 2)
-    monkeypatch.setattr(simhash, "MORE", 2)
+def test_many_alike_rows(spark, monkeypatch):
+    """With one look the search over shingles finds what the postings left out."""
+    monkeypatch.setattr(simhash, "LOOKS", 1)
     words = [f"w{i}" for i in range(200)]
     rows = [(i, " ".join([*words[:150], *(f"x{i}y{k}" for k in range(9))])) for i in range(60)] + [(100 + i, " ".join([*words[:150], *(f"x{i}y{k}" for k in range(40))])) for i in range(60)]
     got = {r.doc_id: r.component_id for r in simhash.groups(spark.createDataFrame(rows, "doc_id long, text string"), simhash.NEAR).collect()}
@@ -169,3 +168,20 @@ def test_repeats_do_not_part_like_sets(spark):
     assert all(sets[i] == sets[i + 1] and len(sets[i]) == 6 and len(sets[i + 2] & sets[i + 3]) >= 0.8 * len(sets[i + 2] | sets[i + 3]) for i in range(0, 200, 4))
     got = {r.doc_id: r.component_id for r in simhash.groups(spark.createDataFrame(rows, "doc_id long, text string"), simhash.NEAR).collect()}
     assert got == {i: i - i % 2 for i in got}
+
+
+def test_prefix_filter_loses_nothing(spark):
+    """All pairs of a similarity of at least 0.8 and of different components are among those proposed, whatever the sets."""
+    rng = np.random.default_rng(8)
+    sets = {}
+    for i in range(220):
+        base = np.arange(40 * (i % 7), 40 * (i % 7) + int(rng.integers(1, 40)))
+        gone = rng.random(len(base)) < rng.choice([0, 0.05, 0.2])
+        sets[i] = sorted({*base[~gone].tolist(), *rng.integers(1000, 1400, int(rng.integers(0, 4))).tolist()}) or [i]
+    df = spark.createDataFrame([(i, m) for i, m in sets.items()], "shingles long, members array<long>")
+    labels = spark.createDataFrame([(i, i % 3) for i in range(30)], "node long, component long")
+    label = {i: i % 3 if i < 30 else i for i in sets}
+    got = {(r.a, r.b) for r in simhash._rest(df, labels, simhash.NEAR).collect()}
+    want = {(a, b) for a in sets for b in sets if a < b and label[a] != label[b] and 5 * len({*sets[a]} & {*sets[b]}) >= 4 * len({*sets[a]} | {*sets[b]})}
+    assert len(want) > 100 and want <= got
+    assert {(r.a, r.b) for r in simhash._verified(simhash._rest(df, labels, simhash.NEAR), df, simhash.NEAR).collect()} == want
