@@ -37,7 +37,8 @@ SELECT ticker, obs_date, close * (CASE WHEN day(obs_date) = 13 THEN 1.01 ELSE 1.
     "facts": """
 SELECT l_suppkey AS cik, l_returnflag || l_linestatus AS concept, l_orderkey AS accession,
  CAST(l_shipdate AS DATE) AS end_date, CAST(CAST(l_shipdate AS DATE) + CAST(l_orderkey % 90 AS INTEGER) AS DATE) AS filed,
- CASE WHEN l_linenumber = 7 THEN '10-K/A' ELSE '10-K' END AS form, l_extendedprice AS val FROM lineitem""",
+ CASE WHEN l_linenumber = 7 THEN '10-K/A' ELSE '10-K' END AS form, l_extendedprice AS val,
+ CAST(CAST(l_shipdate AS DATE) - CAST(340 + l_orderkey % 60 AS INTEGER) AS DATE) AS start_date FROM lineitem""",
     "company_years": """
 SELECT l_suppkey AS cik, CAST(year(l_shipdate) AS INTEGER) AS yr, s_name AS name, s_nationkey AS sic,
  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS revenue,

@@ -1,107 +1,568 @@
-"""Financial and statistical analytics (L) over the fixture views, as Spark SQL and DuckDB SQL."""
+"""Financial and statistical analytics (L): operators over the fixture views, each with DuckDB SQL of its own for the same rows."""
 
 from __future__ import annotations
 
-from palimpsest.plans.fixtures import sql, with_fixtures
+from pyspark.sql import functions as F
 
-D = "CAST({} AS DOUBLE)".format
-SHARES = "(SELECT *, row_number() OVER (PARTITION BY yr, sic ORDER BY revenue DESC, cik) AS rk, CAST(revenue AS DOUBLE) / CAST(sum(revenue) OVER (PARTITION BY yr, sic) AS DOUBLE) AS share FROM company_years)"
-CUM = f"(SELECT *, sum(share) OVER (PARTITION BY yr, sic ORDER BY rk ROWS UNBOUNDED PRECEDING) AS cum FROM {SHARES} cs)"
-QUARTERS = "(SELECT cik, concept, CAST(date_trunc('quarter', end_date) AS DATE) AS q, CAST(sum(CAST(val AS DECIMAL(14,2))) AS DECIMAL(22,2)) AS v FROM facts GROUP BY 1, 2, 3)"
-YEARS = "(SELECT cik, concept, year(end_date) AS yr, CAST(sum(CAST(val AS DECIMAL(14,2))) AS DECIMAL(22,2)) AS v FROM facts GROUP BY 1, 2, 3)"
+from palimpsest.operators import economy as E
+from palimpsest.operators import finance as L
+from palimpsest.plans.fixtures import sql, table, with_fixtures
+
+QUERIES, ORACLES = {}, {}
+#: Inputs that several queries share.
+QUARTERS = "SELECT cik, concept, CAST(date_trunc('quarter', end_date) AS DATE) AS q, CAST(sum(CAST(val AS DECIMAL(14,2))) AS DECIMAL(22,2)) AS v FROM facts GROUP BY 1, 2, 3"
+YEARS = "SELECT cik, concept, CAST(year(end_date) AS INTEGER) AS yr, CAST(sum(CAST(val AS DECIMAL(14,2))) AS DECIMAL(22,2)) AS v FROM facts GROUP BY 1, 2, 3"
 MONTHLY = "(SELECT ticker, CAST(date_trunc('month', obs_date) AS DATE) AS m, avg(close) AS v FROM prices GROUP BY 1, 2)"
-ROA = "(SELECT cik, yr, sic, revenue, net_income, CAST(net_income AS DOUBLE) / nullif(CAST(revenue AS DOUBLE), 0) AS r FROM company_years)"
-
-SQL: dict[str, str | tuple[str, str]] = {
-    "l1_company_years": "SELECT cik, concept, fy, val FROM (SELECT *, year(end_date - INTERVAL 182 DAY) AS fy, row_number() OVER (PARTITION BY cik, concept, year(end_date - INTERVAL 182 DAY) ORDER BY filed DESC, accession DESC, val DESC) AS n FROM facts WHERE form = '10-K' AND end_date <= filed AND val > 0) x WHERE n = 1",
-    "l2_concentration": f"SELECT yr, sic, count(*) AS companies, round(max(share), 6) AS top1, round(sum(CASE WHEN rk <= 4 THEN share ELSE 0 END), 6) AS cr4, round(sum(share * share) * 10000, 3) AS hhi, min(CASE WHEN cum >= 0.5 THEN rk END) AS to_half FROM {CUM} c GROUP BY yr, sic",
-    "l3_industry_codes": "SELECT cik, yr, sic, CAST(floor(sic / 10) AS BIGINT) AS sic1, CASE WHEN sic < 5 THEN 'farm' WHEN sic < 10 THEN 'mine' WHEN sic < 18 THEN 'make' ELSE 'serve' END AS sector, CASE WHEN revenue < 1000000 THEN 'small' ELSE 'large' END AS size FROM company_years",
-    "l4_grain_table": "SELECT grain, count(*) AS n_groups, count(*) FILTER (WHERE n >= 5) AS groups_of_5, count(*) FILTER (WHERE n = 1) AS singletons FROM (SELECT 'sic' AS grain, sic AS g, count(DISTINCT cik) AS n FROM company_years GROUP BY sic UNION ALL SELECT 'tens', CAST(floor(sic / 10) AS BIGINT), count(DISTINCT cik) FROM company_years GROUP BY 2) x GROUP BY grain",
-    "l5_concentration_named": ("SELECT sic, max_by(name, struct(revenue, cik)) AS label, count(DISTINCT cik) AS companies FROM company_years WHERE yr = 1996 GROUP BY sic", "SELECT sic, arg_max(name, row(revenue, cik)) AS label, count(DISTINCT cik) AS companies FROM company_years WHERE yr = 1996 GROUP BY sic"),
-    "l6_size_curve": f"SELECT yr, min(CASE WHEN c >= 0.25 THEN rk END) AS r25, min(CASE WHEN c >= 0.5 THEN rk END) AS r50, min(CASE WHEN c >= 0.9 THEN rk END) AS r90 FROM (SELECT yr, row_number() OVER (PARTITION BY yr ORDER BY revenue DESC, cik) AS rk, {D('sum(revenue) OVER (PARTITION BY yr ORDER BY revenue DESC, cik ROWS UNBOUNDED PRECEDING)')} / {D('sum(revenue) OVER (PARTITION BY yr)')} AS c FROM company_years) x GROUP BY yr",
-    "l7_mix_table": "SELECT sic, n, revenue, round(CAST(revenue AS DOUBLE) / CAST(sum(revenue) OVER () AS DOUBLE), 6) AS share, losing FROM (SELECT sic, count(*) AS n, CAST(sum(revenue) AS DECIMAL(30,2)) AS revenue, count(*) FILTER (WHERE net_income < 0) AS losing FROM company_years WHERE yr = 1995 GROUP BY sic) x",
-    "l8_profitability": f"SELECT sic, yr, round({D('sum(net_income)')} / {D('sum(revenue)')}, 6) AS margin, count(*) FILTER (WHERE net_income < 0) AS losing, count(*) AS n FROM company_years GROUP BY sic, yr",
-    "l9_concentration_over_time": f"SELECT yr, round(median(hhi), 3) AS median_hhi FROM (SELECT yr, sic, round(sum(share * share) * 10000, 3) AS hhi FROM {SHARES} s GROUP BY yr, sic) x GROUP BY yr",
-    "l10_share_at_grains": f"SELECT yr, round({D('sum(CASE WHEN cik = 10 THEN revenue ELSE 0 END)')} / {D('sum(revenue)')}, 8) AS of_all, round({D('sum(CASE WHEN cik = 10 THEN revenue ELSE 0 END)')} / nullif({D('sum(CASE WHEN sic IN (SELECT sic FROM company_years WHERE cik = 10) THEN revenue ELSE 0 END)')}, 0), 8) AS of_sic FROM company_years GROUP BY yr",
-    "l11_filers_vs_macro": "SELECT f.y, f.filers, round(m.v, 4) AS macro FROM (SELECT year(filed) AS y, count(DISTINCT cik) AS filers FROM facts WHERE form = '10-K' GROUP BY 1) f JOIN (SELECT year(obs_date) AS y, avg(close) AS v FROM prices GROUP BY 1) m ON f.y = m.y",
-    "l12_deflate": f"SELECT c.cik, c.yr, round({D('c.revenue')} / (p.v / b.v), 2) AS real_revenue FROM company_years c JOIN (SELECT year(obs_date) AS y, avg(close) AS v FROM prices GROUP BY 1) p ON p.y = c.yr CROSS JOIN (SELECT avg(close) AS v FROM prices WHERE year(obs_date) = 1995) b",
-    "l13_ratio_by_group": "SELECT sic, round(CAST(sum(a) AS DOUBLE) / nullif(CAST(sum(b) AS DOUBLE), 0), 6) AS ratio FROM (SELECT cik, max(CASE WHEN concept = 'AF' THEN CAST(val AS DECIMAL(14,2)) END) AS a, max(CASE WHEN concept = 'RF' THEN CAST(val AS DECIMAL(14,2)) END) AS b FROM facts GROUP BY cik) x JOIN (SELECT DISTINCT cik, sic FROM company_years) y ON x.cik = y.cik GROUP BY sic",
-    "l14_frame_totals": "SELECT yr, CAST(sum(revenue) AS DECIMAL(30,2)) AS total, CAST(sum(CASE WHEN rk <= 20 THEN revenue END) AS DECIMAL(30,2)) AS top20 FROM (SELECT *, row_number() OVER (PARTITION BY yr ORDER BY revenue DESC, cik) AS rk FROM company_years) x GROUP BY yr",
-    "l15_filing_lag": ("SELECT year(end_date) AS yr, median(datediff(filed, end_date)) AS med, percentile(datediff(filed, end_date), 0.9) AS p90, count(*) FILTER (WHERE datediff(filed, end_date) > 60) AS late FROM facts GROUP BY 1", "SELECT year(end_date) AS yr, median(filed - end_date) AS med, quantile_cont(filed - end_date, 0.9) AS p90, count(*) FILTER (WHERE filed - end_date > 60) AS late FROM facts GROUP BY 1"),
-    "l16_coverage_ratios": f"SELECT c.yr, round({D('sum(c.revenue)')} / o.v, 8) AS ratio FROM company_years c JOIN (SELECT year(o_orderdate) AS y, CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS v FROM orders GROUP BY 1) o ON o.y = c.yr GROUP BY c.yr, o.v",
-    "l17_sector_shares": "SELECT coalesce(a.k, b.k) AS k, coalesce(a.n, 0) AS suppliers, coalesce(b.n, 0) AS customers FROM (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1) a FULL JOIN (SELECT c_nationkey AS k, count(*) AS n FROM customer WHERE c_nationkey <> 3 GROUP BY 1) b ON a.k = b.k",
-    "l18_statements": ("SELECT cik, max_by(val, struct(filed, accession, val)) FILTER (WHERE concept = 'AF') AS af, max_by(val, struct(filed, accession, val)) FILTER (WHERE concept = 'NO') AS no, coalesce(max_by(val, struct(filed, accession, val)) FILTER (WHERE concept = 'RF'), max_by(val, struct(filed, accession, val)) FILTER (WHERE concept = 'NF')) AS first_known FROM facts WHERE filed <= DATE '1997-01-01' GROUP BY cik", "SELECT cik, arg_max(val, row(filed, accession, val)) FILTER (WHERE concept = 'AF') AS af, arg_max(val, row(filed, accession, val)) FILTER (WHERE concept = 'NO') AS no, coalesce(arg_max(val, row(filed, accession, val)) FILTER (WHERE concept = 'RF'), arg_max(val, row(filed, accession, val)) FILTER (WHERE concept = 'NF')) AS first_known FROM facts WHERE filed <= DATE '1997-01-01' GROUP BY cik"),
-    "l19_ratios": f"SELECT cik, yr, round({D('net_income')} / nullif({D('revenue')}, 0), 6) AS margin, CASE WHEN net_income > 0 THEN round({D('revenue')} / {D('net_income')}, 4) END AS sales_to_income FROM company_years",
-    "l20_peer_ranks": f"SELECT cik, yr, round(percent_rank() OVER (PARTITION BY sic, yr ORDER BY r, cik), 6) AS pct, count(*) OVER (PARTITION BY sic, yr) AS n FROM {ROA} x",
-    "l21_restatements": "SELECT cik, concept, end_date, first_val, last_val, n, round(abs(last_val / nullif(first_val, 0) - 1), 6) AS size FROM (SELECT cik, concept, end_date, val, first_value(val) OVER w AS first_val, last_value(val) OVER w AS last_val, count(*) OVER w AS n, row_number() OVER (PARTITION BY cik, concept, end_date ORDER BY filed, accession, val) AS rn FROM facts WINDOW w AS (PARTITION BY cik, concept, end_date ORDER BY filed, accession, val ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) x WHERE rn = 1 AND n > 1 AND first_val <> last_val",
-    "l22_restatement_summary": "SELECT yr, count(*) AS restated, count(DISTINCT cik) AS companies FROM (SELECT cik, concept, end_date, year(end_date) AS yr FROM facts GROUP BY cik, concept, end_date HAVING count(DISTINCT val) > 1) x GROUP BY yr",
-    "l23_anchored_panel": "SELECT f.cik, f.concept, f.end_date, max(f.val) AS val FROM facts f JOIN (SELECT cik, year(end_date) AS y, max(end_date) AS last FROM facts GROUP BY 1, 2) e ON e.cik = f.cik AND e.last = f.end_date GROUP BY f.cik, f.concept, f.end_date",
-    "l24_exits": ("SELECT cik, max(yr) AS last_year, max_by(yr, struct(revenue, yr)) AS peak_year FROM company_years GROUP BY cik", "SELECT cik, max(yr) AS last_year, arg_max(yr, row(revenue, yr)) AS peak_year FROM company_years GROUP BY cik"),
-    "l25_split_adjusted": "SELECT cik, concept, accession, end_date, CASE WHEN filed < DATE '1996-06-01' THEN val / 2 ELSE val END AS adjusted FROM facts WHERE cik < 20",
-    "l26_quarterly": f"SELECT y.cik, y.concept, y.yr, CAST(y.v - q.v AS DECIMAL(24,2)) AS q4 FROM {YEARS} y JOIN (SELECT cik, concept, year(q) AS yr, sum(v) AS v FROM {QUARTERS} z WHERE month(q) < 10 GROUP BY 1, 2, 3 HAVING count(*) = 3) q ON q.cik = y.cik AND q.concept = y.concept AND q.yr = y.yr",
-    "l27_quarterly_revenue": f"SELECT cik, q, max(v) AS v FROM {QUARTERS} z GROUP BY cik, q",
-    "l28_same_company_growth": f"SELECT a.q, count(*) AS n, round({D('sum(a.v)')} / {D('sum(b.v)')} - 1, 6) AS growth FROM (SELECT cik, q, max(v) AS v FROM {QUARTERS} z GROUP BY cik, q) a JOIN (SELECT cik, CAST(q + INTERVAL 1 YEAR AS DATE) AS q, max(v) AS v FROM {QUARTERS} z GROUP BY 1, 2) b ON a.cik = b.cik AND a.q = b.q GROUP BY a.q",
-    "l29_return_on_capital": f"SELECT a.cik, a.yr, round({D('a.net_income')} / nullif({D('b.revenue')}, 0), 6) AS ret FROM company_years a JOIN company_years b ON a.cik = b.cik AND a.yr = b.yr + 1",
-    "l30_capital_percentiles": f"SELECT yr, round(min(CASE WHEN c >= 0.1 THEN r END), 6) AS p10, round(min(CASE WHEN c >= 0.5 THEN r END), 6) AS p50, round(min(CASE WHEN c >= 0.9 THEN r END), 6) AS p90 FROM (SELECT yr, r, {D('sum(revenue) OVER (PARTITION BY yr ORDER BY r, cik ROWS UNBOUNDED PRECEDING)')} / {D('sum(revenue) OVER (PARTITION BY yr)')} AS c FROM {ROA} x) y GROUP BY yr",
-    "l31_cohort_track": f"SELECT g.g, c.yr, CAST(sum(c.net_income) AS DECIMAL(30,4)) AS income, round({D('sum(c.net_income)')} / {D('sum(c.revenue)')}, 6) AS pooled FROM (SELECT cik, ntile(5) OVER (ORDER BY r, cik) AS g FROM {ROA} x WHERE yr = 1994) g JOIN company_years c ON c.cik = g.cik GROUP BY g.g, c.yr",
-    "l32_industry_returns": f"SELECT sic, round({D('sum(net_income) FILTER (WHERE yr < 1995)')} / {D('sum(revenue) FILTER (WHERE yr < 1995)')}, 6) AS early, round({D('sum(net_income) FILTER (WHERE yr >= 1995)')} / {D('sum(revenue) FILTER (WHERE yr >= 1995)')}, 6) AS late FROM company_years GROUP BY sic",
-    "l33_identity_gap": "SELECT max(abs(n - parts)) AS worst FROM (SELECT year(o_orderdate) AS y, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') + count(*) FILTER (WHERE o_orderstatus = 'O') + count(*) FILTER (WHERE o_orderstatus = 'P') AS parts FROM orders GROUP BY 1) x",
-    "l34_real_growth": f"SELECT a.ticker, a.m, round(a.v / b.v - 1, 6) AS yoy FROM {MONTHLY} a JOIN {MONTHLY} b ON a.ticker = b.ticker AND a.m = CAST(b.m + INTERVAL 1 YEAR AS DATE)",
-    "l35_pair_fit": f"SELECT round(corr(a.v, b.v), 6) AS fit, count(*) AS n, round(median(abs(a.v - b.v)), 2) AS gap FROM {MONTHLY} a JOIN {MONTHLY} b ON a.m = b.m WHERE a.ticker = 'HIGH' AND b.ticker = 'URGENT'",
-    "l36_annual_table": f"SELECT ticker, year(m) AS y, count(*) AS months, round(avg(v), 4) AS mean FROM {MONTHLY} a GROUP BY 1, 2 HAVING count(*) = 12",
-    "l37_period_averages": f"SELECT s.name, a.ticker, round(avg(a.v), 4) AS mean FROM {MONTHLY} a JOIN (SELECT 'early' AS name, 1992 AS lo, 1994 AS hi UNION ALL SELECT 'late', 1995, 1997) s ON year(a.m) BETWEEN s.lo AND s.hi GROUP BY 1, 2",
-    "l38_concept_index": "SELECT concept, count(*) AS n_facts, count(DISTINCT cik) AS filers, min(year(end_date)) AS first_year, max(year(end_date)) AS last_year FROM facts GROUP BY concept",
-    "l39_company_index": "SELECT cik, min(end_date) AS first_date, max(end_date) AS last_date, max(filed) >= DATE '1998-10-01' AS recent FROM facts GROUP BY cik",
-    "l40_form_mix": "SELECT year(filed) AS y, form, count(*) AS n FROM facts GROUP BY 1, 2",
-    "l41_per_person": "SELECT n_name, round(CAST(sum(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) / count(*), 4) AS per_person, rank() OVER (ORDER BY sum(CAST(c_acctbal AS DECIMAL(12,2))) / CAST(count(*) AS DECIMAL(10,0)) DESC) AS rk FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name",
-    "l42_latest_actual": (
-        "SELECT s_suppkey, coalesce(TRY_CAST(label AS INTEGER), rule + TRY_CAST(regexp_extract(label, '^[FS]Y([0-9]{4})/[0-9]{2}$', 1) AS INTEGER)) AS latest_actual FROM (SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN '2023' WHEN 1 THEN 'FY2023/24' WHEN 2 THEN 'SY2024/25' ELSE '' END AS label, CASE s_suppkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 END AS rule FROM supplier) x"
-    ),
-    "l43_newest_edition": "SELECT series_id, obs_date, value FROM obs WHERE vintage = (SELECT max(vintage) FROM obs)",
-    "l44_population_panel": "SELECT n_name, max(CASE WHEN yr = 1994 THEN n END) AS y1994, max(CASE WHEN yr = 1995 THEN n END) AS y1995 FROM (SELECT n_name, year(o_orderdate) AS yr, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2) x GROUP BY n_name",
-    "l45_location_region": "SELECT s_suppkey, n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey",
-    "l46_growth_ranks": f"SELECT cik, yr, rank() OVER (PARTITION BY yr ORDER BY revenue DESC) AS rk, round({D('revenue')} / nullif({D('lag(revenue) OVER (PARTITION BY cik ORDER BY yr)')}, 0) - 1, 6) AS growth FROM company_years",
-    "l47_lineage": "WITH RECURSIVE walk AS (SELECT o, a AS cur, 1 AS steps FROM edges UNION ALL SELECT w.o, e.a AS cur, w.steps + 1 AS steps FROM walk w JOIN edges e ON e.o = w.cur WHERE w.steps < 60) SELECT o, cur AS survivor, steps FROM (SELECT *, row_number() OVER (PARTITION BY o ORDER BY steps DESC) AS n FROM walk) x WHERE n = 1",
-    "l48_survivors": "WITH RECURSIVE walk AS (SELECT o, a AS cur, 1 AS steps FROM edges UNION ALL SELECT w.o, e.a AS cur, w.steps + 1 AS steps FROM walk w JOIN edges e ON e.o = w.cur WHERE w.steps < 60) SELECT cur AS survivor, count(DISTINCT o) AS merged FROM walk GROUP BY cur",
-    "l49_alive_by_year": "SELECT y.y, count(*) AS alive FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders) y JOIN (SELECT o_custkey, min(year(o_orderdate)) AS a, max(year(o_orderdate)) AS b FROM orders GROUP BY 1) e ON y.y BETWEEN e.a AND e.b GROUP BY y.y",
-    "l50_impute_location": "SELECT s.s_suppkey, coalesce(CASE WHEN s.s_suppkey % 4 <> 0 THEN CAST(s.s_suppkey AS DOUBLE) END, round(m.v, 4)) AS lat FROM supplier s LEFT JOIN (SELECT s_nationkey, avg(CAST(s_suppkey AS DOUBLE)) AS v FROM supplier WHERE s_suppkey % 4 <> 0 GROUP BY 1) m ON m.s_nationkey = s.s_nationkey",
-    "l51_weekly_cases": "SELECT user_id, wk, n, n - coalesce(lag(n) OVER (PARTITION BY user_id ORDER BY wk), 0) AS new_cases FROM (SELECT user_id, wk, sum(c) OVER (PARTITION BY user_id ORDER BY wk) AS n FROM (SELECT user_id, CAST(date_trunc('week', ts) AS DATE) AS wk, count(*) AS c FROM events GROUP BY 1, 2) a) b",
-    "l52_case_comparison": "SELECT coalesce(a.k, b.k) AS k, coalesce(a.n, 0) AS left_n, coalesce(b.n, 0) AS right_n FROM (SELECT user_id % 50 AS k, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY 1) a FULL JOIN (SELECT user_id % 50 AS k, count(*) AS n FROM events WHERE event_type = 'view' GROUP BY 1) b ON a.k = b.k",
-    "l53_income_shares": f"SELECT yr, sic, round({D('sum(net_income)')} / {D('sum(sum(revenue)) OVER (PARTITION BY yr)')}, 8) AS share FROM company_years GROUP BY yr, sic",
-    "l54_hierarchy_ties": "SELECT n_regionkey, sum(n) AS parts, max(t) AS total FROM (SELECT n_nationkey, n_regionkey, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2) a JOIN (SELECT n_regionkey AS rk, count(*) AS t FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1) b ON a.n_regionkey = b.rk GROUP BY n_regionkey",
-    "l55_file_vintage_diff": "SELECT a.form, count(*) AS n, count(*) FILTER (WHERE a.val <> b.val) AS changed, round(max(abs(b.val / a.val - 1)) * 100, 6) AS max_pct FROM landings a JOIN landings b ON a.id = b.id AND a.run_id = 'r1' AND b.run_id = 'r2' GROUP BY a.form",
-    "l56_band_shares": "SELECT yr, CAST(sum(revenue) FILTER (WHERE revenue >= 1000000) AS DECIMAL(30,2)) AS top_band, CAST(sum(revenue) AS DECIMAL(30,2)) AS total FROM company_years GROUP BY yr",
-    "l57_preparers": (
-        "SELECT p_brand, CASE WHEN lower(p_brand) RLIKE 'brand#1' THEN 'first' WHEN lower(p_brand) RLIKE 'brand#[23]' THEN 'second' ELSE 'other' END AS firm, count(*) AS n, count_if(arrays_overlap(split(p_name, ' '), array('cold', 'hot', 'green'))) AS credentialed, CASE WHEN count(*) < 10 THEN 'small' WHEN count(*) < 50 THEN 'middle' ELSE 'large' END AS size_class FROM part GROUP BY p_brand",
-        "SELECT p_brand, CASE WHEN regexp_matches(lower(p_brand), 'brand#1') THEN 'first' WHEN regexp_matches(lower(p_brand), 'brand#[23]') THEN 'second' ELSE 'other' END AS firm, count(*) AS n, count(*) FILTER (WHERE list_has_any(string_split(p_name, ' '), ['cold', 'hot', 'green'])) AS credentialed, CASE WHEN count(*) < 10 THEN 'small' WHEN count(*) < 50 THEN 'middle' ELSE 'large' END AS size_class FROM part GROUP BY p_brand",
-    ),
-    "l58_seasonality": f"SELECT ticker, year(m) AS y, round(max(CASE WHEN month(m) <= 4 THEN v END) / min(CASE WHEN month(m) BETWEEN 6 AND 10 THEN v END), 6) AS ratio FROM {MONTHLY} a GROUP BY 1, 2",
-    "l59_company_profile": "SELECT concept, end_date, count(DISTINCT abs(val)) AS n_values FROM facts WHERE cik = 7 GROUP BY concept, end_date",
-    "l60_mine_text": ("SELECT doc_id, regexp_extract(regexp_replace(text, '[0-9]', '#'), '([a-z]+)[.]', 1) AS first_end, regexp_extract(text, '([0-9]{1,3})[.]([0-9]{1,3})[.]', 1) AS figure FROM documents", "SELECT doc_id, regexp_extract(regexp_replace(text, '[0-9]', '#', 'g'), '([a-z]+)[.]', 1) AS first_end, regexp_extract(text, '([0-9]{1,3})[.]([0-9]{1,3})[.]', 1) AS figure FROM documents"),
-    "l61_survey_groups": f"SELECT yr, slice, count(*) AS n, round({D('sum(CASE WHEN net_income > 0 THEN revenue ELSE 0 END)')} / {D('sum(revenue)')}, 6) AS used FROM (SELECT yr, revenue, net_income, CAST(least(floor({D('sum(revenue) OVER (PARTITION BY yr ORDER BY revenue, cik ROWS UNBOUNDED PRECEDING)')} / {D('sum(revenue) OVER (PARTITION BY yr)')} * 20), 19) AS INTEGER) AS slice FROM company_years) x GROUP BY yr, slice",
-    "l62_adviser_table": (
-        f"SELECT sic, yr, count(*) AS firms, percentile_disc(0.5) WITHIN GROUP (ORDER BY {D('revenue')}) AS med, percentile_disc(0.9) WITHIN GROUP (ORDER BY {D('revenue')}) AS p90, count(*) FILTER (WHERE revenue < 500000) AS small, round({D('count(*) FILTER (WHERE net_income < 0)')} / count(*), 6) AS losing FROM company_years GROUP BY sic, yr",
-        f"SELECT sic, yr, count(*) AS firms, quantile_disc({D('revenue')}, 0.5) AS med, quantile_disc({D('revenue')}, 0.9) AS p90, count(*) FILTER (WHERE revenue < 500000) AS small, round({D('count(*) FILTER (WHERE net_income < 0)')} / count(*), 6) AS losing FROM company_years GROUP BY sic, yr",
-    ),
-    "l63_growth_vs_economy": f"SELECT a.yr, count(*) AS pairs, count(*) FILTER (WHERE a.revenue > b.revenue) AS grew, round({D('sum(a.revenue)')} / {D('sum(b.revenue)')} - 1, 6) AS aggregate FROM company_years a JOIN company_years b ON a.cik = b.cik AND a.yr = b.yr + 1 GROUP BY a.yr",
-    "l64_sector_scorecard": f"SELECT a.sic, count(*) AS years, count(*) FILTER (WHERE a.g > t.g) AS beat, round(exp(sum(ln(a.g) - ln(t.g))), 6) AS relative FROM (SELECT n.sic, n.yr, {D('n.r')} / {D('p.r')} AS g FROM (SELECT sic, yr, sum(revenue) AS r FROM company_years GROUP BY sic, yr) n JOIN (SELECT sic, yr, sum(revenue) AS r FROM company_years GROUP BY sic, yr) p ON p.sic = n.sic AND n.yr = p.yr + 1) a JOIN (SELECT n.yr, {D('n.r')} / {D('p.r')} AS g FROM (SELECT yr, sum(revenue) AS r FROM company_years GROUP BY yr) n JOIN (SELECT yr, sum(revenue) AS r FROM company_years GROUP BY yr) p ON n.yr = p.yr + 1) t ON t.yr = a.yr GROUP BY a.sic",
-    "l65_decompose_growth": "SELECT b.yr, round(ln(b.n) - ln(a.n), 6) AS people, round(ln(b.v / b.n) - ln(a.v / a.n), 6) AS output FROM (SELECT yr, CAST(count(*) AS DOUBLE) AS n, CAST(sum(revenue) AS DOUBLE) AS v FROM company_years GROUP BY yr) a JOIN (SELECT yr, CAST(count(*) AS DOUBLE) AS n, CAST(sum(revenue) AS DOUBLE) AS v FROM company_years GROUP BY yr) b ON b.yr = a.yr + 1",
-    "l66_spending_shares": f"SELECT fy, round({D('f')} / total, 6) AS f_share, round({D('o')} / total, 6) AS o_share, round({D('p')} / total, 6) AS p_share, abs(total - f - o - p) <= 0.001 * total AS adds_up FROM raw_years",
-    "l67_foreign_share": f"SELECT yr, count(*) AS n, round({D('sum(a)')} / {D('sum(a + b)')}, 6) AS foreign_share FROM (SELECT cik, year(end_date) AS yr, sum(CASE WHEN concept = 'AF' THEN CAST(val AS DECIMAL(14,2)) END) AS a, sum(CASE WHEN concept = 'NO' THEN CAST(val AS DECIMAL(14,2)) END) AS b, sum(CAST(val AS DECIMAL(14,2))) AS total FROM facts GROUP BY 1, 2) x WHERE abs(total - coalesce(a, 0) - coalesce(b, 0)) <= total * 0.6 AND a IS NOT NULL AND b IS NOT NULL GROUP BY yr",
-    "l68_trade_flows": "SELECT s_nationkey AS origin, c_nationkey AS dest, count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(14,2))) AS DECIMAL(24,2)) AS v FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2",
-    "l69_index_base": f"SELECT a.ticker, a.m, round(a.v / b.v * 100, 6) AS idx FROM {MONTHLY} a JOIN (SELECT ticker, avg(v) AS v FROM {MONTHLY} z WHERE year(m) = 1995 GROUP BY ticker) b ON a.ticker = b.ticker",
-    "l70_fiscal_series": "SELECT y, f - o AS balance, (f - o) - lag(f - o) OVER (ORDER BY y) AS change FROM (SELECT year(o_orderdate) AS y, count(*) FILTER (WHERE o_orderstatus = 'F') AS f, count(*) FILTER (WHERE o_orderstatus = 'O') AS o FROM orders GROUP BY 1) x",
-    "l71_insider_stats": (
-        "SELECT concept, percentile(datediff(filed, end_date), 0.5) AS med_lag, percentile(datediff(filed, end_date), 0.9) AS p90_lag, count(DISTINCT accession) AS filings, count(DISTINCT CASE WHEN owners > 1 THEN accession END) AS joint FROM (SELECT f.*, j.owners FROM facts f JOIN (SELECT accession AS a, count(DISTINCT cik) AS owners FROM facts GROUP BY 1) j ON j.a = f.accession) x GROUP BY concept",
-        "SELECT concept, quantile_cont(filed - end_date, 0.5) AS med_lag, quantile_cont(filed - end_date, 0.9) AS p90_lag, count(DISTINCT accession) AS filings, count(DISTINCT CASE WHEN owners > 1 THEN accession END) AS joint FROM (SELECT f.*, j.owners FROM facts f JOIN (SELECT accession AS a, count(DISTINCT cik) AS owners FROM facts GROUP BY 1) j ON j.a = f.accession) x GROUP BY concept",
-    ),
-    "l72_crosswalk": "SELECT c_custkey, replace(lower(c_name), '#', ' ') AS norm, s_suppkey FROM customer LEFT JOIN supplier ON split_part(c_name, '#', 2) = split_part(s_name, '#', 2)",
-    "l73_merger_stats": f"SELECT y, band, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS enforced, round({D('count(*) FILTER (WHERE o_orderstatus = ' + chr(39) + 'F' + chr(39) + ')')} / count(*), 6) AS rate FROM (SELECT year(o_orderdate) AS y, o_orderstatus, CASE WHEN o_totalprice < 50000 THEN 'low' WHEN o_totalprice < 200000 THEN 'middle' ELSE 'high' END AS band FROM orders) x GROUP BY y, band",
-    "l74_price_population": "SELECT p.ticker, p.n, p.a, p.b, coalesce(r.n, 0) AS ref_n, coalesce(r.splits, 0) AS splits FROM (SELECT ticker, count(*) AS n, min(obs_date) AS a, max(obs_date) AS b FROM prices GROUP BY ticker) p LEFT JOIN (SELECT ticker, count(*) AS n, count(*) FILTER (WHERE split_factor <> 1) AS splits FROM ref_prices GROUP BY ticker) r ON r.ticker = p.ticker",
-    "l75_regional_mean": "SELECT n_regionkey, c_mktsegment, round(CAST(sum(CAST(c_acctbal AS DECIMAL(12,2)) * c_custkey) AS DOUBLE) / sum(c_custkey), 4) AS weighted FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2",
-    "l76_domicile_matrix": "SELECT a.n_name AS home, b.n_name AS office, count(*) AS n FROM supplier JOIN nation a ON s_nationkey = a.n_nationkey JOIN nation b ON (s_nationkey + s_suppkey) % 25 = b.n_nationkey GROUP BY 1, 2",
-    "l77_annual_tie": f"SELECT count(*) AS n, count(*) FILTER (WHERE abs(q.v / y.v - 1) > 0.05) AS off FROM {YEARS} y JOIN (SELECT cik, concept, year(q) AS yr, sum(v) AS v FROM {QUARTERS} z GROUP BY 1, 2, 3 HAVING count(*) = 4) q ON q.cik = y.cik AND q.concept = y.concept AND q.yr = y.yr",
-    "l78_peak_order": (f"SELECT cik, max_by(yr, struct(r, yr)) AS best_margin, max_by(yr, struct(revenue, yr)) AS best_revenue FROM {ROA} x GROUP BY cik", f"SELECT cik, arg_max(yr, row(r, yr)) AS best_margin, arg_max(yr, row(revenue, yr)) AS best_revenue FROM {ROA} x GROUP BY cik"),
-}
-QUERIES = {k: (lambda s, d, q=v if isinstance(v, str) else v[0]: sql(s, d, q)) for k, v in SQL.items()}
-ORACLES = {k: with_fixtures(v if isinstance(v, str) else v[1]) for k, v in SQL.items()}
+ROA = "SELECT cik, yr, sic, revenue, net_income, CAST(net_income AS DOUBLE) / nullif(CAST(revenue AS DOUBLE), 0) AS r FROM company_years"
+SHARES = "(SELECT *, sum(share) OVER (PARTITION BY yr, sic ORDER BY rk ROWS UNBOUNDED PRECEDING) AS cum FROM (SELECT *, row_number() OVER (PARTITION BY yr, sic ORDER BY revenue DESC, cik) AS rk, CAST(revenue AS DOUBLE) / CAST(sum(revenue) OVER (PARTITION BY yr, sic) AS DOUBLE) AS share FROM company_years))"
+CODES = "SELECT s_suppkey AS cik, s_nationkey AS sic FROM supplier"
+ECONOMY = "SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS macro, CAST(count(*) AS DOUBLE) AS orders FROM orders GROUP BY 1"
+STATEMENTS = """SELECT cik, yr, sum(val) AS revenue, sum(CASE WHEN concept = 'AF' THEN val ELSE 0 END) AS cost, sum(CASE WHEN concept = 'RF' THEN val END) AS operating_income, sum(CASE WHEN form = '10-K/A' THEN -val ELSE val / 9 END) AS net_income,
+ 2 * sum(val) AS assets, sum(CASE WHEN concept = 'NO' THEN val END) - sum(CASE WHEN concept = 'NF' THEN val END) AS equity, max(val) AS current_assets, min(val) AS current_liabilities, avg(val) AS inventory, avg(val) / 2 AS debt,
+ CAST(count(*) - 20 AS DOUBLE) AS interest, max(val) / 3 AS receivables, min(val) / 3 AS capex, min(val) / 7 AS depreciation FROM (SELECT *, CAST(year(end_date) AS INTEGER) AS yr FROM facts) f GROUP BY cik, yr"""
+
+
+def query(oracle: str):
+    """Registers a query of the platform with DuckDB SQL for its rows."""
+
+    def add(f):
+        QUERIES[f.__name__], ORACLES[f.__name__] = f, with_fixtures(oracle)
+        return f
+
+    return add
+
+
+def rounded(df, digits, *cols):
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
+def years_of(spark, d):
+    return table(spark, d, "company_years")
+
+
+def months_of(spark, d):
+    return E.monthly(table(spark, d, "prices"), ["ticker"], "obs_date", "close")
+
+
+@query("""WITH f AS (SELECT * FROM facts WHERE form = '10-K' AND end_date <= filed AND val > 0 AND end_date - start_date BETWEEN 350 AND 380 AND concept IN ('RF', 'NO', 'AF')),
+newest AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY cik, concept, end_date ORDER BY filed DESC, accession DESC, val DESC) = 1),
+ranked AS (SELECT *, year(end_date - INTERVAL 182 DAY) AS fy FROM newest WHERE cik NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 7))
+SELECT cik, fy, concept, end_date, val FROM ranked QUALIFY row_number() OVER (PARTITION BY cik, fy ORDER BY end_date DESC, list_position(['RF', 'NO', 'AF'], concept)) = 1""")
+def l1_company_years(spark, d):
+    return L.company_years(table(spark, d, "facts"), sql(spark, d, CODES), ["RF", "NO", "AF"], [7])
+
+
+@query(f"SELECT yr, sic, count(*) AS companies, round(max(share), 6) AS top1, round(sum(CASE WHEN rk <= 4 THEN share ELSE 0 END), 6) AS cr4, round(sum(share * share) * 10000, 3) AS hhi, min(CASE WHEN cum >= 0.5 THEN rk END) AS to_half FROM {SHARES} GROUP BY yr, sic")
+def l2_concentration(spark, d):
+    return rounded(L.concentration(years_of(spark, d), ["yr", "sic"], "revenue", ["cik"]), 6, "top1", "cr4").withColumn("hhi", F.round("hhi", 3))
+
+
+@query("SELECT cik, yr, sic, CAST(floor(sic / 10) AS BIGINT) AS sic1, CASE WHEN sic < 5 THEN 'farm' WHEN sic < 10 THEN 'mine' WHEN sic < 18 THEN 'make' ELSE 'serve' END AS sector, CASE WHEN revenue < 1000000 THEN 'small' ELSE 'large' END AS size FROM company_years")
+def l3_industry_codes(spark, d):
+    return L.industry_codes(years_of(spark, d).select("cik", "yr", "sic", "revenue"), "sic", [(5, "farm"), (10, "mine"), (18, "make")], "serve", "revenue", 1_000_000).drop("revenue")
+
+
+@query("""SELECT grain, count(*) AS n_groups, count(*) FILTER (WHERE n >= 5) AS large_groups, CAST(coalesce(sum(n) FILTER (WHERE n >= 5), 0) AS BIGINT) AS covered, count(*) FILTER (WHERE n = 1) AS singletons FROM (
+ SELECT 'sic' AS grain, sic AS g, count(DISTINCT cik) AS n FROM company_years GROUP BY sic UNION ALL SELECT 'tens', CAST(floor(sic / 10) AS BIGINT), count(DISTINCT cik) FROM company_years GROUP BY 2) GROUP BY grain""")
+def l4_grain_table(spark, d):
+    return L.grain_table(years_of(spark, d), "cik", {"sic": F.col("sic"), "tens": F.floor(F.col("sic") / 10)}, 5)
+
+
+@query(f"SELECT yr, sic, arg_max(name, row(revenue, cik, name)) AS label, count(*) AS companies, round(max(share), 6) AS top1, round(sum(share * share) * 10000, 3) AS hhi FROM {SHARES} GROUP BY yr, sic")
+def l5_concentration_named(spark, d):
+    out = L.concentration(years_of(spark, d), ["yr", "sic"], "revenue", ["cik"], "name")
+    return out.select("yr", "sic", "label", "companies", F.round("top1", 6).alias("top1"), F.round("hhi", 3).alias("hhi"))
+
+
+@query("""SELECT yr, min(rk) FILTER (WHERE c >= 0.25) AS r25, min(rk) FILTER (WHERE c >= 0.5) AS r50, min(rk) FILTER (WHERE c >= 0.8) AS r80, min(rk) FILTER (WHERE c >= 0.9) AS r90, min(rk) FILTER (WHERE c >= 0.99) AS r99 FROM (
+ SELECT yr, row_number() OVER w AS rk, CAST(sum(revenue) OVER w AS DOUBLE) / CAST(sum(revenue) OVER (PARTITION BY yr) AS DOUBLE) AS c FROM company_years WINDOW w AS (PARTITION BY yr ORDER BY revenue DESC, cik ROWS UNBOUNDED PRECEDING)) GROUP BY yr""")
+def l6_size_curve(spark, d):
+    return L.size_curve(years_of(spark, d), ["yr"], "revenue", ["cik"], [0.25, 0.5, 0.8, 0.9, 0.99])
+
+
+@query("""SELECT yr, sic, count(*) AS n, CAST(sum(revenue) AS DECIMAL(30,2)) AS total, round(median(CAST(revenue AS DOUBLE)), 2) AS median, round(CAST(sum(revenue) AS DOUBLE) / CAST(sum(sum(revenue)) OVER (PARTITION BY yr) AS DOUBLE), 6) AS share,
+ round(count(*) FILTER (WHERE net_income < 0) / count(*), 6) AS losing FROM company_years GROUP BY yr, sic""")
+def l7_mix_table(spark, d):
+    return rounded(L.mix_table(years_of(spark, d), ["sic"], ["yr"], "revenue", "net_income"), 6, "share", "losing").withColumns({"total": F.col("total").cast("decimal(30,2)"), "median": F.round("median", 2)})
+
+
+@query("SELECT sic, yr, round(CAST(sum(net_income) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE), 6) AS margin, count(*) FILTER (WHERE net_income < 0) AS losing, count(*) AS n FROM company_years GROUP BY sic, yr")
+def l8_profitability(spark, d):
+    return rounded(L.profitability(years_of(spark, d), ["sic", "yr"], "revenue", "net_income"), 6, "margin")
+
+
+@query(f"SELECT yr, round(median(hhi), 3) AS median_hhi FROM (SELECT yr, sic, round(sum(share * share) * 10000, 3) AS hhi FROM {SHARES} GROUP BY yr, sic) GROUP BY yr")
+def l9_concentration_over_time(spark, d):
+    return rounded(L.concentration_over_time(years_of(spark, d), "yr", "sic", "revenue"), 3, "median_hhi")
+
+
+@query("""SELECT yr, round(CAST(sum(CASE WHEN cik = 10 THEN revenue ELSE 0 END) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE), 8) AS of_all, round(CAST(sum(CASE WHEN cik = 10 THEN revenue ELSE 0 END) AS DOUBLE) / nullif(CAST(sum(CASE WHEN sic IN (SELECT sic FROM company_years WHERE cik = 10) THEN revenue ELSE 0 END) AS DOUBLE), 0), 8) AS of_sic,
+ round(CAST(sum(CASE WHEN cik = 10 THEN revenue ELSE 0 END) AS DOUBLE) / nullif(CAST(sum(CASE WHEN sic // 10 IN (SELECT sic // 10 FROM company_years WHERE cik = 10) THEN revenue ELSE 0 END) AS DOUBLE), 0), 8) AS of_tens FROM company_years GROUP BY yr""")
+def l10_share_at_grains(spark, d):
+    rows = years_of(spark, d).withColumn("tens", F.floor(F.col("sic") / 10))
+    return rounded(L.share_at_grains(rows, "cik", 10, "yr", "revenue", {"sic": "sic", "tens": "tens"}), 8, "of_all", "of_sic", "of_tens")
+
+
+@query("SELECT f.y, f.filers, round(m.v, 4) AS macro FROM (SELECT year(filed) AS y, count(DISTINCT cik) AS filers FROM facts WHERE form = '10-K' GROUP BY 1) f JOIN (SELECT year(obs_date) AS y, avg(close) AS v FROM prices GROUP BY 1) m ON f.y = m.y")
+def l11_filers_vs_macro(spark, d):
+    return rounded(L.filers_vs_macro(table(spark, d, "facts"), ["10-K"], table(spark, d, "prices"), "obs_date", "close"), 4, "macro")
+
+
+@query("SELECT c.cik, c.yr, round(CAST(c.revenue AS DOUBLE) / (p.v / b.v), 2) AS real FROM company_years c JOIN (SELECT year(obs_date) AS y, avg(close) AS v FROM prices GROUP BY 1) p ON p.y = c.yr CROSS JOIN (SELECT avg(close) AS v FROM prices WHERE year(obs_date) = 1995) b")
+def l12_deflate(spark, d):
+    return rounded(L.deflate(years_of(spark, d).select("cik", "yr", "revenue"), "yr", "revenue", table(spark, d, "prices"), "obs_date", "close", 1995), 2, "real").drop("revenue")
+
+
+@query("""SELECT sic, round(CAST(sum(a) AS DOUBLE) / nullif(CAST(sum(b) AS DOUBLE), 0), 6) AS ratio FROM (SELECT cik, max(CASE WHEN concept = 'AF' THEN CAST(val AS DECIMAL(14,2)) END) AS a, max(CASE WHEN concept = 'RF' THEN CAST(val AS DECIMAL(14,2)) END) AS b FROM facts
+ WHERE end_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' GROUP BY cik) JOIN (SELECT s_suppkey AS cik, s_nationkey AS sic FROM supplier) USING (cik) GROUP BY sic""")
+def l13_ratio_by_group(spark, d):
+    return rounded(L.ratio_by_group(table(spark, d, "facts"), sql(spark, d, CODES), "AF", "RF", ("1996-01-01", "1996-12-31"), "sic"), 6, "ratio")
+
+
+@query(f"""SELECT yr, CAST(sum(revenue) AS DECIMAL(30,2)) AS total, CAST(sum(CASE WHEN rk <= 20 THEN revenue END) AS DECIMAL(30,2)) AS top, round(CAST(sum(revenue) AS DOUBLE) / any_value(macro), 8) AS of_macro
+ FROM (SELECT *, row_number() OVER (PARTITION BY yr ORDER BY revenue DESC, cik) AS rk FROM company_years) LEFT JOIN ({ECONOMY}) USING (yr) GROUP BY yr""")
+def l14_frame_totals(spark, d):
+    out = L.frame_totals(years_of(spark, d), "yr", "revenue", ["cik"], 20, sql(spark, d, ECONOMY).select("yr", "macro"))
+    return rounded(out, 8, "of_macro").withColumns({c: F.col(c).cast("decimal(30,2)") for c in ("total", "top")})
+
+
+@query("SELECT year(end_date) AS yr, form, quantile_cont(filed - end_date, 0.1) AS p10, median(filed - end_date) AS med, quantile_cont(filed - end_date, 0.9) AS p90, round(count(*) FILTER (WHERE filed - end_date > 60) / count(*), 6) AS late FROM facts GROUP BY 1, 2")
+def l15_filing_lag(spark, d):
+    return rounded(L.filing_lag(table(spark, d, "facts").withColumn("yr", F.year("end_date")), ["yr", "form"], 60), 6, "late")
+
+
+@query(f"SELECT yr, round(CAST(sum(revenue) AS DOUBLE) / any_value(macro), 8) AS of_macro, round(CAST(sum(revenue) AS DOUBLE) / any_value(orders), 6) AS of_orders FROM company_years JOIN ({ECONOMY}) USING (yr) GROUP BY yr")
+def l16_coverage_ratios(spark, d):
+    return rounded(L.coverage_ratios(years_of(spark, d), "yr", "revenue", sql(spark, d, ECONOMY)), 8, "of_macro").withColumn("of_orders", F.round("of_orders", 6))
+
+
+@query("""SELECT coalesce(a.k, b.k) AS k, round(coalesce(a.v / sum(a.v) OVER (), 0), 8) AS share, round(coalesce(b.v / sum(b.v) OVER (), 0), 8) AS other_share FROM (SELECT sic AS k, CAST(sum(revenue) AS DOUBLE) AS v FROM company_years GROUP BY 1) a
+ FULL JOIN (SELECT c_nationkey AS k, CAST(count(*) AS DOUBLE) AS v FROM customer WHERE c_nationkey <> 3 GROUP BY 1) b ON a.k = b.k""")
+def l17_sector_shares(spark, d):
+    filers, others = years_of(spark, d).select(F.col("sic").alias("k"), F.col("revenue").alias("v")), sql(spark, d, "SELECT c_nationkey AS k, 1 AS v FROM customer WHERE c_nationkey <> 3")
+    return rounded(L.sector_shares(filers, others, "k", "v"), 8, "share", "other_share")
+
+
+@query("""WITH n AS (SELECT cik, concept, arg_max(val, row(filed, accession, val)) AS v FROM facts WHERE filed <= DATE '1997-01-01' GROUP BY cik, concept),
+w AS (SELECT cik, max(v) FILTER (WHERE concept = 'AF') AS af, max(v) FILTER (WHERE concept = 'RF') AS rf, max(v) FILTER (WHERE concept = 'NF') AS nf, max(v) FILTER (WHERE concept = 'NO') AS no FROM n GROUP BY cik)
+SELECT cik, coalesce(rf, nf) AS revenue, no AS assets, greatest(af, nf) AS depreciation FROM w""")
+def l18_statements(spark, d):
+    return L.statements(table(spark, d, "facts"), {"revenue": ["RF", "NF"], "assets": ["NO"], "depreciation": ["AF", "NF"]}, "1997-01-01", ("depreciation",))
+
+
+@query("SELECT cik, yr, " + ", ".join(f"round(CAST({a} AS DOUBLE) / " + (f"CASE WHEN {b} > 0 THEN {b} END" if n in L.POSITIVE else f"nullif(CAST({b} AS DOUBLE), 0)") + f", 5) AS {n}" for n, (a, b) in L.RATIOS.items()) + f" FROM ({STATEMENTS})")
+def l19_ratios(spark, d):
+    return rounded(L.ratios(sql(spark, d, STATEMENTS), ["cik", "yr"]), 5, *L.RATIOS)
+
+
+@query(f"""WITH r AS ({ROA}), long AS (SELECT cik, yr, measure, value, unnest(['sector', 'year']) AS rung, unnest([CAST(sic AS VARCHAR) || '/' || yr, CAST(yr AS VARCHAR)]) AS peers
+ FROM (SELECT cik, yr, sic, 'r' AS measure, r AS value FROM r UNION ALL SELECT cik, yr, sic, 'size', CAST(revenue AS DOUBLE) FROM r) WHERE value IS NOT NULL)
+SELECT cik, yr, measure, rung, round(percent_rank() OVER (PARTITION BY rung, peers, measure ORDER BY value), 6) AS pct, count(*) OVER (PARTITION BY rung, peers, measure) AS n, round(median(value) OVER (PARTITION BY rung, peers, measure), 5) AS peer_median FROM long""")
+def l20_peer_ranks(spark, d):
+    rows = sql(spark, d, ROA).select("cik", "yr", "r", F.col("revenue").cast("double").alias("size"), F.concat_ws("/", F.col("sic").cast("string"), F.col("yr").cast("string")).alias("sector"), F.col("yr").cast("string").alias("year"))
+    return L.peer_ranks(rows, ["cik", "yr"], ["r", "size"], ["sector", "year"]).select("cik", "yr", "measure", "rung", F.round("pct", 6).alias("pct"), "n", F.round("peer_median", 5).alias("peer_median"))
+
+
+RESTATED = """SELECT cik, concept, end_date, first_val, last_val, n, disagreed, abs(last_val / nullif(first_val, 0) - 1) AS size, CASE WHEN list_bool_or([abs(abs(last_val / nullif(first_val, 0)) / x - 1) < 0.01 FOR x IN [0.000001, 0.001, 1000.0, 1000000.0]]) THEN 'scale' WHEN dform LIKE '%/A' THEN 'amended' ELSE 'later' END AS how FROM (
+ SELECT cik, concept, end_date, any_value(f) AS first_val, any_value(l) AS last_val, count(*) AS n, min(filed) FILTER (WHERE val <> f) AS disagreed, arg_min(form, row(filed, accession, val, form)) FILTER (WHERE val <> f) AS dform FROM (
+ SELECT *, first_value(val) OVER w AS f, last_value(val) OVER w AS l FROM facts WINDOW w AS (PARTITION BY cik, concept, end_date ORDER BY filed, accession, val ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) GROUP BY cik, concept, end_date) WHERE first_val <> last_val"""
+
+
+def restated(spark, d):
+    return L.restatements(table(spark, d, "facts"), ["cik", "concept", "end_date"], [0.01, 0.05, 0.2, 1.0])
+
+
+@query(f"SELECT cik, concept, end_date, first_val, last_val, n, disagreed, round(size, 6) AS size, len([b FOR b IN [0.01, 0.05, 0.2, 1.0] IF b <= size]) AS band, how FROM ({RESTATED})")
+def l21_restatements(spark, d):
+    return rounded(restated(spark, d), 6, "size").withColumn("band", F.col("band").cast("long"))
+
+
+@query(f"SELECT year(end_date) AS yr, count(*) AS restated, count(DISTINCT cik) AS companies FROM ({RESTATED}) GROUP BY 1")
+def l22_restatement_summary(spark, d):
+    return L.restatement_summary(restated(spark, d).withColumn("yr", F.year("end_date")), "yr")
+
+
+@query("SELECT f.cik, f.concept, f.end_date, max(f.val) AS val FROM facts f JOIN (SELECT cik, year(end_date) AS y, max(end_date) AS last FROM facts GROUP BY 1, 2) e ON e.cik = f.cik AND e.last = f.end_date GROUP BY f.cik, f.concept, f.end_date")
+def l23_anchored_panel(spark, d):
+    return L.anchored_panel(table(spark, d, "facts"))
+
+
+REPORTS = "SELECT o_custkey AS cik, CAST(o_orderdate AS DATE) AS filed, CASE WHEN o_orderstatus = 'F' THEN '2.01,9.01' WHEN o_orderkey % 9 = 0 THEN '1.03' WHEN o_orderkey % 5 = 0 THEN '8.01,3.01' ELSE '12.01' END AS items FROM orders"
+FORMER = "SELECT s_suppkey AS cik, s_name AS name, '[{\"name\":\"' || 'Old ' || s_name || '\",\"until\":' || CAST(1990 + s_suppkey % 12 AS VARCHAR(4)) || '},{\"name\":\"First\",\"until\":1980}]' AS former_names FROM supplier"
+
+
+@query(f"""WITH e AS (SELECT cik, max(yr) AS last_year, arg_max(yr, row(revenue, yr)) AS peak_year FROM company_years GROUP BY cik), r AS (SELECT r.cik, bool_or(list_contains(string_split(items, ','), '1.03')) AS a, bool_or(list_contains(string_split(items, ','), '2.01')) AS b, bool_or(list_contains(string_split(items, ','), '3.01')) AS c
+ FROM ({REPORTS}) r JOIN e ON e.cik = r.cik WHERE year(filed) >= last_year GROUP BY r.cik)
+SELECT e.cik, last_year, peak_year, CASE WHEN 1990 + e.cik % 12 >= last_year THEN 'Old ' || s_name ELSE s_name END AS name, CASE WHEN a THEN 'bankrupt' WHEN b THEN 'acquired' WHEN c THEN 'delisted' ELSE 'unknown' END AS reason FROM e LEFT JOIN r ON r.cik = e.cik LEFT JOIN supplier ON s_suppkey = e.cik""")
+def l24_exits(spark, d):
+    return L.exits(years_of(spark, d), "yr", "revenue", sql(spark, d, REPORTS), sql(spark, d, FORMER))
+
+
+@query("SELECT cik, concept, accession, end_date, CASE WHEN filed < DATE '1996-06-01' AND concept IN ('AF', 'RF') THEN val / 2 ELSE val END AS adjusted FROM facts")
+def l25_split_adjusted(spark, d):
+    return L.split_adjusted_annual(table(spark, d, "facts"), "1996-06-01", 2.0, ["AF", "RF"]).select("cik", "concept", "accession", "end_date", "adjusted")
+
+
+@query(f"""SELECT y.cik, y.concept, y.yr, CAST(y.v - q.s AS DECIMAL(24,2)) AS q4, q.tagged, abs(y.v - q.s - q.tagged) <= 0.01 * abs(q.tagged) AS agrees FROM ({YEARS}) y JOIN (SELECT cik, concept, year(q) AS yr, sum(v) FILTER (WHERE month(q) < 10) AS s, max(v) FILTER (WHERE month(q) = 10) AS tagged FROM ({QUARTERS}) z
+ GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE month(q) < 10) = 3) q ON q.cik = y.cik AND q.concept = y.concept AND q.yr = y.yr""")
+def l26_quarterly(spark, d):
+    return L.quarterly(sql(spark, d, QUARTERS), sql(spark, d, YEARS), ["cik", "concept"], 0.01).withColumn("q4", F.col("q4").cast("decimal(24,2)"))
+
+
+@query(f"""WITH own AS (SELECT cik, q, max(v) AS v FROM ({QUARTERS}) GROUP BY cik, q), y AS (SELECT cik, yr, max(v) AS v FROM ({YEARS}) GROUP BY cik, yr)
+SELECT cik, q, CAST(v AS DECIMAL(24,2)) AS v, FALSE AS derived FROM own UNION ALL SELECT t.cik, make_date(t.yr, 10, 1), CAST(y.v - t.s AS DECIMAL(24,2)), TRUE FROM (SELECT cik, year(q) AS yr, sum(v) AS s FROM own GROUP BY 1, 2 HAVING count(*) FILTER (WHERE month(q) < 10) = 3 AND count(*) = 3) t JOIN y ON y.cik = t.cik AND y.yr = t.yr""")
+def l27_quarterly_revenue(spark, d):
+    return L.quarterly_revenue(sql(spark, d, QUARTERS), sql(spark, d, YEARS), "cik").withColumn("v", F.col("v").cast("decimal(24,2)"))
+
+
+@query(f"SELECT a.q, count(*) AS n, round(CAST(sum(a.v) AS DOUBLE) / CAST(sum(b.v) AS DOUBLE) - 1, 6) AS growth FROM (SELECT cik, q, max(v) AS v FROM ({QUARTERS}) GROUP BY cik, q) a JOIN (SELECT cik, CAST(q + INTERVAL 1 YEAR AS DATE) AS q, max(v) AS v FROM ({QUARTERS}) GROUP BY 1, 2) b ON a.cik = b.cik AND a.q = b.q GROUP BY a.q")
+def l28_same_company_growth(spark, d):
+    return rounded(L.same_company_growth(sql(spark, d, QUARTERS).groupBy("cik", "q").agg(F.max("v").alias("v")), "cik"), 6, "growth")
+
+
+@query("SELECT min(a.cik) AS cik, a.yr, round(CAST(a.net_income AS DOUBLE) / nullif(CAST(b.revenue AS DOUBLE), 0), 6) AS ret FROM company_years a JOIN company_years b ON a.cik = b.cik AND a.yr = b.yr + 1 GROUP BY a.yr, a.net_income, b.revenue")
+def l29_return_on_capital(spark, d):
+    return rounded(L.return_on_capital(years_of(spark, d), "cik", "yr", "net_income", "revenue"), 6, "ret").select("cik", "yr", "ret")
+
+
+@query(f"""SELECT yr, round(min(r) FILTER (WHERE c >= 0.1), 6) AS p10, round(min(r) FILTER (WHERE c >= 0.5), 6) AS p50, round(min(r) FILTER (WHERE c >= 0.9), 6) AS p90, round(CAST(sum(net_income) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE), 6) AS pooled FROM (
+ SELECT *, CAST(sum(revenue) OVER (PARTITION BY yr ORDER BY r, cik ROWS UNBOUNDED PRECEDING) AS DOUBLE) / CAST(sum(revenue) OVER (PARTITION BY yr) AS DOUBLE) AS c FROM ({ROA})) GROUP BY yr""")
+def l30_capital_percentiles(spark, d):
+    return rounded(L.capital_percentiles(sql(spark, d, ROA), ["yr"], "r", ["cik"], "revenue", "net_income", [0.1, 0.5, 0.9]), 6, "p10", "p50", "p90", "pooled")
+
+
+@query(f"""WITH r AS ({ROA}), b AS (SELECT cik, round(r, 4) AS v, revenue AS w FROM r WHERE yr = 1996 AND r IS NOT NULL), s AS (SELECT v, sum(w) AS w FROM b GROUP BY v),
+p AS (SELECT v, least(floor(5 * CAST(sum(w) OVER (ORDER BY v) - w AS DOUBLE) / CAST(sum(w) OVER () AS DOUBLE)), 4) + 1 AS g FROM s)
+SELECT CAST(g AS BIGINT) AS g, c.yr, CAST(sum(c.net_income) AS DECIMAL(30,4)) AS income, round(CAST(sum(c.net_income) AS DOUBLE) / CAST(sum(c.revenue) AS DOUBLE), 6) AS pooled FROM b JOIN p ON p.v = b.v JOIN company_years c ON c.cik = b.cik GROUP BY 1, 2""")
+def l31_cohort_track(spark, d):
+    out = L.cohort_track(sql(spark, d, ROA), "cik", "yr", 1996, "r", "revenue", "net_income", 5)
+    return rounded(out, 6, "pooled").withColumns({"income": F.col("income").cast("decimal(30,4)"), "g": F.col("g").cast("long")})
+
+
+@query("""SELECT sic, round(CAST(sum(net_income) FILTER (WHERE yr <= 1997) AS DOUBLE) / CAST(sum(revenue) FILTER (WHERE yr <= 1997) AS DOUBLE), 6) AS early, round(CAST(sum(net_income) FILTER (WHERE yr BETWEEN 1998 AND 1999) AS DOUBLE) / CAST(sum(revenue) FILTER (WHERE yr BETWEEN 1998 AND 1999) AS DOUBLE), 6) AS middle,
+ round(CAST(sum(net_income) FILTER (WHERE yr >= 2000) AS DOUBLE) / CAST(sum(revenue) FILTER (WHERE yr >= 2000) AS DOUBLE), 6) AS late FROM company_years GROUP BY sic""")
+def l32_industry_returns(spark, d):
+    return rounded(L.industry_returns(years_of(spark, d), "sic", "yr", "net_income", "revenue", {"early": (1900, 1997), "middle": (1998, 1999), "late": (2000, 2100)}), 6, "early", "middle", "late")
+
+
+BACKLOG = "SELECT o_orderpriority AS p, CAST(date_trunc('month', o_orderdate) AS DATE) AS m, CAST(count(*) AS DOUBLE) AS orders, CAST(sum(CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END) AS DOUBLE) AS shipments, CAST(sum(CASE WHEN o_orderstatus <> 'F' THEN 1 ELSE 0 END) AS DOUBLE) AS backlog FROM orders GROUP BY 1, 2"
+
+
+@query(f"SELECT p, count(gap) AS n, round(median(gap), 6) AS median_gap, round(max(gap), 6) AS worst FROM (SELECT p, abs(orders - shipments - (backlog - lag(backlog) OVER (PARTITION BY p ORDER BY m))) / orders AS gap FROM ({BACKLOG})) GROUP BY p")
+def l33_identity_gap(spark, d):
+    return rounded(E.identity_gap(sql(spark, d, BACKLOG), ["p"], "m", "orders", "shipments", "backlog"), 6, "median_gap", "worst")
+
+
+LEVELS = "SELECT CAST(date_trunc('month', obs_date) AS DATE) AS m, avg(close) / 200000 AS level FROM ref_prices GROUP BY 1"
+
+
+@query(f"""WITH r AS (SELECT ticker, a.m, a.v / l.level AS v FROM {MONTHLY} a JOIN ({LEVELS}) l ON l.m = a.m)
+SELECT a.ticker, a.m, round(a.v / b.v - 1, 6) AS growth, (SELECT max(m) FROM r c WHERE c.ticker = a.ticker AND c.m < a.m AND c.v >= a.v) AS last_as_high FROM r a JOIN r b ON a.ticker = b.ticker AND a.m = CAST(b.m + INTERVAL 1 YEAR AS DATE)""")
+def l34_real_growth(spark, d):
+    return rounded(E.real_growth(months_of(spark, d), sql(spark, d, LEVELS), ["ticker"]), 6, "growth")
+
+
+@query(f"""WITH c AS (SELECT a.m, a.v AS a, b.v AS b FROM {MONTHLY} a JOIN {MONTHLY} b ON a.m = b.m WHERE a.ticker = 'HIGH' AND b.ticker = 'URGENT'), g AS (SELECT c.*, c.a / p.a - 1 AS ga, c.b / p.b - 1 AS gb FROM c LEFT JOIN c p ON c.m = CAST(p.m + INTERVAL 1 YEAR AS DATE))
+SELECT count(*) AS n, round(corr(ga, gb), 6) AS fit, round(median(abs(ga - gb)), 6) AS gap, round(avg(a / b), 6) AS level_ratio FROM g""")
+def l35_pair_fit(spark, d):
+    m = months_of(spark, d)
+    return rounded(E.pair_fit(m.filter("ticker = 'HIGH'").select("m", "v"), m.filter("ticker = 'URGENT'").select("m", "v")), 6, "fit", "gap", "level_ratio")
+
+
+@query(f"""WITH y AS (SELECT ticker, year(m) AS y, count(*) AS months, avg(v) AS mean FROM {MONTHLY} GROUP BY 1, 2 HAVING count(*) = 12)
+SELECT a.ticker, a.y, a.months, round(a.mean, 4) AS mean, round(a.mean / b.mean - 1, 6) AS change FROM y a LEFT JOIN y b ON a.ticker = b.ticker AND a.y = b.y + 1""")
+def l36_annual_table(spark, d):
+    return rounded(E.annual_table(months_of(spark, d), ["ticker"]), 4, "mean").withColumn("change", F.round("change", 6))
+
+
+@query(f"SELECT ticker, span, round(avg(v), 4) AS mean, round(arg_max(v, m) - arg_min(v, m), 4) AS change FROM {MONTHLY} a JOIN (VALUES ('early', 1995, 1997), ('late', 1998, 2000), ('all', 1995, 2000)) s(span, lo, hi) ON year(m) BETWEEN lo AND hi GROUP BY 1, 2")
+def l37_period_averages(spark, d):
+    return rounded(E.period_averages(months_of(spark, d), ["ticker"], F.year("m"), "v", "v", "m", {"early": (1995, 1997), "late": (1998, 2000), "all": (1995, 2000)}), 4, "mean", "change")
+
+
+UNITS = "SELECT cik, concept, accession, end_date, filed, CASE WHEN accession % 3 = 0 THEN 'shares' ELSE 'USD' END AS unit, CASE WHEN (accession + length(form)) % 4 < 2 THEN 'IS' ELSE 'BS' END AS stmt FROM facts"
+
+
+@query(f"""WITH f AS ({UNITS}), u AS (SELECT concept, arg_min(unit, row(-n, unit)) AS unit FROM (SELECT concept, unit, count(*) AS n FROM f GROUP BY 1, 2) GROUP BY 1), s AS (SELECT concept, arg_min(stmt, row(-n, stmt)) AS stmt FROM (SELECT concept, stmt, count(DISTINCT accession) AS n FROM f GROUP BY 1, 2) GROUP BY 1)
+SELECT f.concept, count(*) AS n_facts, count(DISTINCT cik) AS filers, min(year(end_date)) AS first_year, max(year(end_date)) AS last_year, any_value(u.unit) AS unit, any_value(s.stmt) AS stmt FROM f JOIN u ON u.concept = f.concept LEFT JOIN s ON s.concept = f.concept GROUP BY f.concept""")
+def l38_concept_index(spark, d):
+    rows = sql(spark, d, UNITS)
+    return E.concept_index(rows, rows)
+
+
+@query("SELECT cik, sic, min(end_date) AS first_date, max(end_date) AS last_date, max(filed) >= DATE '1998-10-01' AS recent FROM facts LEFT JOIN (SELECT s_suppkey AS cik, s_nationkey AS sic FROM supplier) USING (cik) GROUP BY cik, sic")
+def l39_company_index(spark, d):
+    return E.company_index(table(spark, d, "facts"), sql(spark, d, CODES), "1998-10-01")
+
+
+@query("WITH f AS (SELECT year(filed) AS y, concept || form AS form FROM facts), t AS (SELECT form FROM f GROUP BY form ORDER BY count(*) DESC, form LIMIT 5) SELECT y, CASE WHEN form IN (SELECT form FROM t) THEN form ELSE 'other' END AS form, count(*) AS n FROM f GROUP BY 1, 2")
+def l40_form_mix(spark, d):
+    return E.form_mix(table(spark, d, "facts").withColumn("form", F.concat("concept", "form")), 5)
+
+
+VALUES_OF = "SELECT n_name AS place, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DECIMAL(24,2)) AS value FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2"
+PEOPLE = "SELECT place, year, n + year - 1990 AS people FROM (SELECT n_name AS place, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1) a CROSS JOIN (SELECT 1994 AS year UNION ALL SELECT 1995 UNION ALL SELECT 1996) y"
+
+
+@query(f"SELECT place, year, round(CAST(value AS DOUBLE) / people, 4) AS per_person, rank() OVER (PARTITION BY year ORDER BY CAST(value AS DOUBLE) / people DESC) AS rk FROM ({VALUES_OF}) v JOIN ({PEOPLE}) p USING (place, year) WHERE year IN (1995, 1996)")
+def l41_per_person(spark, d):
+    values, people = sql(spark, d, VALUES_OF), sql(spark, d, PEOPLE)
+    known = values.filter("year IN (1995, 1996)").groupBy("place").count().filter("count = 2").select("place")
+    return rounded(E.per_person(values.join(known, "place"), people.join(known, "place"), "place", [1995, 1996]), 4, "per_person")
+
+
+LABELS = "SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN CAST(year(o_orderdate) AS VARCHAR(4)) WHEN 1 THEN 'FY' || CAST(year(o_orderdate) AS VARCHAR(4)) || '/' || substr(CAST(year(o_orderdate) + 1 AS VARCHAR(4)), 3) WHEN 2 THEN 'SY' || CAST(year(o_orderdate) AS VARCHAR(4)) || '/00' ELSE o_orderpriority END AS label, CASE o_custkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 END AS rule FROM orders"
+
+
+@query("SELECT o_orderkey, CAST(CASE WHEN o_orderkey % 4 = 0 THEN year(o_orderdate) WHEN o_orderkey % 4 IN (1, 2) THEN year(o_orderdate) + CASE o_custkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 0 END END AS INTEGER) AS latest_actual FROM orders")
+def l42_latest_actual(spark, d):
+    return E.latest_actual(sql(spark, d, LABELS), "label", "rule").select("o_orderkey", "latest_actual")
+
+
+@query("SELECT series_id, obs_date, value FROM obs WHERE vintage = (SELECT max(vintage) FROM obs)")
+def l43_newest_edition(spark, d):
+    return E.newest_edition(table(spark, d, "obs"), "vintage", "vintage").select("series_id", "obs_date", "value")
+
+
+COUNTS = "SELECT n_name, CAST(year(o_orderdate) AS INTEGER) AS yr, o_orderkey % 7 = 0 AND year(o_orderdate) > 1994 AS projected, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2, 3"
+
+
+@query(f"SELECT n_name, min(yr) FILTER (WHERE projected) AS first_projected, max(n) FILTER (WHERE yr = 1997) AS y1997, max(n) FILTER (WHERE yr = 1995) AS y1995, max(n) FILTER (WHERE yr = 1996) AS y1996 FROM ({COUNTS}) GROUP BY n_name")
+def l44_population_panel(spark, d):
+    return E.population_panel(sql(spark, d, COUNTS), "n_name", "yr", "n", "projected", [1997, 1995, 1996])
+
+
+PLACES = "SELECT 'r' || CAST(r_regionkey AS VARCHAR(10)) AS id, CAST(NULL AS VARCHAR(10)) AS parent, r_name AS name, 'region' AS level FROM region UNION ALL SELECT 'n' || CAST(n_nationkey AS VARCHAR(10)), 'r' || CAST(n_regionkey AS VARCHAR(10)), n_name, 'country' FROM nation UNION ALL SELECT 's' || CAST(s_suppkey AS VARCHAR(10)), 'n' || CAST(s_nationkey AS VARCHAR(10)), s_name, 'city' FROM supplier"
+
+
+@query("SELECT id, region FROM (SELECT 'r' || r_regionkey AS id, r_name AS region FROM region UNION ALL SELECT 'n' || n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT 's' || s_suppkey, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)")
+def l45_location_region(spark, d):
+    return E.location_region(sql(spark, d, PLACES), "level", "region").select("id", "region")
+
+
+@query("""WITH g AS (SELECT cik, yr, rank() OVER (PARTITION BY yr ORDER BY revenue DESC) AS rk, CAST(revenue AS DOUBLE) / nullif(CAST(lag(revenue) OVER w AS DOUBLE), 0) - 1 AS growth, CAST(revenue AS DOUBLE) / nullif(CAST(first_value(revenue) OVER w AS DOUBLE), 0) AS multiple FROM company_years WINDOW w AS (PARTITION BY cik ORDER BY yr))
+SELECT cik, yr, rk, round(growth, 6) AS growth, round(multiple, 6) AS multiple, coalesce(growth = min(growth) OVER (PARTITION BY cik) AND growth < 0, FALSE) AS largest_drop FROM g""")
+def l46_growth_ranks(spark, d):
+    return rounded(E.growth_ranks(years_of(spark, d), "cik", "yr", "revenue"), 6, "growth", "multiple")
+
+
+WALK = "walk AS (SELECT o, a AS cur, 1 AS steps FROM edges UNION ALL SELECT w.o, e.a, w.steps + 1 FROM walk w JOIN edges e ON e.o = w.cur WHERE w.steps < 64)"
+
+
+@query(f"WITH RECURSIVE {WALK} SELECT o, arg_max(cur, steps) AS survivor, CAST(max(steps) AS INTEGER) AS steps, FALSE AS looped FROM walk GROUP BY o")
+def l47_lineage(spark, d):
+    return E.lineage(table(spark, d, "edges"))
+
+
+@query(f"WITH RECURSIVE {WALK}, l AS (SELECT o, arg_max(cur, steps) AS survivor, max(steps) AS steps FROM walk GROUP BY o) SELECT survivor, count(DISTINCT o) AS merged, CAST(max(steps) AS INTEGER) AS longest FROM l GROUP BY survivor")
+def l48_survivors(spark, d):
+    return E.survivors(E.lineage(table(spark, d, "edges")))
+
+
+@query("SELECT y.y, count(*) AS alive FROM (SELECT unnest(generate_series(1990, 2005)) AS y) y JOIN (SELECT o_custkey, min(year(o_orderdate)) AS a, max(year(o_orderdate)) AS b FROM orders GROUP BY 1) e ON y.y BETWEEN e.a AND e.b GROUP BY y.y")
+def l49_alive_by_year(spark, d):
+    lives = table(spark, d, "orders").groupBy("o_custkey").agg(F.min(F.year("o_orderdate")).alias("a"), F.max(F.year("o_orderdate")).alias("b"))
+    return E.alive_by_year(lives, "a", "b").withColumn("y", F.col("y").cast("long"))
+
+
+@query("""WITH p AS (SELECT s_suppkey AS k, s_nationkey AS city, CASE WHEN s_suppkey % 4 <> 0 THEN CAST(s_acctbal AS DOUBLE) END AS lat FROM supplier WHERE s_suppkey % 9 <> 0 UNION ALL SELECT s_suppkey, s_nationkey, NULL FROM supplier WHERE s_suppkey % 9 = 0)
+SELECT k, city, round(coalesce(lat, avg(lat) OVER (PARTITION BY city)), 4) AS lat, lat IS NULL AS imputed FROM p""")
+def l50_impute_location(spark, d):
+    places = sql(spark, d, "SELECT s_suppkey AS k, s_nationkey AS city, CASE WHEN s_suppkey % 4 <> 0 THEN CAST(s_acctbal AS DOUBLE) END AS lat FROM supplier WHERE s_suppkey % 9 <> 0")
+    return rounded(E.impute_location(places, sql(spark, d, "SELECT s_suppkey AS k, s_nationkey AS city FROM supplier"), "k", "city", ["lat"]), 4, "lat")
+
+
+CASES = "SELECT event_type AS area, ts, count(*) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS total FROM events"
+
+
+@query("WITH w AS (SELECT event_type AS a, CAST(date_trunc('week', ts) AS DATE) AS wk, count(*) AS n FROM events WHERE event_type <> 'error' GROUP BY 1, 2) SELECT CASE WHEN a = 'view' THEN 'click' ELSE a END AS area, wk, CAST(sum(n) AS BIGINT) AS new_cases FROM w GROUP BY 1, 2")
+def l51_weekly_cases(spark, d):
+    totals = sql(spark, d, CASES).groupBy("area", "ts").agg(F.max("total").alias("total"))
+    return E.weekly_cases(totals, "area", "ts", "total", {"view": "click"}, ["error"])
+
+
+@query("""WITH a AS (SELECT user_id % 50 AS k, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'click'), b AS (SELECT user_id % 50 AS k, CAST(ts AS DATE) AS day FROM events WHERE event_type = 'view' AND ts < TIMESTAMP '2024-01-20'), l AS (SELECT least((SELECT max(day) FROM a), (SELECT max(day) FROM b)) AS last)
+SELECT coalesce(x.k, y.k) AS k, coalesce(x.n, 0) AS left_n, coalesce(y.n, 0) AS right_n FROM (SELECT k, count(*) AS n FROM a, l WHERE day <= last GROUP BY k) x FULL JOIN (SELECT k, count(*) AS n FROM b, l WHERE day <= last GROUP BY k) y ON x.k = y.k""")
+def l52_case_comparison(spark, d):
+    day = "SELECT user_id % 50 AS k, CAST(ts AS DATE) AS day, 1 AS n FROM events WHERE event_type = "
+    return E.case_comparison(sql(spark, d, day + "'click'"), sql(spark, d, day + "'view' AND ts < TIMESTAMP '2024-01-20'"), ["k"], "day", "n")
+
+
+@query("""WITH s AS (SELECT yr, sic, CAST(sum(net_income) AS DOUBLE) / CAST(sum(sum(revenue)) OVER (PARTITION BY yr) AS DOUBLE) AS share FROM company_years GROUP BY yr, sic)
+SELECT yr, sic, round(share, 8) AS share, round(share - lag(share) OVER (PARTITION BY sic ORDER BY yr), 8) AS change, coalesce(abs(share - lag(share) OVER (PARTITION BY sic ORDER BY yr)) > 0.0005, FALSE) AS jumped FROM s""")
+def l53_income_shares(spark, d):
+    return rounded(E.income_shares(years_of(spark, d), "yr", "sic", "net_income", "revenue", 0.0005), 8, "share", "change")
+
+
+@query("""SELECT n_regionkey, coalesce(a.n, 0) AS parts, coalesce(b.n, 0) AS total, abs(coalesce(a.n, 0) - coalesce(b.n, 0)) <= 0 AS ties FROM (SELECT n_regionkey, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1) a
+ FULL JOIN (SELECT n_regionkey, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey % 3 <> 0 GROUP BY 1) b USING (n_regionkey)""")
+def l54_hierarchy_ties(spark, d):
+    parts = sql(spark, d, "SELECT n_regionkey, 1 AS n FROM customer JOIN nation ON c_nationkey = n_nationkey")
+    totals = sql(spark, d, "SELECT n_regionkey, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey WHERE o_orderkey % 3 <> 0 GROUP BY 1")
+    return E.hierarchy_ties(parts, totals, "n_regionkey", "n", 0)
+
+
+@query("""SELECT a.form, count(*) AS n, count(*) FILTER (WHERE a.val <> b.val) AS changed, round(median(abs(b.val / a.val - 1) * 100), 6) AS median_pct, round(max(abs(b.val / a.val - 1)) * 100, 6) AS max_pct, arg_max(a.id, row(abs(b.val / a.val - 1) * 100, a.id)) AS "where"
+ FROM landings a JOIN landings b ON a.id = b.id AND a.run_id = 'r1' AND b.run_id = 'r2' GROUP BY a.form""")
+def l55_file_vintage_diff(spark, d):
+    rows = table(spark, d, "landings")
+    return rounded(E.file_vintage_diff(rows.filter("run_id = 'r1'"), rows.filter("run_id = 'r2'"), ["id"], ["form"], "val"), 6, "median_pct", "max_pct")
+
+
+@query("""SELECT yr, CASE WHEN revenue < 500000 THEN 'low' WHEN revenue < 1000000 THEN 'middle' ELSE 'high' END AS band, count(*) AS n, CAST(sum(revenue) AS DECIMAL(30,2)) AS total, round(CAST(sum(revenue) AS DOUBLE) / CAST(sum(sum(revenue)) OVER (PARTITION BY yr) AS DOUBLE), 6) AS share FROM company_years GROUP BY 1, 2""")
+def l56_band_shares(spark, d):
+    return rounded(E.band_shares(years_of(spark, d), ["yr"], "revenue", [(500_000, "low"), (1_000_000, "middle")], "high"), 6, "share").withColumn("total", F.col("total").cast("decimal(30,2)"))
+
+
+@query("""WITH p AS (SELECT trim(regexp_replace(lower(p_brand || ' & Co'), '[^a-z0-9]+', ' ', 'g')) AS name, list_has_any(string_split(p_name, ' '), ['cold', 'hot', 'green']) AS has FROM part)
+SELECT name, CASE WHEN regexp_matches(name, '^brand 1') THEN 'first' WHEN regexp_matches(name, '^brand [23]') THEN 'second' ELSE 'other' END AS firm, count(*) AS n, count(*) FILTER (WHERE has) AS credentialed, CASE WHEN count(*) < 10 THEN 'small' WHEN count(*) < 50 THEN 'middle' ELSE 'large' END AS size_class FROM p GROUP BY name""")
+def l57_preparers(spark, d):
+    rows = table(spark, d, "part").select(F.concat("p_brand", F.lit(" & Co")).alias("brand"), F.regexp_replace("p_name", " ", ", ").alias("words"))
+    return E.preparers(rows, "brand", "words", {"first": "^brand 1", "second": "^brand [23]"}, ["cold", "hot", "green"], [(10, "small"), (50, "middle")], "large")
+
+
+@query(f"SELECT ticker, year(m) AS y, round(max(v) FILTER (WHERE month(m) <= 4) / min(v) FILTER (WHERE month(m) BETWEEN 6 AND 10), 6) AS ratio, count(*) AS months FROM {MONTHLY} GROUP BY 1, 2")
+def l58_seasonality(spark, d):
+    return rounded(E.seasonality(months_of(spark, d), ["ticker"]), 6, "ratio")
+
+
+@query("SELECT concept, end_date, count(DISTINCT abs(val)) AS n_values, arg_max(val, row(filed, accession, val)) AS latest, count(DISTINCT abs(val)) > 1 AS two_values FROM facts WHERE cik = 7 GROUP BY concept, end_date")
+def l59_company_profile(spark, d):
+    return E.company_profile(table(spark, d, "facts"), 7)
+
+
+PATTERNS = {"figure": "([0-9]{1,3}[.][0-9]+)", "percent": "([0-9]+) ?%", "year": "(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)", "address": "([a-z]+)@[a-z]+[.]"}
+
+
+@query(" UNION ALL ".join(f"SELECT doc_id, '{n}' AS pattern, CAST(len(x) AS INTEGER) AS n, x[1] AS first FROM (SELECT doc_id, regexp_extract_all(text, '{p}', 1) AS x FROM documents) WHERE len(x) > 0" for n, p in PATTERNS.items()))
+def l60_mine_text(spark, d):
+    return E.mine_text(table(spark, d, "documents"), "doc_id", "text", PATTERNS)
+
+
+@query("""SELECT yr, slice, count(*) AS n, round(CAST(sum(CASE WHEN net_income > 0 THEN revenue ELSE 0 END) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE), 6) AS used, count(*) FILTER (WHERE (net_income > 0) <> (cik % 2 = 0)) AS differs FROM (SELECT *,
+ CAST(least(floor(CAST(sum(revenue) OVER (PARTITION BY yr ORDER BY revenue, cik ROWS UNBOUNDED PRECEDING) AS DOUBLE) / CAST(sum(revenue) OVER (PARTITION BY yr) AS DOUBLE) * 20), 19) AS INTEGER) AS slice FROM company_years) GROUP BY yr, slice""")
+def l61_survey_groups(spark, d):
+    rows = years_of(spark, d).withColumns({"answer": F.col("net_income") > 0, "flag": F.col("cik") % 2 == 0})
+    return rounded(E.survey_groups(rows, ["yr"], ["revenue", "cik"], "revenue", "answer", "flag", 20), 6, "used")
+
+
+@query("""SELECT sic, yr, count(*) AS firms, quantile_disc(CAST(revenue AS DOUBLE), 0.5) AS med, quantile_disc(CAST(revenue AS DOUBLE), 0.9) AS p90, count(*) FILTER (WHERE revenue < 500000) AS small, round(count(*) FILTER (WHERE net_income < 0) / count(*), 6) AS losing, round(count(*) FILTER (WHERE cik % 3 = 0) / count(*), 6) AS fee,
+ round(count(*) FILTER (WHERE (net_income < 0) <> (cik % 3 = 0)) / count(*), 6) AS only_one FROM company_years GROUP BY sic, yr""")
+def l62_adviser_table(spark, d):
+    return rounded(E.adviser_table(years_of(spark, d), ["sic", "yr"], "revenue", {"losing": "net_income < 0", "fee": "cik % 3 = 0"}, 500_000), 6, "losing", "fee", "only_one")
+
+
+@query(f"""WITH e AS (SELECT a.yr, a.macro / b.macro - 1 AS e FROM ({ECONOMY}) a JOIN ({ECONOMY}) b ON a.yr = b.yr + 1)
+SELECT a.yr, count(*) AS pairs, round(count(*) FILTER (WHERE CAST(a.revenue AS DOUBLE) / CAST(b.revenue AS DOUBLE) - 1 > e.e) / count(*), 6) AS beat, round(quantile_cont(CAST(a.revenue AS DOUBLE) / CAST(b.revenue AS DOUBLE) - 1, 0.25), 6) AS q1, round(quantile_cont(CAST(a.revenue AS DOUBLE) / CAST(b.revenue AS DOUBLE) - 1, 0.75), 6) AS q3,
+ round(CAST(sum(a.revenue) AS DOUBLE) / CAST(sum(b.revenue) AS DOUBLE) - 1, 6) AS aggregate FROM company_years a JOIN company_years b ON a.cik = b.cik AND a.yr = b.yr + 1 JOIN e ON e.yr = a.yr GROUP BY a.yr""")
+def l63_growth_vs_economy(spark, d):
+    return rounded(E.growth_vs_economy(years_of(spark, d), "cik", "yr", "revenue", sql(spark, d, ECONOMY).select("yr", "macro")), 6, "beat", "q1", "q3", "aggregate")
+
+
+SUMS = "(SELECT sic, yr, CAST(sum(revenue) AS DOUBLE) AS r FROM company_years GROUP BY sic, yr)"
+ALL_SUMS = "(SELECT yr, CAST(sum(revenue) AS DOUBLE) AS r FROM company_years GROUP BY yr)"
+
+
+@query(f"""SELECT a.sic, count(*) AS years, count(*) FILTER (WHERE a.g > t.g) AS beat, round(exp(sum(ln(a.g) - ln(t.g))), 6) AS relative FROM (SELECT n.sic, n.yr, n.r / p.r AS g FROM {SUMS} n JOIN {SUMS} p ON p.sic = n.sic AND n.yr = p.yr + 1) a
+ JOIN (SELECT n.yr, n.r / p.r AS g FROM {ALL_SUMS} n JOIN {ALL_SUMS} p ON n.yr = p.yr + 1) t ON t.yr = a.yr GROUP BY a.sic""")
+def l64_sector_scorecard(spark, d):
+    return rounded(E.sector_scorecard(years_of(spark, d), "sic", "yr", "revenue"), 6, "relative")
+
+
+TOTALS = "SELECT yr, count(*) AS people, count(CASE WHEN net_income > 0 THEN 1 END) AS employed, CAST(sum(revenue) AS DOUBLE) AS output FROM company_years GROUP BY yr"
+
+
+@query(f"SELECT a.yr AS first, b.yr AS last, round(ln(b.people) - ln(a.people), 6) AS people, round(ln(b.employed / b.people) - ln(a.employed / a.people), 6) AS employed_share, round(ln(b.output / b.employed) - ln(a.output / a.employed), 6) AS output FROM ({TOTALS}) a JOIN ({TOTALS}) b ON (a.yr, b.yr) IN ((1996, 1998), (1998, 2000), (1996, 2000))")
+def l65_decompose_growth(spark, d):
+    return rounded(E.decompose_growth(sql(spark, d, TOTALS), "yr", "people", "employed", "output", [(1996, 1998), (1998, 2000), (1996, 2000)]), 6, "people", "employed_share", "output")
+
+
+@query("SELECT fy, round(f / total, 6) AS f_share, round(o / total, 6) AS o_share, round(p / total, 6) AS p_share, abs(total - f - o - p) <= 0.001 * total AS adds_up FROM raw_years")
+def l66_spending_shares(spark, d):
+    return rounded(E.spending_shares(table(spark, d, "raw_years"), "fy", "total", ["f", "o", "p"]), 6, "f_share", "o_share", "p_share")
+
+
+PARTS = "SELECT cik, CAST(year(end_date) AS INTEGER) AS yr, cik % 5 AS sector, sum(CASE WHEN concept IN ('AF', 'NF') THEN CAST(val AS DECIMAL(14,2)) END) AS a, sum(CASE WHEN concept = 'NO' THEN CAST(val AS DECIMAL(14,2)) END) AS b, sum(CAST(val AS DECIMAL(14,2))) AS total FROM facts GROUP BY 1, 2, 3"
+
+
+@query(f"SELECT yr, sector, count(*) AS n, round(CAST(sum(a) AS DOUBLE) / CAST(sum(a + b) AS DOUBLE), 6) AS foreign_share FROM ({PARTS}) WHERE abs(total - a - b) <= 0.01 * abs(total) GROUP BY 1, 2")
+def l67_foreign_share(spark, d):
+    return rounded(E.foreign_share(sql(spark, d, PARTS), ["yr", "sector"], "a", "b", "total", 0.01), 6, "foreign_share")
+
+
+FLOWS = "SELECT CAST(year(l_shipdate) AS INTEGER) AS year, s_nationkey AS origin, c_nationkey AS dest, CAST(sum(CAST(l_extendedprice AS DECIMAL(14,2))) AS DECIMAL(24,2)) AS v FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3"
+GDP = "SELECT CAST(year(o_orderdate) AS INTEGER) AS year, c_nationkey AS place, CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DECIMAL(24,2)) AS gdp FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2"
+
+
+@query(f"""WITH f AS ({FLOWS}), g AS ({GDP}), y AS (SELECT max(year) AS year FROM f WHERE year IN (SELECT year FROM g)), n AS (SELECT f.* FROM f JOIN y ON y.year = f.year),
+o AS (SELECT origin AS place, count(DISTINCT dest) AS partners, sum(v) AS e, arg_max(dest, row(v, dest)) AS largest, max(v) AS top FROM n GROUP BY 1), i AS (SELECT dest AS place, sum(v) AS i FROM n GROUP BY 1)
+SELECT coalesce(o.place, i.place) AS place, coalesce(partners, 0) AS partners, CAST(coalesce(e, 0) AS DECIMAL(34,2)) AS exports, CAST(coalesce(e, 0) - coalesce(i, 0) AS DECIMAL(34,2)) AS balance, round(CAST(coalesce(e, 0) AS DOUBLE) / CAST(gdp AS DOUBLE), 6) AS openness, largest, round(CAST(top AS DOUBLE) / CAST(e AS DOUBLE), 6) AS largest_share
+FROM o FULL JOIN i ON o.place = i.place LEFT JOIN (SELECT g.* FROM g JOIN y ON y.year = g.year) g ON g.place = coalesce(o.place, i.place)""")
+def l68_trade_flows(spark, d):
+    out = E.trade_flows(sql(spark, d, FLOWS), sql(spark, d, GDP))
+    return rounded(out, 6, "openness", "largest_share").withColumns({c: F.col(c).cast("decimal(34,2)") for c in ("exports", "balance")})
+
+
+@query(f"SELECT a.ticker, a.m, round(a.v / b.v * 100, 6) AS idx FROM {MONTHLY} a JOIN (SELECT ticker, avg(v) AS v FROM {MONTHLY} WHERE year(m) = 1995 GROUP BY ticker) b ON a.ticker = b.ticker")
+def l69_index_base(spark, d):
+    return rounded(E.index_base(months_of(spark, d), ["ticker"], 1995), 6, "idx")
+
+
+@query("""SELECT fy, f - o AS balance, (f - o) - lag(f - o) OVER w AS change, coalesce(abs(f / nullif(lag(f) OVER w, 0) - 1) > 0.1 AND abs(o / nullif(lag(o) OVER w, 0) - 1) > 0.1, FALSE) AS jump FROM raw_years WINDOW w AS (ORDER BY fy)""")
+def l70_fiscal_series(spark, d):
+    return E.fiscal_series(table(spark, d, "raw_years"), "fy", "f", "o", 0.1)
+
+
+@query("""SELECT concept, count(*) AS trades, quantile_cont(filed - end_date, 0.5) AS med_lag, quantile_cont(filed - end_date, 0.9) AS p90_lag, count(DISTINCT accession) AS filings, count(DISTINCT CASE WHEN owners > 1 THEN accession END) AS joint
+ FROM (SELECT f.*, j.owners FROM facts f JOIN (SELECT accession AS a, count(DISTINCT cik) AS owners FROM facts GROUP BY 1) j ON j.a = f.accession) GROUP BY concept""")
+def l71_insider_stats(spark, d):
+    return E.insider_stats(table(spark, d, "facts"), "concept")
+
+
+LISTED = "SELECT s_suppkey, 'CUSTOMER ' || lpad(CAST(s_suppkey AS VARCHAR(10)), 9, '0') AS c_name FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT s_suppkey + 1, 'Customer-' || lpad(CAST(s_suppkey AS VARCHAR(10)), 9, '0') FROM supplier WHERE s_suppkey % 6 = 0"
+
+
+@query("""SELECT c_custkey, 'customer ' || split_part(c_name, '#', 2) AS norm, CASE WHEN k % 2 = 0 AND k % 6 <> 0 THEN k END AS s_suppkey, CASE WHEN k IS NULL OR k % 2 = 1 THEN 'unknown' WHEN k % 6 = 0 THEN 'ambiguous' END AS problem
+ FROM customer LEFT JOIN (SELECT s_suppkey AS k FROM supplier) ON k = CAST(split_part(c_name, '#', 2) AS BIGINT)""")
+def l72_crosswalk(spark, d):
+    return E.crosswalk(table(spark, d, "customer").select("c_custkey", "c_name"), sql(spark, d, LISTED), "c_name", "s_suppkey").drop("c_name")
+
+
+@query("""SELECT year(o_orderdate) AS y, CASE WHEN o_totalprice < 50000 THEN 'low' WHEN o_totalprice < 200000 THEN 'middle' ELSE 'high' END AS band, count(*) AS n, count(*) FILTER (WHERE o_orderstatus = 'F') AS enforced, round(count(*) FILTER (WHERE o_orderstatus = 'F') / count(*), 6) AS rate FROM orders GROUP BY 1, 2""")
+def l73_merger_stats(spark, d):
+    return rounded(E.merger_stats(table(spark, d, "orders"), F.year("o_orderdate"), "o_totalprice", [(50_000, "low"), (200_000, "middle")], "high", "o_orderstatus = 'F'"), 6, "rate")
+
+
+WATCH = "SELECT DISTINCT ticker FROM prices UNION SELECT 'GONE' AS ticker"
+
+
+@query(f"""SELECT w.ticker, coalesce(p.n, 0) AS n, p.a, p.b, coalesce(r.n, 0) AS ref_n, coalesce(r.splits, 0) AS splits, coalesce(r.dividends, 0) AS dividends FROM ({WATCH}) w LEFT JOIN (SELECT ticker, count(*) AS n, min(obs_date) AS a, max(obs_date) AS b FROM prices GROUP BY ticker) p ON p.ticker = w.ticker
+ LEFT JOIN (SELECT ticker, count(*) AS n, count(*) FILTER (WHERE split_factor <> 1) AS splits, count(*) FILTER (WHERE div_cash > 0) AS dividends FROM ref_prices GROUP BY ticker) r ON r.ticker = w.ticker""")
+def l74_price_population(spark, d):
+    return E.price_population(table(spark, d, "prices"), table(spark, d, "ref_prices"), sql(spark, d, WATCH))
+
+
+BALANCES = "SELECT n_regionkey, c_mktsegment, CAST(c_acctbal AS DECIMAL(12,2)) AS v, c_custkey AS w FROM customer JOIN nation ON c_nationkey = n_nationkey"
+
+
+@query(f"SELECT coalesce(CAST(n_regionkey AS VARCHAR), 'world') AS n_regionkey, c_mktsegment, round(CAST(sum(v * w) AS DOUBLE) / CAST(sum(w) AS DOUBLE), 4) AS weighted FROM ({BALANCES}) GROUP BY GROUPING SETS ((n_regionkey, c_mktsegment), (c_mktsegment))")
+def l75_regional_mean(spark, d):
+    return rounded(E.regional_mean(sql(spark, d, BALANCES), ["c_mktsegment"], "n_regionkey", "v", "w", "world"), 4, "weighted")
+
+
+ADDRESSES = "SELECT '{\"home\":\"' || CAST(c_nationkey AS VARCHAR(3)) || '\",\"office\":\"' || CAST((c_nationkey + c_custkey) % 27 AS VARCHAR(3)) || '\"}' AS addresses FROM customer"
+
+
+@query("SELECT a.n_name AS home, coalesce(b.n_name, CAST((c_nationkey + c_custkey) % 27 AS VARCHAR)) AS office, count(*) AS n FROM customer JOIN nation a ON c_nationkey = a.n_nationkey LEFT JOIN nation b ON (c_nationkey + c_custkey) % 27 = b.n_nationkey GROUP BY 1, 2")
+def l76_domicile_matrix(spark, d):
+    return E.domicile_matrix(sql(spark, d, ADDRESSES), sql(spark, d, "SELECT CAST(n_nationkey AS VARCHAR(3)) AS code, n_name AS name FROM nation"), "addresses")
+
+
+@query(f"SELECT count(*) AS n, count(*) FILTER (WHERE abs(q.v / y.v - 1) > 0.05) AS off FROM ({YEARS}) y JOIN (SELECT cik, concept, year(q) AS yr, sum(v) AS v FROM ({QUARTERS}) z GROUP BY 1, 2, 3 HAVING count(*) = 4) q ON q.cik = y.cik AND q.concept = y.concept AND q.yr = y.yr")
+def l77_annual_tie(spark, d):
+    return L.annual_tie(sql(spark, d, QUARTERS), sql(spark, d, YEARS), ["cik", "concept"], 0.05)
+
+
+@query(f"""SELECT cik, best_a, best_b, CASE WHEN best_a < best_b THEN 'a_first' WHEN best_a > best_b THEN 'b_first' ELSE 'same' END AS "order", best_a IN (lo, hi) OR best_b IN (lo, hi) AS censored FROM (SELECT cik, arg_max(yr, row(r, yr)) AS best_a, arg_max(yr, row(revenue, yr)) AS best_b, min(yr) AS lo, max(yr) AS hi FROM ({ROA}) GROUP BY cik)""")
+def l78_peak_order(spark, d):
+    return L.peak_order(sql(spark, d, ROA), "cik", "yr", "r", "revenue")

@@ -24,7 +24,7 @@ SQL: dict[str, str | tuple[str, str]] = {
     "d11_weighted_share": "SELECT yr, round(CAST(sum(CASE WHEN net_income < 0 THEN revenue ELSE 0 END) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE), 6) AS losing_share FROM company_years GROUP BY yr",
     "d12_histogram": "SELECT CAST(floor(log10(val) * 5) AS BIGINT) AS bin, count(*) AS n FROM facts WHERE val > 0 GROUP BY 1",
     "d13_bucketize": "SELECT CASE WHEN revenue < 100000 THEN 'small' WHEN revenue < 1000000 THEN 'middle' WHEN revenue < 3000000 THEN 'large' ELSE 'giant' END AS size_class, count(*) AS n FROM company_years GROUP BY 1",
-    "d14_cagr": "SELECT cik, round(exp(ln(CAST(max(CASE WHEN yr = 1997 THEN revenue END) AS DOUBLE) / CAST(max(CASE WHEN yr = 1994 THEN revenue END) AS DOUBLE)) / 3) - 1, 6) AS cagr FROM company_years GROUP BY cik HAVING max(CASE WHEN yr = 1997 THEN 1 END) = 1 AND max(CASE WHEN yr = 1994 THEN 1 END) = 1",
+    "d14_cagr": "SELECT cik, round(exp(ln(CAST(max(CASE WHEN yr = 1999 THEN revenue END) AS DOUBLE) / CAST(max(CASE WHEN yr = 1996 THEN revenue END) AS DOUBLE)) / 3) - 1, 6) AS cagr FROM company_years GROUP BY cik HAVING max(CASE WHEN yr = 1999 THEN 1 END) = 1 AND max(CASE WHEN yr = 1996 THEN 1 END) = 1",
     "d15_resample_complete": "SELECT ticker, CAST(date_trunc('quarter', m) AS DATE) AS q, count(*) AS months, CAST(sum(total) AS DECIMAL(28,2)) AS total FROM (SELECT ticker, CAST(date_trunc('month', obs_date) AS DATE) AS m, sum(CAST(close AS DECIMAL(14,2))) AS total FROM prices GROUP BY 1, 2) x GROUP BY 1, 2 HAVING count(*) = 3",
     "d16_resample_last_in": "SELECT ticker, year(obs_date) AS y, CAST(sum(CAST(close AS DECIMAL(14,2))) AS DECIMAL(28,2)) AS total FROM prices GROUP BY ticker, year(obs_date) HAVING max(month(obs_date)) = 12",
     "d17_profile": "WITH v AS (SELECT 'series_id' AS col, series_id AS v FROM obs UNION ALL SELECT 'obs_date', CAST(obs_date AS VARCHAR) FROM obs UNION ALL SELECT 'units', units FROM obs UNION ALL SELECT 'run_id', run_id FROM obs), c AS (SELECT col, v, count(*) AS n FROM v WHERE v IS NOT NULL GROUP BY col, v), r AS (SELECT *, row_number() OVER (PARTITION BY col ORDER BY n DESC, v) AS rk FROM c) SELECT col, CAST(sum(n) AS BIGINT) AS filled, count(*) AS n_distinct, min(v) AS lo, max(v) AS hi, string_agg(v || ' (' || n || ')', ', ' ORDER BY rk) FILTER (WHERE rk <= 3) AS top FROM r GROUP BY col",
@@ -111,7 +111,7 @@ def d13_bucketize(spark, d):
 
 
 def d14_cagr(spark, d):
-    return A.cagr(table(spark, d, "company_years"), ["cik"], "yr", "revenue", 1994, 1997).withColumn("cagr", F.round("cagr", 6))
+    return A.cagr(table(spark, d, "company_years"), ["cik"], "yr", "revenue", 1996, 1999).withColumn("cagr", F.round("cagr", 6))
 
 
 def d15_resample_complete(spark, d):
