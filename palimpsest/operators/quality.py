@@ -28,15 +28,16 @@ RESULTS = "check_id string, source_group string, severity string, gate boolean,
 
 
 def run_checks(spark: SparkSession, checks: list[Check], sample: int = 20) -> DataFrame:
-    """One row per check: passed, failed with its severity, or broken if its query can't run. Each check is one aggregation; a bounded sample of rows is kept as JSON."""
+    """One row per check: passed, failed with its severity, or broken if its query can't run. One pass counts a check's rows; of failing ones a bounded sample is read, as JSON."""
     if len({c.id for c in checks}) < len(checks):
         raise ValueError("check ids repeat")
     rows = []
     for c in checks:
         try:
-            bad = c.failing()
-            n = bad.count()
-            some = "[" + ",".join(bad.limit(sample).toJSON().collect()) + "]" if n else "[]"
+            bad = c.failing().select(F.to_json(F.struct("*")).alias("row"))
+            got = bad.agg(F.count("*").alias("n"), F.first("row").alias("one")).first()
+            n, some = got["n"], [got["one"]] if got["n"] == 1 else [r[0] for r in bad.limit(sample).collect()] if got["n"] else []
+            some = "[" + ",".join(some) + "]"
             rows.append((c.id, c.group, c.severity, c.gate, c.severity if n else "passed", n, some))
         except Exception as e:  # noqa: BLE001  a check that can't run is a result
             rows.append((c.id, c.group, c.severity, c.gate, "broken", None, str(e)[:500]))
@@ -50,11 +51,19 @@ def verdicts(results: DataFrame) -> DataFrame:
     )
 
 
+def with_run_verdict(groups: DataFrame) -> DataFrame:
+    """Verdicts of the groups and, as group run, that of the whole run: the worst of them."""
+    worst = F.when(F.bool_or(F.col("verdict") == "failed"), "failed").when(F.bool_or(F.col("verdict") == "blocked"), "blocked").otherwise("passed")
+    return groups.unionByName(groups.agg(worst.alias("verdict")).select(F.lit("run").alias("source_group"), "verdict"))
+
+
 def acknowledge(results: DataFrame, failing: DataFrame, reviewed: DataFrame) -> DataFrame:
-    """Results in which a warning whose failing rows (check_id, ack_key) are all reviewed is acknowledged."""
+    """Results in which a warning whose failing rows (check_id, ack_key) are all reviewed is acknowledged. Reviews of rows that no longer fail are a warning of their own."""
     open_rows = failing.join(reviewed, ["check_id", "ack_key"], "left_anti").groupBy("check_id").agg(F.count("*").alias("_open"))
     met = results.join(open_rows, "check_id", "left")
-    return met.withColumn("status", F.when((F.col("status") == "warn") & F.col("_open").isNull(), "acknowledged").otherwise(F.col("status"))).drop("_open")
+    out = met.withColumn("status", F.when((F.col("status") == "warn") & F.col("_open").isNull(), "acknowledged").otherwise(F.col("status"))).drop("_open")
+    stale = stale_reviews(failing, reviewed).agg(F.count("*").alias("n")).filter("n > 0")
+    return out.unionByName(stale.select(F.lit("unmatched_reviews").alias("check_id"), F.lit("warn").alias("status"), F.lit("warn").alias("severity"), F.col("n").alias("failing_rows")), allowMissingColumns=True)
 
 
 def stale_reviews(failing: DataFrame, reviewed: DataFrame) -> DataFrame:
