@@ -26,11 +26,16 @@ def first_print(obs: DataFrame) -> DataFrame:
 
 
 def revision_stats(obs: DataFrame) -> DataFrame:
-    """Per series: prints, periods revised, median and largest absolute change in percent between first print and latest value, and where."""
-    latest = latest_vintage(obs, ["series_id", "obs_date"]).select("series_id", "obs_date", F.col("value").alias("_now"), F.col("vintage").alias("_v"))
-    met = first_print(obs).join(latest, ["series_id", "obs_date"]).withColumn("pct", F.abs(F.try_divide(F.col("_now") - F.col("value"), F.abs("value"))) * 100)
+    """Per series: prints, periods revised, median and largest absolute change in percent between first print and latest value, and where.
+
+    A period whose units differ between the two was rebased, which is no revision: such periods are counted apart.
+    """
+    latest = latest_vintage(obs, ["series_id", "obs_date"]).select("series_id", "obs_date", F.col("value").alias("_now"), F.col("vintage").alias("_v"), F.col("units").alias("_u"))
+    units = obs.select("series_id", "obs_date", "vintage", "units")
+    met = first_print(obs).join(units, ["series_id", "obs_date", "vintage"]).join(latest, ["series_id", "obs_date"]).withColumn("same", F.col("units").eqNullSafe(F.col("_u")))
+    met = met.withColumn("pct", F.when(F.col("same"), F.abs(F.try_divide(F.col("_now") - F.col("value"), F.abs("value"))) * 100))
     return met.groupBy("series_id").agg(
-        F.count("*").alias("prints"), F.count_if(F.col("_v") > F.col("vintage")).alias("revised"), F.round(F.median("pct"), 6).alias("median_pct"), F.round(F.max("pct"), 6).alias("max_pct"),
+        F.count("*").alias("prints"), F.count_if(F.col("same") & (F.col("_v") > F.col("vintage"))).alias("revised"), F.count_if(~F.col("same")).alias("rebased"), F.round(F.median("pct"), 6).alias("median_pct"), F.round(F.max("pct"), 6).alias("max_pct"),
         F.max(F.struct("pct", "obs_date"))["obs_date"].alias("max_at"),
     )
 
@@ -52,12 +57,13 @@ def current_vintage(obs: DataFrame, is_price: Column) -> DataFrame:
     return obs.withColumn("_newest", newest).filter(~is_price | (F.col("vintage") == F.col("_newest"))).drop("_newest")
 
 
-def release_points(obs: DataFrame, lag_days: int, late_days: int = 90) -> DataFrame:
-    """Each latest value at its first availability, or at period end plus a lag where that lies more than late_days after the period."""
+def release_points(obs: DataFrame, catalog: DataFrame, late_days: int = 90) -> DataFrame:
+    """Each latest value at its first availability, or at period end plus its series' lag in the catalog where that lies more than late_days after the period."""
     seen = obs.groupBy("series_id", "obs_date").agg(F.min("available_date").alias("_first"))
-    met = latest_vintage(obs, ["series_id", "obs_date"]).select("series_id", "obs_date", "value").join(seen, ["series_id", "obs_date"])
+    lags = catalog.select("series_id", F.col("expected_lag_days").cast("int").alias("_lag"))
+    met = latest_vintage(obs, ["series_id", "obs_date"]).select("series_id", "obs_date", "value").join(seen, ["series_id", "obs_date"]).join(lags, "series_id", "left")
     late = F.datediff("_first", "obs_date") > late_days
-    return met.select("series_id", "obs_date", "value", F.when(late, F.date_add("obs_date", lag_days)).otherwise(F.col("_first")).alias("released"), late.alias("estimated"))
+    return met.select("series_id", "obs_date", "value", F.when(late & F.col("_lag").isNotNull(), F.date_add("obs_date", F.col("_lag"))).otherwise(F.col("_first")).alias("released"), late.alias("estimated"))
 
 
 def series_window(points: DataFrame, start: str, end: str, key: str = "series_id", at: str = "released") -> DataFrame:

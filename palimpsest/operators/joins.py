@@ -26,22 +26,40 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, by
     return both.select("_row.*", *(F.col(f"_found.{c}").alias(c) for c in take))
 
 
+#: A calendar is broadcast; so many days are some centuries.
+CALENDAR_DAYS = 100_000
+
+
+def calendar_days(calendar: DataFrame, session: str, name: str) -> DataFrame:
+    """The calendar's days, marked for broadcast once it is known to be no larger than a calendar."""
+    days = calendar.select(F.col(session).alias(name)).distinct()
+    if days.limit(CALENDAR_DAYS + 1).count() > CALENDAR_DAYS:
+        raise ValueError(f"a calendar of more than {CALENDAR_DAYS} days")
+    return F.broadcast(days)
+
+
 def asof_by_distinct(df: DataFrame, date_col: str, calendar: DataFrame, session: str, name: str) -> DataFrame:
     """The next session after each row's date: every distinct date is looked up once in the small calendar and joined back by equality."""
     dates = df.select(F.col(date_col).alias("_d")).distinct()
-    found = dates.join(F.broadcast(calendar.select(F.col(session).alias("_s"))), F.col("_s") > F.col("_d"), "left").groupBy("_d").agg(F.min("_s").alias(name))
+    found = dates.join(calendar_days(calendar, session, "_s"), F.col("_s") > F.col("_d"), "left").groupBy("_d").agg(F.min("_s").alias(name))
     return df.join(found, df[date_col] == F.col("_d"), "left").drop("_d")
 
 
-def window_join(df: DataFrame, windows: DataFrame, key: str, at: str, start: str, end: str) -> DataFrame:
-    """Rows with the window of their key that contains them, both ends included."""
+def window_join(df: DataFrame, windows: DataFrame, key: str, at: str, start: str, end: str, exactly_one: bool = False) -> DataFrame:
+    """Rows with the window of their key that contains them, both ends included. If exactly one is required, rows in none or in several stop, with how many there are."""
     w = windows.withColumnRenamed(key, "_key")
-    return df.join(w, (F.col(key) == F.col("_key")) & F.col(at).between(F.col(start), F.col(end))).drop("_key")
+    inside = (F.col(key) == F.col("_key")) & F.col(at).between(F.col(start), F.col(end))
+    if exactly_one:
+        rows = df.withColumn("_row", F.xxhash64(*df.columns))
+        none, several = rows.join(w, inside, "left_anti").count(), rows.groupBy("_row", key, at).agg(F.count("*").alias("_times")).join(w, inside).groupBy("_row", key, at).agg(F.count("*").alias("n")).filter("n > 1").count()
+        if none or several:
+            raise ValueError(f"{none} rows in no window, {several} in several")
+    return df.join(w, inside).drop("_key")
 
 
 def expand_sessions(windows: DataFrame, calendar: DataFrame, session: str, start: str, end: str) -> DataFrame:
     """Every session inside each window; the calendar, a few thousand days, is broadcast."""
-    return windows.join(F.broadcast(calendar), F.col(session).between(F.col(start), F.col(end)))
+    return windows.join(calendar_days(calendar, session, session), F.col(session).between(F.col(start), F.col(end)))
 
 
 def null_safe_join(l: DataFrame, r: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -59,9 +77,41 @@ def reconcile_full(l: DataFrame, r: DataFrame, keys: list[str], compare: list[st
     return a.join(b, keys, "full").select(*keys, problem.alias("problem")).filter("problem IS NOT NULL")
 
 
-def orphan_keys(child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct child keys without a parent, and how many rows hold each."""
-    return child.join(parent.select(*keys).distinct(), keys, "left_anti").groupBy(*keys).agg(F.count("*").alias("n_rows"))
+def orphan_keys(child: DataFrame, parent: DataFrame, key: str, year: Column, top: int = 3) -> DataFrame:
+    """Keys that only one side has, both ways and by the child's year: side, year, distinct keys, rows, and the `top` most frequent keys (the smallest of equals) as examples."""
+    rows = child.select(F.lit("child").alias("side"), year.alias("year"), key).join(parent.select(key).distinct(), key, "left_anti")
+    rows = rows.unionByName(parent.select(F.lit("parent").alias("side"), F.lit(None).cast("int").alias("year"), key).join(child.select(key).distinct(), key, "left_anti"))
+    counts = rows.groupBy("side", "year", key).agg(F.count("*").alias("n"))
+    ranked = counts.withColumn("_rk", F.row_number().over(Window.partitionBy("side", "year").orderBy(F.desc("n"), key)))
+    shown = F.array_sort(F.collect_list(F.when(F.col("_rk") <= top, F.struct("_rk", F.col(key).alias("k")))))
+    return ranked.groupBy("side", "year").agg(F.count("*").alias("keys"), F.sum("n").alias("n_rows"), F.array_join(F.transform(shown, lambda x: x["k"].cast("string")), ",").alias("examples"))
+
+
+def left_or_empty(clock: DataFrame, df: DataFrame, cond: str) -> DataFrame:
+    """Every row of a one-row clock with the rows that meet a condition on both, or with nulls if none does."""
+    return clock.join(df, F.expr(cond), "left")
+
+
+def lateral(df: DataFrame, **named: str) -> DataFrame:
+    """Rows with derived columns, each of which may use those before it."""
+    for name, expr in named.items():
+        df = df.withColumn(name, F.expr(expr))
+    return df
+
+
+def lines_wide(df: DataFrame, keys: list[str], line: str, value: str, lines: dict[str, str]) -> DataFrame:
+    """Lines of a long table side by side, null where a key lacks one; two values of a line stop."""
+    sums = df.filter(F.col(line).isin(list(lines.values()))).groupBy(*keys, line).agg(F.max(value).alias("_v"), F.min(value).alias("_w"))
+    checked = F.when(F.col("_v") == F.col("_w"), F.col("_v")).otherwise(F.raise_error(F.lit("a line has two values")).cast(dict(df.dtypes)[value]))
+    return sums.groupBy(*keys).agg(*(F.max(F.when(F.col(line) == code, checked)).alias(name) for name, code in lines.items()))
+
+
+def asof_valuation(prices: DataFrame, shares: DataFrame, annual: DataFrame) -> DataFrame:
+    """Each price day with the share count in force, the annual value filed last by then, market value and the value's multiple. shares: ticker, from_date, shares; annual: ticker, filed, val."""
+    rows = asof_join(prices, shares, "obs_date", "from_date", ["ticker"], ["shares"])
+    rows = asof_join(rows, annual, "obs_date", "filed", ["ticker"], ["val"])
+    worth = F.col("close") * F.col("shares")
+    return rows.select("ticker", "obs_date", "close", "shares", "val", worth.alias("market_value"), F.try_divide(worth, F.col("val")).alias("multiple"))
 
 
 def list_overlap(a: DataFrame, b: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
@@ -79,14 +129,15 @@ def array_membership(df: DataFrame, lists: DataFrame, keys: list[str], value: st
 
 
 def period_average(periods: DataFrame, series: DataFrame, date_col: str, value_col: str, keys: list[str], start: str, end: str) -> DataFrame:
-    """Mean and number of a series' values within each period [start, end)."""
-    on = (F.col(date_col) >= F.col(start)) & (F.col(date_col) < F.col(end))
-    return periods.join(series, on).groupBy(*keys, start, end).agg(F.avg(value_col).alias("mean"), F.count(value_col).alias("n"))
+    """Mean and number of a series' values within each period [start, end). Periods spell out their months, which meet those of the series by equality."""
+    months = periods.filter(F.col(start) < F.col(end)).select("*", F.explode(F.sequence(F.trunc(start, "month"), F.trunc(F.date_sub(end, 1), "month"), F.expr("INTERVAL 1 MONTH"))).alias("_m"))
+    inside = (F.col(date_col) >= F.col(start)) & (F.col(date_col) < F.col(end))
+    return months.join(series.withColumn("_m", F.trunc(date_col, "month")), "_m").filter(inside).groupBy(*keys, start, end).agg(F.avg(value_col).alias("mean"), F.count(value_col).alias("n"))
 
 
 def due_sessions(df: DataFrame, calendar: DataFrame, session: str, until: Column, keys: list[str]) -> DataFrame:
     """Per row the last session up to `until` and the number of sessions after its own last one; the calendar is broadcast."""
-    met = df.join(F.broadcast(calendar), F.col(session) <= until, "left")
+    met = df.join(calendar_days(calendar, session, session), F.col(session) <= until, "left")
     return met.groupBy(*keys, "last_date").agg(F.max(session).alias("due"), F.count_if(F.col(session) > F.col("last_date")).alias("behind"))
 
 

@@ -41,10 +41,28 @@ def merge_into_base(new: DataFrame, base: DataFrame, key: list[str], lineage: li
     return null_safe_join(base, new, key, "anti").unionByName(touched)
 
 
-def merge_partitions(new: DataFrame, base: DataFrame, key: list[str], lineage: list[str], part: str) -> DataFrame:
-    """Merged rows of the partitions that the new landings touch; the base is filtered by partition before any shuffle."""
-    parts = [r[0] for r in new.select(part).distinct().collect()]
-    return merge_into_base(new, base.filter(F.col(part).isin(parts)), key, lineage)
+#: So many partitions are named in a filter; landings that touch more are joined to them by label.
+NAMED_PARTITIONS = 1000
+
+
+def merge_partitions(new: DataFrame, base: DataFrame, key: list[str], lineage: list[str], part: str, label: str = "[0-9]{4}Q[1-4]") -> DataFrame:
+    """Merged rows of the partitions that the new landings touch; the base is filtered by partition before any shuffle.
+
+    A label that isn't of the pattern stops, and so does a key of the new landings that the base holds in a partition that they don't touch: it would be served twice.
+    """
+    labels = new.select(part).distinct()
+    bad = [r[0] for r in labels.filter(F.col(part).isNull() | ~F.col(part).rlike(f"^({label})$")).limit(5).collect()]
+    if bad:
+        raise ValueError(f"partition labels: {bad}")
+    parts = [r[0] for r in labels.limit(NAMED_PARTITIONS + 1).collect()]
+    if len(parts) <= NAMED_PARTITIONS:
+        touched, other = base.filter(F.col(part).isin(parts)), base.filter(~F.col(part).isin(parts))
+    else:
+        touched, other = base.join(labels, part, "left_semi").select(*base.columns), base.join(labels, part, "left_anti").select(*base.columns)
+    moved = null_safe_join(other.select(*key), new, key, "semi").limit(5).collect()
+    if moved:
+        raise ValueError(f"keys of other partitions: {[tuple(r) for r in moved]}")
+    return merge_into_base(new, touched, key, lineage)
 
 
 def replace_documents(base: DataFrame, new: DataFrame, changes: DataFrame, entity: str, key: list[str], lineage: list[str]) -> DataFrame:
@@ -64,6 +82,14 @@ def repeated_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")
 
 
+def require_unique(df: DataFrame, key: list[str]) -> DataFrame:
+    """df, if no key repeats; else an error with some that do."""
+    bad = repeated_keys(df, key).limit(5).collect()
+    if bad:
+        raise ValueError(f"repeated keys: {[tuple(r) for r in bad]}")
+    return df
+
+
 def changed_entities(current: DataFrame, prior: DataFrame, entity: str, key: list[str], values: list[str]) -> DataFrame:
     """Entities with a row that is new or differs from the newest prior landing."""
     old = prior.select(*(F.col(k).alias(f"_{k}") for k in key), F.struct(*values).alias("_old"))
@@ -72,33 +98,48 @@ def changed_entities(current: DataFrame, prior: DataFrame, entity: str, key: lis
 
 
 def change_set(changes: DataFrame, existing: DataFrame, entity: str) -> DataFrame:
-    """Entities of an incremental change list; a full one adds every entity that exists."""
+    """Entities of an incremental change list; a full one adds every entity that exists. The change lists of a run must be of one mode, else an error names the run."""
+    if "run_id" in changes.columns:
+        mixed = changes.groupBy("run_id").agg(F.count_distinct("mode").alias("n")).filter("n > 1").limit(5).collect()
+        if mixed:
+            raise ValueError(f"runs of two modes: {[r['run_id'] for r in mixed]}")
     full = changes.filter("mode = 'full'").limit(1).select(F.lit(1).alias("_full"))
     return changes.select(entity).unionByName(existing.select(entity).crossJoin(F.broadcast(full)).select(entity)).distinct()
 
 
 def classify_pulls(stored: DataFrame, new: DataFrame, key: str, date: str, value: str, tol: float = 1e-5) -> DataFrame:
-    """How a pull meets the stored values of its key: bootstrap, no_overlap, incremental, rebase (one common ratio) or correction."""
+    """How a pull meets the stored values of its key: bootstrap, no_overlap, incremental, rebase (one common ratio) or correction.
+
+    split_flag: a rebase by a whole number or one over it, as a share split makes. window_extended: the pull goes back beyond the stored dates.
+    """
     a = stored.select(key, date, F.col(value).alias("_old"))
     b = new.select(key, date, F.col(value).alias("_new"))
     met = b.join(a, [key, date], "left").withColumn("_r", F.try_divide(F.col("_new"), F.col("_old")))
-    known = stored.select(key).distinct().withColumn("_known", F.lit(True))
-    out = met.groupBy(key).agg(F.count("_r").alias("overlap"), F.min("_r").alias("_lo"), F.max("_r").alias("_hi")).join(known, key, "left")
+    known = stored.groupBy(key).agg(F.lit(True).alias("_known"), F.min(date).alias("_since"))
+    out = met.groupBy(key).agg(F.count("_r").alias("overlap"), F.min("_r").alias("_lo"), F.max("_r").alias("_hi"), F.min(date).alias("_first")).join(known, key, "left")
     kind = (
         F.when(F.col("_known").isNull(), "bootstrap").when(F.col("overlap") == 0, "no_overlap").when((F.abs(F.col("_lo") - 1) <= tol) & (F.abs(F.col("_hi") - 1) <= tol), "incremental")
         .when(F.col("_hi") - F.col("_lo") <= tol, "rebase").otherwise("correction")
     )
-    return out.select(key, "overlap", kind.alias("kind"))
+    ratio = F.greatest(F.col("_hi"), F.try_divide(F.lit(1.0), F.col("_lo")))
+    split = (kind == "rebase") & (F.round(ratio) >= 2) & (F.abs(ratio - F.round(ratio)) <= tol * ratio)
+    return out.select(key, "overlap", kind.alias("kind"), F.coalesce(split, F.lit(False)).alias("split_flag"), F.coalesce(F.col("_first") < F.col("_since"), F.lit(False)).alias("window_extended"))
 
 
 def stored_basis(raw: DataFrame, key: str, date: str, run: str, full: str) -> DataFrame:
-    """Rows of a key from its latest full pull on, the newest run of each date."""
-    since = raw.withColumn("_full", F.max(F.when(F.col(full), F.col(run))).over(Window.partitionBy(key))).filter(F.col(run) >= F.col("_full"))
+    """Rows of a key from its latest full pull on, the newest run of each date; `full_from` is the first date of that pull."""
+    by = Window.partitionBy(key)
+    since = raw.withColumn("_full", F.max(F.when(F.col(full), F.col(run))).over(by)).withColumn("full_from", F.min(F.when(F.col(run) == F.col("_full"), F.col(date))).over(by)).filter(F.col(run) >= F.col("_full"))
     w = Window.partitionBy(key, date).orderBy(F.col(run).desc())
     return since.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n", "_full")
 
 
-def edition_difference(df: DataFrame, by: list[str], edition: str, value: str, early, late) -> DataFrame:
-    """Late edition less early one, by group; both are cumulative."""
+def edition_difference(df: DataFrame, by: list[str], edition: str, value: str, early, late, left_out: str | None = None) -> DataFrame:
+    """Late edition less early one, by group, without the rows of a left-out class; both are cumulative, so a negative difference stops."""
+    rows = df if left_out is None else df.filter(~F.coalesce(F.expr(left_out), F.lit(False)))
     part = lambda e: F.coalesce(F.sum(F.when(F.col(edition) == e, F.col(value))), F.lit(0))
-    return df.groupBy(*by).agg((part(late) - part(early)).alias("difference"))
+    out = rows.groupBy(*by).agg((part(late) - part(early)).alias("difference"))
+    bad = out.filter("difference < 0").limit(5).collect()
+    if bad:
+        raise ValueError(f"negative differences: {[tuple(r) for r in bad]}")
+    return out

@@ -63,6 +63,26 @@ def seeded_sample(df: DataFrame, by: list[str], keys: list[str], seed: str, n: i
     return df.withColumn("_n", drawn).withColumn("_newest", newest).filter((F.col("_n") <= n) | (F.col(latest) == F.col("_newest"))).drop("_n", "_newest")
 
 
+def window_agg_if(df: DataFrame, by: list[str], agg: str, col: str, cond: str, name: str) -> DataFrame:
+    """Each row with an aggregate of its group's rows that meet a condition."""
+    return df.withColumn(name, getattr(F, agg)(F.when(F.expr(cond), F.col(col))).over(Window.partitionBy(*by)))
+
+
+def first_in(df: DataFrame, by: list[str], order: list[str], col: str, name: str) -> DataFrame:
+    """Each row with its group's first value in an order."""
+    return df.withColumn(name, F.first(col).over(Window.partitionBy(*by).orderBy(*order)))
+
+
+def weight_slices(df: DataFrame, by: list[str], order: list[str], weight: str, n: int) -> DataFrame:
+    """Equal slices 0 .. n - 1 by the share of the group's weight before a row."""
+    return weight_groups(df, by, order, weight, n).withColumnRenamed("weight_group", "slice")
+
+
+def running_total(df: DataFrame, by: list[str], order: list[str], col: str, name: str) -> DataFrame:
+    """Sum of a column up to each row."""
+    return df.withColumn(name, F.sum(col).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+
+
 def increments(df: DataFrame, by: list[str], order: str, total: str) -> DataFrame:
     """A cumulative counter as increments; it starts anew in each group."""
     return df.withColumn("increment", F.col(total) - F.coalesce(F.lag(total).over(Window.partitionBy(*by).orderBy(order)), F.lit(0)))

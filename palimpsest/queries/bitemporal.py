@@ -43,11 +43,11 @@ def i6_current_vintage(spark, d):
 
 
 def i7_release_points(spark, d):
-    return op.release_points(table(spark, d, "obs"), 2, 1)
+    return op.release_points(table(spark, d, "obs"), table(spark, d, "series_catalog"), 1)
 
 
 def i8_series_window(spark, d):
-    return op.series_window(op.release_points(table(spark, d, "obs"), 2, 1).select("series_id", "released", "value"), "2024-01-10", "2024-01-20")
+    return op.series_window(op.release_points(table(spark, d, "obs"), table(spark, d, "series_catalog"), 1).select("series_id", "released", "value"), "2024-01-10", "2024-01-20")
 
 
 def i9_dedup_lineage(spark, d):
@@ -109,11 +109,11 @@ def i21_classify_pulls(spark, d):
 
 def i22_stored_basis(spark, d):
     rows = table(spark, d, "landings").withColumn("is_full", (F.col("run_id") == "r1") | ((F.col("run_id") == "r2") & (F.col("cik") % 2 == 0)))
-    return merge.stored_basis(rows, "cik", "id", "run_id", "is_full").select("cik", "id", "run_id", "val")
+    return merge.stored_basis(rows, "cik", "id", "run_id", "is_full").select("cik", "id", "run_id", "val", "full_from")
 
 
 def i24_edition_difference(spark, d):
-    return merge.edition_difference(table(spark, d, "landings").withColumn("val", F.col("val").cast("decimal(18,2)")), ["form"], "run_id", "val", "r1", "r2").withColumn("difference", F.col("difference").cast("decimal(28,2)"))
+    return merge.edition_difference(table(spark, d, "landings").withColumn("val", F.col("val").cast("decimal(18,2)")), ["form"], "run_id", "val", "r1", "r2", "id % 13 = 0").withColumn("difference", F.col("difference").cast("decimal(28,2)"))
 
 
 QUERIES = {k: f for k, f in globals().items() if k[:1] == "i" and k[1:2].isdigit()}
@@ -122,7 +122,7 @@ ORACLES = {
     "i2_as_of": """SELECT series_id, obs_date, vintage, value FROM (SELECT *, row_number() OVER (PARTITION BY series_id, obs_date ORDER BY vintage DESC) AS rn
  FROM obs WHERE available_date <= DATE '2024-01-20') WHERE rn = 1 AND value IS NOT NULL""",
     "i3_first_print": f"SELECT series_id, obs_date, vintage, value FROM {FIRST}",
-    "i4_revision_stats": f"""SELECT f.series_id, count(*) AS prints, count(*) FILTER (WHERE l.vintage > f.vintage) AS revised,
+    "i4_revision_stats": f"""SELECT f.series_id, count(*) AS prints, count(*) FILTER (WHERE l.vintage > f.vintage) AS revised, 0 AS rebased,
  round(median(abs((l.value - f.value) / nullif(abs(f.value), 0)) * 100), 6) AS median_pct, round(max(abs((l.value - f.value) / nullif(abs(f.value), 0)) * 100), 6) AS max_pct,
  arg_max(f.obs_date, row(abs((l.value - f.value) / nullif(abs(f.value), 0)) * 100, f.obs_date)) AS max_at
  FROM {FIRST} f JOIN {LATEST} l ON f.series_id = l.series_id AND f.obs_date = l.obs_date GROUP BY f.series_id""",
@@ -156,12 +156,12 @@ ORACLES = {
  WHERE c.run_id = 'r2' AND (p.id IS NULL OR row(c.form, c.val, c.quarter) IS DISTINCT FROM row(p.form, p.val, p.quarter))""",
     "i20_change_set": """SELECT cik FROM landings WHERE run_id = 'r3' AND cik % 5 = 0 UNION SELECT cik FROM landings WHERE run_id = 'r1'""",
     "i21_classify_pulls": """WITH n AS (SELECT form, id, CASE WHEN form = 'P' THEN val * 2 ELSE val END AS val FROM landings WHERE run_id = 'r2'), s AS (SELECT form, id, val FROM landings WHERE run_id = 'r1' AND form <> 'O'),
- r AS (SELECT n.form, count(n.val / s.val) AS overlap, min(n.val / s.val) AS lo, max(n.val / s.val) AS hi FROM n LEFT JOIN s ON n.form = s.form AND n.id = s.id GROUP BY n.form)
+ r AS (SELECT n.form, count(n.val / s.val) AS overlap, min(n.val / s.val) AS lo, max(n.val / s.val) AS hi, min(n.id) < (SELECT min(id) FROM s t WHERE t.form = n.form) AS ext FROM n LEFT JOIN s ON n.form = s.form AND n.id = s.id GROUP BY n.form)
  SELECT form, overlap, CASE WHEN form NOT IN (SELECT form FROM s) THEN 'bootstrap' WHEN overlap = 0 THEN 'no_overlap' WHEN abs(lo - 1) <= 1e-5 AND abs(hi - 1) <= 1e-5 THEN 'incremental'
- WHEN hi - lo <= 1e-5 THEN 'rebase' ELSE 'correction' END AS kind FROM r""",
+ WHEN hi - lo <= 1e-5 THEN 'rebase' ELSE 'correction' END AS kind, form = 'P' AND overlap > 0 AND hi - lo <= 1e-5 AS split_flag, coalesce(ext, FALSE) AS window_extended FROM r""",
     "i22_stored_basis": """WITH x AS (SELECT *, run_id = 'r1' OR (run_id = 'r2' AND cik % 2 = 0) AS is_full FROM landings),
- y AS (SELECT *, max(CASE WHEN is_full THEN run_id END) OVER (PARTITION BY cik) AS since FROM x)
- SELECT cik, id, run_id, val FROM (SELECT *, row_number() OVER (PARTITION BY cik, id ORDER BY run_id DESC) AS n FROM y WHERE run_id >= since) WHERE n = 1""",
-    "i24_edition_difference": """SELECT form, CAST(coalesce(sum(CASE WHEN run_id = 'r2' THEN CAST(val AS DECIMAL(18,2)) END), 0) - coalesce(sum(CASE WHEN run_id = 'r1' THEN CAST(val AS DECIMAL(18,2)) END), 0) AS DECIMAL(28,2)) AS difference FROM landings GROUP BY form""",
+ y AS (SELECT *, max(CASE WHEN is_full THEN run_id END) OVER (PARTITION BY cik) AS since FROM x), z AS (SELECT *, min(CASE WHEN run_id = since THEN id END) OVER (PARTITION BY cik) AS full_from FROM y)
+ SELECT cik, id, run_id, val, full_from FROM (SELECT *, row_number() OVER (PARTITION BY cik, id ORDER BY run_id DESC) AS n FROM z WHERE run_id >= since) WHERE n = 1""",
+    "i24_edition_difference": """SELECT form, CAST(coalesce(sum(CASE WHEN run_id = 'r2' THEN CAST(val AS DECIMAL(18,2)) END), 0) - coalesce(sum(CASE WHEN run_id = 'r1' THEN CAST(val AS DECIMAL(18,2)) END), 0) AS DECIMAL(28,2)) AS difference FROM landings WHERE id % 13 <> 0 GROUP BY form""",
 }
 ORACLES = {k: with_fixtures(v) for k, v in ORACLES.items()}

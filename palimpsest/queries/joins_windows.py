@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from palimpsest.operators import joins, windows
+from palimpsest.operators import checks, joins, windows
 from palimpsest.plans.fixtures import sql, table, with_fixtures
 
 
@@ -14,9 +14,7 @@ def x1_asof_backward(spark, d):
 
 
 def x2_asof_forward(spark, d):
-    s = table(spark, d, "sessions").withColumn("k", F.lit(1))
-    nation = table(spark, d, "facts").select("filed").distinct().withColumn("k", F.lit(1))
-    return joins.asof_join(nation, s, "filed", "session", ["k"], ["session"], "forward", False).select("filed", F.col("session").alias("available_date"))
+    return joins.asof_by_distinct(table(spark, d, "facts").select("filed").distinct(), "filed", table(spark, d, "sessions"), "session", "available_date")
 
 
 def x3_asof_by_distinct(spark, d):
@@ -30,7 +28,7 @@ def x4_window_join(spark, d):
 
 
 def x5_expand_sessions(spark, d):
-    w = table(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").cast("date").alias("first_day"), F.max("o_orderdate").cast("date").alias("last_day")).filter("o_custkey % 50 = 1")
+    w = table(spark, d, "orders").groupBy("o_custkey").agg(F.min("o_orderdate").cast("date").alias("first_day"), F.max("o_orderdate").cast("date").alias("last_day"))
     return joins.expand_sessions(w, table(spark, d, "sessions"), "session", "first_day", "last_day").groupBy("o_custkey").agg(F.count("*").alias("sessions"))
 
 
@@ -62,7 +60,8 @@ def x14_period_average(spark, d):
 
 
 def x15_orphan_keys(spark, d):
-    return joins.orphan_keys(table(spark, d, "orders").select(F.col("o_custkey").alias("k")), table(spark, d, "customer").filter("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k")), ["k"])
+    child = table(spark, d, "orders").select(F.col("o_custkey").alias("k"), "o_orderdate")
+    return joins.orphan_keys(child, table(spark, d, "customer").filter("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("k")), "k", F.year("o_orderdate"))
 
 
 def x17_safe_filing_join(spark, d):
@@ -128,27 +127,71 @@ def e15_increments(spark, d):
     return windows.increments(totals, ["ticker", "y"], "obs_date", "total").select("ticker", "obs_date", F.col("increment").cast("decimal(22,2)").alias("increment"))
 
 
-#: The same SQL for Spark and DuckDB.
-SHARED = {
-    "x8_left_or_empty": "SELECT c.clock, max(l.loaded_at) AS newest, count(l.run_id) AS n FROM (SELECT TIMESTAMP '2024-01-05 00:00:00' AS clock) c LEFT JOIN loads l ON l.loaded_at >= c.clock + INTERVAL 400 DAY GROUP BY c.clock",
-    "x10_expected_product": "SELECT e.source, m.units FROM (SELECT DISTINCT source FROM series_catalog) e CROSS JOIN (SELECT DISTINCT units FROM obs) m WHERE NOT EXISTS (SELECT 1 FROM obs WHERE split_part(series_id, ':', 2) = e.source AND obs.units = m.units AND value > 490)",
-    "x11_lateral": "SELECT cik, yr, t.margin FROM company_years, LATERAL (SELECT round(CAST(net_income AS DOUBLE) / nullif(CAST(revenue AS DOUBLE), 0), 6) AS margin) t",
-    "x13_asof_valuation": "SELECT ticker, obs_date, close, (SELECT max(r.obs_date) FROM ref_prices r WHERE r.ticker = p.ticker AND r.obs_date <= p.obs_date AND r.split_factor <> 1) AS last_split FROM prices p WHERE obs_date >= DATE '1998-01-01'",
-    "x16_lines_wide": "SELECT cik, yr, max(CASE WHEN concept = 'AF' THEN val END) AS af, max(CASE WHEN concept = 'NO' THEN val END) AS no FROM (SELECT *, year(end_date) AS yr FROM facts) x GROUP BY cik, yr",
-    "e6_first_in": "SELECT cik, concept, accession, first_value(val) OVER (PARTITION BY cik, concept ORDER BY filed, accession, val) AS first_val, val FROM facts WHERE cik <= 10",
-    "e4_window_agg_if": "SELECT series_id, obs_date, vintage, max(CASE WHEN units = 'USD' THEN value END) OVER (PARTITION BY series_id) AS top_usd FROM obs",
-    "e11_weight_slices": "SELECT cik, yr, CAST(least(floor(20 * CAST(running AS DOUBLE) / CAST(total AS DOUBLE)), 19) AS INTEGER) AS slice FROM (SELECT cik, yr, sum(revenue) OVER (PARTITION BY yr ORDER BY revenue, cik ROWS UNBOUNDED PRECEDING) - revenue AS running, sum(revenue) OVER (PARTITION BY yr) AS total FROM company_years) x",
-    "e13_running_total": "SELECT cik, yr, CAST(sum(revenue) OVER (PARTITION BY cik ORDER BY yr ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,2)) AS running FROM company_years",
-}
-QUERIES = {k: f for k, f in globals().items() if k[:1] in "xe" and k[1:2].isdigit()} | {k: (lambda s, d, q=q: sql(s, d, q)) for k, q in SHARED.items()}
-ORACLES = SHARED | {
+def x8_left_or_empty(spark, d):
+    clock = spark.sql("SELECT TIMESTAMP '2024-01-05 00:00:00' AS clock")
+    return joins.left_or_empty(clock, table(spark, d, "loads"), "loaded_at >= clock + INTERVAL 400 DAY").groupBy("clock").agg(F.max("loaded_at").alias("newest"), F.count("run_id").alias("n"))
+
+
+def x10_expected_product(spark, d):
+    wanted = checks.expected_product(table(spark, d, "series_catalog").select("source"), "units", ["USD", "Index", "EUR"])
+    served = table(spark, d, "obs").filter("value > 490").select(F.split_part("series_id", F.lit(":"), F.lit(2)).alias("source"), "units")
+    return wanted.join(served, ["source", "units"], "left_anti")
+
+
+def x11_lateral(spark, d):
+    return joins.lateral(table(spark, d, "company_years"), ratio="try_divide(CAST(net_income AS DOUBLE), CAST(revenue AS DOUBLE))", margin="round(ratio, 6)").select("cik", "yr", "margin")
+
+
+SHARES = "SELECT ticker, obs_date AS from_date, CAST(1000 + day(obs_date) AS DOUBLE) AS shares FROM ref_prices WHERE split_factor <> 1"
+ANNUAL = "SELECT substr(o_orderpriority, 3) AS ticker, CAST(o_orderdate AS DATE) AS filed, max(o_totalprice) AS val FROM orders WHERE month(o_orderdate) = 3 AND day(o_orderdate) = 15 GROUP BY 1, 2"
+
+
+def x13_asof_valuation(spark, d):
+    out = joins.asof_valuation(table(spark, d, "prices"), sql(spark, d, SHARES), sql(spark, d, ANNUAL))
+    return out.withColumns({"market_value": F.round("market_value", 2), "multiple": F.round("multiple", 6)})
+
+
+def x16_lines_wide(spark, d):
+    rows = table(spark, d, "facts").groupBy("cik", F.year("end_date").alias("yr"), "concept").agg(F.max("val").alias("val"))
+    return joins.lines_wide(rows, ["cik", "yr"], "concept", "val", {"af": "AF", "no": "NO"})
+
+
+def e4_window_agg_if(spark, d):
+    return windows.window_agg_if(table(spark, d, "obs"), ["series_id"], "max", "value", "units = 'USD'", "top_usd").select("series_id", "obs_date", "vintage", "top_usd")
+
+
+def e6_first_in(spark, d):
+    return windows.first_in(table(spark, d, "facts"), ["cik", "concept"], ["filed", "accession", "val"], "val", "first_val").select("cik", "concept", "accession", "first_val", "val")
+
+
+def e11_weight_slices(spark, d):
+    return windows.weight_slices(table(spark, d, "company_years"), ["yr"], ["revenue", "cik"], "revenue", 20).select("cik", "yr", "slice")
+
+
+def e13_running_total(spark, d):
+    return windows.running_total(table(spark, d, "company_years"), ["cik"], ["yr"], "revenue", "running").select("cik", "yr", F.col("running").cast("decimal(38,2)").alias("running"))
+
+
+QUERIES = {k: f for k, f in globals().items() if k[:1] in "xe" and k[1:2].isdigit()}
+ORACLES = {
+    "x8_left_or_empty": "SELECT TIMESTAMP '2024-01-05 00:00:00' AS clock, max(loaded_at) AS newest, count(*) AS n FROM loads WHERE loaded_at >= TIMESTAMP '2024-01-05 00:00:00' + INTERVAL 400 DAY",
+    "x10_expected_product": "SELECT source, units FROM (SELECT DISTINCT source, unnest(['USD', 'Index', 'EUR']) AS units FROM series_catalog) WHERE (source, units) NOT IN (SELECT (split_part(series_id, ':', 2), units) FROM obs WHERE value > 490)",
+    "x11_lateral": "SELECT cik, yr, round(CAST(net_income AS DOUBLE) / nullif(CAST(revenue AS DOUBLE), 0), 6) AS margin FROM company_years",
+    "x13_asof_valuation": f"""SELECT p.ticker, p.obs_date, p.close, s.shares, a.val, round(p.close * s.shares, 2) AS market_value, round(p.close * s.shares / nullif(a.val, 0), 6) AS multiple
+ FROM prices p ASOF LEFT JOIN ({SHARES}) s ON s.ticker = p.ticker AND s.from_date <= p.obs_date ASOF LEFT JOIN ({ANNUAL}) a ON a.ticker = p.ticker AND a.filed <= p.obs_date""",
+    "x16_lines_wide": "SELECT cik, year(end_date) AS yr, max(val) FILTER (WHERE concept = 'AF') AS af, max(val) FILTER (WHERE concept = 'NO') AS no FROM facts WHERE concept IN ('AF', 'NO') GROUP BY 1, 2",
+    "e4_window_agg_if": "SELECT o.series_id, obs_date, vintage, top_usd FROM obs o JOIN (SELECT series_id, max(value) FILTER (WHERE units = 'USD') AS top_usd FROM obs GROUP BY 1) t ON t.series_id = o.series_id",
+    "e6_first_in": "SELECT f.cik, f.concept, accession, first_val, val FROM facts f JOIN (SELECT cik, concept, arg_min(val, row(filed, accession, val)) AS first_val FROM facts GROUP BY 1, 2) g ON g.cik = f.cik AND g.concept = f.concept",
+    "e11_weight_slices": "SELECT cik, yr, CAST(least(floor(20 * CAST(running AS DOUBLE) / CAST(total AS DOUBLE)), 19) AS INTEGER) AS slice FROM (SELECT cik, yr, sum(revenue) OVER (PARTITION BY yr ORDER BY revenue, cik ROWS UNBOUNDED PRECEDING) - revenue AS running, sum(revenue) OVER (PARTITION BY yr) AS total FROM company_years)",
+    "e13_running_total": "SELECT a.cik, a.yr, CAST(sum(b.revenue) AS DECIMAL(38,2)) AS running FROM company_years a JOIN company_years b ON a.cik = b.cik AND b.yr <= a.yr GROUP BY a.cik, a.yr",
+
     "x1_asof_backward": """SELECT o.series_id, o.obs_date, o.vintage, (SELECT max(vintage) FROM obs f WHERE f.series_id = o.series_id AND f.units = 'USD' AND f.vintage <= o.obs_date) AS full_at FROM obs o""",
     "x2_asof_forward": "SELECT filed, (SELECT min(session) FROM sessions WHERE session > filed) AS available_date FROM (SELECT DISTINCT filed FROM facts)",
     "x3_asof_by_distinct": "SELECT cik, accession, concept, filed, val, s AS available_date FROM facts LEFT JOIN (SELECT filed AS f, (SELECT min(session) FROM sessions WHERE session > filed) AS s FROM (SELECT DISTINCT filed FROM facts)) ON f = filed",
     "x4_window_join": """SELECT o.series_id, o.obs_date, o.value, w.win_start, w.win_end FROM obs o JOIN (
  SELECT series_id, vintage AS win_start, CAST(coalesce(lead(vintage) OVER (PARTITION BY series_id ORDER BY vintage) - INTERVAL 1 DAY, DATE '9999-12-31') AS DATE) AS win_end FROM (SELECT DISTINCT series_id, vintage FROM obs)) w
  ON o.series_id = w.series_id AND o.obs_date BETWEEN w.win_start AND w.win_end""",
-    "x5_expand_sessions": """SELECT o_custkey, count(*) AS sessions FROM (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM orders WHERE o_custkey % 50 = 1 GROUP BY o_custkey) w
+    "x5_expand_sessions": """SELECT o_custkey, count(*) AS sessions FROM (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b FROM orders GROUP BY o_custkey) w
  JOIN sessions ON session BETWEEN a AND b GROUP BY o_custkey""",
     "x6_null_safe_anti": """SELECT k FROM (SELECT DISTINCT CASE WHEN s_nationkey % 5 = 0 THEN NULL ELSE s_nationkey END AS k FROM supplier) a
  WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT CASE WHEN c_nationkey % 7 = 0 THEN NULL ELSE c_nationkey END AS j FROM customer WHERE c_nationkey < 15) b WHERE a.k IS NOT DISTINCT FROM b.j)""",
@@ -161,7 +204,9 @@ ORACLES = SHARED | {
  (SELECT count(*) FROM sessions WHERE session <= DATE '1998-07-15' AND session > last_date) AS behind
  FROM (SELECT ticker, max(obs_date) AS last_date FROM prices WHERE ticker <> 'LOW' OR obs_date < DATE '1998-06-01' GROUP BY ticker)""",
     "x14_period_average": """SELECT ticker, CAST(date_trunc('year', obs_date) AS DATE) AS p_start, CAST(date_trunc('year', obs_date) + INTERVAL 1 YEAR AS DATE) AS p_end, round(avg(close), 4) AS mean, count(close) AS n FROM prices GROUP BY ALL""",
-    "x15_orphan_keys": "SELECT o_custkey AS k, count(*) AS n_rows FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0) GROUP BY o_custkey",
+    "x15_orphan_keys": """WITH p AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 3 <> 0), r AS (SELECT 'child' AS side, CAST(year(o_orderdate) AS INTEGER) AS year, o_custkey AS k, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT k FROM p) GROUP BY ALL
+ UNION ALL SELECT 'parent', NULL, k, count(*) FROM p WHERE k NOT IN (SELECT o_custkey FROM orders) GROUP BY ALL), q AS (SELECT *, row_number() OVER (PARTITION BY side, year ORDER BY n DESC, k) AS rk FROM r)
+SELECT side, year, count(*) AS keys, CAST(sum(n) AS BIGINT) AS n_rows, string_agg(CAST(k AS VARCHAR), ',' ORDER BY rk) FILTER (WHERE rk <= 3) AS examples FROM q GROUP BY side, year""",
     "x17_safe_filing_join": """SELECT f.*, n.filings_of_key FROM (SELECT cik, accession, count(*) AS n_facts FROM facts GROUP BY ALL) f
  LEFT JOIN (SELECT cik, accession, count(*) AS filings_of_key FROM facts WHERE form = '10-K/A' GROUP BY ALL) n ON f.cik = n.cik AND f.accession = n.accession""",
     "x19_array_membership": "SELECT o_orderkey, o_custkey % 10 AS supplier, list_contains(s, o_custkey % 10) AS listed FROM orders LEFT JOIN (SELECT l_orderkey, list(l_suppkey) AS s FROM lineitem GROUP BY l_orderkey) x ON l_orderkey = o_orderkey",
