@@ -56,7 +56,7 @@ EXACT = Plan(words=3, longs=1, min_shared=5, max_bits=3)
 NEAR = Plan(words=5, longs=5, min_shared=2, max_bits=76, max_bits_small=92, min_similarity=0.8)
 SMALL_SET = 40
 #: A row is held against so many rows under each pair of bytes, and so many of its best partners of each posting are proposed; rows with more go on to the exact search over shingles.
-LOOKS, PARTNERS = 16, 1
+LOOKS, PARTNERS = 64, 1
 SEED = 42
 #: After so many comparisons of each row, and every time that number has doubled, postings that are one component already are done.
 FIRST_LOOK = 64
@@ -331,16 +331,17 @@ def _rest(sets: DataFrame, labels: DataFrame, plan: Plan) -> DataFrame:
     t = plan.min_similarity
     each = sets.select("shingles", F.size("members").alias("n"), F.explode("members").alias("g"))
     common = each.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1")
-    held = each.join(common, "g").groupBy("shingles", "n").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("m"))
+    held = each.join(common, "g").groupBy("shingles", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "g"))), lambda x: x["g"]).alias("m"))
     alone = F.col("n") - F.size("m")
     length = F.col("n") - F.ceil(F.lit(t) * F.col("n") - 1e-9).cast("int") + 1 - alone
-    first = held.filter(length > 0).select("shingles", "n", F.posexplode(F.slice("m", F.lit(1), length)).alias("at", "x"), alone.alias("alone"))
-    first = first.join(labels, F.col("shingles") == F.col("node"), "left").select("shingles", "n", (F.col("at") + F.col("alone")).alias("at"), "x.g", F.coalesce("component", "shingles").alias("component"))
-    a, b = (first.select("g", *(F.col(c).alias(f"{c}_{s}") for c in ("shingles", "n", "at", "component"))) for s in "ab")
+    first = held.filter(length > 0).select("shingles", "n", "m", F.posexplode(F.slice("m", F.lit(1), length)).alias("at", "g"), alone.alias("alone")).withColumn("before", F.slice("m", F.lit(1), F.col("at")))
+    first = first.join(labels, F.col("shingles") == F.col("node"), "left").select("shingles", "n", (F.col("at") + F.col("alone")).alias("at"), "g", "before", F.coalesce("component", "shingles").alias("component"))
+    a, b = (first.select("g", *(F.col(c).alias(f"{c}_{s}") for c in ("shingles", "n", "at", "before", "component"))) for s in "ab")
     need = F.lit(t / (1 + t)) * (F.col("n_a") + F.col("n_b")) - 1e-9
-    most = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    met = a.join(b, (a["g"] == b["g"]) & (F.col("shingles_a") < F.col("shingles_b")) & (F.col("component_a") != F.col("component_b")) & (F.least("n_a", "n_b") >= t * F.greatest("n_a", "n_b") - 1e-9) & (most >= need))
-    return met.select(F.col("shingles_a").alias("a"), F.col("shingles_b").alias("b")).distinct()
+    enough = (F.least("n_a", "n_b") >= t * F.greatest("n_a", "n_b") - 1e-9) & (F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= need)
+    # A pair comes once: with the first shingle of the order that both hold.
+    met = a.join(b, (a["g"] == b["g"]) & (F.col("shingles_a") < F.col("shingles_b")) & (F.col("component_a") != F.col("component_b")) & enough & ~F.arrays_overlap("before_a", "before_b"))
+    return met.select(F.col("shingles_a").alias("a"), F.col("shingles_b").alias("b"))
 
 
 def _similar(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
