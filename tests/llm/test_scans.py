@@ -4,6 +4,7 @@ import re
 
 import public_tokenizers
 import sentencepiece
+from pyspark.sql import functions as F
 
 from palimpsest.llm import langid, license_scan, token_counts
 from palimpsest.llm.common import remainder
@@ -43,6 +44,74 @@ def test_spans_with_gaps(spark):
     assert (got[4].n_base, got[4].first_word, got[4].last_word) == (2, 1, 3)
 
 
+def brute_spans(words):
+    """Labels and score of a text's words by the rule, template by template."""
+    labels, score = set(), 0.0
+    for phrase, label in license_scan.PHRASES.items():
+        p = phrase.split()
+        if any(words[i : i + len(p)] == p for i in range(len(words))):
+            labels.add(label)
+            score = 1.0
+    for label, text in license_scan.TEMPLATES:
+        t, g = text.split(" "), license_scan.GRAM
+        place = {}
+        for k in range(len(t) - g + 1):
+            place.setdefault(tuple(t[k : k + g]), []).append(k)
+        diagonals = {}
+        for i in range(len(words) - g + 1):
+            for k in place.get(tuple(words[i : i + g]), ()):
+                diagonals.setdefault(i - k, set()).add(k)
+        groups = []
+        for d in sorted(diagonals):
+            if groups and d - groups[-1][-1] <= license_scan.NEIGHBOURS:
+                groups[-1].append(d)
+            else:
+                groups.append([d])
+        for group in groups:
+            at = set().union(*(diagonals[d] for d in group))
+            covered = len({k + x for k in at for x in range(g)})
+            start, end = min(d + min(diagonals[d]) for d in group), max(d + max(diagonals[d]) for d in group) + g
+            if covered >= license_scan.MIN_COVER * len(t) and covered >= license_scan.MIN_DENSITY * (end - start):
+                labels.add(label)
+                score = max(score, min(1.0, covered / len(t)))
+    return ",".join(sorted(labels)), score
+
+
+def test_labels_and_score(spark, more_docs):
+    """Against a plain scan, over texts of the table and whole, cut and changed licences."""
+    rows = [(r.doc_id, r.text) for r in more_docs.limit(300).collect()]
+    for n, (_, text) in enumerate(license_scan.TEXTS):
+        words = text.split()
+        rows += [(10_000 + 4 * n, text), (10_001 + 4 * n, "x y " + " ".join(words[: len(words) * 2 // 3]) + " z"), (10_002 + 4 * n, " ".join(w if k % 9 else "other" for k, w in enumerate(words))), (10_003 + 4 * n, text + " and " + text)]
+    got = {r.doc_id: (r.labels, round(r.score, 9)) for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    lower = [(i, WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))) for i, t in rows]
+    assert got == {i: (labels, round(score, 9)) for i, w in lower for labels, score in [brute_spans(w)]}
+    assert sum(bool(x) for x, _ in got.values()) > 30
+
+
+def test_sizes_decide_the_language(more_docs):
+    """Predictions and margins are those of plain compression with each dictionary, piece by piece."""
+    import zstandard
+
+    learned = langid.fit_dictionaries(more_docs, remainder("doc_id", 4) != 2)
+    some = more_docs.limit(150)
+    for r in langid.identify(some, learned, keep=["text"]).collect():
+        data = langid.OTHERS.sub(" ", (r.text or "").lower()).encode()
+        sizes = {}
+        for k, d in learned.items():
+            packer = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False)
+            sizes[k] = sum(len(packer.compress(data[i : i + langid.PIECE_BYTES])) for i in range(0, len(data), langid.PIECE_BYTES))
+        first, second = sorted(sizes.values())[:2]
+        assert sizes[r.lang_pred] == first and abs(r.score - (1 - first / second)) < 1e-9
+
+
+def test_signs_are_no_letters(spark, more_docs):
+    learned = langid.fit_dictionaries(more_docs, remainder("doc_id", 4) != 2)
+    df = spark.createDataFrame([(1, "² ½ Ⅷ ①"), (2, "12_34"), (3, "² a")], "doc_id long, text string").withColumns({"score": F.lit("x"), "rejected": F.lit(1)})
+    got = {r.doc_id: r.lang_pred for r in langid.identify(df, learned, keep=["score", "rejected"]).collect()}
+    assert got[1] == got[2] == "und" != got[3]
+
+
 def test_language_held_out(more_docs):
     held_out = remainder("doc_id", 4) == 2
     learned = langid.fit_dictionaries(more_docs, ~held_out)
