@@ -1,8 +1,8 @@
 """Language-model scores by a probabilistic suffix tree over bytes, beside a smoothed unigram score over words.
 
-The tree's contexts are up to DEPTH symbols long. A context is a candidate if it precedes MIN_SHARE of all training symbols, so there are at most
-1 / MIN_SHARE candidates of each length, however large the corpus: that bounds what is collected and broadcast. A candidate is retained if its next-symbol
-distribution diverges from that of its suffix. Distributions are smoothed by those of the retained suffixes down to the root. Scores follow an automaton
+The tree's contexts are up to DEPTH symbols long. A context is a candidate if it precedes at least MIN_COUNT symbols and ROOT_SHARE times the square root of all training symbols: so the
+tree grows with the corpus, while the evidence for each context grows too. A candidate is retained if its next-symbol
+distribution diverges from that of its suffix. The retained tree is broadcast as a table; one above MAX_TABLE_BYTES stops with the remedy, a larger share. Distributions are smoothed by those of the retained suffixes down to the root. Scores follow an automaton
 whose state is the longest retained suffix (or a beginning of a retained context) of what was read.
 """
 
@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.common import stored, text_of
 
-DEPTH, MIN_SHARE = 5, 1e-5
+DEPTH, MIN_COUNT, ROOT_SHARE = 5, 50, 0.1
+#: A table for scoring that no executor need hold.
+MAX_TABLE_BYTES = 1 << 30
 #: Divergence test: Kullback-Leibler distance to the suffix's distribution, in nats for a symbol, and that times the context's count.
 MIN_NATS, MIN_TOTAL_NATS = 0.005, 10.0
 #: Weight of the suffix's distribution in a context's own, in symbols; count of every symbol that the root adds.
@@ -104,10 +106,15 @@ def context_counts(train: DataFrame, text_col: str = "text") -> DataFrame:
     return summed.select(F.shiftright("code", BITS).alias("state"), F.col("code").bitwiseAND(F.lit((1 << BITS) - 1)).cast("int").alias("next"), "n")
 
 
-def retained(counts: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
+def least_count(symbols: int, root_share: float = ROOT_SHARE) -> float:
+    """How many symbols a context must precede in a corpus of so many."""
+    return max(MIN_COUNT, root_share * math.sqrt(symbols))
+
+
+def retained(counts: DataFrame, root_share: float = ROOT_SHARE) -> DataFrame:
     """Rows of the contexts that pass the divergence test, and of the root."""
     total = counts.filter("state = 0").agg(F.sum("n")).first()[0] or 0
-    frequent = counts.groupBy("state").agg(F.sum("n").alias("total")).filter(F.col("total") >= min_share * total)
+    frequent = counts.groupBy("state").agg(F.sum("n").alias("total")).filter((F.col("state") == 0) | (F.col("total") >= least_count(total, root_share)))
     rows = counts.join(frequent, "state").withColumn("p", F.col("n") / F.col("total"))
     length = F.shiftright("state", BITS * DEPTH)
     symbols = F.col("state").bitwiseAND(F.lit((1 << BITS * DEPTH) - 1))
@@ -218,7 +225,7 @@ def word_counts(train: DataFrame, text_col: str = "text") -> DataFrame:
     return rows.groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", min_share: float = MIN_SHARE) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", root_share: float = ROOT_SHARE) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score and score. Rows where held_out holds teach nothing.
 
     A null text is empty: its end is its only token. Without training rows every token costs the same. Repeated rows stay. Extra columns are not read.
@@ -234,7 +241,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     base = math.log10(n + 0.5 * (v + 1))
     common = {r["token"].encode(): math.log10(r["n"] + 0.5) for r in counts.filter(F.col("n") > n / TABLE_ENTRIES).collect()}
     contexts = stored(context_counts(train, "_text"))
-    tree = retained(contexts, min_share).toPandas()
+    kept = stored(retained(contexts, root_share))
+    states, symbols = kept.agg(F.count_distinct("state"), F.count_distinct("next")).first()
+    if 2 * states * (symbols + 3) * 8 > MAX_TABLE_BYTES:  # beginnings of retained contexts are states too
+        raise ValueError(f"{states} contexts make too large a table: raise root_share")
+    tree = kept.toPandas()
     shared = spark.sparkContext.broadcast((common, Automaton(tree["state"].to_numpy(), tree["next"].to_numpy(), tree["n"].to_numpy())))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -57,12 +57,45 @@ def test_gram_counts(monkeypatch):
     assert dict(zip(codes.tolist(), counts.tolist())) == want
 
 
+def brute_tree(texts):
+    """Contexts that pass the rule, by counting every one of each length."""
+    count = {}
+    for t in texts:
+        s = [0] * suffix_tree.DEPTH + [b + 1 for b in suffix_tree.lowered(t)] + [257]
+        for i in range(suffix_tree.DEPTH, len(s)):
+            for d in range(suffix_tree.DEPTH + 1):
+                count.setdefault(tuple(s[i - d : i]), Counter())[s[i]] += 1
+    least = suffix_tree.least_count(sum(count[()].values()))
+    kept = {(): count[()]}
+    for c, n in count.items():
+        total, parent = sum(n.values()), count[c[1:]] if c else None
+        if c and total >= least:
+            nats = sum(x / total * math.log(x / total * sum(parent.values()) / parent[a]) for a, x in n.items())
+            if nats >= suffix_tree.MIN_NATS and nats * total >= suffix_tree.MIN_TOTAL_NATS:
+                kept[c] = n
+    return kept
+
+
+def test_retention(docs, monkeypatch):
+    """The tree kept is that of the divergence test over all contexts; more text keeps more of it."""
+    monkeypatch.setattr(suffix_tree, "MIN_COUNT", 5)
+    sizes = []
+    for part in (docs.filter("doc_id % 8 = 0"), docs):
+        got = {}
+        for r in suffix_tree.retained(suffix_tree.context_counts(part)).collect():
+            d = r.state >> 9 * suffix_tree.DEPTH
+            got.setdefault(tuple(r.state >> 9 * i & 511 for i in range(d - 1, -1, -1)), Counter())[r.next] = r.n
+        assert got == brute_tree([r.text or "" for r in part.collect()])
+        sizes.append(len(got))
+    assert sizes[1] > 1.5 * sizes[0]
+
+
 def test_automaton_follows_the_longest_retained_suffix(spark, monkeypatch):
     monkeypatch.setattr(suffix_tree, "SEGMENT", 16)
     rng = np.random.default_rng(5)
     texts = ["".join(rng.choice(["ab", "abc", "ca", "b "], 60)) for _ in range(40)]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    rows = suffix_tree.retained(suffix_tree.context_counts(df), 0.002).collect()
+    rows = suffix_tree.retained(suffix_tree.context_counts(df)).collect()
     dist = {}
     for r in rows:
         d = r.state >> 9 * suffix_tree.DEPTH
