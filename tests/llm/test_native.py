@@ -1,7 +1,10 @@
 """Fingerprints and line dedup against brute force."""
 
 import hashlib
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
+
+import xxhash
 
 from palimpsest.llm import imatch, line_dedup
 
@@ -81,10 +84,57 @@ def test_fingerprints_edges(edge, spark):
     assert one[0].edited_sha256 == hashlib.sha256(b"abcdefab").hexdigest()
 
 
-def test_lexicon_is_the_band(docs):
-    from collections import Counter
-    import re
+def brute_prints(texts):
+    """Fingerprints by the rule: band of terms, subsets by hash bits, chained hashes of sorted terms."""
+
+    def signed(x):
+        return x - 2**64 if x >= 2**63 else x
+
+    def chain(terms):
+        h = 42
+        for t in terms:
+            h = xxhash.xxh64_intdigest(t.to_bytes(8, "little", signed=True), seed=h)
+        return h
+
+    def terms(t):
+        return {signed(xxhash.xxh64_intdigest(w.encode(), seed=42)) for w in re.split(imatch.GAP, (t or "").lower()) if w}
+
+    df, n = Counter(h for t in texts for h in terms(t)), len(texts)
+    band = {h for h, c in df.items() if max(2, imatch.LOW * n) <= c <= imatch.HIGH * n}
+
+    def one(text):
+        every = sorted(terms(text))
+        kept, parts = [h for h in every if h in band], []
+        for k in range(imatch.FAMILIES[0]):
+            coarse = [h for h in kept if h & 7 == k]
+            parts += [coarse] + [[h for h in coarse if h & 24 == m] for m in (0, 8, 16, 24)]
+        return [chain(p) if p else None for p in parts] + [chain(every)]
 
+    return one
+
+
+def brute_likeness(a, b):
+    if a[-1] == b[-1]:
+        return 1.0
+    pairs = [(x, y) for x, y in zip(a[:-1], b[:-1]) if x is not None or y is not None]
+    return sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
+
+
+def test_fingerprints_against_brute_force(docs):
+    rows = sorted((r.doc_id, r.text or "") for r in docs.collect())
+    one = brute_prints([t for _, t in rows])
+    got = {r.doc_id: r for r in imatch.edited_pairs(docs, buckets=3).collect()}
+    for n, (i, text) in enumerate(rows):
+        after = rows[(n + 1) % len(rows)][1]
+        k = len(text) // 4
+        edited = text[: len(text) - k] + after[:k]
+        mine, its, theirs = one(text), one(edited), one(after)
+        for want, shown in ((mine, got[i].fingerprint), (its, got[i].edited_fingerprint)):
+            assert shown == "".join("-" * 8 if h is None else f"{h >> 32:08x}" for h in want[:-1]) + f"{want[-1]:016x}"
+        assert abs(got[i].near_edited - brute_likeness(mine, its)) < 1e-12 and abs(got[i].near_next - brute_likeness(mine, theirs)) < 1e-12
+
+
+def test_lexicon_is_the_band(docs):
     df = Counter(w for r in docs.collect() for w in {w for w in re.split(imatch.GAP, r.text.lower()) if w})
     n = docs.count()
     assert len(imatch.lexicon(docs)) == sum(max(2, imatch.LOW * n) <= c <= imatch.HIGH * n for c in df.values())
