@@ -12,10 +12,13 @@ LOADS = "source string, dataset string, run_id string, path string, rows_downloa
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir, which driver and executors share; a temporary one only where that is unset, as in tests."""
+    """The folder of spark.checkpoint.dir, which driver and executors share; a temporary one only where that is unset and all runs on one machine, as in tests."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return sc.getCheckpointDir()
 
 

@@ -1,8 +1,9 @@
 """Fault injection and equivalence of the merges."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from palimpsest.operators import bitemporal, joins, merge, quality
+from palimpsest.operators import bitemporal, checks, economy, finance, joins, merge, quality
 
 LANDINGS = [
     ("r1", 1, "a"), ("r2", 1, "a"), ("r3", 1, "a"), ("r1", 2, "a"), ("r2", 2, "b"), ("r3", 2, "b"), ("r1", 3, "a"), ("r2", 3, "b"), ("r3", 3, "a"), ("r1", 4, "a"),
@@ -36,13 +37,101 @@ def test_asof(spark, direction, inclusive, want):
 
 def test_checks_find_faults(spark):
     good = spark.range(3)
-    checks = [quality.Check("A", "error", True, "g", lambda: good.filter("id > 9")), quality.Check("B", "warn", True, "g", lambda: good), quality.Check("C", "error", True, "h", lambda: good)]
-    got = {r.check_id: (r.status, r.failing_rows) for r in quality.run_checks(spark, checks).collect()}
+    rules = [quality.Check("A", "error", True, "g", lambda: good.filter("id > 9")), quality.Check("B", "warn", True, "g", lambda: good), quality.Check("C", "error", True, "h", lambda: good)]
+    got = {r.check_id: (r.status, r.failing_rows) for r in quality.run_checks(spark, rules).collect()}
     assert got == {"A": ("passed", 0), "B": ("warn", 3), "C": ("error", 3)}
-    assert {r.source_group: r.verdict for r in quality.verdicts(quality.run_checks(spark, checks)).collect()} == {"g": "passed", "h": "blocked"}
+    assert {r.source_group: r.verdict for r in quality.verdicts(quality.run_checks(spark, rules)).collect()} == {"g": "passed", "h": "blocked"}
     with pytest.raises(ValueError):
         quality.require_none(good, {"large": "id > 1"})
     with pytest.raises(ValueError):
-        quality.run_checks(spark, checks[:1] * 2)
+        quality.run_checks(spark, rules[:1] * 2)
     with pytest.raises(ValueError):
         quality.assert_row_preserving(good, good.filter("id > 0"))
+
+
+def test_guards_of_merges(spark):
+    base = spark.createDataFrame([(1, "a", "1995Q1", "r1"), (2, "b", "1995Q2", "r1")], "id int, val string, quarter string, run_id string")
+    new = spark.createDataFrame([(1, "c", "1995Q1", "r2")], base.schema)
+    assert {(r.id, r.val) for r in merge.merge_partitions(new, base, ["id"], ["run_id"], "quarter").collect()} == {(1, "c")}
+    for row, words in (((2, "c", "1995Q1", "r2"), "other partitions"), ((1, "c", "spring", "r2"), "labels")):
+        with pytest.raises(ValueError, match=words):
+            merge.merge_partitions(spark.createDataFrame([row], base.schema), base, ["id"], ["run_id"], "quarter")
+    with pytest.raises(ValueError, match="repeated"):
+        merge.require_unique(base.unionByName(base), ["id"])
+    changes = spark.createDataFrame([("r1", 1, "full"), ("r1", 2, "incremental")], "run_id string, cik int, mode string")
+    with pytest.raises(ValueError, match="two modes"):
+        merge.change_set(changes, changes, "cik")
+    with pytest.raises(ValueError, match="negative"):
+        merge.edition_difference(spark.createDataFrame([("g", 1, 5), ("g", 2, 3)], "g string, e int, v int"), ["g"], "e", "v", 1, 2)
+    pulls = merge.classify_pulls(spark.createDataFrame([("k", d, 8.0) for d in (3, 4)], "k string, d int, v double"), spark.createDataFrame([("k", d, 2.0) for d in (1, 3, 4)], "k string, d int, v double"), "k", "d", "v").first()
+    assert (pulls.kind, pulls.split_flag, pulls.window_extended) == ("rebase", True, True)
+
+
+def test_window_join_requires_one(spark):
+    rows = spark.createDataFrame([("k", 1), ("k", 5)], "k string, t int")
+    windows = spark.createDataFrame([("k", 0, 3), ("k", 4, 9)], "k string, a int, b int")
+    assert joins.window_join(rows, windows, "k", "t", "a", "b", True).count() == 2
+    for extra in (("k", 5, 6), ("j", 0, 9)):
+        more = windows.unionByName(spark.createDataFrame([extra], windows.schema)) if extra[0] == "k" else windows.filter("a = 0")
+        with pytest.raises(ValueError):
+            joins.window_join(rows, more, "k", "t", "a", "b", True)
+
+
+def test_company_years_rule(spark):
+    """Late filings win, durations and forms are held to, the concept of priority stands, shells go."""
+    rows = [
+        (1, "Rev", 1, "2000-01-01", "2000-12-31", "2001-02-01", "10-K", 10.0), (1, "Rev", 2, "2000-01-01", "2000-12-31", "2002-02-01", "10-K", 11.0), (1, "Rev", 3, "2000-07-01", "2000-12-31", "2003-02-01", "10-K", 99.0),
+        (1, "Rev", 4, "2000-01-01", "2000-12-31", "2004-02-01", "10-K/A", 98.0), (1, "Sales", 5, "2000-01-01", "2000-12-31", "2001-02-01", "10-K", 12.0), (1, "Sales", 6, "2001-01-01", "2001-12-31", "2002-02-01", "10-K", 13.0),
+        (2, "Rev", 7, "2000-01-01", "2000-12-31", "2001-02-01", "10-K", 14.0), (3, "Rev", 8, "2000-01-01", "2000-12-31", "2000-12-01", "10-K", 15.0), (4, "Rev", 9, "2000-01-01", "2000-12-31", "2001-02-01", "10-K", 0.0),
+    ]
+    facts = spark.createDataFrame(rows, "cik int, concept string, accession int, start_date string, end_date string, filed string, form string, val double")
+    for c in ("start_date", "end_date", "filed"):
+        facts = facts.withColumn(c, F.col(c).cast("date"))
+    got = finance.company_years(facts, spark.createDataFrame([(1, 10), (2, 6770)], "cik int, sic int"), ["Rev", "Sales"], [6770]).collect()
+    assert sorted((r.cik, r.fy, r.concept, r.val) for r in got) == [(1, 2000, "Rev", 11.0), (1, 2001, "Sales", 13.0)]
+
+
+def test_ratios_are_null_where_undefined(spark):
+    lines = "revenue cost operating_income net_income assets equity current_assets current_liabilities inventory debt interest receivables capex depreciation".split()
+    rows = [(1, *[2.0] * 14), (2, *[0.0] * 14), (3, *[-1.0] * 14)]
+    got = {r.cik: r for r in finance.ratios(spark.createDataFrame(rows, f"cik int, {', '.join(f'{c} double' for c in lines)}"), ["cik"]).collect()}
+    assert len(finance.RATIOS) == 15 and got[1].net_margin == 1.0 and got[1].gross_margin == 0.0
+    assert all(got[2][n] is None for n in finance.RATIOS) and got[3].return_on_equity is None and got[3].net_margin == 1.0
+
+
+def test_restatements_say_how(spark):
+    rows = [("a", 1, "2001-01-01", 5.0, "10-K"), ("a", 2, "2002-01-01", 5000.0, "10-K"), ("b", 1, "2001-01-01", 5.0, "10-K"), ("b", 2, "2001-06-01", 6.0, "10-K/A"), ("c", 1, "2001-01-01", 5.0, "10-K"), ("c", 2, "2002-01-01", 5.02, "10-K"), ("d", 1, "2001-01-01", 5.0, "10-K")]
+    facts = spark.createDataFrame(rows, "k string, accession int, filed string, val double, form string")
+    got = {r.k: (r.how, r.band) for r in finance.restatements(facts, ["k"], [0.01, 0.05, 0.2, 1.0]).collect()}
+    assert got == {"a": ("scale", 4), "b": ("amended", 2), "c": ("later", 0)}
+
+
+def test_lineage_and_loops(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(1, 50)] + [(100, 101), (101, 100)], "o long, a long")
+    got = {r.o: (r.survivor, r.steps, r.looped) for r in economy.lineage(edges).collect()}
+    assert all(got[i] == (50, 50 - i, False) for i in range(1, 50)) and got[100][2] and got[101][2]
+    assert [(r.survivor, r.merged) for r in economy.survivors(economy.lineage(edges)).collect()] == [(50, 49)]
+
+
+def test_periods_behind(spark):
+    days = spark.sql("SELECT explode(sequence(DATE '2024-01-01', DATE '2024-03-31')) AS session")
+    catalog = spark.createDataFrame([(s, f, None, lag) for s, f, lag in (("d0", "D", 0), ("d1", "D", 0), ("m", "M", 10), ("q", "Q", 0), ("x", "X", 0), ("none", "D", 0))], "series_id string, frequency string, active_to date, expected_lag_days int")
+    obs = spark.createDataFrame([("d0", "2024-03-31"), ("d1", "2024-03-30"), ("m", "2023-12-01"), ("q", "2023-07-01"), ("x", "2024-01-01")], "series_id string, obs_date string").withColumn("obs_date", F.col("obs_date").cast("date"))
+    behind = checks.periods_behind(catalog, obs, days, "2024-03-31")
+    assert {r.series_id: r.behind for r in behind.collect()} == {"d0": 0, "d1": 1, "m": 2, "q": 1, "x": None, "none": None}
+    assert {r.series_id for r in checks.late_series(behind).collect()} == {"d1", "q"}
+    assert {r.series_id: r.problem for r in checks.stale_series(behind).collect()} == {"m": "stale", "x": "uncountable", "none": "no_rows"}
+
+
+def test_reconciliation_names_each_fault(spark):
+    log = spark.createDataFrame([("a", 1, "h"), ("b", 2, "h"), ("c", 3, "h"), ("e", 5, "h")], "f string, rows int, hash string")
+    files = spark.createDataFrame([("a", 1, "h"), ("b", 9, "h"), ("c", 3, "x"), ("d", 4, "h")], "f string, rows int, hash string")
+    assert {r.f: r.problem for r in checks.raw_reconciliation(log, files, ["f"]).collect()} == {"b": "count", "c": "hash", "d": "no_record", "e": "missing"}
+
+
+def test_composition(spark):
+    groups = spark.createDataFrame([(g,) for g in "abcdef"], "source_group string")
+    verdicts = spark.createDataFrame([("a", "passed"), ("b", "blocked"), ("c", "failed")], "source_group string, verdict string")
+    got = checks.compose(groups, verdicts, groups.filter("source_group < 'e'"), spark.createDataFrame([("b", "r1"), ("e", "r1")], "source_group string, run_id string"), "r2")
+    want = {"a": ("published", "r2", None), "b": ("carried_forward", "r1", "blocked"), "c": ("failed", None, "failed"), "d": ("never_published", None, "no_verdict"), "e": ("carried_forward", "r1", "not_run"), "f": ("not_run", None, "not_run")}
+    assert {r.source_group: (r.outcome, r.source_run, r.reason) for r in got.collect()} == want
