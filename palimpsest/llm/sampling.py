@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 SAMPLES, RANK_OFFSET, SPACE = 3, 10.0, "▁"
 #: Code points of texts that are searched together; a longer text is searched alone.
-TOGETHER = 1_000_000
+TOGETHER = 500_000
 #: Runs of spaces with the word behind them.
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+MULTIPLIER, SLOT_BITS = np.uint64(0x9E3779B97F4A7C15), 20
 #: Log probabilities and positions within distributions are multiples of this, so that sums are exact and results don't depend on which texts are searched together.
 GRAIN = 2.0**-26
 #: What a draw is for.
@@ -67,14 +67,45 @@ class Vocabulary:
                     found.append({})
                 found[n].setdefault(int(h[0]), -1)
             found[len(pieces[i]) - 1][int(h[0])] = i
-        self.starts = []
-        for by_hash in found:
-            hashes = np.array(sorted(by_hash), np.uint64)
-            self.starts.append((hashes, np.array([by_hash[int(h)] for h in hashes], np.int64)))
-
-    def decode(self, ids: list[int]) -> str:
-        """The text of any of its segmentations, but that a space sign in it has become a space."""
-        return b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")[1:]
+        self.longest = len(found)
+        every = [(h, i) for by_hash in found for h, i in by_hash.items()]  # hashes tell lengths apart
+        self.hashes, self.ids = np.array([h for h, _ in every], np.uint64), np.array([i for _, i in every], np.int64)
+        self.slots = [np.zeros(1 << SLOT_BITS, np.int32), np.zeros(1 << SLOT_BITS, np.int32)]
+        self.slots[0][self.slot(self.hashes, 0)] = np.arange(len(every))
+        away = np.flatnonzero(self.slots[0][self.slot(self.hashes, 0)] != np.arange(len(every)))
+        self.slots[1][self.slot(self.hashes[away], 1)] = away
+        lost = away[self.slots[1][self.slot(self.hashes[away], 1)] != away]
+        self.lost = lost[np.argsort(self.hashes[lost])]
+
+    @staticmethod
+    def slot(h: np.ndarray, table: int) -> np.ndarray:
+        return ((h >> np.uint64(64 - SLOT_BITS)) if table == 0 else (h >> np.uint64(64 - 2 * SLOT_BITS)) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are of beginnings of pieces, and for those the piece's id, -1 if they are no whole piece. Two tables of slots, and a search for the few that have none."""
+        at = self.slots[0][self.slot(h, 0)]
+        miss = np.flatnonzero(self.hashes[at] != h)
+        second = self.slots[1][self.slot(h[miss], 1)]
+        hit = self.hashes[second] == h[miss]
+        at[miss[hit]] = second[hit]
+        miss = miss[~hit]
+        met = np.ones(len(h), bool)
+        if len(self.lost) and len(miss):
+            place = np.minimum(np.searchsorted(self.hashes[self.lost], h[miss]), len(self.lost) - 1)
+            hit = self.hashes[self.lost[place]] == h[miss]
+            at[miss[hit]] = self.lost[place[hit]]
+            miss = miss[~hit]
+        met[miss] = False
+        return met, self.ids[at[met]]
+
+    def spells(self, ids: np.ndarray, text: bytes) -> bool:
+        """Whether the ids are a spelling of a text, given as marked()."""
+        return b"".join(map(self.raw.__getitem__, ids.tolist())) == text
+
+
+def marked(text: str) -> bytes:
+    """A text as its pieces write it: a space sign in front and for every space."""
+    return (SPACE + text.replace(" ", SPACE)).encode() if text else b""
 
 
 def split(text: str) -> list[str]:
@@ -97,12 +128,12 @@ class Lattices:
         self.word_end = np.repeat(self.base + length, length)
         pos, size, ids = [], [], []
         active, h, single = np.arange(n), np.zeros(n, np.uint64), np.zeros(n, bool)
-        for k, (hashes, own) in enumerate(vocabulary.starts):
-            active = active[active + k < self.word_end[active]]
-            h[active] = h[active] * MULTIPLIER + points[active + k] + np.uint64(1)
-            at = np.minimum(np.searchsorted(hashes, h[active]), len(hashes) - 1)
-            met = hashes[at] == h[active]
-            active, at = active[met], own[at[met]]
+        for k in range(vocabulary.longest):
+            inside = active + k < self.word_end[active]
+            active, h = active[inside], h[inside]
+            h = h * MULTIPLIER + points[active + k] + np.uint64(1)
+            met, at = vocabulary.find(h)
+            active, h = active[met], h[met]
             whole = at >= 0
             pos.append(active[whole])
             ids.append(at[whole])
@@ -117,19 +148,19 @@ class Lattices:
         coded = -1 - self.ids
         n_bytes = 1 + (coded > 0x7F) + (coded > 0x7FF) + (coded > 0xFFFF)
         weight = np.where(self.ids >= 0, vocabulary.weight[np.maximum(self.ids, 0)], n_bytes * vocabulary.byte_weight)
-        self.first = np.searchsorted(self.pos, np.arange(n + 1))
+        many = np.bincount(self.pos, minlength=n)
+        self.first = np.concatenate([[0], np.cumsum(many)])
         self.last_piece = self.end == self.word_end[self.pos] if n else np.zeros(0, bool)
         self.log_p = np.round(self._given_the_rest(weight, n) / GRAIN) * GRAIN
         p = np.exp(self.log_p)
-        many = np.diff(self.first)
-        upto, other = np.zeros(len(p)), np.zeros(len(p))
-        for k in range(int(many.max(initial=0))):  # the k-th edge of each position that has one
+        upto = p.copy()
+        for k in range(1, int(many.max(initial=0))):  # the k-th edge of each position that has one
             e = self.first[:-1][many > k] + k
-            upto[e] = p[e] + (upto[e - 1] if k else 0)
-            own = np.repeat(e, many[many > k])
-            mine = np.arange(len(own)) - np.repeat(np.cumsum(many[many > k]) - many[many > k], many[many > k]) + np.repeat(self.first[:-1][many > k], many[many > k])
-            other[mine] += np.where(mine == own, 0, p[own])
+            upto[e] += upto[e - 1]
         upto[self.first[1:] - 1] = 1.0
+        # What is left beside a large edge is summed up, as 1 - p would lose its digits.
+        small = np.add.reduceat(np.where(p > 0.5, 0.0, p), self.first[:-1]) if n else np.zeros(0)
+        other = np.where(p > 0.5, small[self.pos], np.where(np.repeat(many, many) > 1, 1 - p, 0.0))
         self.p, self.upto = p, self.pos + np.round(np.minimum(upto, 1.0) / GRAIN) * GRAIN
         with np.errstate(divide="ignore"):
             self.other = np.log(other)
@@ -202,7 +233,11 @@ def search(vocabulary: Vocabulary, keys: list[str], texts: list[list[str]], k: i
         words, edges = [], []
         while len(word):
             u = np.floor(uniform(word_text[word], place[word] + at - lattices.base[flat[word]], turn, WALK) / GRAIN) * GRAIN
-            e = np.clip(np.searchsorted(lattices.upto, at + u, "right"), lattices.first[at], lattices.first[at + 1] - 1)
+            e, aim = lattices.first[at], at + u
+            going = np.flatnonzero(lattices.upto[e] <= aim)  # the last edge of a position reaches 1, which no draw does
+            while len(going):
+                e[going] += 1
+                going = going[lattices.upto[e[going]] <= aim[going]]
             words.append(word)
             edges.append(e)
             more = ~lattices.last_piece[e]
@@ -339,7 +374,7 @@ def sample(vocabulary: Vocabulary, keys: list[str], texts: list[str], k: int) ->
 
 
 def sample_segmentations(df: DataFrame, path: str, keys: list[str], text_col: str = "text", k: int = SAMPLES, seed: int = 0) -> DataFrame:
-    """Per row and sample: the keys, sample (from 1), ids, log_prob, perturbed, log_inclusion and round_trip (the ids decode to the text).
+    """Per row and sample: the keys, sample (from 1), ids, log_prob, perturbed, log_inclusion and round_trip (the ids' pieces spell the text).
 
     Draws depend on the seed and the row's keys alone, so rows repeated with equal keys and texts have equal samples. A null or empty text has one
     segmentation, the empty one, of probability 1; a text with fewer than k segmentations has all of them, each sure to be included. Extra columns are not
@@ -354,12 +389,12 @@ def sample_segmentations(df: DataFrame, path: str, keys: list[str], text_col: st
             cols: dict[str, list] = {c: [] for c in names}
             held = 0
             for n, got in enumerate(sample(vocabulary, row_keys, texts, k)):
-                want = texts[n].replace(SPACE, " ")
+                want = marked(texts[n])
                 for i, (ids, p, g, q) in enumerate(got):
-                    for c, x in zip(names, (n, i + 1, ids, p, g, q, vocabulary.decode(ids.tolist()) == want)):
+                    for c, x in zip(names, (n, i + 1, ids, p, g, q, vocabulary.spells(ids, want))):
                         cols[c].append(x)
                     held += len(ids)
-                if held > 2 * TOGETHER:
+                if held > 4 * TOGETHER:
                     yield b.iloc[cols.pop("at")].reset_index(drop=True).assign(**cols)
                     cols, held = {c: [] for c in names}, 0
             yield b.iloc[cols.pop("at")].reset_index(drop=True).assign(**cols)
