@@ -77,6 +77,7 @@ def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text") -> dict
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096) -> DataFrame:
     """Per row: id, n_bytes (UTF-8), n_tokens and over_limit; a null text is empty and has no tokens.
 
+    Each row is counted on its own: repeated rows and ids and null ids come out as they went in, and extra columns are not read. An empty table gives an empty result.
     Nothing is shuffled. Every worker holds the broadcast table and a bounded cache; whole texts are counted one at a time.
     """
     shared = docs.sparkSession.sparkContext.broadcast(frequent_lengths(docs, path, text_col))

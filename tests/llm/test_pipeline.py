@@ -28,6 +28,18 @@ def test_stages(spark, docs):
     assert {r.doc_id for r in pieces} == stay
 
 
+def test_repeated_ids_through_all_stages(spark, docs):
+    """An id with two texts is two documents: neither is lost for the other's copy, whatever the stage."""
+    rows = [(r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in docs.filter("lang = 'en' AND n_chars > 400").limit(12).collect()]
+    texts = [r[1] for r in rows]
+    odd = [(1, texts[0]), (2, texts[0]), (2, texts[1]), (2, texts[2]), (None, texts[3]), (None, texts[4]), (None, texts[4]), (5, texts[5])]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in odd], docs.schema)
+    kept = corpus_pipeline.near_duplicates(spark, df, "").collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted([(1, texts[0]), (2, texts[1]), (2, texts[2]), (None, texts[3]), (None, texts[4]), (5, texts[5])], key=repr)
+    assert corpus_pipeline.language(spark, df, "").count() == len(odd) and corpus_pipeline.lines(spark, df, "").count() == len(odd)
+    assert len({r.sequence_id for r in corpus_pipeline.packed(spark, df, "").collect()}) >= 1
+
+
 def test_run(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert got and got[0].__fields__[0] == "doc_id"
