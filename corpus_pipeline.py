@@ -13,14 +13,14 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear; those without a letter, or as close to a second language as to the best, go."""
+    """Documents whose language is clear; those without a letter, or as close to a second language as to the best, go. Each row is judged on its own, whatever its id."""
     docs = docs.select(*COLUMNS)
     learned = langid.fit_dictionaries(docs, F.lit(True))
     return langid.identify(docs, learned, keep=COLUMNS[1:]).filter("NOT rejected").select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the long lines that others repeat; n_chars is that of the text kept."""
+    """Documents without the long lines that others repeat; n_chars is that of the text kept. Rows that repeat an id count as one document, each keeps its own lines."""
     kept = line_dedup.dedup_lines(docs.select(*COLUMNS), keep=["lang", "source"])
     return kept.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.char_length("kept").cast("long").alias("n_chars"))
 
@@ -31,7 +31,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences of at most 2048 tokens."""
+    """Pieces of all documents in sequences of at most 2048 tokens. Rows that repeat an id are packed each on its own."""
     return packing.pack(docs.select(*COLUMNS), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
