@@ -80,10 +80,10 @@ def l6_size_curve(spark, d):
     return L.size_curve(years_of(spark, d), ["yr"], "revenue", ["cik"], [0.25, 0.5, 0.8, 0.9, 0.99])
 
 
-@query("""SELECT yr, sic, count(*) AS n, CAST(sum(revenue) AS DECIMAL(30,2)) AS total, round(median(CAST(revenue AS DOUBLE)), 2) AS median, round(CAST(sum(revenue) AS DOUBLE) / CAST(sum(sum(revenue)) OVER (PARTITION BY yr) AS DOUBLE), 6) AS share,
+@query("""SELECT yr, sic, count(*) AS n, CAST(sum(revenue) AS DECIMAL(30,2)) AS total, round(2 * median(CAST(revenue AS DOUBLE)), 2) AS twice_median, round(CAST(sum(revenue) AS DOUBLE) / CAST(sum(sum(revenue)) OVER (PARTITION BY yr) AS DOUBLE), 6) AS share,
  round(count(*) FILTER (WHERE net_income < 0) / count(*), 6) AS losing FROM company_years GROUP BY yr, sic""")
 def l7_mix_table(spark, d):
-    return rounded(L.mix_table(years_of(spark, d), ["sic"], ["yr"], "revenue", "net_income"), 6, "share", "losing").withColumns({"total": F.col("total").cast("decimal(30,2)"), "median": F.round("median", 2)})
+    return rounded(L.mix_table(years_of(spark, d), ["sic"], ["yr"], "revenue", "net_income"), 6, "share", "losing").withColumns({"total": F.col("total").cast("decimal(30,2)"), "twice_median": F.round(2 * F.col("median"), 2)}).drop("median")
 
 
 @query("SELECT sic, yr, round(CAST(sum(net_income) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE), 6) AS margin, count(*) FILTER (WHERE net_income < 0) AS losing, count(*) AS n FROM company_years GROUP BY sic, yr")
