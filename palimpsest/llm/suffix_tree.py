@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 
 from palimpsest.llm.common import stored, text_of
 
-DEPTH, MIN_COUNT, ROOT_SHARE = 5, 50, 0.1
+DEPTH, MIN_COUNT, ROOT_SHARE = 5, 50, 0.2
 #: A table for scoring that no executor need hold.
-MAX_TABLE_BYTES = 1 << 30
+MAX_TABLE_BYTES = 1 << 29
 #: Divergence test: Kullback-Leibler distance to the suffix's distribution, in nats for a symbol, and that times the context's count.
 MIN_NATS, MIN_TOTAL_NATS = 0.005, 10.0
 #: Weight of the suffix's distribution in a context's own, in symbols; count of every symbol that the root adds.
@@ -171,6 +171,13 @@ class Automaton:
         cost[:, kinds - 2 :] = 0
         self.cost, self.follow = cost.ravel().astype(np.float32), follow.ravel()
 
+    @classmethod
+    def of(cls, tables: dict) -> Automaton:
+        """From another one's tables, which travel as plain arrays."""
+        model = cls.__new__(cls)
+        model.__dict__.update(tables)
+        return model
+
     def scores(self, texts: list[bytes]) -> np.ndarray:
         """log10 probability of each text and its end. Long texts are cut into segments; each first reads the DEPTH symbols before it, which is all that a state can hold."""
         kind = self.kind[1:257].astype(np.int16)
@@ -246,10 +253,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     if 2 * states * (symbols + 3) * 8 > MAX_TABLE_BYTES:  # beginnings of retained contexts are states too
         raise ValueError(f"{states} contexts make too large a table: raise root_share")
     tree = kept.toPandas()
-    shared = spark.sparkContext.broadcast((common, Automaton(tree["state"].to_numpy(), tree["next"].to_numpy(), tree["n"].to_numpy())))
+    shared = spark.sparkContext.broadcast((common, vars(Automaton(tree["state"].to_numpy(), tree["next"].to_numpy(), tree["n"].to_numpy()))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        (common, model), number = shared.value, TaskContext.get().partitionId() << 36
+        (common, tables), number = shared.value, TaskContext.get().partitionId() << 36
+        model = Automaton.of(tables)
         for b in batches:
             texts = [lowered(t) for t in b["_text"]]
             cols = {c: [] for c in ("uid", "token", "tf", "n_tokens", "n_known", "log_sum")}
