@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The characters \\x09-\\x0D and \\x20.
@@ -54,3 +54,23 @@ def stored(df: DataFrame, *partition_by: str) -> DataFrame:
     path = f"{checkpoint_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def numbered(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """Rows with `pos`, their place from 0 among the rows of equal `by` in the order of `order` (nulls first), and `n`, how many those are.
+
+    Rows are dealt out by ranges of all these columns and sorted there, so a group of any size is spread over tasks; places within a range
+    are stored, and what stands before each range comes from one count a range and group. Rows equal in all these columns stand in any order.
+    """
+    ranged = df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
+    placed = stored(ranged.withColumn("_at", F.monotonically_increasing_id())).withColumn("_range", F.shiftright("_at", 33))
+    held = Window.partitionBy(*by)
+    starts = placed.groupBy(*by, "_range").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    starts = starts.select(
+        *(F.col(c).alias(f"_{c}_of") for c in by), F.col("_range").alias("_range_of"), F.sum("_n").over(held).alias("n"),
+        (F.coalesce(F.sum("_n").over(held.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - F.col("_first")).alias("_shift"),
+    )
+    on = F.col("_range") == F.col("_range_of")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_{c}_of"))
+    return placed.join(starts, on).select(*df.columns, (F.col("_at") + F.col("_shift")).alias("pos"), "n")
