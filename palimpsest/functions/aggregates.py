@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.operators import ranges
+
 
 def _key(value: str, by: list[str], where: str | None) -> Column:
     known = F.col(value).isNotNull() if where is None else F.col(value).isNotNull() & F.expr(where)
@@ -46,8 +48,8 @@ def approx_distinct(df: DataFrame, by: list[str], cols: list[str], rsd: float =
 
 
 def quantiles(df: DataFrame, col: str, probs: dict[str, float], by: list[str]) -> DataFrame:
-    """Continuous quantiles by name."""
-    return df.groupBy(*by).agg(*(F.percentile(col, p).alias(n) for n, p in probs.items()))
+    """Continuous quantiles by name, exact. Values are placed over ranges, so a group of any size needs no more memory than its ranges' tasks."""
+    return ranges.quantiles(df, by, col, probs)
 
 
 def mode_of(df: DataFrame, col: str, by: list[str], name: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.operators.windows import product
+
 
 def day(text: str) -> Column:
     return F.lit(text).cast("date")
@@ -258,13 +260,14 @@ def quarters_missing(df: DataFrame, at: str) -> DataFrame:
 def reconcile_prices(obs: DataFrame, ref: DataFrame, reclassified: DataFrame) -> DataFrame:
     """Both closes on every common date, the second source's brought to the first's basis, and their gap.
 
-    A close is divided by the split factors of later dates. A reviewed distribution (ticker, obs_date, amount) makes a factor of the close before it: 1 - amount / previous close.
+    A close is divided by the split factors of later dates; where one of them is 0, or a distribution takes the whole close, there is no close to compare. A reviewed distribution (ticker, obs_date, amount) makes a factor of the close before it: 1 - amount / previous close.
     """
     w = Window.partitionBy("ticker").orderBy("obs_date")
     rows = ref.join(reclassified.select("ticker", "obs_date", "amount"), ["ticker", "obs_date"], "left").withColumn("_prev", F.lag("close").over(w))
-    own = F.coalesce(F.col("split_factor"), F.lit(1.0)) / F.coalesce(1 - F.try_divide("amount", "_prev"), F.lit(1.0))
-    later = F.coalesce(F.sum(F.log(own)).over(w.rowsBetween(1, Window.unboundedFollowing)), F.lit(0.0))
-    adjusted = rows.select("ticker", "obs_date", (F.col("close") / F.exp(later)).alias("ref_close"))
+    own = F.try_divide(F.coalesce(F.col("split_factor"), F.lit(1.0)), F.coalesce(1 - F.try_divide("amount", "_prev"), F.lit(1.0)))
+    rows = rows.withColumn("_own", own)
+    later = product(F.col("_own"), w.rowsBetween(1, Window.unboundedFollowing))
+    adjusted = rows.select("ticker", "obs_date", F.try_divide("close", later).alias("ref_close"))
     both = obs.select("ticker", "obs_date", "close").join(adjusted, ["ticker", "obs_date"])
     return both.withColumn("gap", F.try_divide(F.abs(F.col("close") - F.col("ref_close")), F.col("close")))
 
@@ -276,16 +279,23 @@ def second_source(reconciled: DataFrame, watch: DataFrame, tolerance: float) ->
     return off.unionByName(none.select("ticker", F.lit(None).cast("date").alias("obs_date"), F.lit("no_common_dates").alias("problem")))
 
 
-def audit(reconciled: DataFrame, tolerance: float) -> DataFrame:
-    """Each date above the tolerance: isolated if neither neighbour is, else not."""
+def audit(reconciled: DataFrame, tolerance: float, least: int = 0, watch: DataFrame | None = None) -> DataFrame:
+    """Each date above the tolerance: isolated if neither neighbour is, else not. A ticker with fewer than `least` dates compared has one row of its own, too_few, without a date; `watch` names tickers that may have none."""
     w = Window.partitionBy("ticker").orderBy("obs_date")
     over = F.col("gap") > tolerance
     rows = reconciled.withColumn("_over", over).withColumn("_near", F.coalesce(F.lag(over).over(w), F.lit(False)) | F.coalesce(F.lead(over).over(w), F.lit(False)))
-    return rows.filter("_over").select("ticker", "obs_date", F.when(F.col("_near"), "not_isolated").otherwise("isolated").alias("kind"))
+    found = rows.filter("_over").select("ticker", "obs_date", F.when(F.col("_near"), "not_isolated").otherwise("isolated").alias("kind"))
+    if not least:
+        return found
+    names = reconciled.select("ticker") if watch is None else reconciled.select("ticker").unionByName(watch.select("ticker"))
+    compared = reconciled.filter("gap IS NOT NULL").groupBy("ticker").agg(F.count("*").alias("_n"))
+    few = names.distinct().join(compared, "ticker", "left").filter(F.coalesce("_n", F.lit(0)) < least)
+    return found.unionByName(few.select("ticker", F.lit(None).cast("date").alias("obs_date"), F.lit("too_few").alias("kind")))
 
 
 def reconcile_summary(reconciled: DataFrame, tolerance: float) -> DataFrame:
-    where = F.max_by("obs_date", F.struct("gap", "obs_date"))
+    """Per ticker: dates compared, those without a gap, median and largest gap, the date of the largest (gaps are told apart to nine digits, the later date of equal ones), dates above the tolerance."""
+    where = F.max_by("obs_date", F.struct(F.round("gap", 9), "obs_date"))
     return reconciled.groupBy("ticker").agg(F.count("*").alias("common_dates"), F.count_if(F.col("gap").isNull()).alias("nulls"), F.median("gap").alias("median_gap"), F.max("gap").alias("max_gap"), where.alias("worst_date"), F.count_if(F.col("gap") > tolerance).alias("over"))
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions.aggregates import classed
 from palimpsest.operators.finance import ratio
+from palimpsest.operators.ranges import cut, running
 
 
 # Monthly and yearly series
@@ -23,16 +25,35 @@ def yoy(df: DataFrame, by: list[str], lag: int = 12) -> DataFrame:
     return df.join(before, [*by, "m"]).withColumn("growth", ratio(F.col("v"), F.col("_v")) - 1).drop("_v")
 
 
-def real_growth(series: DataFrame, index: DataFrame, by: list[str]) -> DataFrame:
-    """Growth over the year of a series deflated by an index (m, level), and the last earlier month in which it was at least as high.
+def last_as_high(df: DataFrame, by: list[str], at: str, value: str, name: str) -> DataFrame:
+    """Each row with the last earlier `at` of its group whose value was at least as high, null if there is none. A null value has none and is none.
 
-    Earlier months are looked through in an array per series, which is as long as the series has months.
+    A group's rows pass once, in order, over a stack of those that may still be the answer for a later row: each is put there and taken off once, so work and memory are
+    linear in a group's rows (a series has one a month).
     """
+    kind = dict(df.dtypes)[at]
+
+    def walk(rows: pd.DataFrame) -> pd.DataFrame:
+        rows, stack, found = rows.sort_values(at, kind="stable"), [], []
+        for t, v in zip(rows[at], rows[value]):
+            if pd.isna(v):
+                found.append(None)
+                continue
+            while stack and stack[-1][1] < v:
+                stack.pop()
+            found.append(stack[-1][0] if stack else None)
+            stack.append((t, v))
+        rows[name] = pd.Series(found, index=rows.index, dtype=object)
+        return rows
+
+    schema = ", ".join(f"`{c}` {t}" for c, t in df.dtypes) + f", `{name}` {kind}"
+    return df.groupBy(*by).applyInPandas(walk, schema)
+
+
+def real_growth(series: DataFrame, index: DataFrame, by: list[str]) -> DataFrame:
+    """Growth over the year of a series deflated by an index (m, level), and the last earlier month in which it was at least as high."""
     real = series.join(index, "m").select(*by, "m", ratio(F.col("v"), F.col("level")).alias("v"))
-    before = Window.partitionBy(*by).orderBy("m").rowsBetween(Window.unboundedPreceding, -1)
-    earlier = real.withColumn("_past", F.collect_list(F.struct("m", "v")).over(before))
-    high = F.try_element_at(F.transform(F.filter("_past", lambda x: x["v"] >= F.col("v")), lambda x: x["m"]), F.lit(-1))
-    return yoy(earlier.select(*by, "m", "v", high.alias("last_as_high")), by).select(*by, "m", "growth", "last_as_high")
+    return yoy(last_as_high(real, by, "m", "v", "last_as_high"), by).select(*by, "m", "growth", "last_as_high")
 
 
 def pair_fit(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -202,16 +223,24 @@ def population_panel(df: DataFrame, key: str, year: str, value: str, projected:
     return df.groupBy(key).agg(first, *(F.max(F.when(F.col(year) == y, F.col(value))).alias(f"y{y}") for y in years))
 
 
-def location_region(locations: DataFrame, level: str, wanted: str, max_steps: int = 10) -> DataFrame:
-    """Each location with the ancestor of the wanted level, itself included, found by walking parent links; null if there is none within max_steps. locations: id, parent, name and a level."""
-    up = locations.select(F.col("id").alias("_id"), F.col("parent").alias("_parent"), F.col(level).alias("_level"), F.col("name").alias("_name"))
-    region = F.when(F.col("_level") == wanted, F.col("_name"))
-    rows = locations.join(up, F.col("id") == F.col("_id"), "left").select(*locations.columns, region.alias("region"), F.col("_parent").alias("_at"))
-    for _ in range(max_steps):
-        if rows.filter("region IS NULL AND _at IS NOT NULL").isEmpty():
-            break
-        rows = rows.join(up, F.col("_at") == F.col("_id"), "left").select(*locations.columns, F.coalesce("region", region).alias("region"), F.when(F.coalesce("region", region).isNull(), F.col("_parent")).alias("_at"))
-    return rows.drop("_at")
+def location_region(locations: DataFrame, level: str, wanted: str) -> DataFrame:
+    """Each location with the ancestor of the wanted level, the nearest one, itself included; null if there is none. locations: id (unique), parent, name and a level.
+
+    Links double: a round joins each open location with what its ancestor so far knows, so rounds grow with the logarithm of the deepest one; each starts from a checkpoint. Locations that
+    are still open when a round settles none walk in a cycle: an error names some. A parent that isn't there ends the walk.
+    """
+    region = F.when(F.col(level) == wanted, F.col("name"))
+    state = cut(locations.select(F.col("id").alias("_id"), region.alias("region"), F.when(region.isNull(), F.col("parent")).alias("_at")))
+    open_rows = state.filter("_at IS NOT NULL").count()
+    while open_rows:
+        far = state.select(F.col("_id").alias("_far"), F.col("region").alias("_region"), F.col("_at").alias("_next"))
+        state = cut(state.join(far, F.col("_at") == F.col("_far"), "left").select("_id", F.coalesce("region", "_region").alias("region"), "_next").withColumnRenamed("_next", "_at"))
+        left = state.filter("_at IS NOT NULL").count()
+        if left == open_rows:
+            some = [r[0] for r in state.filter("_at IS NOT NULL").select("_id").orderBy("_id").limit(5).collect()]
+            raise ValueError(f"{left} locations lead into a cycle of parents, among them {some}")
+        open_rows = left
+    return locations.join(state.select("_id", "region"), F.col("id") == F.col("_id"), "left").drop("_id")
 
 
 def growth_ranks(panel: DataFrame, key: str, year: str, value: str) -> DataFrame:
@@ -223,19 +252,37 @@ def growth_ranks(panel: DataFrame, key: str, year: str, value: str) -> DataFrame
     return rows.withColumn("largest_drop", F.coalesce((F.col("growth") == least) & (F.col("growth") < 0), F.lit(False))).select(key, year, "rk", "growth", "multiple", "largest_drop")
 
 
-def lineage(edges: DataFrame, max_steps: int = 60) -> DataFrame:
-    """Each member `o` with its last acquirer (`survivor`), steps, and `looped` where the walk has not ended after max_steps. edges: o, a (one acquirer each).
+def lineage(edges: DataFrame) -> DataFrame:
+    """Each member `o` with its last acquirer (`survivor`) and the steps to it. edges: o, a (one acquirer each).
 
-    Steps double: after each round every link reaches twice as far, so 60 steps take six joins.
+    `looped`: the walk leads into a cycle; the survivor is then the smallest member of that cycle, which names it, and steps are null.
+    Links double: a round joins each open member with where its acquirer so far has got, so rounds grow with the logarithm of the longest walk, and each starts from a checkpoint. When a
+    round ends no walk, those left are the ones that loop; their links double until they reach further than there are such members, so that the members passed hold the whole cycle.
     """
-    jumps = edges.select("o", F.col("a").alias("cur"), F.lit(1).alias("steps"))
+    own = edges.filter("o IS NOT NULL").select("o", F.col("a").alias("cur"), F.lit(1).cast("long").alias("steps"))
+    known = own.select(F.col("o").alias("_o"))
+    state = cut(own.join(known, F.col("cur") == F.col("_o"), "left").select("o", "cur", "steps", F.col("_o").isNotNull().alias("open")))
+    left = state.filter("open").count()
+    while left:
+        far = state.select(F.col("o").alias("_o"), F.col("cur").alias("_cur"), F.col("steps").alias("_steps"), F.col("open").alias("_open"))
+        moved = state.filter("open").join(far, F.col("cur") == F.col("_o")).select("o", F.col("_cur").alias("cur"), (F.col("steps") + F.col("_steps")).alias("steps"), F.col("_open").alias("open"))
+        state = cut(state.filter("NOT open").unionByName(moved))
+        after = state.filter("open").count()
+        if after == left:
+            break
+        left = after
+    ended = state.filter("NOT open").select("o", F.col("cur").alias("survivor"), "steps", F.lit(False).alias("looped"))
+    if not left:
+        return ended
+    loops = cut(own.join(state.filter("open").select(F.col("o").alias("_in")), F.col("o") == F.col("_in"), "left_semi").select("o", "cur", F.col("cur").alias("least")))
     reach = 1
-    while reach < max_steps:
-        far = jumps.select(F.col("o").alias("_o"), F.col("cur").alias("_cur"), F.col("steps").alias("_steps"))
-        jumps = jumps.join(far, F.col("cur") == F.col("_o"), "left").select("o", F.coalesce("_cur", "cur").alias("cur"), (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"))
+    while reach < left:
+        far = loops.select(F.col("o").alias("_o"), F.col("cur").alias("_cur"), F.col("least").alias("_least"))
+        loops = cut(loops.join(far, F.col("cur") == F.col("_o")).select("o", F.col("_cur").alias("cur"), F.least("least", "_least").alias("least")))
         reach *= 2
-    ends = jumps.join(edges.select(F.col("o").alias("_next")), F.col("cur") == F.col("_next"), "left")
-    return ends.select("o", F.col("cur").alias("survivor"), "steps", F.col("_next").isNotNull().alias("looped"))
+    # Where a walk has got by now lies in its cycle, and as many steps on pass all of it.
+    named = loops.select("o", "cur").join(loops.select(F.col("o").alias("_o"), F.col("least").alias("survivor")), F.col("cur") == F.col("_o"))
+    return ended.unionByName(named.select("o", "survivor", F.lit(None).cast("long").alias("steps"), F.lit(True).alias("looped")))
 
 
 def survivors(lines: DataFrame) -> DataFrame:
@@ -319,9 +366,8 @@ def mine_text(docs: DataFrame, id_col: str, text: str, patterns: dict[str, str])
 
 def survey_groups(df: DataFrame, by: list[str], order: list[str], weight: str, answer: str, flag: str, slices: int) -> DataFrame:
     """Slices of equal weight: members, weighted share of those who answer yes, and how many answers differ from the source's own flag."""
-    w = Window.partitionBy(*by)
-    at = ratio(F.sum(weight).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)), F.sum(weight).over(w))
-    rows = df.withColumn("slice", F.least(F.floor(at * slices), F.lit(slices - 1)).cast("int"))
+    at = ratio(F.col("_run"), F.col("_run_total"))
+    rows = running(df, by, order, {"_run": weight}).withColumn("slice", F.least(F.floor(at * slices), F.lit(slices - 1)).cast("int"))
     return rows.groupBy(*by, "slice").agg(F.count("*").alias("n"), ratio(F.sum(F.when(F.col(answer), F.col(weight)).otherwise(0)), F.sum(weight)).alias("used"), F.count_if(F.col(answer) != F.col(flag)).alias("differs"))
 
 

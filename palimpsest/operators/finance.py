@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions.aggregates import arg_max
+from palimpsest.operators.ranges import running
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -69,8 +70,10 @@ def grain_table(df: DataFrame, member: str, grains: dict[str, Column], least: in
 
 
 def size_curve(df: DataFrame, by: list[str], value: str, tie: list[str], marks: list[float]) -> DataFrame:
-    """Rank at which the largest members reach each share of the total."""
-    return with_shares(df, by, value, tie).groupBy(*by).agg(*(F.min(F.when(F.col("cum") >= m - 1e-12, F.col("rk"))).alias(f"r{round(100 * m)}") for m in marks))
+    """Rank at which the largest members reach each share of the total. A group's members are spread over ranges of their size."""
+    rows = running(df, by, [F.desc(value), *tie], {"rk": F.lit(1), "cum": value})
+    cum = ratio(F.col("cum"), F.col("cum_total"))
+    return rows.groupBy(*by).agg(*(F.min(F.when(cum >= m - 1e-12, F.col("rk"))).alias(f"r{round(100 * m)}") for m in marks))
 
 
 def mix_table(df: DataFrame, by: list[str], of: list[str], value: str, income: str) -> DataFrame:
@@ -297,23 +300,21 @@ def return_on_capital(df: DataFrame, key: str, year: str, income: str, capital:
 
 
 def capital_percentiles(df: DataFrame, by: list[str], value: str, tie: list[str], weight: str, income: str, marks: list[float]) -> DataFrame:
-    """Smallest value at which the weight reaches each mark, and the pooled return."""
-    w = Window.partitionBy(*by)
-    run = ratio(F.sum(weight).over(w.orderBy(value, *tie).rowsBetween(Window.unboundedPreceding, 0)), F.sum(weight).over(w))
-    pos = df.withColumn("_at", run)
-    return pos.groupBy(*by).agg(*(F.min(F.when(F.col("_at") >= m, F.col(value))).alias(f"p{round(100 * m)}") for m in marks), ratio(F.sum(income), F.sum(weight)).alias("pooled"))
+    """Smallest value at which the weight reaches each mark, and the pooled return. A group's rows are spread over ranges of the value."""
+    pos = running(df, by, [value, *tie], {"_run": weight})
+    at = ratio(F.col("_run"), F.col("_run_total"))
+    return pos.groupBy(*by).agg(*(F.min(F.when(at >= m, F.col(value))).alias(f"p{round(100 * m)}") for m in marks), ratio(F.sum(income), F.sum(weight)).alias("pooled"))
 
 
 def cohort_track(df: DataFrame, key: str, year: str, base: int, value: str, weight: str, income: str, n: int) -> DataFrame:
     """Members sorted once by a value in the base year into n groups of about equal weight, followed over all years: income, pooled return.
 
-    Groups come from the weight below a value, summed up by distinct value before it is accumulated, so what one task sorts is rounded values and not members.
+    Groups come from the weight below a value, summed up by distinct value first and then over ranges of values.
     """
     at = df.filter((F.col(year) == base) & F.col(value).isNotNull()).select(key, F.round(value, 4).alias("_v"), F.col(weight).alias("_w"))
-    by_value = at.groupBy("_v").agg(F.sum("_w").alias("_w"))
-    total = Window.partitionBy(F.lit(0))
-    below = F.sum("_w").over(total.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_w")
-    placed = by_value.withColumn("g", F.least(F.floor(n * below.cast("double") / F.sum("_w").over(total).cast("double")), F.lit(n - 1)) + 1).select("_v", "g")
+    by_value = running(at.groupBy("_v").agg(F.sum("_w").alias("_w")), [], ["_v"], {"_run": "_w"})
+    below = F.col("_run") - F.col("_w")
+    placed = by_value.select("_v", (F.least(F.floor(n * below.cast("double") / F.col("_run_total").cast("double")), F.lit(n - 1)) + 1).alias("g"))
     return at.join(placed, "_v").select(key, "g").join(df, key).groupBy("g", year).agg(F.sum(income).alias("income"), ratio(F.sum(income), F.sum(weight)).alias("pooled"))
 
 

@@ -6,24 +6,50 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, by: list[str], take: list[str], direction: str = "backward", inclusive: bool = True) -> DataFrame:
+def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str, by: list[str], take: list[str], direction: str = "backward", inclusive: bool = True, ranges: int = 1) -> DataFrame:
     """Each left row with the columns `take` of the nearest right row of its key: the last at or before it, or the first at or after it.
 
     Both sides are laid in one order per key and the nearest right row is carried along, so there is one shuffle on the key and no range join.
-    Among right rows of one time the largest payload wins (backward) or the smallest (forward). Left rows without a match keep nulls.
+    With several `ranges` the shuffle is on the key and a range of time (about equally many rows each), so one key that holds all rows fills as many tasks; the last
+    right row of each key and range is then handed on to the ranges after it.
+    Among right rows of one time the largest payload wins (backward) or the smallest (forward). Left rows without a match keep nulls. A null time or key,
+    on either side, matches nothing.
     """
     back = direction == "backward"
+    known = F.lit(True)
+    for c in by:
+        known = known & F.col(c).isNotNull()
     payload = F.struct(F.col(right_on).alias("_t"), *take)
-    r = right.groupBy(*by, F.col(right_on).alias("_at")).agg((F.max if back else F.min)(payload).alias("_p"))
+    r = right.filter(known & F.col(right_on).isNotNull()).groupBy(*by, F.col(right_on).alias("_at")).agg((F.max if back else F.min)(payload).alias("_p"))
     # Right rows stand before left rows of the same time if they may match them.
     first, second = (0, 1) if inclusive == back else (1, 0)
     l = left.select(*by, F.col(left_on).alias("_at"), F.lit(second).alias("_side"), F.struct(*left.columns).alias("_row"), F.lit(None).cast(r.schema["_p"].dataType).alias("_p"))
     r = r.select(*by, "_at", F.lit(first).alias("_side"), F.lit(None).cast(l.schema["_row"].dataType).alias("_row"), "_p")
-    w = Window.partitionBy(*by).orderBy("_at", "_side")
+    both, parts = l.unionByName(r), list(by)
+    if ranges > 1:
+        cuts = _cuts(both, "_at", ranges)
+        both, parts = both.withColumn("_range", cuts), [*by, "_range"]
+    w = Window.partitionBy(*parts).orderBy("_at", "_side")
     w = w.rowsBetween(Window.unboundedPreceding, 0) if back else w.rowsBetween(0, Window.unboundedFollowing)
-    found = (F.last if back else F.first)("_p", ignorenulls=True).over(w)
-    both = l.unionByName(r).withColumn("_found", found).filter(F.col("_row").isNotNull())
-    return both.select("_row.*", *(F.col(f"_found.{c}").alias(c) for c in take))
+    near = F.last if back else F.first
+    rows = both.withColumn("_found", near("_p", ignorenulls=True).over(w))
+    if ranges > 1:
+        ends = both.groupBy(*parts).agg((F.max if back else F.min)("_p").alias("_p"))
+        beyond = Window.partitionBy(*by).orderBy("_range")
+        beyond = beyond.rowsBetween(Window.unboundedPreceding, -1) if back else beyond.rowsBetween(1, Window.unboundedFollowing)
+        handed = ends.select(*parts, near("_p", ignorenulls=True).over(beyond).alias("_handed"))
+        rows = rows.filter(F.col("_row").isNotNull()).join(handed, parts, "left").withColumn("_found", F.coalesce("_found", "_handed"))
+    # Rows without a time stand first in the order, those without a key in a group of their own.
+    met = rows.filter(F.col("_row").isNotNull()).withColumn("_found", F.when(F.col("_at").isNotNull() & known, F.col("_found")))
+    return met.select("_row.*", *(F.col(f"_found.{c}").alias(c) for c in take))
+
+
+def _cuts(df: DataFrame, at: str, ranges: int) -> Column:
+    """Number of the range that a time stands in: ranges of about equally many rows, by approximate quantiles; a null time is in the first."""
+    when = F.col(at) if dict(df.dtypes)[at] not in ("date",) else F.unix_date(F.col(at))
+    when = F.unix_micros(when) if dict(df.dtypes)[at] == "timestamp" else when
+    marks = df.agg(F.percentile_approx(when, [k / ranges for k in range(1, ranges)], 1000)).first()[0] or []
+    return sum((F.coalesce((when > m).cast("int"), F.lit(0)) for m in sorted(set(marks))), F.lit(0))
 
 
 #: A calendar is broadcast; so many days are some centuries.

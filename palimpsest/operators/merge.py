@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.operators.joins import null_safe_join
@@ -43,23 +45,81 @@ def merge_into_base(new: DataFrame, base: DataFrame, key: list[str], lineage: li
 
 #: So many partitions are named in a filter; landings that touch more are joined to them by label.
 NAMED_PARTITIONS = 1000
+#: Keys to a word of 64 bits in a Bloom filter (16 bits a key, four of them set), words that a filter has at most, and words of all filters that are broadcast at most (64 MB).
+WORD_KEYS, WORDS, BROADCAST_WORDS = 4, 1 << 20, 1 << 23
+
+
+def _word(key: list[str], mask: Column) -> tuple[Column, Column]:
+    """The word of a filter (of mask + 1 words, a power of two) that a key's bits stand in, and these bits. Null is a key like any other."""
+    h, g = F.xxhash64(*key), F.xxhash64(F.lit(1), *key)
+    bits = F.lit(0).cast("long")
+    for k in range(4):
+        bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(g, 6 * k).bitwiseAND(F.lit(63)).cast("int")))
+    return h.bitwiseAND(mask), bits
+
 
+def key_index(base: DataFrame, key: list[str], part: str) -> DataFrame:
+    """Per partition of the base: part, n (rows), lo and hi (of the first key column), mask and words of a Bloom filter over its keys. Kept beside the partition, it says what the partition can't hold.
 
-def merge_partitions(new: DataFrame, base: DataFrame, key: list[str], lineage: list[str], part: str, label: str = "[0-9]{4}Q[1-4]") -> DataFrame:
+    A filter has a word for every WORD_KEYS keys, as a power of two and at most WORDS; beyond that it lets more keys pass, which the base's files then decide.
+    """
+    sizes = base.groupBy(part).agg(F.count("*").alias("n"), F.min(key[0]).alias("lo"), F.max(key[0]).alias("hi"))
+    mask = F.least(F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("n") / WORD_KEYS, F.lit(1.0))))).cast("long"), F.lit(WORDS)) - 1
+    sizes = sizes.withColumn("mask", mask)
+    own = sizes.select(F.col(part).alias("_of"), "mask")
+    word, bits = _word(key, F.col("mask"))
+    filled = base.join(own, F.col(part).eqNullSafe(F.col("_of"))).select(F.col("_of").alias("part"), word.alias("w"), bits.alias("b"))
+    every = filled.unionByName(own.select(F.col("_of").alias("part"), F.explode(F.sequence(F.lit(0).cast("long"), "mask")).alias("w"), F.lit(0).cast("long").alias("b")))
+    words = every.groupBy("part", "w").agg(F.bit_or("b").alias("b")).groupBy("part").agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "b"))), lambda x: x["b"]).alias("words"))
+    return sizes.join(words, F.col(part).eqNullSafe(F.col("part"))).select(sizes[part].alias("part"), "n", "lo", "hi", "mask", "words")
+
+
+def may_hold(keys: DataFrame, index: DataFrame, key: list[str]) -> DataFrame:
+    """Pairs of a partition (`part`) and a key that it may hold: within its range and in its filter. Keys in no partition are left out, save that about one in 500 passes by chance."""
+    word, bits = _word(key, F.col("_mask"))
+    rows = index.select("part", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("mask").alias("_mask"), F.col("words").alias("_words"))
+    inside = F.col(key[0]).isNull() | F.col(key[0]).between(F.col("_lo"), F.col("_hi"))
+    met = keys.select(*key).distinct().join(rows, inside)
+    return met.filter(F.get("_words", word.cast("int")).bitwiseAND(bits) == bits).select("part", *key)
+
+
+def held_elsewhere(new: DataFrame, other: DataFrame, key: list[str], part: str, index: DataFrame | None = None) -> DataFrame:
+    """Keys of the new rows that `other`, the partitions that they don't touch, hold.
+
+    With an index of those partitions (key_index) its rows are asked first, and files are read only of partitions that may hold a key, which are named in
+    the filter. Without one, or where the filters together are too large to broadcast, the keys of all of them are read.
+    """
+    if index is not None:
+        index = index.withColumn("_size", F.col("mask") + 1)
+        if (index.agg(F.sum("_size")).first()[0] or 0) <= BROADCAST_WORDS:
+            hits = [r[0] for r in may_hold(new, F.broadcast(index), key).select("part").distinct().limit(NAMED_PARTITIONS + 1).collect()]
+            if not hits:
+                return new.select(*key).limit(0)
+            if len(hits) <= NAMED_PARTITIONS:
+                other = other.filter(F.col(part).isin(hits) | (F.col(part).isNull() if None in hits else F.lit(False)))
+    return null_safe_join(other.select(*key), new, key, "semi")
+
+
+def merge_partitions(new: DataFrame, base: DataFrame, key: list[str], lineage: list[str], part: str, label: str = "[0-9]{4}Q[1-4]", index: DataFrame | None = None) -> DataFrame:
     """Merged rows of the partitions that the new landings touch; the base is filtered by partition before any shuffle.
 
     A label that isn't of the pattern stops, and so does a key of the new landings that the base holds in a partition that they don't touch: it would be served twice.
+    index: key_index of the base, kept with it; then only partitions that may hold such a key are read for this.
     """
     labels = new.select(part).distinct()
-    bad = [r[0] for r in labels.filter(F.col(part).isNull() | ~F.col(part).rlike(f"^({label})$")).limit(5).collect()]
+    parts = [r[0] for r in labels.limit(NAMED_PARTITIONS + 1).collect()]
+    bad = [p for p in parts if p is None or not re.fullmatch(label, p)][:5]
+    if not bad and len(parts) > NAMED_PARTITIONS:
+        bad = [r[0] for r in labels.filter(F.col(part).isNull() | ~F.col(part).rlike(f"^({label})$")).limit(5).collect()]
     if bad:
         raise ValueError(f"partition labels: {bad}")
-    parts = [r[0] for r in labels.limit(NAMED_PARTITIONS + 1).collect()]
     if len(parts) <= NAMED_PARTITIONS:
         touched, other = base.filter(F.col(part).isin(parts)), base.filter(~F.col(part).isin(parts))
+        index = None if index is None else index.filter(~F.col("part").isin(parts))
     else:
         touched, other = base.join(labels, part, "left_semi").select(*base.columns), base.join(labels, part, "left_anti").select(*base.columns)
-    moved = null_safe_join(other.select(*key), new, key, "semi").limit(5).collect()
+        index = None if index is None else index.join(labels.withColumnRenamed(part, "part"), "part", "left_anti")
+    moved = held_elsewhere(new, other, key, part, index).limit(5).collect()
     if moved:
         raise ValueError(f"keys of other partitions: {[tuple(r) for r in moved]}")
     return merge_into_base(new, touched, key, lineage)
@@ -90,10 +150,36 @@ def require_unique(df: DataFrame, key: list[str]) -> DataFrame:
     return df
 
 
-def changed_entities(current: DataFrame, prior: DataFrame, entity: str, key: list[str], values: list[str]) -> DataFrame:
-    """Entities with a row that is new or differs from the newest prior landing."""
-    old = prior.select(*(F.col(k).alias(f"_{k}") for k in key), F.struct(*values).alias("_old"))
-    met = current.join(old, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key], "left")
+def entity_digests(rows: DataFrame, entity: str, key: list[str], values: list[str]) -> DataFrame:
+    """Per entity `rows` and `digest` of its rows, whatever their order: sums of 64-bit hashes of key and values. Kept in a landing's manifest, it tells whether an entity is the same without its rows."""
+    h = F.xxhash64(*key, *values).cast("decimal(38,0)")
+    g = F.xxhash64(F.lit(1), *key, *values).cast("decimal(38,0)")
+    return rows.groupBy(entity).agg(F.count("*").alias("rows"), F.struct(F.sum(h).alias("h"), F.sum(g).alias("g")).alias("digest"))
+
+
+def newest_rows(rows: DataFrame, key: list[str], lineage: list[str]) -> DataFrame:
+    """Of each key the row of the newest landing; of several there, the one of the largest values."""
+    others = [c for c in rows.columns if c not in key and c not in lineage]
+    best = rows.groupBy(*key).agg(F.max(F.struct(*lineage, *others)).alias("_b"))
+    return best.select(*key, "_b.*").select(*rows.columns)
+
+
+def changed_entities(current: DataFrame, prior: DataFrame, entity: str, key: list[str], values: list[str], lineage: list[str] | None = None, manifest: DataFrame | None = None) -> DataFrame:
+    """Entities with a row that is new or differs from the newest prior landing of its key.
+
+    lineage: columns that order the prior landings, which are reduced to the newest row of each key; without it the prior is one landing. manifest: entity_digests of the prior, kept
+    from when it was landed; entities whose digest is the same drop out by it before any row is joined, so only rows of the others are read together.
+    """
+    rows = current.select(entity, *(c for c in [*key, *values] if c != entity))
+    if manifest is not None:
+        known = manifest.select(F.col(entity).alias("_entity"), F.col("rows").alias("_rows"), F.col("digest").alias("_digest"))
+        own = entity_digests(rows, entity, key, values).join(known, F.col(entity).eqNullSafe(F.col("_entity")), "left")
+        differ = own.filter(~(F.col("rows").eqNullSafe(F.col("_rows")) & F.col("digest").eqNullSafe(F.col("_digest")))).select(entity)
+        rows = null_safe_join(rows, differ, [entity], "semi")
+        prior = null_safe_join(prior, differ, [entity], "semi") if entity in key else prior
+    old = newest_rows(prior.select(*key, *values, *lineage), key, lineage) if lineage else prior
+    old = old.select(*(F.col(k).alias(f"_{k}") for k in key), F.struct(*values).alias("_old"))
+    met = rows.join(old, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key], "left")
     return met.filter(~F.struct(*values).eqNullSafe(F.col("_old"))).select(entity).distinct()
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -11,19 +12,76 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Check:
-    """id, severity (error or warn), gate (blocks publication) or monitor, source group, and the query for failing rows."""
+    """id, severity (error or warn), gate (blocks publication) or monitor, source group, the query for failing rows, and the columns that name a row for its acknowledgement."""
 
     id: str
     severity: str
     gate: bool
     group: str
     failing: Callable[[], DataFrame]
+    description: str = ""
+    ack_key: tuple[str, ...] = ()
 
     def __post_init__(self):
         if self.severity not in ("error", "warn"):
             raise ValueError(f"{self.id}: severity is error or warn")
 
 
+#: The group of checks on a whole run, which block no group.
+RUN = "run"
+REQUIRED_FIELDS = ("id", "severity", "gate", "group", "description")
+
+
+def declared_checks(files: dict[str, str], groups: list[str], query: Callable[[str], DataFrame]) -> list[Check]:
+    """Checks declared as SQL files (name without ending: text), in order of their ids; query runs a file's SQL.
+
+    A file begins with comment lines `-- field: value`. Fields: id, severity (error, warn), gate (yes, no), group (one of `groups`, or run, which can't gate), description, and, for warnings only,
+    ack_key: comma list of columns. The file is named by its id, or that and `_` and a name. No file, a repeated id or any other defect stops with all defects found.
+    """
+    found, defects = [], [] if files else ["no checks"]
+    for name, text in sorted(files.items()):
+        head = {}
+        for line in text.splitlines():
+            field = re.fullmatch(r"--[ \t]*([A-Za-z_]+)[ \t]*:[ \t]*(\S.*)", line.rstrip())
+            if field is None:
+                break
+            head[field[1]] = field[2]
+        wrong = [f"no {f}" for f in REQUIRED_FIELDS if f not in head]
+        if not wrong:
+            keys = tuple(k for k in (x.strip() for x in head.get("ack_key", "").split(",")) if k)
+            rules = {
+                f"severity {head['severity']}": head["severity"] not in ("error", "warn"), f"gate {head['gate']}": head["gate"] not in ("yes", "no"), f"group {head['group']}": head["group"] not in (*groups, RUN),
+                "a check on the run can't gate": head["group"] == RUN and head["gate"] == "yes", "only a warning's rows can be acknowledged": bool(keys) and head["severity"] != "warn",
+                f"named {name}, id {head['id']}": name != head["id"] and not re.fullmatch(re.escape(head["id"]) + "_[A-Za-z0-9_]+", name),
+            }
+            wrong = [what for what, broken in rules.items() if broken]
+        defects += [f"{name}: {what}" for what in wrong]
+        if not wrong:
+            sql = text.strip().rstrip(";")
+            found.append(Check(head["id"], head["severity"], head["gate"] == "yes", head["group"], lambda sql=sql: query(sql), head["description"], keys))
+    ids = [c.id for c in found]
+    defects += [f"id {i} repeats" for i in sorted({i for i in ids if ids.count(i) > 1})]
+    if defects:
+        raise ValueError("; ".join(defects))
+    return sorted(found, key=lambda c: c.id)
+
+
+def check_files(spark: SparkSession, folder: str) -> dict[str, str]:
+    """The .sql files of a folder, by name without ending; they are configuration, a few kilobytes each."""
+    rows = spark.read.option("pathGlobFilter", "*.sql").text(folder, wholetext=True).select("value", "_metadata.file_name").collect()
+    return {r["file_name"].removesuffix(".sql"): r["value"] for r in rows}
+
+
+def failing_keys(spark: SparkSession, checks: list[Check]) -> DataFrame:
+    """check_id and ack_key of the failing rows of all checks that have an ack_key: its columns as text, joined by `|`, null as the empty text."""
+    out = spark.createDataFrame([], "check_id string, ack_key string")
+    for c in checks:
+        if c.ack_key:
+            text = [F.coalesce(F.col(k).cast("string"), F.lit("")) for k in c.ack_key]
+            out = out.unionByName(c.failing().select(F.lit(c.id).alias("check_id"), F.concat_ws("|", *text).alias("ack_key")))
+    return out
+
+
 RESULTS = "check_id string, source_group string, severity string, gate boolean, status string, failing_rows long, sample string"
 
 
@@ -97,3 +155,25 @@ def assert_row_preserving(raw: DataFrame, out: DataFrame) -> DataFrame:
 def schema_rows(spark: SparkSession, df: DataFrame) -> DataFrame:
     """A table's schema as rows: column, type."""
     return spark.createDataFrame(df.dtypes, "column string, type string")
+
+
+def schema_differences(spark: SparkSession, df: DataFrame, declared: dict[str, str]) -> DataFrame:
+    """Columns of a table that differ from the declared ones (name: type), both ways: column and problem, absent, undeclared or type. Types are compared as Spark names them."""
+    have = {c: t for c, t in df.dtypes}
+    rows = [(c, "absent" if c not in have else "undeclared" if c not in declared else "type") for c in [*declared, *(c for c in have if c not in declared)] if have.get(c) != declared.get(c)]
+    return spark.createDataFrame(rows, "column string, problem string")
+
+
+def broken_rules(df: DataFrame, rules: dict[str, str], keep: list[str]) -> DataFrame:
+    """One row for each rule (name: condition) that a row breaks; the table is read once. A condition that is null is not broken."""
+    broken = F.array_compact(F.array(*(F.when(F.expr(c), F.lit(n)) for n, c in rules.items())))
+    return df.select(*keep, F.explode(broken).alias("rule"))
+
+
+def impossible_values(obs: DataFrame, run_date: str, is_price: str) -> DataFrame:
+    """Observations (series_id, obs_date, vintage, value, available_date) that can't be: a price (condition is_price) that is missing, NaN or not above 0, dates that are missing, a date after the run's, and a value known before its date."""
+    rules = {
+        "missing_price": f"({is_price}) AND (value IS NULL OR isnan(value))", "price_not_above_0": f"({is_price}) AND NOT isnan(value) AND value <= 0", "missing_date": "obs_date IS NULL OR available_date IS NULL OR vintage IS NULL",
+        "future": f"obs_date > DATE '{run_date}'", "look_ahead": "available_date < obs_date",
+    }
+    return broken_rules(obs, rules, ["series_id", "obs_date", "vintage", "value", "available_date"])

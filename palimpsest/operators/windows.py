@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.operators.ranges import running
+
 
 def top_row(df: DataFrame, by: list[str], order: list[Column]) -> DataFrame:
     """The first row of each group."""
@@ -22,11 +24,18 @@ def neighbours(df: DataFrame, by: list[str], order: list[str], cols: list[str])
     return df.select("*", *(F.lag(c).over(w).alias(f"prev_{c}") for c in cols), *(F.lead(c).over(w).alias(f"next_{c}") for c in cols))
 
 
+def product(factor: Column, over=None) -> Column:
+    """Product of a column over a group or a window, from sums of logarithms beside counts of zeros and of signs; 1 over no rows, null if any factor is null."""
+    of = (lambda c: c.over(over)) if over is not None else (lambda c: c)
+    nulls, zeros, minus = (F.coalesce(of(F.count_if(c)), F.lit(0)) for c in (factor.isNull(), factor == 0, factor < 0))
+    size = F.exp(F.coalesce(of(F.sum(F.when(factor != 0, F.log(F.abs(factor))))), F.lit(0.0)))
+    return F.when(nulls > 0, F.lit(None)).when(zeros > 0, F.lit(0.0)).otherwise(F.when(minus % 2 == 1, -size).otherwise(size))
+
+
 def cum_factor_after(df: DataFrame, by: list[str], order: str, factor: str) -> DataFrame:
-    """Product of the factors on later rows, 1 after the last; null if any of them is null."""
+    """Product of the factors on later rows, 1 after the last; null if any of them is null, 0 if any is 0."""
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
-    known = F.coalesce(F.count_if(F.col(factor).isNull()).over(w), F.lit(0)) == 0
-    return df.withColumn("factor_after", F.when(known, F.exp(F.coalesce(F.sum(F.log(factor)).over(w), F.lit(0.0)))))
+    return df.withColumn("factor_after", product(F.col(factor), w))
 
 
 def rank_in_group(df: DataFrame, group: list[str], value: str) -> DataFrame:
@@ -36,10 +45,9 @@ def rank_in_group(df: DataFrame, group: list[str], value: str) -> DataFrame:
 
 
 def weighted_position(df: DataFrame, by: list[str], order: list[str], weight: str) -> DataFrame:
-    """`position`: share of the group's weight at or before a row."""
-    w = Window.partitionBy(*by)
-    run = F.sum(weight).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return df.withColumn("running", run).withColumn("position", F.try_divide(run, F.sum(weight).over(w)))
+    """`position`: share of the group's weight at or before a row. A group's rows are spread over ranges of the order."""
+    rows = running(df, by, order, {"running": weight})
+    return rows.withColumn("position", F.try_divide("running", "running_total")).drop("running_total")
 
 
 def weighted_percentiles(df: DataFrame, by: list[str], value: str, tie: list[str], weight: str, probs: list[float]) -> DataFrame:
@@ -50,9 +58,9 @@ def weighted_percentiles(df: DataFrame, by: list[str], value: str, tie: list[str
 
 def weight_groups(df: DataFrame, by: list[str], order: list[str], weight: str, n: int) -> DataFrame:
     """Equal-weight groups 0 .. n - 1 by running weight before the row."""
-    w = Window.partitionBy(*by)
-    run = F.sum(weight).over(w.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) - F.col(weight)
-    return df.withColumn("weight_group", F.least(F.floor(F.lit(n) * run / F.sum(weight).over(w)), F.lit(n - 1)).cast("int"))
+    rows = running(df, by, order, {"_run": weight})
+    group = F.least(F.floor(F.lit(n) * (F.col("_run") - F.col(weight)) / F.col("_run_total")), F.lit(n - 1)).cast("int")
+    return rows.withColumn("weight_group", group).drop("_run", "_run_total")
 
 
 def seeded_sample(df: DataFrame, by: list[str], keys: list[str], seed: str, n: int, latest: str) -> DataFrame:
@@ -80,7 +88,7 @@ def weight_slices(df: DataFrame, by: list[str], order: list[str], weight: str, n
 
 def running_total(df: DataFrame, by: list[str], order: list[str], col: str, name: str) -> DataFrame:
     """Sum of a column up to each row."""
-    return df.withColumn(name, F.sum(col).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    return running(df, by, order, {name: col}).drop(f"{name}_total")
 
 
 def increments(df: DataFrame, by: list[str], order: str, total: str) -> DataFrame:

@@ -91,7 +91,9 @@ def i18_repeated_keys(spark, d):
 
 def i19_changed_entities(spark, d):
     rows = table(spark, d, "landings")
-    return merge.changed_entities(rows.filter("run_id = 'r2'"), rows.filter("run_id = 'r1'"), "cik", LID, ["form", "val", "quarter"])
+    prior, values = rows.filter("run_id IN ('r1', 'r2')"), ["form", "val", "quarter"]
+    manifest = merge.entity_digests(merge.newest_rows(prior.select("cik", *LID, *values, *LIN), LID, LIN), "cik", LID, values)
+    return merge.changed_entities(rows.filter("run_id = 'r3'"), prior, "cik", LID, values, LIN, manifest)
 
 
 def i20_change_set(spark, d):
@@ -152,8 +154,8 @@ ORACLES = {
  LEFT JOIN b ON n.id = b.id AND n.cik = b.cik AND n.form = b.form AND n.val = b.val AND n.quarter = b.quarter""",
     "i17_collapse_conflict": """SELECT series_id, obs_date, vintage, CASE WHEN count(DISTINCT units) <= 1 THEN max(units) END AS units, count(DISTINCT units) > 1 AS units_conflict, count(*) AS copies FROM obs_raw GROUP BY series_id, obs_date, vintage""",
     "i18_repeated_keys": "SELECT series_id, obs_date, vintage, count(*) AS n FROM obs_raw GROUP BY ALL HAVING count(*) > 1",
-    "i19_changed_entities": """SELECT DISTINCT c.cik FROM landings c LEFT JOIN (SELECT * FROM landings WHERE run_id = 'r1') p ON p.id = c.id
- WHERE c.run_id = 'r2' AND (p.id IS NULL OR row(c.form, c.val, c.quarter) IS DISTINCT FROM row(p.form, p.val, p.quarter))""",
+    "i19_changed_entities": """SELECT DISTINCT c.cik FROM landings c LEFT JOIN (SELECT id, max(run_id) AS run_id FROM landings WHERE run_id IN ('r1', 'r2') GROUP BY id) n ON n.id = c.id
+ LEFT JOIN landings p ON p.id = n.id AND p.run_id = n.run_id WHERE c.run_id = 'r3' AND (p.id IS NULL OR row(c.form, c.val, c.quarter) IS DISTINCT FROM row(p.form, p.val, p.quarter))""",
     "i20_change_set": """SELECT cik FROM landings WHERE run_id = 'r3' AND cik % 5 = 0 UNION SELECT cik FROM landings WHERE run_id = 'r1'""",
     "i21_classify_pulls": """WITH n AS (SELECT form, id, CASE WHEN form = 'P' THEN val * 2 ELSE val END AS val FROM landings WHERE run_id = 'r2'), s AS (SELECT form, id, val FROM landings WHERE run_id = 'r1' AND form <> 'O'),
  r AS (SELECT n.form, count(n.val / s.val) AS overlap, min(n.val / s.val) AS lo, max(n.val / s.val) AS hi, min(n.id) < (SELECT min(id) FROM s t WHERE t.form = n.form) AS ext FROM n LEFT JOIN s ON n.form = s.form AND n.id = s.id GROUP BY n.form)

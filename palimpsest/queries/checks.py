@@ -121,19 +121,22 @@ def c07_duplicate_rows(spark, d):
  FULL JOIN (VALUES ('series_id', 'string'), ('obs_date', 'date'), ('vintage', 'date'), ('value', 'double'), ('units', 'int'), ('loaded_at', 'timestamp')) b(c, t) ON a.c = b.c WHERE a.t IS DISTINCT FROM b.t""")
 def c08_schema_contract(spark, d):
     """Columns of `obs` that differ from the declared ones, both ways."""
-    declared = [("series_id", "string"), ("obs_date", "date"), ("vintage", "date"), ("value", "double"), ("units", "int"), ("loaded_at", "timestamp")]
-    a = quality.schema_rows(spark, table(spark, d, "obs"))
-    b = spark.createDataFrame(declared, "column string, wanted string")
-    return a.join(b, "column", "full").filter("NOT (type <=> wanted)").select("column", F.when(F.col("type").isNull(), "absent").when(F.col("wanted").isNull(), "undeclared").otherwise("type").alias("problem"))
+    declared = {"series_id": "string", "obs_date": "date", "vintage": "date", "value": "double", "units": "int", "loaded_at": "timestamp"}
+    return quality.schema_differences(spark, table(spark, d, "obs"), declared)
 
 
-@query("""SELECT series_id, obs_date, vintage, r AS rule FROM (SELECT *, unnest([CASE WHEN value IS NULL THEN 'missing' END, CASE WHEN value < 1 THEN 'too_small' END,
- CASE WHEN available_date < obs_date THEN 'look_ahead' END, CASE WHEN vintage - obs_date >= 3 THEN 'late' END]) AS r FROM obs) WHERE r IS NOT NULL""")
+#: Observations with faults of every kind: prices of 0, below, missing and NaN; missing, future and early dates.
+FAULTY = """SELECT series_id, CASE WHEN day(obs_date) = 11 THEN NULL ELSE obs_date END AS obs_date, vintage, CASE WHEN day(obs_date) = 12 THEN CAST(obs_date - 1 AS DATE) ELSE available_date END AS available_date,
+ CASE WHEN day(vintage) = 13 THEN 0.0 WHEN day(vintage) = 14 THEN -value WHEN day(vintage) = 15 THEN CAST('NaN' AS DOUBLE) ELSE value END AS value FROM obs"""
+
+
+@query(f"""SELECT series_id, obs_date, vintage, CASE WHEN isnan(value) THEN NULL ELSE value END AS value, available_date, r AS rule FROM (SELECT *, unnest([CASE WHEN p AND (value IS NULL OR isnan(value)) THEN 'missing_price' END, CASE WHEN p AND NOT isnan(value) AND value <= 0 THEN 'price_not_above_0' END,
+ CASE WHEN obs_date IS NULL OR available_date IS NULL OR vintage IS NULL THEN 'missing_date' END, CASE WHEN obs_date > DATE '2024-01-20' THEN 'future' END, CASE WHEN available_date < obs_date THEN 'look_ahead' END]) AS r
+ FROM (SELECT *, split_part(series_id, ':', 2) IN ('purchase', 'click') AS p FROM ({FAULTY}))) WHERE r IS NOT NULL""")
 def c09_impossible_values(spark, d):
-    """One row for each rule that a row breaks."""
-    rules = {"missing": "value IS NULL", "too_small": "value < 1", "look_ahead": "available_date < obs_date", "late": "datediff(vintage, obs_date) >= 3"}
-    broken = F.array_compact(F.array(*(F.when(F.expr(c), F.lit(n)) for n, c in rules.items())))
-    return table(spark, d, "obs").select("series_id", "obs_date", "vintage", F.explode(broken).alias("rule"))
+    """One row for each rule that a row breaks; purchases and clicks stand for prices."""
+    found = quality.impossible_values(sql(spark, d, FAULTY), "2024-01-20", "split_part(series_id, ':', 2) IN ('purchase', 'click')")
+    return found.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
 
 
 @query("SELECT ticker, obs_date, close, prev FROM (SELECT *, lag(close) OVER (PARTITION BY ticker ORDER BY obs_date) AS prev FROM prices) WHERE abs(close / prev - 1) > 0.4")
@@ -284,14 +287,15 @@ def j3_reconcile_prices(spark, d):
     return reconciled(spark, d).select("ticker", "obs_date", "close", F.round(F.col("ref_close") / F.col("close"), 6).alias("ratio"), F.round("gap", 6).alias("gap"))
 
 
-@query(f"SELECT ticker, obs_date, CASE WHEN coalesce(NOT before, TRUE) AND coalesce(NOT after, TRUE) THEN 'isolated' ELSE 'not_isolated' END AS kind FROM (SELECT *, gap > 0.005 AS over, lag(gap > 0.005) OVER (PARTITION BY ticker ORDER BY obs_date) AS before, lead(gap > 0.005) OVER (PARTITION BY ticker ORDER BY obs_date) AS after FROM {RECON}) WHERE over")
+@query(f"SELECT ticker, obs_date, CASE WHEN coalesce(NOT before, TRUE) AND coalesce(NOT after, TRUE) THEN 'isolated' ELSE 'not_isolated' END AS kind FROM (SELECT *, gap > 0.005 AS over, lag(gap > 0.005) OVER (PARTITION BY ticker ORDER BY obs_date) AS before, lead(gap > 0.005) OVER (PARTITION BY ticker ORDER BY obs_date) AS after FROM {RECON}) WHERE over UNION ALL SELECT ticker, NULL, 'too_few' FROM (SELECT ticker, max(n) AS n FROM (SELECT ticker, count(gap) AS n FROM {RECON} GROUP BY ticker UNION ALL SELECT DISTINCT mktsegment, 0 FROM (SELECT c_mktsegment AS mktsegment FROM customer)) GROUP BY ticker) WHERE n < 50")
 def j4_audit(spark, d):
-    return C.audit(reconciled(spark, d), 0.005)
+    """Market segments stand for watched tickers without any price."""
+    return C.audit(reconciled(spark, d), 0.005, 50, table(spark, d, "customer").select(F.col("c_mktsegment").alias("ticker")).distinct())
 
 
-@query(f"SELECT ticker, count(*) AS common_dates, count(*) - count(gap) AS nulls, round(median(gap), 6) AS median_gap, round(max(gap), 6) AS max_gap, count(*) FILTER (WHERE gap > 0.005) AS over FROM {RECON} GROUP BY ticker")
+@query(f"SELECT ticker, count(*) AS common_dates, count(*) - count(gap) AS nulls, round(median(gap), 6) AS median_gap, round(max(gap), 6) AS max_gap, arg_max(obs_date, row(round(gap, 9), obs_date)) AS worst_date, count(*) FILTER (WHERE gap > 0.005) AS over FROM {RECON} GROUP BY ticker")
 def j5_reconcile_summary(spark, d):
-    return C.reconcile_summary(reconciled(spark, d), 0.005).withColumns({"median_gap": F.round("median_gap", 6), "max_gap": F.round("max_gap", 6)}).drop("worst_date")
+    return C.reconcile_summary(reconciled(spark, d), 0.005).withColumns({"median_gap": F.round("median_gap", 6), "max_gap": F.round("max_gap", 6)})
 
 
 @query("""SELECT coalesce(a.ticker, b.ticker) AS ticker, count(*) FILTER (WHERE a.d IS NOT NULL AND b.d IS NOT NULL) AS both_have, count(*) FILTER (WHERE b.d IS NULL) AS only_a, count(*) FILTER (WHERE a.d IS NULL) AS only_b
@@ -301,21 +305,19 @@ def j6_compare_events(spark, d):
     return C.compare_events(paid, table(spark, d, "prices").filter("day(obs_date) IN (20, 21) AND month(obs_date) <> 7"), "ticker", "obs_date")
 
 
-def registry(spark, d):
-    """Checks as objects: what run_checks runs."""
-
-    def rows(name):
-        return lambda: QUERIES[name](spark, d)
-
-    return [
-        quality.Check("C06", "error", True, "loads", rows("c06_load_control_total")), quality.Check("C16", "warn", False, "macro", rows("c16_withdrawn_values")),
-        quality.Check("C44", "error", False, "sec", rows("c44_filing_key")), quality.Check("X1", "error", True, "sec", lambda: table(spark, d, "facts").filter("val < 0")),
-        quality.Check("X2", "error", True, "macro", lambda: table(spark, d, "obs").select("no_such_column")),
-    ]
+#: Checks as declared files: name and text.
+FILES_OF_CHECKS = {
+    "C06_load_control_total": "-- id: C06\n-- severity: error\n-- gate: yes\n-- group: loads\n-- description: rows downloaded and written differ\n\nSELECT * FROM loads WHERE rows_downloaded IS DISTINCT FROM rows_written;\n",
+    "C16": "-- id: C16\n-- severity: warn\n-- gate: no\n-- group: macro\n-- ack_key: series_id, obs_date\n-- description: newest value withdrawn\n"
+    "SELECT l.series_id, l.obs_date FROM (SELECT series_id, obs_date, max_by(value, vintage) AS value FROM obs GROUP BY series_id, obs_date) l JOIN series_catalog c ON l.series_id = c.series_id WHERE l.value IS NULL AND l.obs_date >= c.active_from AND (c.active_to IS NULL OR l.obs_date <= c.active_to)",
+    "C44_filing_key": "-- id: C44\n-- severity: error\n-- gate: no\n-- group: sec\n-- description: filing named twice\nSELECT cik, accession, count(*) AS n FROM facts GROUP BY cik, accession HAVING count(*) > 1",
+    "X1_negative": "-- id: X1\n-- severity: error\n-- gate: yes\n-- group: sec\n-- description: negative value\nSELECT cik, concept FROM facts WHERE val < 0",
+    "X2": "-- id: X2\n-- severity: error\n-- gate: yes\n-- group: macro\n-- description: reads a column that isn't there\nSELECT no_such_column FROM obs",
+}
 
 
 def results(spark, d):
-    return quality.run_checks(spark, registry(spark, d))
+    return quality.run_checks(spark, quality.declared_checks(FILES_OF_CHECKS, ["loads", "macro", "sec"], lambda text: sql(spark, d, text)))
 
 
 RESULTS_SQL = """SELECT 'C06' AS check_id, 'loads' AS source_group, 'error' AS severity, TRUE AS gate, CASE WHEN n > 0 THEN 'error' ELSE 'passed' END AS status, n AS failing_rows FROM (SELECT count(*) AS n FROM loads WHERE rows_downloaded <> rows_written) UNION ALL
@@ -337,7 +339,7 @@ def j8_verdicts(spark, d):
 
 @query(f"SELECT check_id, CASE WHEN status = 'warn' THEN 'acknowledged' ELSE status END AS status FROM ({RESULTS_SQL}) UNION ALL SELECT 'unmatched_reviews', 'warn'")
 def j9_acknowledge(spark, d):
-    failing = QUERIES["c16_withdrawn_values"](spark, d).select(F.lit("C16").alias("check_id"), F.concat_ws("|", "series_id", F.col("obs_date").cast("string")).alias("ack_key"))
+    failing = quality.failing_keys(spark, quality.declared_checks(FILES_OF_CHECKS, ["loads", "macro", "sec"], lambda text: sql(spark, d, text)))
     seen = failing.unionByName(spark.createDataFrame([("C16", "gone|2020-01-01")], "check_id string, ack_key string"))
     return quality.acknowledge(results(spark, d), failing, seen).select("check_id", "status")
 
@@ -376,12 +378,12 @@ def k2_compose(spark, d):
     return C.compose(groups, verdict, groups.filter("source_group <> 'idle'"), spark.createDataFrame([("error", "r0"), ("idle", "r0")], "source_group string, run_id string"), "r9")
 
 
-@query("""WITH r AS (SELECT event_type AS dataset, count(*) AS checks, count(*) FILTER (WHERE event_id % 11 = 0) AS not_passed FROM events WHERE event_id % 101 = 0 AND event_type <> 'click' GROUP BY 1)
+@query("""WITH r AS (SELECT event_type AS dataset, count(*) AS checks, count(*) FILTER (WHERE event_id % 11 = 0) AS not_passed FROM events WHERE event_type <> 'click' GROUP BY 1)
 SELECT l.dataset, CAST(sum(rows_downloaded) AS BIGINT) AS downloaded, CAST(sum(rows_written) AS BIGINT) AS landed, max(loaded_at) AS newest, any_value(s.o) AS latest_obs, coalesce(any_value(r.checks), 0) AS checks, coalesce(any_value(r.not_passed), 0) AS not_passed, CASE l.dataset WHEN 'view' THEN 'blocked' WHEN 'error' THEN 'not_run' ELSE 'published' END AS outcome
  FROM loads l LEFT JOIN (SELECT split_part(series_id, ':', 2) AS dataset, max(obs_date) AS o FROM obs GROUP BY 1) s ON s.dataset = l.dataset LEFT JOIN r ON r.dataset = l.dataset GROUP BY l.dataset""")
 def k3_run_manifest(spark, d):
     staged = sql(spark, d, "SELECT split_part(series_id, ':', 2) AS dataset, max(obs_date) AS latest_obs FROM obs GROUP BY 1")
-    checked = sql(spark, d, "SELECT event_type AS dataset, CASE WHEN event_id % 11 = 0 THEN 'warn' ELSE 'passed' END AS status FROM events WHERE event_id % 101 = 0 AND event_type <> 'click'")
+    checked = sql(spark, d, "SELECT event_type AS dataset, CASE WHEN event_id % 11 = 0 THEN 'warn' ELSE 'passed' END AS status FROM events WHERE event_type <> 'click'")
     outcomes = sql(spark, d, "SELECT DISTINCT dataset, CASE dataset WHEN 'view' THEN 'blocked' ELSE 'published' END AS outcome FROM loads WHERE dataset <> 'error'")
     return C.run_manifest(table(spark, d, "loads"), staged, checked, outcomes)
 

@@ -8,9 +8,13 @@ from palimpsest.operators import checks, joins, windows
 from palimpsest.plans.fixtures import sql, table, with_fixtures
 
 
+#: Dated rows some of whose times are null, on both sides.
+DATED = "SELECT series_id, vintage, CASE WHEN day(obs_date) <> 9 THEN obs_date END AS obs_date FROM obs"
+FULL = "SELECT series_id, CASE WHEN day(vintage) <> 11 THEN vintage END AS full_at FROM obs WHERE units = 'USD'"
+
+
 def x1_asof_backward(spark, d):
-    obs, full = table(spark, d, "obs"), table(spark, d, "obs").filter("units = 'USD'").select("series_id", F.col("vintage").alias("full_at"))
-    return joins.asof_join(obs.select("series_id", "obs_date", "vintage"), full, "obs_date", "full_at", ["series_id"], ["full_at"])
+    return joins.asof_join(sql(spark, d, DATED), sql(spark, d, FULL), "obs_date", "full_at", ["series_id"], ["full_at"], ranges=8).select("series_id", "obs_date", "vintage", "full_at")
 
 
 def x2_asof_forward(spark, d):
@@ -93,8 +97,13 @@ def e3_neighbours(spark, d):
     return windows.neighbours(table(spark, d, "prices"), ["ticker"], ["obs_date"], ["close"])
 
 
+#: Split factors, some of them 0, negative or null.
+FACTORS = """SELECT ticker, obs_date, CASE WHEN obs_date = DATE '1993-06-01' THEN 0.0 WHEN obs_date = DATE '1992-08-03' AND ticker = 'LOW' THEN CAST(NULL AS DOUBLE)
+ WHEN day(obs_date) = 5 THEN -1.0 * split_factor ELSE split_factor END AS factor FROM ref_prices"""
+
+
 def e5_cum_factor_after(spark, d):
-    return windows.cum_factor_after(table(spark, d, "ref_prices"), ["ticker"], "obs_date", "split_factor").select("ticker", "obs_date", F.round("factor_after", 6).alias("factor_after"))
+    return windows.cum_factor_after(sql(spark, d, FACTORS), ["ticker"], "obs_date", "factor").select("ticker", "obs_date", F.round(F.col("factor_after") + 0.0, 6).alias("factor_after"))
 
 
 def e7_rank_in_group(spark, d):
@@ -185,7 +194,7 @@ ORACLES = {
     "e11_weight_slices": "SELECT cik, yr, CAST(least(floor(20 * CAST(running AS DOUBLE) / CAST(total AS DOUBLE)), 19) AS INTEGER) AS slice FROM (SELECT cik, yr, sum(revenue) OVER (PARTITION BY yr ORDER BY revenue, cik ROWS UNBOUNDED PRECEDING) - revenue AS running, sum(revenue) OVER (PARTITION BY yr) AS total FROM company_years)",
     "e13_running_total": "SELECT a.cik, a.yr, CAST(sum(b.revenue) AS DECIMAL(38,2)) AS running FROM company_years a JOIN company_years b ON a.cik = b.cik AND b.yr <= a.yr GROUP BY a.cik, a.yr",
 
-    "x1_asof_backward": """SELECT o.series_id, o.obs_date, o.vintage, (SELECT max(vintage) FROM obs f WHERE f.series_id = o.series_id AND f.units = 'USD' AND f.vintage <= o.obs_date) AS full_at FROM obs o""",
+    "x1_asof_backward": f"""SELECT o.series_id, o.obs_date, o.vintage, (SELECT max(f.full_at) FROM ({FULL}) f WHERE f.series_id = o.series_id AND f.full_at <= o.obs_date) AS full_at FROM ({DATED}) o""",
     "x2_asof_forward": "SELECT filed, (SELECT min(session) FROM sessions WHERE session > filed) AS available_date FROM (SELECT DISTINCT filed FROM facts)",
     "x3_asof_by_distinct": "SELECT cik, accession, concept, filed, val, s AS available_date FROM facts LEFT JOIN (SELECT filed AS f, (SELECT min(session) FROM sessions WHERE session > filed) AS s FROM (SELECT DISTINCT filed FROM facts)) ON f = filed",
     "x4_window_join": """SELECT o.series_id, o.obs_date, o.value, w.win_start, w.win_end FROM obs o JOIN (
@@ -215,7 +224,8 @@ SELECT side, year, count(*) AS keys, CAST(sum(n) AS BIGINT) AS n_rows, string_ag
     "e1_top_row": "SELECT cik, concept, accession, filed, val FROM (SELECT *, row_number() OVER (PARTITION BY cik, concept ORDER BY filed DESC, accession DESC, val DESC) AS n FROM facts) WHERE n = 1",
     "e2_at_max": "SELECT series_id, obs_date, vintage FROM obs QUALIFY vintage = max(vintage) OVER (PARTITION BY series_id)",
     "e3_neighbours": "SELECT ticker, obs_date, close, lag(close) OVER (PARTITION BY ticker ORDER BY obs_date) AS prev_close, lead(close) OVER (PARTITION BY ticker ORDER BY obs_date) AS next_close FROM prices",
-    "e5_cum_factor_after": "SELECT ticker, obs_date, round(exp(coalesce(sum(ln(split_factor)) OVER (PARTITION BY ticker ORDER BY obs_date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0)), 6) AS factor_after FROM ref_prices",
+    "e5_cum_factor_after": f"""SELECT ticker, obs_date, CASE WHEN count(*) FILTER (WHERE factor IS NULL) OVER w = 0 THEN round(coalesce(product(factor) OVER w, 1.0) + 0.0, 6) END AS factor_after
+ FROM ({FACTORS}) WINDOW w AS (PARTITION BY ticker ORDER BY obs_date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)""",
     "e7_rank_in_group": """SELECT cik, yr, round(percent_rank() OVER (PARTITION BY sic, yr ORDER BY revenue), 6) AS pct_rank, count(revenue) OVER (PARTITION BY sic, yr) AS n_peers,
  round(median(CAST(revenue AS DOUBLE)) OVER (PARTITION BY sic, yr) * 2, 2) AS twice_median FROM company_years""",
     "e8_weighted_position": "SELECT cik, yr, round(CAST(sum(revenue) OVER (PARTITION BY yr ORDER BY revenue, cik ROWS UNBOUNDED PRECEDING) AS DOUBLE) / CAST(sum(revenue) OVER (PARTITION BY yr) AS DOUBLE), 6) AS position FROM company_years",

@@ -260,10 +260,12 @@ def i13_stream_merge(spark, d):
 
 
 def k1_build_version(spark, d):
-    root, latest = _fresh(spark), sql(spark, d, "SELECT series_id, obs_date, vintage, value FROM obs")
-    publish.build_version(spark, root, "v1", {"obs": latest.filter("vintage < DATE '2024-01-10'")})
-    publish.build_version(spark, root, "v2", {"obs": latest, "series_catalog": table(spark, d, "series_catalog")})
-    return publish.served(spark, root, "obs")
+    """Two runs of two groups. The second run's catalog is blocked, so the version serves its observations beside the first run's catalog."""
+    root, obs, known = _fresh(spark), sql(spark, d, "SELECT series_id, obs_date, vintage, value FROM obs"), table(spark, d, "series_catalog").select("series_id", "source")
+    verdict = lambda macro, ref: spark.createDataFrame([("macro", macro), ("ref", ref)], "source_group string, verdict string")
+    publish.publish_groups(spark, root, "r1", {"macro": {"obs": obs.filter("vintage < DATE '2024-01-10'")}, "ref": {"catalog": known.filter("source <> 'view'")}}, verdict("passed", "passed"), ["macro", "ref"])
+    publish.publish_groups(spark, root, "r2", {"macro": {"obs": obs}, "ref": {"catalog": known}}, verdict("passed", "blocked"), ["macro", "ref"])
+    return publish.served_group(spark, root, "macro", "obs").join(publish.served_group(spark, root, "ref", "catalog"), "series_id", "left")
 
 
 QUERIES = {k: f for k, f in globals().items() if k[:1] in "abik" and k[1:2].isdigit() and callable(f)}
@@ -316,6 +318,6 @@ ORACLES = {
     "b22_assert_catalog": "SELECT series_id, source, frequency FROM series_catalog",
     "b23_assert_sums": "SELECT fy, total, f, o, p, retrieved FROM raw_years",
     "i13_stream_merge": f"SELECT * FROM {MERGED}",
-    "k1_build_version": "SELECT series_id, obs_date, vintage, value FROM obs",
+    "k1_build_version": "SELECT o.series_id, obs_date, vintage, value, CASE WHEN split_part(o.series_id, ':', 2) <> 'view' THEN split_part(o.series_id, ':', 2) END AS source FROM obs o",
 }
 ORACLES = {k: with_fixtures(v) for k, v in ORACLES.items()}
