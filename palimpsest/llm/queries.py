@@ -46,7 +46,7 @@ def op8_exact_topk(spark, sf_dir):
 
 
 def op9_packing(spark, sf_dir):
-    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return packing.pack(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op10_line_dedup(spark, sf_dir):

@@ -11,7 +11,7 @@ from palimpsest.llm import packing
 
 
 def packed(df, **kw):
-    return packing.pack(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, **kw).collect()
+    return packing.pack(df, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, P.path("byte_bpe_50k.json"), **kw).collect()
 
 
 def check(df, got, most=2048):
@@ -96,3 +96,35 @@ def test_tail_keeps_the_loss_limit():
     for _, _, length, _, _, sequence, _, _ in packer.out:
         sums[sequence] += length
     assert max(sums.values()) <= 512 and sum(sums.values()) == 1600
+
+
+def padding(packer):
+    sums = defaultdict(int)
+    for _, _, length, _, _, sequence, _, _ in packer.out:
+        sums[sequence] += length
+    most = int(packer.limits[0])
+    return sum(n if n & (n - 1) == 0 else most for n in sums.values()) / sum(sums.values())
+
+
+def test_tiny_examples_need_little_padding():
+    """The limit of pieces closes a sequence at a power of two, in the stream and in its tail."""
+    for tokens in range(1, 11):
+        for many in (100, 700, 20_000):
+            packer = packing.Packer(0)
+            for n in range(many):
+                packer.add(n, np.full(tokens, n, "<u4"), True)
+            packer.fill(0)
+            assert padding(packer) == 1 and sum(p[2] for p in packer.out) == tokens * many
+    rng, packer = np.random.default_rng(1), packing.Packer(0, 2048, 256, 700)
+    for n, tokens in enumerate(rng.integers(1, 40, 5000)):
+        packer.add(n, np.full(tokens, n, "<u4"), bool(n % 3))
+    packer.fill(0)
+    assert padding(packer) < 1.1
+
+
+def test_long_runs_of_blanks(spark):
+    """Texts on which the fast encoder gives up are encoded by the library."""
+    texts = [" " * 1_000_000, "a" + "\n" * 2_000_000 + "b", "x " + "\t" * 5_000_000, "-" * 1_500_000, " \n" * 600_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    used, padded, _ = check(df, packed(df))
+    assert padded < 1.1 * used
