@@ -15,7 +15,7 @@ from palimpsest.llm.common import stored, text_of
 #: Characters of a turn's id: role and text as 128 bits. Two turns of 10^12 share one by chance with odds of 10^-15.
 WIDE = 32
 #: A container of more turns than this, in more than one suffix, bursts.
-LIMIT = 20_000
+LIMIT = 2_000
 #: Fixed value: what separates words.
 GAP = r"[^\x20\x09-\x0D]+"
 
