@@ -152,38 +152,7 @@ def sector_shares(df: DataFrame, other: DataFrame, key: str, value: str) -> Data
     return both.select(key, *(F.coalesce(ratio(F.col(v), F.col(t)), F.lit(0.0)).alias(n) for v, t, n in (("_a", "_ta", "share"), ("_b", "_tb", "other_share"))))
 
 
-# Statements and ratios
-
-
-def statements(facts: DataFrame, lines: dict[str, list[str]], as_of: str, largest: tuple[str, ...] = ()) -> DataFrame:
-    """Per company a column for each line: of what was filed by `as_of`, the last value of the first known concept of the line; of the lines in `largest` the largest concept's."""
-    known = facts.filter(F.col("filed") <= F.lit(as_of).cast("date"))
-    concepts = sorted({c for cs in lines.values() for c in cs})
-    wide = known.filter(F.col("concept").isin(concepts)).groupBy("cik").agg(*(arg_max("val", ["filed", "accession", "val"], f"concept = '{c}'").alias(f"_{c}") for c in concepts))
-    pick = {n: [F.col(f"_{c}") for c in cs] for n, cs in lines.items()}
-    return wide.select("cik", *((F.greatest(*cs) if n in largest and len(cs) > 1 else F.coalesce(*cs)).alias(n) for n, cs in pick.items()))
-
-
-#: Each ratio's numerator and denominator over the columns of a statement.
-RATIOS = {
-    "gross_margin": ("revenue - cost", "revenue"), "operating_margin": ("operating_income", "revenue"), "net_margin": ("net_income", "revenue"), "return_on_assets": ("net_income", "assets"),
-    "return_on_equity": ("net_income", "equity"), "asset_turnover": ("revenue", "assets"), "current_ratio": ("current_assets", "current_liabilities"),
-    "quick_ratio": ("current_assets - inventory", "current_liabilities"), "debt_to_equity": ("debt", "equity"), "liabilities_to_assets": ("assets - equity", "assets"),
-    "interest_cover": ("operating_income", "interest"), "inventory_days": ("365 * inventory", "cost"), "receivable_days": ("365 * receivables", "revenue"),
-    "capex_to_sales": ("capex", "revenue"), "depreciation_to_sales": ("depreciation", "revenue"),
-}
-#: Ratios whose denominator must be above zero to mean anything.
-POSITIVE = {"return_on_equity", "debt_to_equity", "interest_cover"}
-
-
-def ratios(rows: DataFrame, ids: list[str]) -> DataFrame:
-    """Fifteen ratios of each statement, null where undefined."""
-
-    def one(name: str, top: str, bottom: str) -> Column:
-        below = F.expr(bottom)
-        return ratio(F.expr(top), F.when(below > 0, below) if name in POSITIVE else below).alias(name)
-
-    return rows.select(*ids, *(one(n, a, b) for n, (a, b) in RATIOS.items()))
+# Peers and restatements
 
 
 def peer_ranks(df: DataFrame, ids: list[str], measures: list[str], rungs: list[str]) -> DataFrame:
@@ -223,59 +192,9 @@ def years_changed(changed: DataFrame, year: str, last: int, span: int = 10) -> D
     return each.groupBy("years").agg(F.count("*").alias("companies"))
 
 
-def anchored_panel(facts: DataFrame, ciks: list[int] | None = None) -> DataFrame:
-    """Largest value of each concept at each company's own year end: the last date that it reports in a year."""
-    rows = facts if ciks is None else facts.filter(F.col("cik").isin(ciks))
-    ends = rows.groupBy("cik", F.year("end_date").alias("_y")).agg(F.max("end_date").alias("end_date")).select("cik", "end_date")
-    return rows.join(ends, ["cik", "end_date"]).groupBy("cik", "concept", "end_date").agg(F.max("val").alias("val"))
-
-
-#: What an item of a current report says of a company's end.
-EXIT_ITEMS = {"bankrupt": "(^|,)1[.]03(,|$)", "acquired": "(^|,)2[.]01(,|$)", "delisted": "(^|,)3[.]01(,|$)"}
-
-
-def exits(panel: DataFrame, year: str, value: str, reports: DataFrame, details: DataFrame) -> DataFrame:
-    """Per company: last year, the year of its peak, the name in use then and the reason, the first of EXIT_ITEMS among its reports in or after the last year, else unknown.
-
-    reports: cik, filed, items (comma list). details: cik, name, former_names (JSON list of name, until).
-    """
-    ends = panel.groupBy("cik").agg(F.max(year).alias("last_year"), F.max_by(year, F.struct(value, year)).alias("peak_year"))
-    late = reports.join(ends, "cik").filter(F.year("filed") >= F.col("last_year")).groupBy("cik").agg(*(F.bool_or(F.col("items").rlike(p)).alias(f"_{n}") for n, p in EXIT_ITEMS.items()))
-    reason = F.coalesce(*(F.when(F.col(f"_{n}"), n) for n in EXIT_ITEMS), F.lit("unknown"))
-    names = F.from_json("former_names", "array<struct<name string, until int>>")
-    used = F.array_min(F.transform(F.filter(names, lambda x: x["until"] >= F.col("last_year")), lambda x: F.struct(x["until"], x["name"])))
-    return ends.join(late, "cik", "left").join(details, "cik", "left").select("cik", "last_year", "peak_year", F.coalesce(used["name"], "name").alias("name"), reason.alias("reason"))
-
-
-def split_adjusted_annual(facts: DataFrame, split_date: str, by: float, concepts: list[str]) -> DataFrame:
-    """Values on the basis after a split: those of the concepts that were filed before it, divided."""
-    old = (F.col("filed") < F.lit(split_date).cast("date")) & F.col("concept").isin(concepts)
-    return facts.withColumn("adjusted", F.when(old, F.col("val") / by).otherwise(F.col("val")))
-
-
 # Quarters
 
 
-def quarterly(quarters: DataFrame, years: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
-    """Fourth quarters as the year less its first three, of years with exactly these three: keys, yr, q4, tagged (the reported one, if any) and whether both agree.
-
-    quarters: keys, q (first day), v; years: keys, yr, v.
-    """
-    q = quarters.withColumn("yr", F.year("q"))
-    three = q.groupBy(*keys, "yr").agg(F.sum(F.when(F.month("q") < 10, F.col("v"))).alias("_s"), F.count_if(F.month("q") < 10).alias("_n"), F.max(F.when(F.month("q") == 10, F.col("v"))).alias("tagged")).filter("_n = 3")
-    out = years.join(three, [*keys, "yr"]).withColumn("q4", F.col("v") - F.col("_s"))
-    return out.select(*keys, "yr", "q4", "tagged", (F.abs(F.col("q4") - F.col("tagged")) <= tolerance * F.abs(F.col("tagged"))).alias("agrees"))
-
-
-def quarterly_revenue(quarters: DataFrame, years: DataFrame, key: str) -> DataFrame:
-    """Per company and quarter the largest concept; a missing fourth quarter is the largest year's less its three, if exactly those are there."""
-    own = quarters.groupBy(key, "q").agg(F.max("v").alias("v"))
-    three = own.groupBy(key, F.year("q").alias("yr")).agg(F.sum(F.when(F.month("q") < 10, F.col("v"))).alias("_s"), F.count_if(F.month("q") < 10).alias("_n"), F.count_if(F.month("q") == 10).alias("_q4")).filter("_n = 3 AND _q4 = 0")
-    most = years.groupBy(key, "yr").agg(F.max("v").alias("_y"))
-    derived = three.join(most, [key, "yr"]).select(key, F.make_date("yr", F.lit(10), F.lit(1)).alias("q"), (F.col("_y") - F.col("_s")).alias("v"), F.lit(True).alias("derived"))
-    return own.withColumn("derived", F.lit(False)).unionByName(derived)
-
-
 def same_company_growth(q: DataFrame, key: str) -> DataFrame:
     """Growth over the quarter a year earlier, of the companies that have both."""
     before = q.select(key, F.add_months("q", 12).alias("q"), F.col("v").alias("_before"))

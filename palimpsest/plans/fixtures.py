@@ -79,6 +79,31 @@ SELECT l_suppkey AS cik, 'us-gaap' AS taxonomy, l_returnflag || l_linestatus AS
     "raw_years": """
 SELECT year(o_orderdate) AS fy, count(*) AS total, count(*) FILTER (WHERE o_orderstatus = 'F') AS f, count(*) FILTER (WHERE o_orderstatus = 'O') AS o, count(*) FILTER (WHERE o_orderstatus = 'P') AS p,
  CAST(max(o_orderdate) AS DATE) AS retrieved FROM orders GROUP BY year(o_orderdate)""",
+    "fiscal_quarters": """
+SELECT cik, fy, fq, CAST(make_date(CAST(floor(mi / 12) AS INTEGER), CAST(mi % 12 + 1 AS INTEGER), 1) - off AS DATE) AS start_date,
+ CAST(make_date(CAST(floor((mi + 3) / 12) AS INTEGER), CAST((mi + 3) % 12 + 1 AS INTEGER), 1) - 1 - off AS DATE) AS end_date, v, c
+ FROM (SELECT *, CAST(floor((mi - shift) / 12) AS INTEGER) AS fy, CAST(floor(((mi - shift) % 12) / 3) AS INTEGER) + 1 AS fq FROM (
+ SELECT l_suppkey AS cik, CAST(year(l_shipdate) * 12 + quarter(l_shipdate) * 3 - 3 AS INTEGER) AS mi, CAST(l_suppkey % 4 * 3 AS INTEGER) AS shift, CAST(l_suppkey % 3 AS INTEGER) AS off,
+ sum(CAST(l_quantity AS DECIMAL(14,2))) AS v, sum(CAST(l_linenumber AS DECIMAL(14,2))) AS c FROM lineitem GROUP BY 1, 2, 3, 4) x) y""",
+    "fiscal_spans": """
+SELECT a.cik, a.fy, k.k, min(a.start_date) AS start_date, max(a.end_date) AS end_date, sum(a.v) AS v, sum(a.c) AS c
+ FROM fiscal_quarters a JOIN (SELECT 2 AS k UNION ALL SELECT 3 UNION ALL SELECT 4) k ON a.fq <= k.k GROUP BY a.cik, a.fy, k.k HAVING count(*) = k.k""",
+    "tags": """
+SELECT cik, concept, accession, form, start_date, end_date, filed, CAST(val AS DOUBLE) AS val, frame FROM (
+ SELECT cik, 'Revenues' AS concept, cik * 100000 + fy * 10 + fq AS accession, CASE WHEN fq = 4 THEN '10-K' ELSE '10-Q' END AS form, start_date, end_date, CAST(end_date + 40 AS DATE) AS filed,
+  CASE WHEN fq = 4 AND cik % 10 = 0 THEN v + 7 ELSE v END AS val, 'CY' || CAST(year(CAST(end_date - 45 AS DATE)) AS VARCHAR(4)) || 'Q' || CAST(quarter(CAST(end_date - 45 AS DATE)) AS VARCHAR(4)) AS frame FROM fiscal_quarters WHERE (fq < 4 OR cik % 5 = 0) AND NOT (fq = 2 AND cik % 11 = 0)
+ UNION ALL SELECT cik, 'Sales', cik * 100000 + fy * 10 + fq, '10-Q', start_date, end_date, CAST(end_date + 40 AS DATE), v * (1 + cik % 2) / 2 + fq - 2, 'CY' || CAST(year(CAST(end_date - 45 AS DATE)) AS VARCHAR(4)) || 'Q' || CAST(quarter(CAST(end_date - 45 AS DATE)) AS VARCHAR(4)) FROM fiscal_quarters WHERE fq < 4 AND fy % 2 = 0
+ UNION ALL SELECT cik, 'Revenues', cik * 100000 + fy * 10 + k, '10-Q', start_date, end_date, CAST(end_date + 40 AS DATE), CASE WHEN k = 3 AND cik % 7 = 0 THEN v + 10 ELSE v END, NULL FROM fiscal_spans WHERE k < 4
+ UNION ALL SELECT cik, 'Revenues', cik * 100000 + fy * 10 + 4, '10-K', start_date, end_date, CAST(end_date + 40 AS DATE), v, 'CY' || CAST(year(CAST(end_date - 182 AS DATE)) AS VARCHAR(4)) FROM fiscal_spans WHERE k = 4
+ UNION ALL SELECT a.cik, 'Revenues', a.cik * 100000 + b.fy * 10 + 4, '10-K', a.start_date, a.end_date, CAST(b.end_date + 40 AS DATE), CASE WHEN a.cik % 6 = 0 THEN a.v * 2 ELSE a.v END, NULL FROM fiscal_spans a JOIN fiscal_spans b ON a.cik = b.cik AND a.k = 4 AND b.k = 4 AND b.fy = a.fy + 1
+ UNION ALL SELECT cik, m.concept, cik * 100000 + fy * 10 + 4, '10-K', start_date, end_date, CAST(end_date + 40 AS DATE), v * m.a + c * m.b + m.d, NULL FROM fiscal_spans JOIN (
+  SELECT 'CostOfRevenue' AS concept, 0 AS a, 2 AS b, 1 AS d UNION ALL SELECT 'CostOfGoods', 0, 3, 0 UNION ALL SELECT 'OperatingIncome', 1, -2, -60 UNION ALL SELECT 'NetIncome', 1, -3, -90 UNION ALL SELECT 'Capex', 0, 1, 0 UNION ALL SELECT 'Depreciation', 0, 0, 5 UNION ALL SELECT 'DepreciationAndAmortization', 0, 1, 2) m
+  ON k = 4 AND NOT (m.concept = 'CostOfRevenue' AND cik % 2 = 0) AND NOT (m.concept = 'Capex' AND cik % 9 = 0)
+ UNION ALL SELECT x.cik, m.concept, x.cik * 100000 + x.of_fy * 10 + 4, '10-K', NULL, x.end_date, CAST(x.of_end + 40 AS DATE), x.v * m.a + x.c * m.b + m.d, NULL FROM (
+  SELECT cik, fy AS of_fy, end_date, end_date AS of_end, v, c FROM fiscal_spans WHERE k = 4 UNION ALL
+  SELECT a.cik, b.fy, a.end_date, b.end_date, a.v, a.c FROM fiscal_spans a JOIN fiscal_spans b ON a.cik = b.cik AND a.k = 4 AND b.k = 4 AND b.fy = a.fy + 1) x JOIN (
+  SELECT 'Assets' AS concept, 2 AS a, 1 AS b, 0 AS d UNION ALL SELECT 'Equity', 1, -4, -400 UNION ALL SELECT 'Receivables', 0, 2, 3 UNION ALL SELECT 'Inventory', 0, 1, 9 UNION ALL SELECT 'Payables', 0, 1, 4 UNION ALL SELECT 'PPE', 1, 1, 1 UNION ALL SELECT 'CurrentAssets', 1, 0, 8
+  UNION ALL SELECT 'CurrentLiabilities', 0, 3, -60) m ON NOT (m.concept = 'Inventory' AND x.cik % 8 = 0)) z""",
 }
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 #: Words that follow a table without an alias of its own.

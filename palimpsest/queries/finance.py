@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from palimpsest.operators import economy as E
 from palimpsest.operators import finance as L
+from palimpsest.operators import statements as S
+from palimpsest.operators.ranges import kept
 from palimpsest.plans.fixtures import sql, table, with_fixtures
 
 QUERIES, ORACLES = {}, {}
@@ -17,9 +19,6 @@ ROA = "SELECT cik, yr, sic, revenue, net_income, CAST(net_income AS DOUBLE) / nu
 SHARES = "(SELECT *, sum(share) OVER (PARTITION BY yr, sic ORDER BY rk ROWS UNBOUNDED PRECEDING) AS cum FROM (SELECT *, row_number() OVER (PARTITION BY yr, sic ORDER BY revenue DESC, cik) AS rk, CAST(revenue AS DOUBLE) / CAST(sum(revenue) OVER (PARTITION BY yr, sic) AS DOUBLE) AS share FROM company_years))"
 CODES = "SELECT s_suppkey AS cik, s_nationkey AS sic FROM supplier"
 ECONOMY = "SELECT CAST(year(o_orderdate) AS INTEGER) AS yr, CAST(sum(CAST(o_totalprice AS DECIMAL(14,2))) AS DOUBLE) AS macro, CAST(count(*) AS DOUBLE) AS orders FROM orders GROUP BY 1"
-STATEMENTS = """SELECT cik, yr, sum(val) AS revenue, sum(CASE WHEN concept = 'AF' THEN val ELSE 0 END) AS cost, sum(CASE WHEN concept = 'RF' THEN val END) AS operating_income, sum(CASE WHEN form = '10-K/A' THEN -val ELSE val / 9 END) AS net_income,
- 2 * sum(val) AS assets, sum(CASE WHEN concept = 'NO' THEN val END) - sum(CASE WHEN concept = 'NF' THEN val END) AS equity, max(val) AS current_assets, min(val) AS current_liabilities, avg(val) AS inventory, avg(val) / 2 AS debt,
- CAST(count(*) - 20 AS DOUBLE) AS interest, max(val) / 3 AS receivables, min(val) / 3 AS capex, min(val) / 7 AS depreciation FROM (SELECT *, CAST(year(end_date) AS INTEGER) AS yr FROM facts) f GROUP BY cik, yr"""
 
 
 def query(oracle: str):
@@ -143,16 +142,45 @@ def l17_sector_shares(spark, d):
     return rounded(L.sector_shares(filers, others, "k", "v"), 8, "share", "other_share")
 
 
-@query("""WITH n AS (SELECT cik, concept, arg_max(val, row(filed, accession, val)) AS v FROM facts WHERE filed <= DATE '1997-01-01' GROUP BY cik, concept),
-w AS (SELECT cik, max(v) FILTER (WHERE concept = 'AF') AS af, max(v) FILTER (WHERE concept = 'RF') AS rf, max(v) FILTER (WHERE concept = 'NF') AS nf, max(v) FILTER (WHERE concept = 'NO') AS no FROM n GROUP BY cik)
-SELECT cik, coalesce(rf, nf) AS revenue, no AS assets, greatest(af, nf) AS depreciation FROM w""")
+#: Lines of a statement: period and concepts in order of preference.
+LINES = {
+    "revenue": ("annual", ["Revenues", "Sales"]), "cost_of_revenue": ("annual", ["CostOfRevenue", "CostOfGoods"]), "operating_income": ("annual", ["OperatingIncome"]), "net_income": ("annual", ["NetIncome"]), "capex": ("annual", ["Capex"]),
+    "d_and_a": ("annual", ["Depreciation", "DepreciationAndAmortization"]), "total_assets": ("instant", ["Assets"]), "equity": ("instant", ["Equity"]), "receivables": ("instant", ["Receivables"]), "inventory": ("instant", ["Inventory"]),
+    "payables": ("instant", ["Payables"]), "net_ppe": ("instant", ["PPE"]), "current_assets": ("instant", ["CurrentAssets"]), "current_liabilities": ("instant", ["CurrentLiabilities"]),
+}
+AS_OF, LARGEST = "2000-03-01", ("d_and_a",)
+#: The same by SQL: reports, their facts, the line picked of each measure, statements side by side.
+STATEMENT_SQL = f"""WITH acc AS (SELECT cik, accession, coalesce(max(end_date) FILTER (WHERE start_date IS NOT NULL AND end_date - start_date BETWEEN 350 AND 380), max(end_date)) AS period_end, min(filed) AS filed FROM tags
+ WHERE form = '10-K' AND end_date <= filed AND filed <= DATE '{AS_OF}' GROUP BY 1, 2),
+k AS (SELECT * FROM acc WHERE filed > DATE '{AS_OF}' - INTERVAL 1 YEAR QUALIFY row_number() OVER (PARTITION BY cik ORDER BY filed DESC, accession DESC) = 1),
+m(measure, period, priority, concept) AS (VALUES {", ".join(f"('{m}', '{p}', {i}, '{c}')" for m, (p, cs) in LINES.items() for i, c in enumerate(cs))}),
+x AS (SELECT f.cik, k.accession, k.period_end, m.*, f.start_date, f.end_date, f.val FROM tags f JOIN k ON k.cik = f.cik AND k.accession = f.accession JOIN m ON m.concept = f.concept
+ WHERE (m.period = 'annual' AND f.end_date = k.period_end AND f.end_date - f.start_date BETWEEN 350 AND 380) OR (m.period = 'instant' AND f.start_date IS NULL AND (f.end_date = k.period_end OR k.period_end - f.end_date BETWEEN 350 AND 380))),
+v AS (SELECT cik, measure, priority, max(val) FILTER (WHERE end_date = period_end) AS close, arg_max(val, end_date) FILTER (WHERE end_date < period_end) AS opening, max(end_date - start_date + 1) FILTER (WHERE period = 'annual') AS days FROM x GROUP BY cik, measure, priority, concept),
+line AS (SELECT * FROM v WHERE close IS NOT NULL QUALIFY row_number() OVER (PARTITION BY cik, measure ORDER BY CASE WHEN measure = 'd_and_a' THEN -close END, priority) = 1),
+s AS (SELECT cik, {", ".join([f"max(close) FILTER (WHERE measure = '{m}') AS {m}" for m in LINES] + [f"(max(close) FILTER (WHERE measure = '{m}') + max(opening) FILTER (WHERE measure = '{m}')) / 2 AS avg_{m}" for m, (p, _) in LINES.items() if p == "instant"])}, max(days) FILTER (WHERE measure = 'revenue') AS days FROM line GROUP BY cik)"""
+
+
+def tags_of(spark, d):
+    """The tagged facts, derived once and stored: the operators read them several times."""
+    return kept(table(spark, d, "tags"))
+
+
+def statements_of(spark, d):
+    return S.statements(tags_of(spark, d), LINES, AS_OF, LARGEST)
+
+
+@query(f"{STATEMENT_SQL} SELECT k.accession, k.period_end, k.filed, s.* FROM k JOIN s ON s.cik = k.cik")
 def l18_statements(spark, d):
-    return L.statements(table(spark, d, "facts"), {"revenue": ["RF", "NF"], "assets": ["NO"], "depreciation": ["AF", "NF"]}, "1997-01-01", ("depreciation",))
+    return statements_of(spark, d)
 
 
-@query("SELECT cik, yr, " + ", ".join(f"round(CAST({a} AS DOUBLE) / " + (f"CASE WHEN {b} > 0 THEN {b} END" if n in L.POSITIVE else f"nullif(CAST({b} AS DOUBLE), 0)") + f", 5) AS {n}" for n, (a, b) in L.RATIOS.items()) + f" FROM ({STATEMENTS})")
+@query(f"""{STATEMENT_SQL} SELECT cik, round((revenue - cost_of_revenue) / revenue, 6) AS gross_margin, round(operating_income / revenue, 6) AS operating_margin, round(net_income / revenue, 6) AS net_margin, round(net_income / nullif(avg_total_assets, 0), 6) AS return_on_assets,
+ round(CASE WHEN equity > 0 AND avg_equity > 0 THEN net_income / avg_equity END, 6) AS return_on_equity, round(avg_receivables / revenue * days, 6) AS receivable_days, round(avg_inventory / nullif(cost_of_revenue, 0) * days, 6) AS inventory_days, round(avg_payables / nullif(cost_of_revenue, 0) * days, 6) AS payable_days,
+ round((avg_receivables / revenue + (avg_inventory - avg_payables) / nullif(cost_of_revenue, 0)) * days, 6) AS cash_cycle, round(capex / revenue, 6) AS capex_to_revenue, round(capex / nullif(d_and_a, 0), 6) AS capex_to_depreciation, round(revenue / nullif(avg_net_ppe, 0), 6) AS ppe_turnover,
+ round(revenue / nullif(avg_total_assets, 0), 6) AS asset_turnover, round(current_assets / nullif(current_liabilities, 0), 6) AS current_ratio, round(CASE WHEN equity > 0 THEN total_assets / equity END, 6) AS assets_to_equity FROM s WHERE revenue > 0""")
 def l19_ratios(spark, d):
-    return rounded(L.ratios(sql(spark, d, STATEMENTS), ["cik", "yr"]), 5, *L.RATIOS)
+    return rounded(S.ratios(statements_of(spark, d), ["cik"]), 6, *S.RATIOS)
 
 
 @query(f"""WITH r AS ({ROA}), long AS (SELECT cik, yr, measure, value, unnest(['sector', 'year']) AS rung, unnest([CAST(sic AS VARCHAR) || '/' || yr, CAST(yr AS VARCHAR)]) AS peers
@@ -182,37 +210,80 @@ def l22_restatement_summary(spark, d):
     return L.restatement_summary(restated(spark, d).withColumn("yr", F.year("end_date")), "yr")
 
 
-@query("SELECT f.cik, f.concept, f.end_date, max(f.val) AS val FROM facts f JOIN (SELECT cik, year(end_date) AS y, max(end_date) AS last FROM facts GROUP BY 1, 2) e ON e.cik = f.cik AND e.last = f.end_date GROUP BY f.cik, f.concept, f.end_date")
-def l23_anchored_panel(spark, d):
-    return L.anchored_panel(table(spark, d, "facts"))
+#: What the panel and the quarters' queries read of each company.
+ANCHORED_SQL = """WITH f AS (SELECT * FROM tags WHERE form IN ('10-K', '10-K/A') AND end_date <= filed AND concept IN ('Revenues', 'NetIncome', 'Assets') AND (start_date IS NULL OR end_date - start_date BETWEEN 350 AND 380)),
+fye AS (SELECT DISTINCT cik, max(end_date) AS end_date FROM f WHERE start_date IS NOT NULL GROUP BY cik, accession),
+latest AS (SELECT f.* FROM f JOIN fye ON fye.cik = f.cik AND fye.end_date = f.end_date QUALIFY row_number() OVER (PARTITION BY f.cik, concept, f.end_date ORDER BY filed DESC, accession DESC) = 1),
+p AS (SELECT cik, CAST(year(end_date - INTERVAL 182 DAY) AS INTEGER) AS yr, end_date, concept, val FROM latest),
+panel AS (SELECT * FROM p QUALIFY end_date = max(end_date) OVER (PARTITION BY cik, yr))"""
 
 
-REPORTS = "SELECT o_custkey AS cik, CAST(o_orderdate AS DATE) AS filed, CASE WHEN o_orderstatus = 'F' THEN '2.01,9.01' WHEN o_orderkey % 9 = 0 THEN '1.03' WHEN o_orderkey % 5 = 0 THEN '8.01,3.01' ELSE '12.01' END AS items FROM orders"
-FORMER = "SELECT s_suppkey AS cik, s_name AS name, '[{\"name\":\"' || 'Old ' || s_name || '\",\"until\":' || CAST(1990 + s_suppkey % 12 AS VARCHAR(4)) || '},{\"name\":\"First\",\"until\":1980}]' AS former_names FROM supplier"
+def panel_of(spark, d):
+    return S.anchored_panel(tags_of(spark, d), ["Revenues", "NetIncome", "Assets"])
 
 
-@query(f"""WITH e AS (SELECT cik, max(yr) AS last_year, arg_max(yr, row(revenue, yr)) AS peak_year FROM company_years GROUP BY cik), r AS (SELECT r.cik, bool_or(list_contains(string_split(items, ','), '1.03')) AS a, bool_or(list_contains(string_split(items, ','), '2.01')) AS b, bool_or(list_contains(string_split(items, ','), '3.01')) AS c
- FROM ({REPORTS}) r JOIN e ON e.cik = r.cik WHERE year(filed) >= last_year GROUP BY r.cik)
-SELECT e.cik, last_year, peak_year, CASE WHEN 1990 + e.cik % 12 >= last_year THEN 'Old ' || s_name ELSE s_name END AS name, CASE WHEN a THEN 'bankrupt' WHEN b THEN 'acquired' WHEN c THEN 'delisted' ELSE 'unknown' END AS reason FROM e LEFT JOIN r ON r.cik = e.cik LEFT JOIN supplier ON s_suppkey = e.cik""")
-def l24_exits(spark, d):
-    return L.exits(years_of(spark, d), "yr", "revenue", sql(spark, d, REPORTS), sql(spark, d, FORMER))
+@query(f"{ANCHORED_SQL} SELECT * FROM panel")
+def l23_anchored_panel(spark, d):
+    return panel_of(spark, d)
 
 
-@query("SELECT cik, concept, accession, end_date, CASE WHEN filed < DATE '1996-06-01' AND concept IN ('AF', 'RF') THEN val / 2 ELSE val END AS adjusted FROM facts")
-def l25_split_adjusted(spark, d):
-    return L.split_adjusted_annual(table(spark, d, "facts"), "1996-06-01", 2.0, ["AF", "RF"]).select("cik", "concept", "accession", "end_date", "adjusted")
+#: Current and annual reports, and names in use until and from a date.
+REPORTS = "SELECT o_custkey AS cik, CAST(o_orderdate AS DATE) AS filing_date, CASE WHEN o_orderstatus = 'F' THEN '10-K' WHEN o_orderkey % 3 = 0 THEN '8-K/A' ELSE '8-K' END AS form, CASE WHEN o_orderkey % 9 = 0 THEN '1.03,9.01' WHEN o_orderkey % 5 = 0 THEN '8.01,5.01' ELSE '15.01,2.01' END AS items FROM orders"
+FORMER = "SELECT s_suppkey AS cik, s_name AS name, CASE WHEN s_suppkey % 4 = 0 THEN '[]' ELSE '[{\"name\":\"Old ' || s_name || '\",\"from\":\"1999-05-01T00:00:00.000Z\",\"to\":\"2001-03-31T00:00:00.000Z\"},{\"name\":\"First\",\"from\":\"1980-01-01\",\"to\":\"1999-04-30\"}]' END AS former_names FROM supplier"
 
 
-@query(f"""SELECT y.cik, y.concept, y.yr, CAST(y.v - q.s AS DECIMAL(24,2)) AS q4, q.tagged, abs(y.v - q.s - q.tagged) <= 0.01 * abs(q.tagged) AS agrees FROM ({YEARS}) y JOIN (SELECT cik, concept, year(q) AS yr, sum(v) FILTER (WHERE month(q) < 10) AS s, max(v) FILTER (WHERE month(q) = 10) AS tagged FROM ({QUARTERS}) z
- GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE month(q) < 10) = 3) q ON q.cik = y.cik AND q.concept = y.concept AND q.yr = y.yr""")
-def l26_quarterly(spark, d):
-    return L.quarterly(sql(spark, d, QUARTERS), sql(spark, d, YEARS), ["cik", "concept"], 0.01).withColumn("q4", F.col("q4").cast("decimal(24,2)"))
+@query(f"""{ANCHORED_SQL}, r AS (SELECT * FROM panel WHERE concept = 'Revenues' AND val IS NOT NULL), last AS (SELECT cik, max(yr) AS last_year, arg_max(end_date, yr) AS last_end, min(yr) FILTER (WHERE val = top) AS peak_year FROM (SELECT *, max(val) OVER (PARTITION BY cik) AS top FROM r) GROUP BY cik),
+e AS (SELECT cik, max(filing_date) FILTER (WHERE form LIKE '8-K%' AND regexp_matches(items, '(^|,)1[.]03(,|$)')) AS b, max(filing_date) FILTER (WHERE form LIKE '8-K%' AND regexp_matches(items, '(^|,)5[.]01(,|$)')) AS c, max(filing_date) FILTER (WHERE form IN ('10-K', '10-KT')) AS last_report FROM ({REPORTS}) GROUP BY cik)
+SELECT last.cik, CASE WHEN last.cik % 4 <> 0 AND last_report BETWEEN DATE '1999-05-01' AND DATE '2001-03-31' THEN 'Old ' || s_name WHEN last.cik % 4 <> 0 AND last_report BETWEEN DATE '1980-01-01' AND DATE '1999-04-30' THEN 'First' ELSE s_name END AS name, last_year, last_end, peak_year, last_report,
+ CASE WHEN last_report >= DATE '2001-07-01' THEN 'still_files' WHEN b >= last_end - 365 THEN 'bankruptcy' WHEN c >= last_end - 365 THEN 'taken_over' ELSE 'unknown' END AS why FROM last LEFT JOIN e ON e.cik = last.cik LEFT JOIN supplier ON s_suppkey = last.cik WHERE last_year < 2002""")
+def l24_exits(spark, d):
+    panel = panel_of(spark, d).filter("concept = 'Revenues'").withColumnRenamed("val", "value")
+    return S.exits(panel, sql(spark, d, REPORTS), sql(spark, d, FORMER), 2002, "2001-07-01")
 
 
-@query(f"""WITH own AS (SELECT cik, q, max(v) AS v FROM ({QUARTERS}) GROUP BY cik, q), y AS (SELECT cik, yr, max(v) AS v FROM ({YEARS}) GROUP BY cik, yr)
-SELECT cik, q, CAST(v AS DECIMAL(24,2)) AS v, FALSE AS derived FROM own UNION ALL SELECT t.cik, make_date(t.yr, 10, 1), CAST(y.v - t.s AS DECIMAL(24,2)), TRUE FROM (SELECT cik, year(q) AS yr, sum(v) AS s FROM own GROUP BY 1, 2 HAVING count(*) FILTER (WHERE month(q) < 10) = 3 AND count(*) = 3) t JOIN y ON y.cik = t.cik AND y.yr = t.yr""")
+@query("""WITH a AS (SELECT cik, CAST(year(end_date) AS INTEGER) AS yr, concept, CASE WHEN filed < DATE '1998-06-01' AND concept = 'AF' THEN val * 2 WHEN filed < DATE '1998-06-01' AND concept = 'RF' THEN val / 2 ELSE val END AS v FROM facts),
+w AS (SELECT cik, yr, max(v) FILTER (WHERE concept = 'AF') AS inventory, max(v) FILTER (WHERE concept = 'RF') AS cost, max(v) FILTER (WHERE concept = 'NO') AS receivables, max(v) FILTER (WHERE concept = 'NF') AS payables, sum(v) AS revenue FROM a GROUP BY 1, 2)
+SELECT cik, yr, round(inventory / nullif(cost, 0) * 365, 6) AS dio, round(receivables / nullif(revenue, 0) * 365, 6) AS dso, round(payables / nullif(cost, 0) * 365, 6) AS dpo, round((inventory / nullif(cost, 0) + receivables / nullif(revenue, 0) - payables / nullif(cost, 0)) * 365, 6) AS ccc FROM w""")
+def l25_split_adjusted(spark, d):
+    """Two concepts stand for a count and a figure per share; the year's figures then give the working-capital days."""
+    rows = S.split_adjusted(table(spark, d, "facts"), "1998-06-01", 2.0, ["AF"], ["RF"]).withColumn("yr", F.year("end_date"))
+    of = lambda c: F.max(F.when(F.col("concept") == c, F.col("adjusted")))
+    wide = rows.groupBy("cik", "yr").agg(of("AF").alias("inventory"), of("RF").alias("cost"), of("NO").alias("receivables"), of("NF").alias("payables"), F.sum("adjusted").alias("revenue"))
+    return rounded(S.working_capital(wide), 6, "dio", "dso", "dpo", "ccc").select("cik", "yr", "dio", "dso", "dpo", "ccc")
+
+
+#: Spans filed by an item's preferred concept, by SQL.
+SPANS_SQL = """WITH raw AS (SELECT *, concept = 'Revenues' AS new, form <> '10-Q' AS k, end_date - start_date AS days FROM tags WHERE concept IN ('Revenues', 'Sales') AND form IN ('10-Q', '10-K', '10-K/A') AND end_date - start_date BETWEEN 80 AND 380
+ QUALIFY row_number() OVER (PARTITION BY cik, concept, form <> '10-Q', start_date, end_date ORDER BY filed DESC, accession DESC) = 1),
+one AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY cik, k, start_date, end_date ORDER BY new DESC) = 1),
+sp AS (SELECT *, CASE WHEN days BETWEEN 80 AND 100 THEN 1 WHEN days BETWEEN 170 AND 190 THEN 2 WHEN days BETWEEN 260 AND 280 THEN 3 WHEN days BETWEEN 350 AND 380 THEN 4 END AS quarters FROM one),
+y AS (SELECT y.cik, y.start_date, y.end_date, y.val AS year, count(*) FILTER (WHERE q.quarters = 1 AND NOT q.k AND y.end_date - q.end_date > 7) AS n, sum(q.val) FILTER (WHERE q.quarters = 1 AND NOT q.k AND y.end_date - q.end_date > 7) AS three,
+ max(q.val) FILTER (WHERE q.quarters = 3 AND NOT q.k AND abs(q.start_date - y.start_date) <= 7) AS nine_months, max(q.val) FILTER (WHERE q.quarters = 1 AND q.k AND y.end_date - q.end_date <= 7) AS tagged,
+ max(q.end_date) FILTER (WHERE q.quarters = 1 AND NOT q.k) AS last, count(*) FILTER (WHERE q.quarters = 1 AND NOT q.k) AS n_all
+ FROM sp y JOIN sp q ON q.cik = y.cik AND q.quarters IN (1, 3) AND q.start_date >= y.start_date - 7 AND q.end_date <= y.end_date + 7 WHERE y.quarters = 4 AND y.k GROUP BY 1, 2, 3, 4)"""
+
+
+@query(f"""{SPANS_SQL}, every AS (SELECT cik, start_date, end_date, val, 'reported' AS source, CAST(k AS INTEGER) AS o FROM sp WHERE quarters = 1
+ UNION ALL SELECT cik, CAST(last + 1 AS DATE), end_date, year - three, 'less_quarters', 2 FROM y WHERE n_all = 3 AND end_date - last BETWEEN 80 AND 100
+ UNION ALL SELECT a.cik, CAST(b.end_date + 1 AS DATE), a.end_date, a.val - b.val, 'difference', a.quarters + 1 FROM sp a JOIN sp b ON a.cik = b.cik AND b.quarters = a.quarters - 1 AND abs(a.start_date - b.start_date) <= 7 WHERE a.quarters > 1 AND a.end_date - b.end_date - 1 BETWEEN 80 AND 100
+ UNION ALL SELECT a.cik, a.start_date, CAST(b.start_date - 1 AS DATE), a.val - b.val, 'difference', a.quarters + 1 FROM sp a JOIN sp b ON a.cik = b.cik AND b.quarters = a.quarters - 1 AND abs(a.end_date - b.end_date) <= 7 AND abs(a.start_date - b.start_date) > 7 WHERE a.quarters > 1 AND b.start_date - 1 - a.start_date BETWEEN 80 AND 100),
+q AS (SELECT *, CAST(date_trunc('quarter', end_date - 45) AS DATE) AS q FROM every QUALIFY row_number() OVER (PARTITION BY cik, date_trunc('quarter', end_date - 45) ORDER BY o, end_date, start_date, val, source) = 1)
+SELECT q.cik, q.q, q.start_date, q.end_date, q.val, q.source, y.nine_months, y.tagged, abs(y.three - y.nine_months) <= 0.001 * abs(y.nine_months) AS nine_agrees, abs(y.year - y.three - y.tagged) <= 0.001 * abs(y.tagged) AS tagged_agrees FROM q LEFT JOIN (SELECT * FROM y WHERE n = 3) y ON y.cik = q.cik AND y.end_date = q.end_date""")
+def l26_quarterly(spark, d):
+    """Quarters of revenue, and beside those that end a year how the year's spans agree."""
+    spans = S.filed_spans(tags_of(spark, d), {"revenue": ["Revenues", "Sales"]})
+    checks = S.quarter_checks(spans, 0.001).select("cik", "end_date", "nine_months", "tagged", "nine_agrees", "tagged_agrees")
+    return S.quarters(spans).drop("item").join(checks, ["cik", "end_date"], "left")
+
+
+@query("""WITH f AS (SELECT cik, concept, frame, start_date, end_date, val FROM tags WHERE concept IN ('Revenues', 'Sales') AND regexp_matches(frame, '^CY[0-9]{4}(Q[1-4])?$')),
+qq AS (SELECT *, make_date(CAST(substr(frame, 3, 4) AS INTEGER), (CAST(substr(frame, 8, 1) AS INTEGER) - 1) * 3 + 1, 1) AS q FROM f WHERE length(frame) = 8), yy AS (SELECT * FROM f WHERE length(frame) = 6),
+q4 AS (SELECT yy.cik, yy.concept, CAST(date_trunc('quarter', yy.end_date - INTERVAL 45 DAY) AS DATE) AS q, yy.val - sum(qq.val) AS val FROM yy JOIN qq ON qq.cik = yy.cik AND qq.concept = yy.concept AND qq.start_date >= yy.start_date - INTERVAL 7 DAY AND qq.end_date <= yy.end_date + INTERVAL 7 DAY
+ GROUP BY yy.cik, yy.concept, yy.start_date, yy.end_date, yy.val HAVING count(*) = 3 AND max(qq.q) = date_trunc('quarter', yy.end_date - INTERVAL 45 DAY) - INTERVAL 3 MONTH),
+a AS (SELECT cik, q, val, FALSE AS derived FROM qq UNION ALL SELECT cik, q, val, TRUE FROM q4 WHERE NOT EXISTS (SELECT 1 FROM qq WHERE qq.cik = q4.cik AND qq.concept = q4.concept AND qq.q = q4.q))
+SELECT cik, q, max(val) AS v, coalesce(max(val) FILTER (WHERE NOT derived) < max(val), TRUE) AS derived FROM a WHERE q >= DATE '1996-07-01' GROUP BY cik, q""")
 def l27_quarterly_revenue(spark, d):
-    return L.quarterly_revenue(sql(spark, d, QUARTERS), sql(spark, d, YEARS), "cik").withColumn("v", F.col("v").cast("decimal(24,2)"))
+    return S.quarterly_revenue(tags_of(spark, d), ["Revenues", "Sales"], "1996-07-01")
 
 
 @query(f"SELECT a.q, count(*) AS n, round(CAST(sum(a.v) AS DOUBLE) / CAST(sum(b.v) AS DOUBLE) - 1, 6) AS growth FROM (SELECT cik, q, max(v) AS v FROM ({QUARTERS}) GROUP BY cik, q) a JOIN (SELECT cik, CAST(q + INTERVAL 1 YEAR AS DATE) AS q, max(v) AS v FROM ({QUARTERS}) GROUP BY 1, 2) b ON a.cik = b.cik AND a.q = b.q GROUP BY a.q")

@@ -98,7 +98,7 @@ def e3_neighbours(spark, d):
 
 
 #: Split factors, some of them 0, negative or null.
-FACTORS = """SELECT ticker, obs_date, CASE WHEN obs_date = DATE '1993-06-01' THEN 0.0 WHEN obs_date = DATE '1992-08-03' AND ticker = 'LOW' THEN CAST(NULL AS DOUBLE)
+FACTORS = """SELECT ticker, obs_date, CASE WHEN obs_date BETWEEN DATE '1997-06-01' AND DATE '1997-06-04' THEN 0.0 WHEN obs_date BETWEEN DATE '1998-08-01' AND DATE '1998-08-04' AND ticker = 'LOW' THEN CAST(NULL AS DOUBLE)
  WHEN day(obs_date) = 5 THEN -1.0 * split_factor ELSE split_factor END AS factor FROM ref_prices"""
 
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from palimpsest.operators import bitemporal, checks, economy, finance, joins, merge, quality
+from palimpsest.operators import bitemporal, checks, economy, finance, joins, merge, quality, statements
 
 LANDINGS = [
     ("r1", 1, "a"), ("r2", 1, "a"), ("r3", 1, "a"), ("r1", 2, "a"), ("r2", 2, "b"), ("r3", 2, "b"), ("r1", 3, "a"), ("r2", 3, "b"), ("r3", 3, "a"), ("r1", 4, "a"),
@@ -92,11 +92,15 @@ def test_company_years_rule(spark):
 
 
 def test_ratios_are_null_where_undefined(spark):
-    lines = "revenue cost operating_income net_income assets equity current_assets current_liabilities inventory debt interest receivables capex depreciation".split()
-    rows = [(1, *[2.0] * 14), (2, *[0.0] * 14), (3, *[-1.0] * 14)]
-    got = {r.cik: r for r in finance.ratios(spark.createDataFrame(rows, f"cik int, {', '.join(f'{c} double' for c in lines)}"), ["cik"]).collect()}
-    assert len(finance.RATIOS) == 15 and got[1].net_margin == 1.0 and got[1].gross_margin == 0.0
-    assert all(got[2][n] is None for n in finance.RATIOS) and got[3].return_on_equity is None and got[3].net_margin == 1.0
+    lines = "revenue cost_of_revenue operating_income net_income capex d_and_a total_assets equity receivables inventory payables net_ppe current_assets current_liabilities".split()
+    lines += [f"avg_{x}" for x in ("total_assets", "equity", "receivables", "inventory", "payables", "net_ppe")] + ["days"]
+    rows = [(1, *[2.0] * len(lines)), (2, 2.0, *[0.0] * (len(lines) - 1)), (3, 1.0, *[-1.0] * (len(lines) - 1)), (4, 0.0, *[1.0] * (len(lines) - 1))]
+    got = {r.cik: r for r in statements.ratios(spark.createDataFrame(rows, f"cik int, {', '.join(f'{c} double' for c in lines)}"), ["cik"]).collect()}
+    assert len(statements.RATIOS) == 15 and set(got) == {1, 2, 3}
+    assert got[1].net_margin == 1.0 and got[1].gross_margin == 0.0 and got[1].cash_cycle == 2.0 and got[1].receivable_days == 2.0
+    zero = {n for n in statements.RATIOS if got[2][n] is None}
+    assert zero == {"return_on_assets", "return_on_equity", "inventory_days", "payable_days", "cash_cycle", "capex_to_depreciation", "ppe_turnover", "asset_turnover", "current_ratio", "assets_to_equity"}
+    assert got[3].return_on_equity is None and got[3].assets_to_equity is None and got[3].net_margin == -1.0
 
 
 def test_restatements_say_how(spark):
