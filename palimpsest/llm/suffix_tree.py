@@ -1,9 +1,10 @@
 """Language-model scores by a probabilistic suffix tree over bytes, beside a smoothed unigram score over words.
 
-The tree's contexts are up to DEPTH symbols long. A context is a candidate if it precedes at least MIN_COUNT symbols and ROOT_SHARE times the square root of all training symbols: so the
-tree grows with the corpus, while the evidence for each context grows too. A candidate is retained if its next-symbol
-distribution diverges from that of its suffix. The retained tree is broadcast as a table; one above MAX_TABLE_BYTES stops with the remedy, a larger share. Distributions are smoothed by those of the retained suffixes down to the root. Scores follow an automaton
-whose state is the longest retained suffix (or a beginning of a retained context) of what was read.
+The tree's contexts are up to DEPTH symbols long. A context is a candidate if it precedes at least MIN_COUNT symbols, and is retained if its next-symbol distribution diverges from that of its suffix, in nats for a
+symbol and in all: so what is kept rests on the evidence for it alone and grows with the corpus. Distributions are smoothed by those of the retained suffixes down to the root. A symbol is scored by the longest retained suffix of what was read.
+
+The tree is cut into shards by the last two symbols of its contexts, each of a bounded number of states, and a shard is built and broadcast on its own. A task sorts the symbols of a block of texts by what
+they follow, so a block meets each shard once, and shards beyond a fixed number of bytes are let go after each block.
 """
 
 from __future__ import annotations
@@ -15,14 +16,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from palimpsest.llm.common import stored, text_of
 
-DEPTH, MIN_COUNT, ROOT_SHARE = 5, 50, 0.2
-#: A table for scoring that no executor need hold.
-MAX_TABLE_BYTES = 1 << 29
+DEPTH, MIN_COUNT = 5, 50
+#: States of a shard (more only if one pair of last symbols has more), and bytes of shards that a worker keeps between blocks.
+SHARD_STATES, KEEP_BYTES = 50_000, 1 << 26
 #: Divergence test: Kullback-Leibler distance to the suffix's distribution, in nats for a symbol, and that times the context's count.
 MIN_NATS, MIN_TOTAL_NATS = 0.005, 10.0
 #: Weight of the suffix's distribution in a context's own, in symbols; count of every symbol that the root adds.
@@ -31,7 +33,7 @@ SMOOTHING, FLOOR = 4.0, 0.5
 START, END, BITS = 0, 257, 9
 #: At most so many frequent words are broadcast: those that make up more than that share of all training tokens each.
 TABLE_ENTRIES = 200_000
-BLOCK, SEGMENT, WIDTH, FLUSH = 1 << 20, 1024, 1 << 13, 300_000
+BLOCK, FLUSH = 1 << 20, 300_000
 
 
 def lowered(text: str) -> bytes:
@@ -106,15 +108,9 @@ def context_counts(train: DataFrame, text_col: str = "text") -> DataFrame:
     return summed.select(F.shiftright("code", BITS).alias("state"), F.col("code").bitwiseAND(F.lit((1 << BITS) - 1)).cast("int").alias("next"), "n")
 
 
-def least_count(symbols: int, root_share: float = ROOT_SHARE) -> float:
-    """How many symbols a context must precede in a corpus of so many."""
-    return max(MIN_COUNT, root_share * math.sqrt(symbols))
-
-
-def retained(counts: DataFrame, root_share: float = ROOT_SHARE) -> DataFrame:
+def retained(counts: DataFrame) -> DataFrame:
     """Rows of the contexts that pass the divergence test, and of the root."""
-    total = counts.filter("state = 0").agg(F.sum("n")).first()[0] or 0
-    frequent = counts.groupBy("state").agg(F.sum("n").alias("total")).filter((F.col("state") == 0) | (F.col("total") >= least_count(total, root_share)))
+    frequent = counts.groupBy("state").agg(F.sum("n").alias("total")).filter((F.col("state") == 0) | (F.col("total") >= MIN_COUNT))
     rows = counts.join(frequent, "state").withColumn("p", F.col("n") / F.col("total"))
     length = F.shiftright("state", BITS * DEPTH)
     symbols = F.col("state").bitwiseAND(F.lit((1 << BITS * DEPTH) - 1))
@@ -127,91 +123,154 @@ def retained(counts: DataFrame, root_share: float = ROOT_SHARE) -> DataFrame:
     return rows.join(far, "state", "left_semi").unionByName(rows.filter("state = 0")).select("state", "next", "n")
 
 
-class Automaton:
-    """Tables for scoring: for each state and class of symbols the log10 probability and the state that follows.
+def _turned(state: np.ndarray, depth: np.ndarray) -> np.ndarray:
+    """Codes of contexts with the last symbol in front, as many symbols as DEPTH: contexts of equal last symbols are neighbours, and a suffix is a prefix."""
+    out = np.zeros(len(state), np.int64)
+    for i in range(DEPTH):
+        out |= np.where(i < depth, state >> BITS * i & (1 << BITS) - 1, 0) << BITS * (DEPTH - 1 - i)
+    return out
 
-    Classes: one for each symbol seen, one for all others, then START and padding, which cost nothing.
+
+class Shard:
+    """Scoring table of the contexts whose last two symbols lie in a range, with the shorter ones: for each of them and each kind of symbol the log10 probability.
+
+    Kinds: one for each symbol that the root has seen, one for all others.
     """
 
     def __init__(self, state: np.ndarray, nxt: np.ndarray, n: np.ndarray):
-        own: dict[tuple, dict[int, int]] = {(): {}}
-        for s, a, c in zip(state.tolist(), nxt.tolist(), n.tolist()):
-            d = s >> (BITS * DEPTH)
-            own.setdefault(tuple(s >> BITS * i & (1 << BITS) - 1 for i in range(d - 1, -1, -1)), {})[a] = c
-        seen = sorted(own[()])
-        kinds = len(seen) + 3
-        self.pad, self.kinds = kinds - 1, kinds
-        self.kind = np.full(258, len(seen), np.int64)
+        names = np.unique(np.r_[0, state])  # the root is there without training, too
+        row = np.searchsorted(names, state)
+        depth = names >> (BITS * DEPTH)
+        code, total = _turned(names, depth), np.bincount(row, n, len(names))
+        seen = np.unique(nxt[state == 0])
+        self.kind = np.full(1 << BITS, len(seen), np.int16)
         self.kind[seen] = np.arange(len(seen))
-        self.kind[START] = kinds - 2
-        names = sorted({c[:i] for c in own for i in range(len(c) + 1)}, key=lambda c: (len(c), c))
-        at = {c: i for i, c in enumerate(names)}
-        follow = np.zeros((len(names), kinds), np.int32)
-        prob = np.zeros((len(names), kinds))
-        back = np.zeros(len(names), int)
-        children: dict[tuple, list[tuple]] = {}
-        for c in names[1:]:
-            children.setdefault(c[:-1], []).append(c)
-        for i, c in enumerate(names):
-            if c:
-                back[i] = follow[back[at[c[:-1]]], self.kind[c[-1]]] if len(c) > 1 else 0
-                follow[i], prob[i] = follow[back[i]], prob[back[i]]
-            else:
-                total = sum(own[()].values())
-                prob[0] = FLOOR / (total + 257 * FLOOR)
-                prob[0, self.kind[seen]] = (np.array([own[()][a] for a in seen]) + FLOOR) / (total + 257 * FLOOR)
-            if c and c in own:
-                total = sum(own[c].values())
-                prob[i] *= SMOOTHING / (total + SMOOTHING)
-                prob[i, self.kind[list(own[c])]] += np.array(list(own[c].values())) / (total + SMOOTHING)
-            for t in children.get(c, ()):
-                follow[i, self.kind[t[-1]]] = at[t]
-            follow[i, self.pad] = i
-        cost = np.log10(prob)
-        cost[:, kinds - 2 :] = 0
-        self.cost, self.follow = cost.ravel().astype(np.float32), follow.ravel()
-
-    @classmethod
-    def of(cls, tables: dict) -> Automaton:
-        """From another one's tables, which travel as plain arrays."""
-        model = cls.__new__(cls)
-        model.__dict__.update(tables)
-        return model
+        prob = np.zeros((len(names), len(seen) + 1))
+        counts = np.zeros_like(prob)
+        np.add.at(counts, (row, self.kind[nxt]), n)
+        self.levels = []
+        for d in range(DEPTH + 1):
+            own = np.flatnonzero(depth == d)
+            if d == 0:
+                prob[own] = (counts[own] + FLOOR) / (total.take(own).sum() + 257 * FLOOR)
+            elif len(own):
+                back = self.rows(code[own])  # the longest retained suffix among the shorter ones
+                weight = total[own][:, None] + SMOOTHING
+                prob[own] = (counts[own] + SMOOTHING * prob[back]) / weight
+            order = np.argsort(code[own], kind="stable")
+            self.levels.append((code[own][order], own[order].astype(np.int32)))
+        self.cost = np.log10(prob).astype(np.float32)
+
+    @property
+    def nbytes(self) -> int:
+        return self.cost.nbytes + sum(c.nbytes + r.nbytes for c, r in self.levels)
+
+    def rows(self, context: np.ndarray) -> np.ndarray:
+        """The row of the longest retained suffix of each turned context."""
+        out = np.full(len(context), self.levels[0][1][0], np.int64)
+        open_ = np.arange(len(context))
+        for d in range(len(self.levels) - 1, 0, -1):
+            codes, own = self.levels[d]
+            if not len(codes) or not len(open_):
+                continue
+            shift = BITS * (DEPTH - d)
+            want = context[open_] >> shift << shift
+            at = np.minimum(np.searchsorted(codes, want), len(codes) - 1)
+            hit = codes[at] == want
+            out[open_[hit]] = own[at[hit]]
+            open_ = open_[~hit]
+        return out
+
+    def costs(self, context: np.ndarray, nxt: np.ndarray) -> np.ndarray:
+        """log10 probability of each symbol after its turned context; contexts come sorted."""
+        if not len(context):
+            return np.zeros(0)
+        first = np.flatnonzero(np.r_[True, context[1:] != context[:-1]])
+        rows = np.repeat(self.rows(context[first]), np.diff(np.r_[first, len(context)]))
+        return self.cost[rows, self.kind[nxt]].astype(float)
+
+
+class Shards:
+    """Shards by ranges of the last two symbols. `loads` gives a shard; those that fit in KEEP_BYTES together stay loaded."""
+
+    def __init__(self, ends: list[int], loads: list):
+        self.ends, self.loads, self.kept, self.size = np.array(ends, np.int64), loads, {}, 0
+
+    def shard(self, k: int) -> Shard:
+        if k in self.kept:
+            return self.kept[k]
+        found = self.loads[k]()
+        if self.size + found.nbytes <= KEEP_BYTES:
+            self.kept[k], self.size = found, self.size + found.nbytes
+        return found
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        """log10 probability of each text and its end. Long texts are cut into segments; each first reads the DEPTH symbols before it, which is all that a state can hold."""
-        kind = self.kind[1:257].astype(np.int16)
-        parts, starts, lengths, owner, at = [], [], [], [], 0
+        """log10 probability of each text and its end."""
+        out, waiting, owner, n = np.zeros(len(texts)), [], [], 0
+
+        def flush() -> None:
+            if not waiting:
+                return
+            grams, of = np.concatenate(waiting), np.concatenate(owner)
+            order = np.argsort(grams, kind="stable")
+            sorted_ = grams[order]
+            first = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
+            one = sorted_[first]
+            context, nxt = one >> BITS, one & (1 << BITS) - 1
+            cost = np.zeros(len(one))
+            cuts = np.searchsorted(context >> BITS * (DEPTH - 2), self.ends)
+            for k, (a, b) in enumerate(zip(np.r_[0, cuts], np.r_[cuts, len(one)])):
+                if b > a:
+                    cost[a:b] = self.shard(k).costs(context[a:b], nxt[a:b])
+            each = np.repeat(cost, np.diff(np.r_[first, len(sorted_)]))
+            np.add(out, np.bincount(of[order], each, len(texts)), out=out)
+            waiting.clear()
+            owner.clear()
+
         for i, t in enumerate(texts):
-            x = np.empty(DEPTH + len(t) + 1, np.int16)
-            x[:DEPTH], x[-1] = self.kind[START], self.kind[END]
-            x[DEPTH:-1] = kind[np.frombuffer(t, np.uint8)]
-            cuts = range(0, len(t) + 1, SEGMENT)
-            starts += [at + j for j in cuts]
-            lengths += [min(SEGMENT, len(t) + 1 - j) for j in cuts]
-            owner += [i] * len(cuts)
-            parts.append(x)
-            at += len(x)
-        out = np.zeros(len(texts))
-        if not parts:
-            return out
-        symbols, starts, lengths, owner = np.concatenate(parts), np.array(starts), np.array(lengths), np.array(owner)
-        order = np.argsort(-lengths, kind="stable")
-        for i in range(0, len(order), WIDTH):
-            some = order[i : i + WIDTH]
-            s, n = starts[some], lengths[some]
-            state, total = np.zeros(len(some), np.int64), np.zeros(len(some))
-            for t in range(DEPTH):
-                state = self.follow[state * self.kinds + symbols[s + t]].astype(np.int64)
-            for t in range(n[0]):
-                live = int(np.searchsorted(-n, -t))  # lengths fall, so those still going stand first
-                cell = state[:live] * self.kinds + symbols[s[:live] + (DEPTH + t)]
-                total[:live] += self.cost[cell]
-                state[:live] = self.follow[cell]
-            np.add.at(out, owner[some], total)
+            for at in range(0, len(t) + 1, BLOCK):
+                # A piece of a long text begins with the symbols before it.
+                body = np.frombuffer(t, np.uint8, min(BLOCK, len(t) - at) if at < len(t) else 0, at).astype(np.int64) + 1
+                before = np.frombuffer(t[max(0, at - DEPTH) : at], np.uint8).astype(np.int64) + 1
+                x = np.concatenate([np.zeros(DEPTH - len(before), np.int64), before, body, np.full(int(at + BLOCK > len(t)), END, np.int64)])
+                g = x[DEPTH:].copy()
+                for j in range(1, DEPTH + 1):
+                    g |= x[DEPTH - j : len(x) - j] << BITS * (DEPTH + 1 - j)
+                waiting.append(g)
+                owner.append(np.full(len(g), i, np.int32))
+                n += len(g)
+                if n >= BLOCK:
+                    flush()
+                    n = 0
+        flush()
         return out
 
 
+def shard_ends(kept: DataFrame, most: int | None = None) -> list[int]:
+    """Ranges of the last two symbols (as one number) with about equally many states: the first number of each range after the first. The numbers of states are at most 257 x 257 rows."""
+    last, second = F.col("state").bitwiseAND(F.lit((1 << BITS) - 1)), F.shiftright("state", BITS).bitwiseAND(F.lit((1 << BITS) - 1))
+    deep = kept.filter(F.shiftright("state", BITS * DEPTH) >= 2).select("state", (last * (1 << BITS) + second).alias("pair"))
+    sizes, ends, n = deep.groupBy("pair").agg(F.count_distinct("state").alias("n")).orderBy("pair").collect(), [], 0
+    for r in sizes:
+        if n and n + r["n"] > (most or SHARD_STATES):
+            ends.append(r["pair"])
+            n = 0
+        n += r["n"]
+    return ends
+
+
+def shard_rows(kept: DataFrame, ends: list[int], k: int) -> DataFrame:
+    """Rows of a shard: contexts of its pairs, and all of less than two symbols."""
+    last, second = F.col("state").bitwiseAND(F.lit((1 << BITS) - 1)), F.shiftright("state", BITS).bitwiseAND(F.lit((1 << BITS) - 1))
+    pair, bounds = last * (1 << BITS) + second, [0, *ends, 1 << 2 * BITS]
+    return kept.filter((F.shiftright("state", BITS * DEPTH) < 2) | pair.between(bounds[k], bounds[k + 1] - 1))
+
+
+def shard_of(rows: DataFrame) -> Shard:
+    f = rows.select("state", "next", "n").toPandas()
+    return Shard(*(f[c].to_numpy(np.int64) for c in ("state", "next", "n")))
+
+
 def word_counts(train: DataFrame, text_col: str = "text") -> DataFrame:
     """token, n over all texts of train; the empty token stands for a text's end."""
 
@@ -232,13 +291,22 @@ def word_counts(train: DataFrame, text_col: str = "text") -> DataFrame:
     return rows.groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", root_share: float = ROOT_SHARE) -> DataFrame:
+def _loaded(b: Broadcast) -> Shard:
+    """A shard from its broadcast, which the worker then forgets; what stays loaded is for Shards to say."""
+    found = Shard.__new__(Shard)
+    found.__dict__.update(b.value)
+    b.__dict__.pop("_value", None)
+    return found
+
+
+def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score and score. Rows where held_out holds teach nothing.
 
     A null text is empty: its end is its only token. Without training rows every token costs the same. Repeated rows stay. Extra columns are not read.
 
     Words above a fixed share of all tokens are looked up in a broadcast table of bounded size. The others, each in few places, are
-    shuffled to the table of all counts; what they add to a document is summed up on the way back.
+    shuffled to the table of all counts; what they add to a document is summed up on the way back. The tree's shards pass through the driver one at a time, each of bounded size, and are
+    broadcast each on its own; a tree of any number of shards is scored.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"), held_out.alias("_held_out"))
@@ -248,16 +316,14 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     base = math.log10(n + 0.5 * (v + 1))
     common = {r["token"].encode(): math.log10(r["n"] + 0.5) for r in counts.filter(F.col("n") > n / TABLE_ENTRIES).collect()}
     contexts = stored(context_counts(train, "_text"))
-    kept = stored(retained(contexts, root_share))
-    states, symbols = kept.agg(F.count_distinct("state"), F.count_distinct("next")).first()
-    if 2 * states * (symbols + 3) * 8 > MAX_TABLE_BYTES:  # beginnings of retained contexts are states too
-        raise ValueError(f"{states} contexts make too large a table: raise root_share")
-    tree = kept.toPandas()
-    shared = spark.sparkContext.broadcast((common, vars(Automaton(tree["state"].to_numpy(), tree["next"].to_numpy(), tree["n"].to_numpy()))))
+    kept = stored(retained(contexts))
+    ends = shard_ends(kept)
+    frequent = spark.sparkContext.broadcast(common)
+    tree = [spark.sparkContext.broadcast(vars(shard_of(shard_rows(kept, ends, k)))) for k in range(len(ends) + 1)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        (common, tables), number = shared.value, TaskContext.get().partitionId() << 36
-        model = Automaton.of(tables)
+        common, number = frequent.value, TaskContext.get().partitionId() << 36
+        model = Shards(ends, [lambda b=b: _loaded(b) for b in tree])
         for b in batches:
             texts = [lowered(t) for t in b["_text"]]
             cols = {c: [] for c in ("uid", "token", "tf", "n_tokens", "n_known", "log_sum")}

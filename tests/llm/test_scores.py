@@ -39,9 +39,9 @@ def test_tree_learns(more_docs):
     """Held-out texts cost well below a model of single bytes, whose cost is what a tree of the root alone gives."""
     train, held = (more_docs.filter((remainder("doc_id", 5) == 1) == x) for x in (False, True))
     texts = [suffix_tree.lowered(r.text) for r in held.collect()]
-    rows = suffix_tree.retained(suffix_tree.context_counts(train)).toPandas()
-    whole, root = (suffix_tree.Automaton(*(f[c].to_numpy() for c in ("state", "next", "n"))) for f in (rows, rows[rows["state"] == 0]))
-    assert whole.scores(texts).sum() > 0.62 * root.scores(texts).sum()
+    kept = suffix_tree.retained(suffix_tree.context_counts(train)).cache()
+    whole, root = (suffix_tree.Shards([], [lambda f=f: suffix_tree.shard_of(f)]) for f in (kept, kept.filter("state = 0")))
+    assert whole.scores(texts).sum() > 0.6 * root.scores(texts).sum()
 
 
 def test_gram_counts(monkeypatch):
@@ -65,11 +65,10 @@ def brute_tree(texts):
         for i in range(suffix_tree.DEPTH, len(s)):
             for d in range(suffix_tree.DEPTH + 1):
                 count.setdefault(tuple(s[i - d : i]), Counter())[s[i]] += 1
-    least = suffix_tree.least_count(sum(count[()].values()))
     kept = {(): count[()]}
     for c, n in count.items():
         total, parent = sum(n.values()), count[c[1:]] if c else None
-        if c and total >= least:
+        if c and total >= suffix_tree.MIN_COUNT:
             nats = sum(x / total * math.log(x / total * sum(parent.values()) / parent[a]) for a, x in n.items())
             if nats >= suffix_tree.MIN_NATS and nats * total >= suffix_tree.MIN_TOTAL_NATS:
                 kept[c] = n
@@ -90,14 +89,26 @@ def test_retention(docs, monkeypatch):
     assert sizes[1] > 1.5 * sizes[0]
 
 
-def test_automaton_follows_the_longest_retained_suffix(spark, monkeypatch):
-    monkeypatch.setattr(suffix_tree, "SEGMENT", 16)
+def test_contexts_rest_on_their_evidence_alone(spark):
+    """A context that passes the test is kept however much other text the corpus has; ten times the text keeps every one of the smaller corpus."""
+    rng = np.random.default_rng(3)
+    texts = ["".join(rng.choice(["qua", "que", "bad", "bed"], 30)) for _ in range(40)]
+    other = ["".join(rng.choice(list("xyz "), 90)) for _ in range(360)]
+    states = [{r.state for r in suffix_tree.retained(suffix_tree.context_counts(spark.createDataFrame([(t,) for t in some], "text string"))).select("state").distinct().collect()} for some in (texts, texts + other, texts * 10)]
+    own = {s for s in states[0] if all(s >> 9 * i & 511 not in (0, 257) for i in range(s >> 45))}
+    assert len(own) > 8 and own <= states[1] and states[0] <= states[2]
+
+
+@pytest.mark.parametrize(("block", "most", "keep"), [(16, 3, 0), (100, 10, 1 << 20), (1 << 20, 50_000, 0)])
+def test_scores_follow_the_longest_retained_suffix(spark, monkeypatch, block, most, keep):
+    """Whatever the blocks and shards."""
+    monkeypatch.setattr(suffix_tree, "KEEP_BYTES", keep)
     rng = np.random.default_rng(5)
     texts = ["".join(rng.choice(["ab", "abc", "ca", "b "], 60)) for _ in range(40)]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    rows = suffix_tree.retained(suffix_tree.context_counts(df)).collect()
+    kept = suffix_tree.retained(suffix_tree.context_counts(df)).cache()
     dist = {}
-    for r in rows:
+    for r in kept.collect():
         d = r.state >> 9 * suffix_tree.DEPTH
         dist.setdefault(tuple(r.state >> 9 * i & 511 for i in range(d - 1, -1, -1)), {})[r.next] = r.n
     assert len(dist) > 5
@@ -111,8 +122,12 @@ def test_automaton_follows_the_longest_retained_suffix(spark, monkeypatch):
         own, total = dist[context], sum(dist[context].values())
         return (own.get(a, 0) + suffix_tree.SMOOTHING * prob(context[1:], a)) / (total + suffix_tree.SMOOTHING)
 
-    model = suffix_tree.Automaton(*(np.array([r[i] for r in rows]) for i in range(3)))
-    tests = [b"", b"abcab", b"zzz ab", texts[0].encode()]
+    ends = suffix_tree.shard_ends(kept, most)
+    assert (len(ends) > 1) == (most < 20)
+    monkeypatch.setattr(suffix_tree, "BLOCK", block)
+    shards = [suffix_tree.shard_of(suffix_tree.shard_rows(kept, ends, k)) for k in range(len(ends) + 1)]
+    model = suffix_tree.Shards(ends, [lambda x=x: x for x in shards])
+    tests = [b"", b"abcab", b"zzz ab", texts[0].encode(), b"", bytes(range(256)), b"a" * 16, b"ab" * 16]
     for t, got in zip(tests, model.scores(tests)):
         s = [0] * suffix_tree.DEPTH + [b + 1 for b in t] + [257]
         want = sum(math.log10(prob(tuple(s[i - suffix_tree.DEPTH : i]), s[i])) for i in range(suffix_tree.DEPTH, len(s)))
