@@ -10,6 +10,7 @@ they follow, so a block meets each shard once, and shards beyond a fixed number
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 
@@ -259,16 +260,27 @@ def shard_ends(kept: DataFrame, most: int | None = None) -> list[int]:
     return ends
 
 
-def shard_rows(kept: DataFrame, ends: list[int], k: int) -> DataFrame:
-    """Rows of a shard: contexts of its pairs, and all of less than two symbols."""
+def shard_tables(kept: DataFrame, ends: list[int]) -> DataFrame:
+    """shard and data (its tables, pickled): one task builds each shard of the contexts of its pairs and all of less than two symbols."""
     last, second = F.col("state").bitwiseAND(F.lit((1 << BITS) - 1)), F.shiftright("state", BITS).bitwiseAND(F.lit((1 << BITS) - 1))
-    pair, bounds = last * (1 << BITS) + second, [0, *ends, 1 << 2 * BITS]
-    return kept.filter((F.shiftright("state", BITS * DEPTH) < 2) | pair.between(bounds[k], bounds[k + 1] - 1))
+    pair, every = last * (1 << BITS) + second, F.sequence(F.lit(0), F.lit(len(ends)))
+    own = sum(((pair >= e).cast("int") for e in ends), F.lit(0))
+    rows = kept.select("state", "next", "n", F.explode(F.when(F.shiftright("state", BITS * DEPTH) < 2, every).otherwise(F.array(own))).alias("shard"))
 
+    def build(f: pd.DataFrame) -> pd.DataFrame:
+        shard = Shard(*(f[c].to_numpy(np.int64) for c in ("state", "next", "n")))
+        return pd.DataFrame({"shard": [f["shard"].iat[0]], "data": [pickle.dumps(vars(shard), 5)]})
 
-def shard_of(rows: DataFrame) -> Shard:
-    f = rows.select("state", "next", "n").toPandas()
-    return Shard(*(f[c].to_numpy(np.int64) for c in ("state", "next", "n")))
+    return rows.groupBy("shard").applyInPandas(build, "shard int, data binary")
+
+
+def loaded(data: bytes) -> Shard:
+    shard = Shard.__new__(Shard)
+    shard.__dict__.update(pickle.loads(data))
+    return shard
+
+
+NO_SHARD = pickle.dumps(vars(Shard(*(np.zeros(0, np.int64),) * 3)), 5)
 
 
 def word_counts(train: DataFrame, text_col: str = "text") -> DataFrame:
@@ -293,8 +305,7 @@ def word_counts(train: DataFrame, text_col: str = "text") -> DataFrame:
 
 def _loaded(b: Broadcast) -> Shard:
     """A shard from its broadcast, which the worker then forgets; what stays loaded is for Shards to say."""
-    found = Shard.__new__(Shard)
-    found.__dict__.update(b.value)
+    found = loaded(b.value)
     b.__dict__.pop("_value", None)
     return found
 
@@ -305,8 +316,8 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     A null text is empty: its end is its only token. Without training rows every token costs the same. Repeated rows stay. Extra columns are not read.
 
     Words above a fixed share of all tokens are looked up in a broadcast table of bounded size. The others, each in few places, are
-    shuffled to the table of all counts; what they add to a document is summed up on the way back. The tree's shards pass through the driver one at a time, each of bounded size, and are
-    broadcast each on its own; a tree of any number of shards is scored.
+    shuffled to the table of all counts; what they add to a document is summed up on the way back. Shards are built by tasks and broadcast each on its own, of bounded
+    size; a tree of any number of shards is scored.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"), held_out.alias("_held_out"))
@@ -319,7 +330,13 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     kept = stored(retained(contexts))
     ends = shard_ends(kept)
     frequent = spark.sparkContext.broadcast(common)
-    tree = [spark.sparkContext.broadcast(vars(shard_of(shard_rows(kept, ends, k)))) for k in range(len(ends) + 1)]
+    tables = stored(shard_tables(kept, ends))
+
+    def table(k: int) -> bytes:
+        found = tables.filter(F.col("shard") == k).first()
+        return NO_SHARD if found is None else bytes(found["data"])
+
+    tree = [spark.sparkContext.broadcast(table(k)) for k in range(len(ends) + 1)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         common, number = frequent.value, TaskContext.get().partitionId() << 36
