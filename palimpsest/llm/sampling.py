@@ -26,7 +26,11 @@ SAMPLES, RANK_OFFSET, SPACE = 3, 10.0, "▁"
 TOGETHER = 500_000
 #: Runs of spaces with the word behind them.
 WORD = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-MULTIPLIER, SLOT_BITS = np.uint64(0x9E3779B97F4A7C15), 20
+MULTIPLIER, SLOT_BITS = np.uint64(0x9E3779B97F4A7C15), 18
+#: Factors that spread hashes over the slots of each table.
+SPREAD = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
+#: A longer word, as in languages without spaces, is gone through position by position; shorter ones go together, all positions equally far from their ends at a time.
+LONG = 96
 #: Log probabilities and positions within distributions are multiples of this, so that sums are exact and results don't depend on which texts are searched together.
 GRAIN = 2.0**-26
 #: What a draw is for.
@@ -70,32 +74,29 @@ class Vocabulary:
         self.longest = len(found)
         every = [(h, i) for by_hash in found for h, i in by_hash.items()]  # hashes tell lengths apart
         self.hashes, self.ids = np.array([h for h, _ in every], np.uint64), np.array([i for _, i in every], np.int64)
-        self.slots = [np.zeros(1 << SLOT_BITS, np.int32), np.zeros(1 << SLOT_BITS, np.int32)]
-        self.slots[0][self.slot(self.hashes, 0)] = np.arange(len(every))
-        away = np.flatnonzero(self.slots[0][self.slot(self.hashes, 0)] != np.arange(len(every)))
-        self.slots[1][self.slot(self.hashes[away], 1)] = away
-        lost = away[self.slots[1][self.slot(self.hashes[away], 1)] != away]
-        self.lost = lost[np.argsort(self.hashes[lost])]
+        # Cuckoo hashing: every hash stands in its slot of one of two tables, so no search looks further.
+        spots = [self.slot(self.hashes, t).tolist() for t in (0, 1)]
+        tables = [[-1] * (1 << SLOT_BITS), [-1] * (1 << SLOT_BITS)]
+        for n in range(len(every)):
+            at, t, moves = n, 0, 0
+            while at >= 0:
+                spot = spots[t][at]
+                at, tables[t][spot], t, moves = tables[t][spot], at, 1 - t, moves + 1
+                if moves > 1000:
+                    raise ValueError("too many pieces for the tables: raise SLOT_BITS")
+        self.slots = [np.maximum(np.array(t, np.int32), 0) for t in tables]
 
     @staticmethod
     def slot(h: np.ndarray, table: int) -> np.ndarray:
-        return ((h >> np.uint64(64 - SLOT_BITS)) if table == 0 else (h >> np.uint64(64 - 2 * SLOT_BITS)) & np.uint64((1 << SLOT_BITS) - 1)).astype(np.int64)
+        return ((h * SPREAD[table]) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which hashes are of beginnings of pieces, and for those the piece's id, -1 if they are no whole piece. Two tables of slots, and a search for the few that have none."""
+        """Which hashes are of beginnings of pieces, and for those the piece's id, -1 if they are no whole piece."""
         at = self.slots[0][self.slot(h, 0)]
         miss = np.flatnonzero(self.hashes[at] != h)
-        second = self.slots[1][self.slot(h[miss], 1)]
-        hit = self.hashes[second] == h[miss]
-        at[miss[hit]] = second[hit]
-        miss = miss[~hit]
+        at[miss] = self.slots[1][self.slot(h[miss], 1)]
         met = np.ones(len(h), bool)
-        if len(self.lost) and len(miss):
-            place = np.minimum(np.searchsorted(self.hashes[self.lost], h[miss]), len(self.lost) - 1)
-            hit = self.hashes[self.lost[place]] == h[miss]
-            at[miss[hit]] = self.lost[place[hit]]
-            miss = miss[~hit]
-        met[miss] = False
+        met[miss] = self.hashes[at[miss]] == h[miss]
         return met, self.ids[at[met]]
 
     def spells(self, ids: np.ndarray, text: bytes) -> bool:
@@ -121,12 +122,12 @@ class Lattices:
     """
 
     def __init__(self, vocabulary: Vocabulary, words: list[str]):
-        length = np.array([len(w) for w in words], np.int64)
+        self.length = length = np.array([len(w) for w in words], np.int64)
         self.base = np.cumsum(length) - length
         points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
         self.points, n = points, len(points)
         self.word_end = np.repeat(self.base + length, length)
-        pos, size, ids = [], [], []
+        found, many = [], np.zeros(n, np.int64)
         active, h, single = np.arange(n), np.zeros(n, np.uint64), np.zeros(n, bool)
         for k in range(vocabulary.longest):
             inside = active + k < self.word_end[active]
@@ -135,21 +136,24 @@ class Lattices:
             met, at = vocabulary.find(h)
             active, h = active[met], h[met]
             whole = at >= 0
-            pos.append(active[whole])
-            ids.append(at[whole])
-            size.append(np.full(int(whole.sum()), k + 1))
+            found.append((active[whole], k + 1, at[whole]))
+            many[found[-1][0]] += 1
             if k == 0:
                 single[active[whole]] = True
         bare = np.flatnonzero(~single)
-        pos, size, ids = (np.concatenate([*x, y]) for x, y in ((pos, bare), (size, np.ones(len(bare), np.int64)), (ids, -1 - points[bare].astype(np.int64))))
-        order = np.argsort(pos, kind="stable")
-        self.pos, self.ids = pos[order], ids[order]
-        self.end = self.pos + size[order]
+        found.append((bare, 1, -1 - points[bare].astype(np.int64)))
+        many[bare] += 1
+        # Edges of a position stand together, by length, a fallback last.
+        self.first = np.concatenate([[0], np.cumsum(many)])
+        self.pos = np.repeat(np.arange(n), many)
+        self.ids, self.end, filled = np.zeros(len(self.pos), np.int64), np.zeros(len(self.pos), np.int64), self.first[:-1].copy()
+        for where, size, at in found:
+            slot = filled[where]
+            self.ids[slot], self.end[slot] = at, where + size
+            filled[where] += 1
         coded = -1 - self.ids
         n_bytes = 1 + (coded > 0x7F) + (coded > 0x7FF) + (coded > 0xFFFF)
         weight = np.where(self.ids >= 0, vocabulary.weight[np.maximum(self.ids, 0)], n_bytes * vocabulary.byte_weight)
-        many = np.bincount(self.pos, minlength=n)
-        self.first = np.concatenate([[0], np.cumsum(many)])
         self.last_piece = self.end == self.word_end[self.pos] if n else np.zeros(0, bool)
         self.log_p = np.round(self._given_the_rest(weight, n) / GRAIN) * GRAIN
         p = np.exp(self.log_p)
@@ -166,11 +170,13 @@ class Lattices:
             self.other = np.log(other)
 
     def _given_the_rest(self, weight: np.ndarray, n: int) -> np.ndarray:
-        """Log probability of each edge given all ways to spell the rest of its word; from the words' ends on, positions equally far from them together."""
+        """Log probability of each edge given all ways to spell the rest of its word; from the words' ends on, positions equally far from them together, those of long words one by one."""
         rest, log_p = np.zeros(n), np.zeros(len(weight))
         far = self.word_end[self.pos] - self.pos if n else np.zeros(0, np.int64)
-        order = np.argsort(far, kind="stable")  # within one distance edges stay sorted by position
-        cuts = np.flatnonzero(np.r_[True, far[order][1:] != far[order][:-1], True]) if n else []
+        long = np.repeat(self.length > LONG, self.length) if n else np.zeros(0, bool)
+        some = np.flatnonzero(~long[self.pos]) if n else np.zeros(0, np.int64)
+        order = some[np.argsort(far[some].astype(np.int16), kind="stable")]  # within one distance edges stay sorted by position
+        cuts = np.flatnonzero(np.r_[True, far[order][1:] != far[order][:-1], True]) if len(order) else []
         for a, b in zip(cuts[:-1], cuts[1:]):
             e = order[a:b]
             value = weight[e] + np.where(self.last_piece[e], 0.0, rest[np.minimum(self.end[e], n - 1)])
@@ -178,8 +184,27 @@ class Lattices:
             total = np.logaddexp.reduceat(value, starts)
             rest[self.pos[e][starts]] = total
             log_p[e] = value - np.repeat(total, np.diff(np.r_[starts, len(e)]))
+        for w in np.flatnonzero(self.length > LONG):
+            self._given_the_rest_of(int(self.base[w]), int(self.base[w] + self.length[w]), weight, log_p)
         return log_p
 
+    def _given_the_rest_of(self, start: int, end: int, weight: np.ndarray, log_p: np.ndarray) -> None:
+        """The same within one long word, as products that are scaled up again before they get too small: eight positions are more than 1e-144."""
+        a, b = int(self.first[start]), int(self.first[end])
+        cuts, ends, odds = (self.first[start : end + 1] - a).tolist(), (self.end[a:b] - start).tolist(), np.exp(weight[a:b]).tolist()
+        size = end - start
+        rest, total, out, stop = [1.0] * (size + 1), [1.0] * size, [0.0] * (b - a), b - a
+        widest = max(map(int.__sub__, ends, (self.pos[a:b] - start).tolist()))
+        for i in range(size - 1, -1, -1):
+            at = cuts[i]
+            values = [p * rest[n] for p, n in zip(odds[at:stop], ends[at:stop])]
+            out[at:stop], stop = values, at
+            rest[i] = total[i] = t = sum(values)
+            if not i & 7 and t < 1e-100:
+                for n in range(i, min(i + widest, size) + 1):
+                    rest[n] /= t
+        log_p[a:b] = np.log(out) - np.log(np.repeat(total, np.diff(cuts)))
+
 
 class Paths:
     """One segmentation of each of some texts: words and edges in order, and the log probability before each edge."""
@@ -231,6 +256,11 @@ def search(vocabulary: Vocabulary, keys: list[str], texts: list[list[str]], k: i
     def walk(word: np.ndarray, at: np.ndarray, turn: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Words from positions on to their ends, drawn freely."""
         words, edges = [], []
+        far = lattices.word_end[at] - at > LONG if len(at) else np.zeros(0, bool)
+        for w, p in zip(word[far].tolist(), at[far].tolist()):
+            edges.append(walk_long(w, p, turn))
+            words.append(np.full(len(edges[-1]), w, np.int64))
+        word, at = word[~far], at[~far]
         while len(word):
             u = np.floor(uniform(word_text[word], place[word] + at - lattices.base[flat[word]], turn, WALK) / GRAIN) * GRAIN
             e, aim = lattices.first[at], at + u
@@ -244,6 +274,21 @@ def search(vocabulary: Vocabulary, keys: list[str], texts: list[list[str]], k: i
             word, at = word[more], lattices.end[e][more]
         return words, edges
 
+    def walk_long(word: int, at: int, turn: int) -> np.ndarray:
+        """The same for one word, position by position. The draws of its positions are made together."""
+        end = int(lattices.word_end[at])
+        here = np.arange(at, end)
+        u = np.floor(uniform(np.full(len(here), word_text[word]), place[word] + here - lattices.base[flat[word]], turn, WALK) / GRAIN) * GRAIN
+        a = int(lattices.first[at])
+        aim, firsts, upto, ends, i, out = (here + u).tolist(), (lattices.first[at:end] - a).tolist(), lattices.upto[a : lattices.first[end]].tolist(), lattices.end[a : lattices.first[end]].tolist(), at, []
+        while i < end:
+            e, goal = firsts[i - at], aim[i - at]
+            while upto[e] <= goal:
+                e += 1
+            out.append(e)
+            i = ends[e]
+        return np.array(out, np.int64) + a
+
     def cut_off(mass: np.ndarray, u: np.ndarray, bound: np.ndarray) -> np.ndarray:
         """Gumbel values about the masses' logarithms, given that they are below the bounds."""
         with np.errstate(invalid="ignore"):

@@ -35,12 +35,16 @@ def test_base_scores(docs, edge, empty, monkeypatch):
     assert base_of(empty)[0] == []
 
 
+def shards_of(kept, ends):
+    return [suffix_tree.loaded(bytes(r.data)) for r in suffix_tree.shard_tables(kept, ends).orderBy("shard").collect()]
+
+
 def test_tree_learns(more_docs):
     """Held-out texts cost well below a model of single bytes, whose cost is what a tree of the root alone gives."""
     train, held = (more_docs.filter((remainder("doc_id", 5) == 1) == x) for x in (False, True))
     texts = [suffix_tree.lowered(r.text) for r in held.collect()]
     kept = suffix_tree.retained(suffix_tree.context_counts(train)).cache()
-    whole, root = (suffix_tree.Shards([], [lambda f=f: suffix_tree.shard_of(f)]) for f in (kept, kept.filter("state = 0")))
+    whole, root = (suffix_tree.Shards([], [lambda t=t: t]) for f in (kept, kept.filter("state = 0")) for t in shards_of(f, []))
     assert whole.scores(texts).sum() > 0.6 * root.scores(texts).sum()
 
 
@@ -125,7 +129,8 @@ def test_scores_follow_the_longest_retained_suffix(spark, monkeypatch, block, mo
     ends = suffix_tree.shard_ends(kept, most)
     assert (len(ends) > 1) == (most < 20)
     monkeypatch.setattr(suffix_tree, "BLOCK", block)
-    shards = [suffix_tree.shard_of(suffix_tree.shard_rows(kept, ends, k)) for k in range(len(ends) + 1)]
+    shards = shards_of(kept, ends)
+    assert len(shards) == len(ends) + 1
     model = suffix_tree.Shards(ends, [lambda x=x: x for x in shards])
     tests = [b"", b"abcab", b"zzz ab", texts[0].encode(), b"", bytes(range(256)), b"a" * 16, b"ab" * 16]
     for t, got in zip(tests, model.scores(tests)):
@@ -280,3 +285,23 @@ def test_segmentations(docs, edge, empty, spark):
     again = sampling.sample_segmentations(docs.limit(20).repartition(3), MODEL, ["doc_id"], k=2)
     assert sorted(map(str, again.collect())) == sorted(map(str, sampling.sample_segmentations(docs.limit(20), MODEL, ["doc_id"], k=2).collect()))
     assert sampling.sample_segmentations(empty, MODEL, ["doc_id"]).collect() == []
+
+
+def test_long_words_are_like_short_ones(monkeypatch):
+    """Words gone through position by position have the lattice and, by the same draws, the samples of those that go together; texts without spaces of any length are done."""
+    vocabulary = sampling.Vocabulary(MODEL)
+    rng = np.random.default_rng(8)
+    words = ["".join(rng.choice(list("etaonis日本語\U0001f600é"), int(n))) for n in rng.integers(1, 90, 60)]
+    texts = ["".join(words[:20]), " ".join(words), words[3]]
+    found = []
+    for long in (1000, 3):
+        monkeypatch.setattr(sampling, "LONG", long)
+        lattices = sampling.Lattices(vocabulary, words)
+        found.append((lattices, list(sampling.sample(vocabulary, ["a", "b", "c"], texts, 3))))
+    (a, samples), (b, others) = found
+    assert (a.ids == b.ids).all() and (a.end == b.end).all() and np.abs(a.log_p - b.log_p).max() < 1e-6
+    assert [[(x[0].tolist(), round(x[1], 4)) for x in t] for t in samples] == [[(x[0].tolist(), round(x[1], 4)) for x in t] for t in others]
+    monkeypatch.setattr(sampling, "LONG", 96)
+    for text in ("".join(rng.choice(list("etaonishrdlu"), 200_000)), "日本語" * 50_000, "\U0001f600" * 50_000):
+        (got,) = sampling.sample(vocabulary, ["k"], [text], 3)
+        assert len(got) == (3 if len(set(text)) > 3 else 1) and all(vocabulary.spells(ids, sampling.marked(text)) and math.isfinite(p) for ids, p, *_ in got)
