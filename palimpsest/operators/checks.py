@@ -397,23 +397,43 @@ def series_inventory(latest: DataFrame, catalog: DataFrame) -> DataFrame:
     return catalog.select("series_id").join(spans, "series_id", "left").select("series_id", "first_date", "last_date", F.coalesce("n", F.lit(0)).alias("n"), F.col("first_date").isNotNull().alias("served"))
 
 
-def table_catalog(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Rows, first and last date of each table (name: table, date column)."""
+def table_catalog(tables: dict[str, tuple[DataFrame, str]], prefixes: dict[str, tuple[str, str]] | None = None) -> DataFrame:
+    """Rows, first and last date of each table (name: table, date column), and of parts of a table by the prefix of their series_id, with the number of series.
+
+    prefixes: name to table and prefix, which ends at a colon. All parts of a table come from one pass over it.
+    """
+    parts = prefixes or {}
     out = None
     for name, (df, at) in tables.items():
-        one = df.agg(F.count("*").alias("n"), F.min(at).alias("first_date"), F.max(at).alias("last_date")).select(F.lit(name).alias("name"), "n", "first_date", "last_date")
+        kinds = {name: F.lit(True)} | {p: F.col("series_id").startswith(f"{prefix}:") for p, (t, prefix) in parts.items() if t == name}
+        series = {k: F.col("series_id") if k in parts else F.lit(None).cast("string") for k in kinds}
+        rows = df.select(F.inline(F.filter(F.array(*(F.struct(F.lit(k).alias("name"), c.alias("_in"), series[k].alias("_s"), F.col(at).alias("_at")) for k, c in kinds.items())), lambda x: x["_in"])))
+        one = rows.groupBy("name").agg(F.count("*").alias("n"), F.min("_at").alias("first_date"), F.max("_at").alias("last_date"), F.count_distinct("_s").alias("series"))
+        known = df.sparkSession.createDataFrame([(k, k in parts) for k in kinds], "name string, _part boolean")
+        one = known.join(one, "name", "left").select("name", F.coalesce("n", F.lit(0)).alias("n"), "first_date", "last_date", F.when(F.col("_part"), F.coalesce("series", F.lit(0))).alias("series"))
         out = one if out is None else out.unionByName(one)
     return out
 
 
-def run_log(manifest: DataFrame, loads: DataFrame) -> DataFrame:
-    """One row for each run of the manifest or the loads: outcome (died if it has no manifest), start, end and groups that were blocked."""
+def run_log(manifest: DataFrame, loads: DataFrame, results: DataFrame | None = None) -> DataFrame:
+    """One row for each run of the manifest or the loads: outcome, start and end of its loads, seconds between them, groups that were blocked or failed, and failing checks.
+
+    Outcome: died if there is no manifest; failed or blocked if all groups are, whichever is worse; partial if some are or are carried forward; published if some group is; else carried. results: run_id,
+    check_id, status; failing checks are those neither passed nor acknowledged, in order, joined by commas.
+    """
+    bad, worst = F.col("outcome").isin("blocked", "failed"), F.bool_or(F.col("outcome") == "failed")
+    held = F.col("outcome").isin("carried_forward", "never_published")
     m = manifest.groupBy("run_id").agg(
-        F.when(F.bool_and(F.col("outcome") == "blocked"), "blocked").when(F.bool_or(F.col("outcome") == "blocked"), "partial").when(F.bool_or(F.col("outcome") == "published"), "published").otherwise("carried").alias("_outcome"),
-        F.count_if(F.col("outcome") == "blocked").alias("_blocked"),
+        F.when(F.bool_and(bad), F.when(worst, "failed").otherwise("blocked")).when(F.bool_or(bad) | (F.bool_or(held) & F.bool_or(F.col("outcome") == "published")), "partial").when(F.bool_or(F.col("outcome") == "published"), "published").otherwise("carried").alias("_outcome"),
+        F.count_if(F.col("outcome") == "blocked").alias("_blocked"), F.count_if(F.col("outcome") == "failed").alias("_failed"),
     )
     l = loads.groupBy("run_id").agg(F.min("loaded_at").alias("started"), F.max("loaded_at").alias("ended"))
-    return l.join(m, "run_id", "full").select("run_id", F.coalesce("_outcome", F.lit("died")).alias("outcome"), "started", "ended", F.coalesce("_blocked", F.lit(0)).alias("blocked"))
+    out = l.join(m, "run_id", "full")
+    out = out.select("run_id", F.coalesce("_outcome", F.lit("died")).alias("outcome"), "started", "ended", (F.unix_timestamp("ended") - F.unix_timestamp("started")).alias("seconds"), F.coalesce("_blocked", F.lit(0)).alias("blocked"), F.coalesce("_failed", F.lit(0)).alias("failed"))
+    if results is None:
+        return out
+    failing = results.filter(~F.col("status").isin("passed", "acknowledged")).groupBy("run_id").agg(F.array_join(F.array_sort(F.collect_set("check_id")), ",").alias("failing_checks"))
+    return out.join(failing, "run_id", "left")
 
 
 def days_without_run(log: DataFrame) -> DataFrame:

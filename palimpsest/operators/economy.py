@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions.aggregates import classed
 from palimpsest.operators.finance import ratio
-from palimpsest.operators.ranges import cut, running
+from palimpsest.operators.ranges import cut, quantiles, running
+from palimpsest.operators.statements import filed_spans, quarters
 
 
 # Monthly and yearly series
@@ -90,6 +91,28 @@ def seasonality(m: DataFrame, by: list[str], high: tuple[int, int] = (1, 4), low
     return m.groupBy(*by, F.year("m").alias("y")).agg(ratio(F.max(F.when(month.between(*high), F.col("v"))), F.min(F.when(month.between(*low), F.col("v")))).alias("ratio"), F.count("*").alias("months"))
 
 
+def survey_against_census(survey: DataFrame, census: DataFrame, year: int) -> DataFrame:
+    """Per month of a year: the survey's value, the census's, and how far the census is from it as a share.
+
+    survey: m (first of month), v. census: y, q and the values of the quarter's months, m1, m2, m3.
+    """
+    months = census.filter(F.col("y") == year).select("y", "q", F.posexplode(F.array("m1", "m2", "m3")).alias("_i", "census"))
+    dated = months.select(F.make_date("y", (F.col("q") - 1) * 3 + F.col("_i") + 1, F.lit(1)).alias("m"), "census")
+    return survey.join(dated, "m").select("m", F.col("v").alias("survey"), "census", (ratio(F.col("census"), F.col("v")) - 1).alias("gap"))
+
+
+def suppression_counts(df: DataFrame, level: str, hidden: str) -> DataFrame:
+    """Per level: areas, and those whose figures are withheld."""
+    return df.groupBy(level).agg(F.count("*").alias("areas"), F.count_if(F.expr(hidden)).alias("withheld"))
+
+
+def seasonal_states(df: DataFrame, area: str, quarter: str, value: str, high: int = 1, low: int = 3) -> DataFrame:
+    """Per area the value of the high quarter over that of the low one, of areas that show both and have some in the low one. Withheld values are null."""
+    of = lambda q: F.max(F.when(F.col(quarter) == q, F.col(value)))
+    both = df.groupBy(area).agg(of(high).alias("high"), of(low).alias("low")).filter("high IS NOT NULL AND low > 0")
+    return both.withColumn("ratio", ratio(F.col("high"), F.col("low")))
+
+
 def identity_gap(wide: DataFrame, by: list[str], at: str, orders: str, shipments: str, backlog: str) -> DataFrame:
     """Orders against shipments plus the change in backlog: median and largest absolute gap as a share of orders."""
     w = Window.partitionBy(*by).orderBy(at)
@@ -128,16 +151,33 @@ def decompose_growth(df: DataFrame, year: str, people: str, employed: str, outpu
 
 
 def growth_vs_economy(panel: DataFrame, key: str, year: str, value: str, macro: DataFrame) -> DataFrame:
-    """Members with both years: pairs, share that grew faster than the economy (year, macro), quartiles of growth, and growth of their sum."""
+    """Members with both years: pairs, share that grew faster than the economy, quartiles of growth, growth of their sum, and of what is left after inflation: median, share that grew, growth of the sum.
+
+    macro: year, macro and, for the last three, prices.
+    """
     before = panel.select(key, (F.col(year) + 1).alias(year), F.col(value).alias("_b"))
-    economy = macro.join(macro.select((F.col(year) + 1).alias(year), F.col("macro").alias("_m")), year).select(year, (ratio(F.col("macro"), F.col("_m")) - 1).alias("_e"))
+    growth = [(ratio(F.col(c), F.col(f"_{c}")) - 1).alias(n) for c, n in (("macro", "_e"), ("prices", "_i"))]
+    economy = macro.join(macro.select((F.col(year) + 1).alias(year), F.col("macro").alias("_macro"), F.col("prices").alias("_prices")), year).select(year, *growth)
     rows = panel.join(before, [key, year]).join(economy, year).withColumn("_g", ratio(F.col(value), F.col("_b")) - 1)
+    rows = rows.withColumn("_r", (1 + F.col("_g")) / (1 + F.col("_i")) - 1)
+    aggregate = ratio(F.sum(value), F.sum("_b")) - 1
     return rows.groupBy(year).agg(
         F.count("*").alias("pairs"), ratio(F.count_if(F.col("_g") > F.col("_e")), F.count("*")).alias("beat"), F.percentile("_g", 0.25).alias("q1"), F.percentile("_g", 0.75).alias("q3"),
-        (ratio(F.sum(value), F.sum("_b")) - 1).alias("aggregate"),
+        aggregate.alias("aggregate"), F.median("_r").alias("real_median"), ratio(F.count_if(F.col("_r") > 0), F.count("*")).alias("real_up"), ((1 + aggregate) / (1 + F.first("_i")) - 1).alias("real_aggregate"),
     )
 
 
+def scorecard_distribution(panel: DataFrame, key: str, year: str, value: str, macro: DataFrame, first: int, last: int) -> DataFrame:
+    """Members with growth in every year of a span: how many outgrew the economy in how many of its years, 0 to all."""
+    before = panel.select(key, (F.col(year) + 1).alias(year), F.col(value).alias("_b"))
+    economy = macro.join(macro.select((F.col(year) + 1).alias(year), F.col("macro").alias("_m")), year).select(year, (ratio(F.col("macro"), F.col("_m")) - 1).alias("_e"))
+    rows = panel.join(before, [key, year]).join(economy, year).filter(F.col(year).between(first, last))
+    beat = ratio(F.col(value), F.col("_b")) - 1 > F.col("_e")
+    each = rows.groupBy(key).agg(F.count("*").alias("_n"), F.count_if(beat).alias("beat")).filter(F.col("_n") == last - first + 1)
+    every = panel.sparkSession.range(last - first + 2).select(F.col("id").alias("beat"))
+    return every.join(each.groupBy("beat").agg(F.count("*").alias("members")), "beat", "left").select("beat", F.coalesce("members", F.lit(0)).alias("members"))
+
+
 def sector_scorecard(panel: DataFrame, sector: str, year: str, value: str) -> DataFrame:
     """Per sector: years, years in which it grew faster than all together, and its cumulative growth relative to them."""
     own = panel.groupBy(sector, year).agg(F.sum(value).alias("_s"))
@@ -160,13 +200,14 @@ def foreign_share(parts: DataFrame, by: list[str], foreign: str, domestic: str,
 
 
 def concept_index(facts: DataFrame, statements: DataFrame) -> DataFrame:
-    """Per concept: facts, filers, first and last year, most frequent unit (the smallest of equals) and the statement that most filings place it in. statements: accession, concept, stmt."""
+    """Per concept: facts, instants (facts without a start) and whether most are, filers, first and last year, most frequent unit (the smallest of equals) and the statement that most filings place it in. statements: accession, concept, stmt."""
 
     def most(df: DataFrame, col: str) -> DataFrame:
         return df.groupBy("concept", col).agg(F.count("*").alias("_n")).groupBy("concept").agg(F.min(F.struct((-F.col("_n")).alias("_n"), col))[col].alias(col))
 
     year = F.year("end_date")
-    index = facts.groupBy("concept").agg(F.count("*").alias("n_facts"), F.count_distinct("cik").alias("filers"), F.min(year).alias("first_year"), F.max(year).alias("last_year"))
+    instants = F.count_if(F.col("start_date").isNull())
+    index = facts.groupBy("concept").agg(F.count("*").alias("n_facts"), instants.alias("instants"), (instants * 2 > F.count("*")).alias("point_in_time"), F.count_distinct("cik").alias("filers"), F.min(year).alias("first_year"), F.max(year).alias("last_year"))
     return index.join(most(facts, "unit"), "concept").join(most(statements.select("accession", "concept", "stmt").distinct(), "stmt"), "concept", "left")
 
 
@@ -189,6 +230,16 @@ def company_profile(facts: DataFrame, cik: int) -> DataFrame:
     return own.groupBy("concept", "end_date").agg(F.count_distinct(F.abs("val")).alias("n_values"), F.max_by("val", F.struct("filed", "accession", "val")).alias("latest")).withColumn("two_values", F.col("n_values") > 1)
 
 
+def company_years_and_quarters(facts: DataFrame, cik: int, items: dict[str, list[str]]) -> DataFrame:
+    """One company's annual values and quarters, the fourth worked out where it isn't filed: item, period (year or quarter), end_date, val, source.
+
+    items: name to concepts in order of preference. Quarters are those of statements.quarters; of a year the value filed last counts.
+    """
+    spans = filed_spans(facts.filter(F.col("cik") == cik), items)
+    years = spans.filter("quarters = 4 AND annual").select("item", F.lit("year").alias("period"), "end_date", "val", F.lit("reported").alias("source"))
+    return years.unionByName(quarters(spans).select("item", F.lit("quarter").alias("period"), "end_date", "val", "source"))
+
+
 # Populations, places and lineages
 
 
@@ -290,6 +341,12 @@ def survivors(lines: DataFrame) -> DataFrame:
     return lines.filter("NOT looped").groupBy("survivor").agg(F.count_distinct("o").alias("merged"), F.max("steps").alias("longest"))
 
 
+def tree_rows(lines: DataFrame, edges: DataFrame, least: int = 1) -> DataFrame:
+    """The tree of each survivor with at least so many members: survivor, member, its acquirer and the steps left. Every member is in one tree, once."""
+    large = survivors(lines).filter(F.col("merged") >= least).select("survivor")
+    return lines.filter("NOT looped").join(large, "survivor").join(edges, "o").select("survivor", F.col("o").alias("member"), F.col("a").alias("acquirer"), "steps")
+
+
 def alive_by_year(entities: DataFrame, start: str, end: str) -> DataFrame:
     """Entities alive at each year. Each is written once a year of its life; sums are combined before their shuffle."""
     return entities.select(F.explode(F.sequence(start, end)).alias("y")).groupBy("y").agg(F.count("*").alias("alive"))
@@ -318,6 +375,25 @@ def case_comparison(a: DataFrame, b: DataFrame, by: list[str], at: str, value: s
     return sums[0].join(sums[1], by, "full").select(*by, *(F.coalesce(n, F.lit(0)).alias(n) for n in ("left_n", "right_n")))
 
 
+def division_gaps(counts: DataFrame, divisions: DataFrame, area: str, at: list[str], total: str) -> DataFrame:
+    """Times at which a division's own count isn't the sum of its areas': division, time, both. counts has both kinds of area; divisions: division, member. Areas that report nothing then count with zero."""
+    own = counts.join(divisions.select(F.col("division").alias(area)).distinct(), area).select(F.col(area).alias("division"), *at, F.col(total).alias("own"))
+    parts = counts.join(divisions.select("division", F.col("member").alias(area)), area).groupBy("division", *at).agg(F.sum(total).alias("parts"))
+    return own.join(parts, ["division", *at], "left").withColumn("parts", F.coalesce("parts", F.lit(0))).filter("own <> parts")
+
+
+def monthly_breadth(df: DataFrame, at: str, area: str, place: str, value: str) -> DataFrame:
+    """Per month: sum, areas and places with a value above 0."""
+    some = F.col(value) > 0
+    return df.groupBy(F.date_trunc("month", at).cast("date").alias("m")).agg(F.sum(value).alias("total"), F.count_distinct(F.when(some, F.col(area))).alias("areas"), F.count_distinct(F.when(some, F.col(place))).alias("places"))
+
+
+def yearly_places(df: DataFrame, at: str, place: str, value: str, many: float) -> DataFrame:
+    """Per year: places, and those whose sum is at least `many`."""
+    sums = df.groupBy(F.year(at).alias("y"), place).agg(F.sum(value).alias("_t"))
+    return sums.groupBy("y").agg(F.count("*").alias("places"), F.count_if(F.col("_t") >= many).alias("over"))
+
+
 def income_shares(df: DataFrame, year: str, place: str, income: str, total: str, jump: float) -> DataFrame:
     """Each place's share of the year's total, its change on the year before, and whether that is a jump."""
     sums = df.groupBy(year, place).agg(F.sum(income).alias("_i"), F.sum(total).alias("_t"))
@@ -326,6 +402,11 @@ def income_shares(df: DataFrame, year: str, place: str, income: str, total: str,
     return rows.select(year, place, "share", change.alias("change"), F.coalesce(F.abs(change) > jump, F.lit(False)).alias("jumped"))
 
 
+def share_deciles(rows: DataFrame, year: str, share: str) -> DataFrame:
+    """Per year the tenth, fiftieth and ninetieth percentile of the places' shares, exact."""
+    return quantiles(rows, [year], share, {"p10": 0.1, "p50": 0.5, "p90": 0.9})
+
+
 def hierarchy_ties(parts: DataFrame, totals: DataFrame, parent: str, value: str, tolerance: float) -> DataFrame:
     """Parents whose parts don't add up to their total, with both; a parent that either side lacks counts with zero there."""
     sums = parts.groupBy(parent).agg(F.sum(value).alias("parts")).join(totals.select(parent, F.col(value).alias("total")), parent, "full")
@@ -341,11 +422,17 @@ def file_vintage_diff(a: DataFrame, b: DataFrame, keys: list[str], by: list[str]
 
 
 def band_shares(df: DataFrame, by: list[str], value: str, edges: list[tuple[float, str]], last: str) -> DataFrame:
-    """Members, value and share of each band; bands' totals add up to the group's."""
+    """Members, value and share of each band of each group."""
     bands = df.groupBy(*by, classed(F.col(value), edges, last).alias("band")).agg(F.count("*").alias("n"), F.sum(value).alias("total"))
     return bands.withColumn("share", ratio(F.col("total"), F.sum("total").over(Window.partitionBy(*by))))
 
 
+def band_ties(bands: DataFrame, by: list[str], national: DataFrame, value: str) -> DataFrame:
+    """Per group the bands' sum less the national total (`gap`), null where one of them is missing. national: by, value."""
+    sums = bands.groupBy(*by).agg(F.sum("total").alias("bands"))
+    return sums.join(national.select(*by, F.col(value).alias("national")), by, "full").withColumn("gap", F.col("bands") - F.col("national"))
+
+
 # Registers
 
 
@@ -358,6 +445,15 @@ def preparers(df: DataFrame, name: str, credentials: str, firms: dict[str, str],
     return rows.select("name", firm.alias("firm"), "n", "credentialed", classed(F.col("n"), edges, last).alias("size_class"))
 
 
+def preparers_by_state(df: DataFrame, state: str, credentials: str, codes: list[str], returns: DataFrame) -> DataFrame:
+    """Per state that has returns: preparers, those with each code of a comma list (`has_<code>`), those without any, paid returns for each preparer. returns: state, paid."""
+    listed = F.filter(F.transform(F.split(F.coalesce(credentials, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
+    counts = df.select(state, listed.alias("_l")).groupBy(state).agg(
+        F.count("*").alias("preparers"), *(F.count_if(F.array_contains("_l", c)).alias(f"has_{c}") for c in codes), F.count_if(F.size("_l") == 0).alias("none")
+    )
+    return counts.join(returns.select(state, "paid"), state).withColumn("paid_each", ratio(F.col("paid"), F.col("preparers"))).drop("paid")
+
+
 def mine_text(docs: DataFrame, id_col: str, text: str, patterns: dict[str, str]) -> DataFrame:
     """Per text and pattern that it matches: how many figures there are and the first; patterns have one group. Whole texts are read."""
     found = F.array(*(F.struct(F.lit(n).alias("pattern"), F.regexp_extract_all(text, F.lit(p), 1).alias("all")) for n, p in patterns.items()))
@@ -382,6 +478,20 @@ def adviser_table(df: DataFrame, by: list[str], value: str, flags: dict[str, str
     )
 
 
+def adviser_buckets(df: DataFrame, assets: str, clients: str, edges: list[tuple[float, str]], last: str, least: int = 5) -> DataFrame:
+    """Firms, clients and assets by assets for each client, of firms with at least `least` clients and some assets."""
+    rows = df.filter((F.col(clients) >= least) & (F.col(assets) > 0))
+    each = ratio(F.col(assets), F.col(clients))
+    return rows.groupBy(classed(each, edges, last).alias("bucket")).agg(F.count("*").alias("firms"), F.sum(clients).alias("clients"), F.sum(assets).alias("assets"))
+
+
+def top_firms(df: DataFrame, name: str, clients: str, assets: str, n: int) -> DataFrame:
+    """The n firms with the most clients: clients, share of all clients, assets for each client."""
+    total = df.filter(F.col(clients) > 0).agg(F.sum(clients).alias("_t"))
+    best = df.filter(F.col(clients) > 0).orderBy(F.desc(clients), name).limit(n).join(F.broadcast(total))  # one row
+    return best.select(name, clients, ratio(F.col(clients), F.col("_t")).alias("share"), ratio(F.col(assets), F.col(clients)).alias("each"))
+
+
 def insider_stats(trades: DataFrame, by: str) -> DataFrame:
     """Days from trade to filing (median, ninetieth percentile), filings and joint ones, which have several owners. trades: accession, cik, filed, end_date."""
     owners = trades.groupBy("accession").agg(F.count_distinct("cik").alias("_owners"))
@@ -390,6 +500,12 @@ def insider_stats(trades: DataFrame, by: str) -> DataFrame:
     return trades.join(owners, "accession").groupBy(by).agg(F.count("*").alias("trades"), F.percentile(days, 0.5).alias("med_lag"), F.percentile(days, 0.9).alias("p90_lag"), F.count_distinct("accession").alias("filings"), joint.alias("joint"))
 
 
+def code_counts(trades: DataFrame, owners: DataFrame, code: str, relationship: str) -> DataFrame:
+    """How many trades have each code, and owners each relationship: kind, label, n. A missing label is (blank)."""
+    one = lambda df, c, kind: df.groupBy(F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit("(blank)")).alias("label")).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "label", "n")
+    return one(trades, code, "code").unionByName(one(owners, relationship, "relationship"))
+
+
 def crosswalk(df: DataFrame, listed: DataFrame, name: str, key: str) -> DataFrame:
     """Each name with the key of the listed name that is equal once normalized, or a problem: unknown, or ambiguous where several keys share it."""
 
@@ -414,11 +530,19 @@ def price_population(prices: DataFrame, ref: DataFrame, watch: DataFrame) -> Dat
     return rows.select("ticker", F.coalesce("n", F.lit(0)).alias("n"), "a", "b", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("ref_n", "splits", "dividends")))
 
 
-def regional_mean(panel: DataFrame, by: list[str], region: str, value: str, weight: str, world: str) -> DataFrame:
-    """Weighted mean of each region and of all together, of rows that have both value and weight."""
-    rows = panel.filter(F.col(value).isNotNull() & F.col(weight).isNotNull()).groupBy(region, *by).agg(F.sum(F.col(value) * F.col(weight)).alias("_v"), F.sum(weight).alias("_w"))
-    every = rows.groupBy(*by).agg(F.sum("_v").alias("_v"), F.sum("_w").alias("_w"))
-    return rows.select(F.col(region).cast("string").alias(region), *by, "_v", "_w").unionByName(every.select(F.lit(world).alias(region), *by, "_v", "_w")).select(region, *by, ratio(F.col("_v"), F.col("_w")).alias("weighted"))
+def regional_mean(panel: DataFrame, by: list[str], region: str, value: str, weight: str, world: str, member: str | None = None) -> DataFrame:
+    """Weighted mean of each region and of all together, of rows that have both value and weight.
+
+    With `member`, over a balanced panel: only members with a value and weight for every one of the panel's `by`.
+    """
+    rows = panel.filter(F.col(value).isNotNull() & F.col(weight).isNotNull())
+    if member is not None:
+        every = panel.select(*by).distinct().agg(F.count("*").alias("_all"))
+        whole = rows.groupBy(member).agg(F.count_distinct(F.struct(*by)).alias("_n")).join(F.broadcast(every))  # one row
+        rows = rows.join(whole.filter("_n = _all").select(member), member, "left_semi")
+    sums = rows.groupBy(region, *by).agg(F.sum(F.col(value) * F.col(weight)).alias("_v"), F.sum(weight).alias("_w"))
+    every = sums.groupBy(*by).agg(F.sum("_v").alias("_v"), F.sum("_w").alias("_w"))
+    return sums.select(F.col(region).cast("string").alias(region), *by, "_v", "_w").unionByName(every.select(F.lit(world).alias(region), *by, "_v", "_w")).select(region, *by, ratio(F.col("_v"), F.col("_w")).alias("weighted"))
 
 
 def domicile_matrix(details: DataFrame, codes: DataFrame, addresses: str) -> DataFrame:
@@ -441,3 +565,15 @@ def trade_flows(flows: DataFrame, gdp: DataFrame) -> DataFrame:
         "place", F.coalesce("partners", F.lit(0)).alias("partners"), exports.alias("exports"), (exports - imports).alias("balance"), ratio(exports, F.col("gdp")).alias("openness"),
         F.col("_top.dest").alias("largest"), ratio(F.col("_top.v"), F.col("exports")).alias("largest_share"),
     )
+
+
+def partner_coverage(flows: DataFrame, totals: DataFrame, members: int) -> DataFrame:
+    """Of the latest year in which `members` places report both exports and imports to the world: each place and direction, its world total and the share of it that the named partners make up.
+
+    flows: year, place, direction, partner, v. totals: year, place, direction, v.
+    """
+    complete = totals.groupBy("year").agg(F.count_distinct("place", "direction").alias("_n")).filter(F.col("_n") == 2 * members).agg(F.max("year").alias("year"))
+    latest = lambda df: df.join(F.broadcast(complete), "year", "left_semi")  # noqa: E731  one row
+    parts = latest(flows).groupBy("place", "direction").agg(F.sum("v").alias("_p"))
+    whole = latest(totals).groupBy("year", "place", "direction").agg(F.sum("v").alias("total"))
+    return whole.join(parts, ["place", "direction"], "left").select("year", "place", "direction", "total", ratio(F.coalesce("_p", F.lit(0)), F.col("total")).alias("covered"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palimpsest.functions.aggregates import arg_max
+from palimpsest.operators.joins import period_average
 from palimpsest.operators.ranges import running
 
 
@@ -52,12 +53,24 @@ def concentration(df: DataFrame, by: list[str], value: str, tie: list[str], labe
     )
 
 
-def industry_codes(df: DataFrame, code: str, bounds: list[tuple[int, str]], last: str, value: str, large: float) -> DataFrame:
-    """Each row with its code's first digits (`sic1`), the sector whose bound the code lies below, and a size class."""
-    sector = F.lit(last)
+#: SIC divisions by the code's first two digits, both ends included.
+DIVISIONS = [("A", 1, 9), ("B", 10, 14), ("C", 15, 17), ("D", 20, 39), ("E", 40, 49), ("F", 50, 51), ("G", 52, 59), ("H", 60, 67), ("I", 70, 89), ("J", 91, 97), ("K", 99, 99)]
+#: Classes of exchanges, the first that an exchange of the company's list is in.
+EXCHANGES = [("NYSE", ["NYSE", "NYSE American", "NYSE Arca"]), ("Nasdaq", ["Nasdaq"]), ("OTC", ["OTC"])]
+
+
+def industry_codes(df: DataFrame, code: str, bounds: list[tuple[int, str]], last: str, value: str, large: float, exchanges: str | None = None) -> DataFrame:
+    """Each row with its four-digit code's first digits (`sic2`, `sic3`), division (null where no division holds it), the sector whose bound the code lies below, a size class and, from a list of exchanges, its class."""
+    sector, two = F.lit(last), F.floor(F.col(code) / 100)
     for bound, name in reversed(bounds):
         sector = F.when(F.col(code) < bound, name).otherwise(sector)
-    return df.select("*", F.floor(F.col(code) / 10).alias("sic1"), sector.alias("sector"), F.when(F.col(value) < large, "small").otherwise("large").alias("size"))
+    division = F.coalesce(*(F.when(two.between(lo, hi), letter) for letter, lo, hi in DIVISIONS))
+    out = df.withColumns({"sic2": two, "sic3": F.floor(F.col(code) / 10), "division": division, "sector": sector, "size": F.when(F.col(value) < large, "small").otherwise("large")})
+    if exchanges is None:
+        return out
+    listed = F.filter(F.col(exchanges), lambda x: x.isNotNull())
+    named = [F.when(F.arrays_overlap(listed, F.array(*map(F.lit, xs))), n) for n, xs in EXCHANGES]
+    return out.withColumn("exchange", F.coalesce(*named, F.when(F.size(listed) > 0, "Other exchange"), F.lit("No ticker listed")))
 
 
 def grain_table(df: DataFrame, member: str, grains: dict[str, Column], least: int) -> DataFrame:
@@ -86,10 +99,19 @@ def profitability(df: DataFrame, by: list[str], value: str, income: str) -> Data
     return df.groupBy(*by).agg(ratio(F.sum(income), F.sum(value)).alias("margin"), F.count_if(F.col(income) < 0).alias("losing"), F.count("*").alias("n"))
 
 
-def concentration_over_time(df: DataFrame, year: str, group: str, value: str) -> DataFrame:
-    """Median of the groups' indices (squares of shares, times 10,000) each year, from sums alone."""
-    sums = df.groupBy(year, group).agg(F.sum(value).alias("_s"), F.sum(F.col(value).cast("double") * F.col(value).cast("double")).alias("_q"))
-    return sums.groupBy(year).agg(F.median(F.round(F.try_divide("_q", F.col("_s").cast("double") * F.col("_s").cast("double")) * 10_000, 3)).alias("median_hhi"))
+def concentration_over_time(df: DataFrame, year: str, group: str, value: str, tie: list[str], least: int = 10) -> DataFrame:
+    """Each year's companies with a value above 0, the shares of the 10 and the 100 largest, how many groups have at least `least` companies, and the median of those groups' indices (squares of shares, times 10,000).
+
+    The largest are found by top-k in each task first; a group's index comes from sums alone. Rows without a group count in the shares.
+    """
+    rows = df.filter(F.col(value) > 0)
+    top = rows.withColumn("_rk", F.row_number().over(Window.partitionBy(year).orderBy(F.desc(value), *tie))).filter("_rk <= 100")
+    largest = top.groupBy(year).agg(F.sum(F.when(F.col("_rk") <= 10, F.col(value))).alias("_10"), F.sum(value).alias("_100"))
+    totals = rows.groupBy(year).agg(F.count("*").alias("companies"), F.sum(value).alias("_t"))
+    sums = rows.filter(F.col(group).isNotNull()).groupBy(year, group).agg(F.count("*").alias("_n"), F.sum(value).alias("_s"), F.sum(F.col(value).cast("double") * F.col(value).cast("double")).alias("_q")).filter(F.col("_n") >= least)
+    groups = sums.groupBy(year).agg(F.count("*").alias("groups"), F.median(F.round(F.try_divide("_q", F.col("_s").cast("double") * F.col("_s").cast("double")) * 10_000, 3)).alias("median_hhi"))
+    out = totals.join(largest, year).join(groups, year, "left")
+    return out.select(year, "companies", ratio(F.col("_10"), F.col("_t")).alias("top10"), ratio(F.col("_100"), F.col("_t")).alias("top100"), F.coalesce("groups", F.lit(0)).alias("groups"), "median_hhi")
 
 
 def share_at_grains(df: DataFrame, member: str, key: int, year: str, value: str, grains: dict[str, str]) -> DataFrame:
@@ -111,12 +133,16 @@ def filers_vs_macro(filings: DataFrame, forms: list[str], macro: DataFrame, at:
     return filers.join(macro.groupBy(F.year(at).alias("y")).agg(F.avg(value).alias("macro")), "y")
 
 
-def deflate(rev: DataFrame, year: str, value: str, index: DataFrame, at: str, level: str, base_year: int) -> DataFrame:
-    """Each row's value at the price level of the base year (`real`); the index has a mean for each year."""
-    yearly = index.groupBy(F.year(at).alias(year)).agg(F.avg(level).alias("_p"))
-    base = yearly.filter(F.col(year) == base_year).select(F.col("_p").alias("_b"))
-    factors = yearly.join(F.broadcast(base)).select(year, (F.col("_p") / F.col("_b")).alias("_f"))  # one base row
-    return rev.join(factors, year).withColumn("real", ratio(F.col(value), F.col("_f"))).drop("_f")
+def deflate(rev: DataFrame, start: str, end: str, value: str, index: DataFrame, at: str, level: str, base_year: int) -> DataFrame:
+    """Each row's value at the price level of a calendar year (`real`), with the months of the index inside its own period [start, end) and their mean (`index_months`, `index_mean`).
+
+    Months of a period meet those of the index by equality, so no range is joined. A period without a month of the index has no row; without the base year real is null.
+    """
+    base = index.filter(F.year(at) == base_year).agg(F.avg(level).alias("_b"))
+    spans = rev.select(start, end).distinct()
+    met = period_average(spans, index.filter(F.col(level).isNotNull()), at, level, [], start, end).withColumnsRenamed({"mean": "index_mean", "n": "index_months"})
+    rows = rev.join(met, [start, end]).join(F.broadcast(base))  # one base row
+    return rows.withColumn("real", ratio(F.col(value), F.col("index_mean")) * F.col("_b")).drop("_b")
 
 
 def ratio_by_group(facts: DataFrame, details: DataFrame, top: str, bottom: str, frame: tuple[str, str], by: str) -> DataFrame:
@@ -186,10 +212,17 @@ def restatement_summary(changed: DataFrame, year: str) -> DataFrame:
     return changed.groupBy(year).agg(F.count("*").alias("restated"), F.count_distinct("cik").alias("companies"))
 
 
-def years_changed(changed: DataFrame, year: str, last: int, span: int = 10) -> DataFrame:
-    """How many companies changed how many of the `span` years up to the last."""
-    each = changed.filter(F.col(year).between(last - span + 1, last)).groupBy("cik").agg(F.count_distinct(year).alias("years"))
-    return each.groupBy("years").agg(F.count("*").alias("companies"))
+def years_changed(facts: DataFrame, changed: DataFrame, year: str, last: int, span: int = 10) -> DataFrame:
+    """Of companies with a value in every one of the `span` years up to the last: how many had how many of those years changed, 0 to span.
+
+    facts: cik and year of every value reported; changed: those of the values that changed.
+    """
+    window = F.col(year).between(last - span + 1, last)
+    whole = facts.filter(window).groupBy("cik").agg(F.count_distinct(year).alias("_n")).filter(F.col("_n") == span).select("cik")
+    each = whole.join(changed.filter(window).groupBy("cik").agg(F.count_distinct(year).alias("years")), "cik", "left")
+    counts = each.groupBy(F.coalesce("years", F.lit(0)).alias("years")).agg(F.count("*").alias("companies"))
+    every = facts.sparkSession.range(span + 1).select(F.col("id").alias("years"))
+    return every.join(counts, "years", "left").select("years", F.coalesce("companies", F.lit(0)).alias("companies"))
 
 
 # Quarters
@@ -208,6 +241,18 @@ def annual_tie(quarters: DataFrame, years: DataFrame, keys: list[str], tolerance
     return years.join(four, [*keys, "yr"]).agg(F.count("*").alias("n"), F.count_if(gap > tolerance).alias("off"))
 
 
+def growth_fit(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Correlation of two sources' growth over the quarter a year earlier (keys, q, v), with all quarters and without fourth ones, and the pairs of each."""
+
+    def growth(df: DataFrame, name: str) -> DataFrame:
+        before = df.select(*keys, F.add_months("q", 12).alias("q"), F.col("v").alias("_b"))
+        return df.join(before, [*keys, "q"]).select(*keys, "q", (ratio(F.col("v"), F.col("_b")) - 1).alias(name))
+
+    rows = growth(a, "_x").join(growth(b, "_y"), [*keys, "q"]).filter("_x IS NOT NULL AND _y IS NOT NULL")
+    early = F.quarter("q") != 4
+    return rows.agg(F.count("*").alias("n"), F.corr("_x", "_y").alias("fit"), F.count_if(early).alias("n_early"), F.corr(F.when(early, F.col("_x")), F.when(early, F.col("_y"))).alias("fit_early"))
+
+
 # Returns on capital
 
 
@@ -243,6 +288,16 @@ def industry_returns(df: DataFrame, by: str, year: str, income: str, capital: st
     return df.groupBy(by).agg(*(ratio(F.sum(F.when(c, F.col(income))), F.sum(F.when(c, F.col(capital)))).alias(n) for n, c in inside.items()))
 
 
+def top_industries(df: DataFrame, members: DataFrame, key: str, by: str, year: str, income: str, capital: str, entry: int, exit_year: int, n: int) -> DataFrame:
+    """Industries of a cohort's members (key) by their capital in the entry year, the n largest: members, capital, share of the cohort's, return, and members and return in the exit year (null if none is left)."""
+    rows = df.join(members.select(key).distinct(), key, "left_semi")
+    at = lambda y: rows.filter(F.col(year) == y).groupBy(by).agg(F.count("*").alias("n"), F.sum(capital).alias("capital"), ratio(F.sum(income), F.sum(capital)).alias("ret"))
+    total = rows.filter(F.col(year) == entry).agg(F.sum(capital).alias("_t"))
+    late = at(exit_year).select(by, F.col("n").alias("exit_n"), F.col("ret").alias("exit_ret"))
+    first = at(entry).orderBy(F.desc("capital"), by).limit(n).join(F.broadcast(total))  # one row
+    return first.join(late, by, "left").select(by, "n", "capital", ratio(F.col("capital"), F.col("_t")).alias("share"), "ret", "exit_n", "exit_ret")
+
+
 def peak_order(df: DataFrame, key: str, year: str, a: str, b: str) -> DataFrame:
     """Years of the best `a` and `b` of each member, which came first, and whether either peak is at the panel's edge (censored)."""
     best = df.groupBy(key).agg(F.max_by(year, F.struct(a, year)).alias("best_a"), F.max_by(year, F.struct(b, year)).alias("best_b"), F.max(year).alias("_last"), F.min(year).alias("_first"))

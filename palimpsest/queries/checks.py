@@ -434,12 +434,26 @@ def k10_series_inventory(spark, d):
     return C.series_inventory(newest(spark, d).filter("split_part(series_id, ':', 3) <> '9'"), table(spark, d, "series_catalog"))
 
 
-@query("SELECT 'obs' AS name, count(*) AS n, min(obs_date) AS first_date, max(obs_date) AS last_date FROM obs UNION ALL SELECT 'prices', count(*), min(obs_date), max(obs_date) FROM prices UNION ALL SELECT 'facts', count(*), min(filed), max(filed) FROM facts")
+@query("""SELECT 'obs' AS name, count(*) AS n, min(obs_date) AS first_date, max(obs_date) AS last_date, CAST(NULL AS BIGINT) AS series FROM obs UNION ALL SELECT 'prices', count(*), min(obs_date), max(obs_date), NULL FROM prices UNION ALL SELECT 'facts', count(*), min(filed), max(filed), NULL FROM facts
+ UNION ALL SELECT 'clicks', count(*), min(obs_date), max(obs_date), count(DISTINCT series_id) FROM obs WHERE series_id LIKE 'ev:click:%' UNION ALL SELECT 'none', 0, NULL, NULL, 0""")
 def k11_table_catalog(spark, d):
-    return C.table_catalog({"obs": (table(spark, d, "obs"), "obs_date"), "prices": (table(spark, d, "prices"), "obs_date"), "facts": (table(spark, d, "facts"), "filed")})
+    tables = {"obs": (table(spark, d, "obs"), "obs_date"), "prices": (table(spark, d, "prices"), "obs_date"), "facts": (table(spark, d, "facts"), "filed")}
+    return C.table_catalog(tables, {"clicks": ("obs", "ev:click"), "none": ("obs", "ev:cli")})
 
 
-@query(f"""SELECT l.run_id, CASE WHEN CAST(substr(l.run_id, 2) AS INTEGER) % 5 = 0 THEN 'died' WHEN bool_and(outcome = 'blocked') THEN 'blocked' WHEN bool_or(outcome = 'blocked') THEN 'partial' WHEN bool_or(outcome = 'published') THEN 'published' ELSE 'carried' END AS outcome, min(loaded_at) AS started, max(loaded_at) AS ended,
- CASE WHEN CAST(substr(l.run_id, 2) AS INTEGER) % 5 = 0 THEN 0 ELSE count(*) FILTER (WHERE outcome = 'blocked') END AS blocked FROM {MANIFEST} l GROUP BY l.run_id""")
+#: Groups of runs by outcome, some runs without any, and results of checks.
+GROUPS_OF_RUNS = "SELECT run_id, dataset, CASE WHEN rows_downloaded % 3 = 0 THEN 'blocked' WHEN rows_downloaded % 11 = 0 THEN 'failed' WHEN rows_downloaded % 7 = 0 THEN 'carried_forward' ELSE 'published' END AS outcome FROM loads WHERE CAST(substr(run_id, 2) AS INTEGER) % 5 <> 0"
+RUN_RESULTS = "SELECT run_id, 'C' || dataset AS check_id, CASE WHEN rows_downloaded % 4 = 0 THEN 'error' WHEN rows_downloaded % 4 = 1 THEN 'warn' WHEN rows_downloaded % 4 = 2 THEN 'acknowledged' ELSE 'passed' END AS status FROM loads"
+
+
+@query(f"""WITH g AS ({GROUPS_OF_RUNS}), m AS (SELECT run_id, CASE WHEN bool_and(outcome IN ('blocked', 'failed')) THEN CASE WHEN bool_or(outcome = 'failed') THEN 'failed' ELSE 'blocked' END WHEN bool_or(outcome IN ('blocked', 'failed')) OR (bool_or(outcome = 'carried_forward') AND bool_or(outcome = 'published')) THEN 'partial' WHEN bool_or(outcome = 'published') THEN 'published' ELSE 'carried' END AS o,
+ count(*) FILTER (WHERE outcome = 'blocked') AS blocked, count(*) FILTER (WHERE outcome = 'failed') AS failed FROM g GROUP BY run_id), l AS (SELECT run_id, min(loaded_at) AS a, max(loaded_at) AS b FROM loads GROUP BY run_id)
+SELECT l.run_id, coalesce(o, 'died') AS outcome, a AS started, b AS ended, CAST(epoch(date_trunc('second', b)) - epoch(date_trunc('second', a)) AS BIGINT) AS seconds, coalesce(blocked, 0) AS blocked, coalesce(failed, 0) AS failed, f.x AS failing_checks FROM l LEFT JOIN m ON m.run_id = l.run_id
+ LEFT JOIN (SELECT run_id, string_agg(check_id, ',' ORDER BY check_id) AS x FROM ({RUN_RESULTS}) WHERE status IN ('error', 'warn') GROUP BY run_id) f ON f.run_id = l.run_id""")
 def k12_run_log(spark, d):
-    return C.run_log(manifest(spark, d).filter("CAST(substr(run_id, 2) AS INT) % 5 <> 0"), table(spark, d, "loads"))
+    return C.run_log(sql(spark, d, GROUPS_OF_RUNS), table(spark, d, "loads"), sql(spark, d, RUN_RESULTS))
+
+
+@query("""WITH r AS (SELECT CAST(max(loaded_at) AS DATE) AS d FROM loads GROUP BY run_id) SELECT CAST(x AS DATE) AS d FROM generate_series(CAST((SELECT min(d) FROM r) AS TIMESTAMP), CAST((SELECT max(d) FROM r) AS TIMESTAMP), INTERVAL 1 DAY) g(x) WHERE CAST(x AS DATE) NOT IN (SELECT d FROM r)""")
+def k12_days_without_run(spark, d):
+    return C.days_without_run(C.run_log(sql(spark, d, GROUPS_OF_RUNS), table(spark, d, "loads")))

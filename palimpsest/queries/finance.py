@@ -56,9 +56,13 @@ def l2_concentration(spark, d):
     return rounded(L.concentration(years_of(spark, d), ["yr", "sic"], "revenue", ["cik"]), 6, "top1", "cr4").withColumn("hhi", F.round("hhi", 3))
 
 
-@query("SELECT cik, yr, sic, CAST(floor(sic / 10) AS BIGINT) AS sic1, CASE WHEN sic < 5 THEN 'farm' WHEN sic < 10 THEN 'mine' WHEN sic < 18 THEN 'make' ELSE 'serve' END AS sector, CASE WHEN revenue < 1000000 THEN 'small' ELSE 'large' END AS size FROM company_years")
+@query("""SELECT cik, yr, code, CAST(floor(code / 100) AS BIGINT) AS sic2, CAST(floor(code / 10) AS BIGINT) AS sic3, CASE WHEN code // 100 BETWEEN 1 AND 9 THEN 'A' WHEN code // 100 BETWEEN 10 AND 14 THEN 'B' WHEN code // 100 BETWEEN 15 AND 17 THEN 'C' WHEN code // 100 BETWEEN 20 AND 39 THEN 'D' WHEN code // 100 BETWEEN 40 AND 49 THEN 'E'
+ WHEN code // 100 BETWEEN 50 AND 51 THEN 'F' WHEN code // 100 BETWEEN 52 AND 59 THEN 'G' WHEN code // 100 BETWEEN 60 AND 67 THEN 'H' WHEN code // 100 BETWEEN 70 AND 89 THEN 'I' WHEN code // 100 BETWEEN 91 AND 97 THEN 'J' WHEN code // 100 = 99 THEN 'K' END AS division,
+ CASE WHEN code < 1000 THEN 'farm' WHEN code < 1500 THEN 'mine' WHEN code < 4000 THEN 'make' ELSE 'serve' END AS sector, CASE WHEN revenue < 1000000 THEN 'small' ELSE 'large' END AS size,
+ CASE WHEN cik % 6 IN (0, 1) THEN 'NYSE' WHEN cik % 6 = 2 THEN 'Nasdaq' WHEN cik % 6 = 3 THEN 'OTC' WHEN cik % 6 = 4 THEN 'Other exchange' ELSE 'No ticker listed' END AS exchange FROM (SELECT *, cik * 37 % 10000 AS code FROM company_years)""")
 def l3_industry_codes(spark, d):
-    return L.industry_codes(years_of(spark, d).select("cik", "yr", "sic", "revenue"), "sic", [(5, "farm"), (10, "mine"), (18, "make")], "serve", "revenue", 1_000_000).drop("revenue")
+    rows = sql(spark, d, """SELECT cik, yr, cik * 37 % 10000 AS code, revenue, CASE cik % 6 WHEN 0 THEN array('NYSE', 'Nasdaq') WHEN 1 THEN array(NULL, 'NYSE Arca') WHEN 2 THEN array('OTC', 'Nasdaq') WHEN 3 THEN array('OTC') WHEN 4 THEN array('CBOE', NULL) ELSE array(CAST(NULL AS STRING)) END AS exchanges FROM company_years""")
+    return L.industry_codes(rows, "code", [(1000, "farm"), (1500, "mine"), (4000, "make")], "serve", "revenue", 1_000_000, "exchanges").drop("revenue", "exchanges")
 
 
 @query("""SELECT grain, count(*) AS n_groups, count(*) FILTER (WHERE n >= 5) AS large_groups, CAST(coalesce(sum(n) FILTER (WHERE n >= 5), 0) AS BIGINT) AS covered, count(*) FILTER (WHERE n = 1) AS singletons FROM (
@@ -90,9 +94,11 @@ def l8_profitability(spark, d):
     return rounded(L.profitability(years_of(spark, d), ["sic", "yr"], "revenue", "net_income"), 6, "margin")
 
 
-@query(f"SELECT yr, round(median(hhi), 3) AS median_hhi FROM (SELECT yr, sic, round(sum(share * share) * 10000, 3) AS hhi FROM {SHARES} GROUP BY yr, sic) GROUP BY yr")
+@query("""WITH c AS (SELECT *, row_number() OVER (PARTITION BY yr ORDER BY revenue DESC, cik) AS rk FROM company_years WHERE revenue > 0), t AS (SELECT yr, count(*) AS companies, CAST(sum(revenue) FILTER (WHERE rk <= 10) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE) AS top10, CAST(sum(revenue) FILTER (WHERE rk <= 100) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE) AS top100 FROM c GROUP BY yr),
+g AS (SELECT yr, sic, round(sum(CAST(revenue AS DOUBLE) * CAST(revenue AS DOUBLE)) / (CAST(sum(revenue) AS DOUBLE) * CAST(sum(revenue) AS DOUBLE)) * 10000, 3) AS hhi FROM c WHERE sic IS NOT NULL GROUP BY yr, sic HAVING count(*) >= 3), h AS (SELECT yr, count(*) AS groups, median(hhi) AS m FROM g GROUP BY yr)
+SELECT t.yr, companies, round(top10, 8) AS top10, round(top100, 8) AS top100, coalesce(groups, 0) AS groups, round(m, 3) AS median_hhi FROM t LEFT JOIN h ON h.yr = t.yr""")
 def l9_concentration_over_time(spark, d):
-    return rounded(L.concentration_over_time(years_of(spark, d), "yr", "sic", "revenue"), 3, "median_hhi")
+    return rounded(L.concentration_over_time(years_of(spark, d), "yr", "sic", "revenue", ["cik"], 3), 8, "top10", "top100").withColumn("median_hhi", F.round("median_hhi", 3))
 
 
 @query("""SELECT yr, round(CAST(sum(CASE WHEN cik = 10 THEN revenue ELSE 0 END) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE), 8) AS of_all, round(CAST(sum(CASE WHEN cik = 10 THEN revenue ELSE 0 END) AS DOUBLE) / nullif(CAST(sum(CASE WHEN sic IN (SELECT sic FROM company_years WHERE cik = 10) THEN revenue ELSE 0 END) AS DOUBLE), 0), 8) AS of_sic,
@@ -107,9 +113,13 @@ def l11_filers_vs_macro(spark, d):
     return rounded(L.filers_vs_macro(table(spark, d, "facts"), ["10-K"], table(spark, d, "prices"), "obs_date", "close"), 4, "macro")
 
 
-@query("SELECT c.cik, c.yr, round(CAST(c.revenue AS DOUBLE) / (p.v / b.v), 2) AS real FROM company_years c JOIN (SELECT year(obs_date) AS y, avg(close) AS v FROM prices GROUP BY 1) p ON p.y = c.yr CROSS JOIN (SELECT avg(close) AS v FROM prices WHERE year(obs_date) = 1995) b")
+@query("""WITH r AS (SELECT cik, start_date, end_date, max(val) AS revenue FROM tags WHERE concept = 'Revenues' AND form = '10-K' AND end_date - start_date BETWEEN 350 AND 380 GROUP BY 1, 2, 3), c AS (SELECT CAST(date_trunc('month', obs_date) AS DATE) AS m, avg(close) AS v FROM prices GROUP BY 1), b AS (SELECT avg(v) AS b FROM c WHERE year(m) = 1996)
+SELECT cik, r.start_date, r.end_date, count(*) AS index_months, round(revenue * b / avg(v), 2) AS real FROM r JOIN c ON c.m >= r.start_date AND c.m < r.end_date CROSS JOIN b GROUP BY cik, r.start_date, r.end_date, revenue, b""")
 def l12_deflate(spark, d):
-    return rounded(L.deflate(years_of(spark, d).select("cik", "yr", "revenue"), "yr", "revenue", table(spark, d, "prices"), "obs_date", "close", 1995), 2, "real").drop("revenue")
+    """Fiscal years of any end at 1996 prices, by the months of the index inside each."""
+    flows = tags_of(spark, d).filter("concept = 'Revenues' AND form = '10-K' AND datediff(end_date, start_date) BETWEEN 350 AND 380").groupBy("cik", "start_date", "end_date").agg(F.max("val").alias("revenue"))
+    index = table(spark, d, "prices").groupBy(F.trunc("obs_date", "month").alias("m")).agg(F.avg("close").alias("v"))
+    return rounded(L.deflate(flows, "start_date", "end_date", "revenue", index, "m", "v", 1996), 2, "real").drop("revenue", "index_mean")
 
 
 @query("""SELECT sic, round(CAST(sum(a) AS DOUBLE) / nullif(CAST(sum(b) AS DOUBLE), 0), 6) AS ratio FROM (SELECT cik, max(CASE WHEN concept = 'AF' THEN CAST(val AS DECIMAL(14,2)) END) AS a, max(CASE WHEN concept = 'RF' THEN CAST(val AS DECIMAL(14,2)) END) AS b FROM facts
@@ -351,13 +361,13 @@ def l37_period_averages(spark, d):
     return rounded(E.period_averages(months_of(spark, d), ["ticker"], F.year("m"), "v", "v", "m", {"early": (1995, 1997), "late": (1998, 2000), "all": (1995, 2000)}), 4, "mean", "change")
 
 
-UNITS = "SELECT cik, concept, accession, end_date, filed, CASE WHEN accession % 3 = 0 THEN 'shares' ELSE 'USD' END AS unit, CASE WHEN (accession + length(form)) % 4 < 2 THEN 'IS' ELSE 'BS' END AS stmt FROM facts"
+UNITS = "SELECT cik, concept, accession, start_date, end_date, filed, CASE WHEN accession % 3 = 0 THEN 'shares' ELSE 'USD' END AS unit, CASE WHEN (accession + length(form)) % 4 < 2 THEN 'IS' ELSE 'BS' END AS stmt FROM tags"
 
 
 @query(f"""WITH f AS ({UNITS}), u AS (SELECT concept, arg_min(unit, row(-n, unit)) AS unit FROM (SELECT concept, unit, count(*) AS n FROM f GROUP BY 1, 2) GROUP BY 1), s AS (SELECT concept, arg_min(stmt, row(-n, stmt)) AS stmt FROM (SELECT concept, stmt, count(DISTINCT accession) AS n FROM f GROUP BY 1, 2) GROUP BY 1)
-SELECT f.concept, count(*) AS n_facts, count(DISTINCT cik) AS filers, min(year(end_date)) AS first_year, max(year(end_date)) AS last_year, any_value(u.unit) AS unit, any_value(s.stmt) AS stmt FROM f JOIN u ON u.concept = f.concept LEFT JOIN s ON s.concept = f.concept GROUP BY f.concept""")
+SELECT f.concept, count(*) AS n_facts, count(*) FILTER (WHERE start_date IS NULL) AS instants, count(*) FILTER (WHERE start_date IS NULL) * 2 > count(*) AS point_in_time, count(DISTINCT cik) AS filers, min(year(end_date)) AS first_year, max(year(end_date)) AS last_year, any_value(u.unit) AS unit, any_value(s.stmt) AS stmt FROM f JOIN u ON u.concept = f.concept LEFT JOIN s ON s.concept = f.concept GROUP BY f.concept""")
 def l38_concept_index(spark, d):
-    rows = sql(spark, d, UNITS)
+    rows = kept(sql(spark, d, UNITS))
     return E.concept_index(rows, rows)
 
 
@@ -523,11 +533,13 @@ def l62_adviser_table(spark, d):
     return rounded(E.adviser_table(years_of(spark, d), ["sic", "yr"], "revenue", {"losing": "net_income < 0", "fee": "cik % 3 = 0"}, 500_000), 6, "losing", "fee", "only_one")
 
 
-@query(f"""WITH e AS (SELECT a.yr, a.macro / b.macro - 1 AS e FROM ({ECONOMY}) a JOIN ({ECONOMY}) b ON a.yr = b.yr + 1)
-SELECT a.yr, count(*) AS pairs, round(count(*) FILTER (WHERE CAST(a.revenue AS DOUBLE) / CAST(b.revenue AS DOUBLE) - 1 > e.e) / count(*), 6) AS beat, round(quantile_cont(CAST(a.revenue AS DOUBLE) / CAST(b.revenue AS DOUBLE) - 1, 0.25), 6) AS q1, round(quantile_cont(CAST(a.revenue AS DOUBLE) / CAST(b.revenue AS DOUBLE) - 1, 0.75), 6) AS q3,
- round(CAST(sum(a.revenue) AS DOUBLE) / CAST(sum(b.revenue) AS DOUBLE) - 1, 6) AS aggregate FROM company_years a JOIN company_years b ON a.cik = b.cik AND a.yr = b.yr + 1 JOIN e ON e.yr = a.yr GROUP BY a.yr""")
+@query(f"""WITH m AS (SELECT yr, macro, macro / orders AS prices FROM ({ECONOMY})), e AS (SELECT a.yr, a.macro / b.macro - 1 AS e, a.prices / b.prices - 1 AS i FROM m a JOIN m b ON a.yr = b.yr + 1),
+p AS (SELECT a.yr, e.e, e.i, a.revenue, b.revenue AS before, CAST(a.revenue AS DOUBLE) / CAST(b.revenue AS DOUBLE) - 1 AS g, CAST(a.revenue AS DOUBLE) / CAST(b.revenue AS DOUBLE) / (1 + e.i) - 1 AS r FROM company_years a JOIN company_years b ON a.cik = b.cik AND a.yr = b.yr + 1 JOIN e ON e.yr = a.yr)
+SELECT yr, count(*) AS pairs, round(count(*) FILTER (WHERE g > e) / count(*), 6) AS beat, round(quantile_cont(g, 0.25), 6) AS q1, round(quantile_cont(g, 0.75), 6) AS q3, round(CAST(sum(revenue) AS DOUBLE) / CAST(sum(before) AS DOUBLE) - 1, 6) AS aggregate, round(median(r), 6) AS real_median,
+ round(count(*) FILTER (WHERE r > 0) / count(*), 6) AS real_up, round(CAST(sum(revenue) AS DOUBLE) / CAST(sum(before) AS DOUBLE) / (1 + any_value(i)) - 1, 6) AS real_aggregate FROM p GROUP BY yr""")
 def l63_growth_vs_economy(spark, d):
-    return rounded(E.growth_vs_economy(years_of(spark, d), "cik", "yr", "revenue", sql(spark, d, ECONOMY).select("yr", "macro")), 6, "beat", "q1", "q3", "aggregate")
+    macro = sql(spark, d, ECONOMY).select("yr", "macro", (F.col("macro") / F.col("orders")).alias("prices"))
+    return rounded(E.growth_vs_economy(years_of(spark, d), "cik", "yr", "revenue", macro), 6, "beat", "q1", "q3", "aggregate", "real_median", "real_up", "real_aggregate")
 
 
 SUMS = "(SELECT sic, yr, CAST(sum(revenue) AS DOUBLE) AS r FROM company_years GROUP BY sic, yr)"
@@ -613,12 +625,12 @@ def l74_price_population(spark, d):
     return E.price_population(table(spark, d, "prices"), table(spark, d, "ref_prices"), sql(spark, d, WATCH))
 
 
-BALANCES = "SELECT n_regionkey, c_mktsegment, CAST(c_acctbal AS DECIMAL(12,2)) AS v, c_custkey AS w FROM customer JOIN nation ON c_nationkey = n_nationkey"
-
-
-@query(f"SELECT coalesce(CAST(n_regionkey AS VARCHAR), 'world') AS n_regionkey, c_mktsegment, round(CAST(sum(v * w) AS DOUBLE) / CAST(sum(w) AS DOUBLE), 4) AS weighted FROM ({BALANCES}) GROUP BY GROUPING SETS ((n_regionkey, c_mktsegment), (c_mktsegment))")
+@query("""WITH p AS (SELECT sic % 5 AS region, cik, yr, net_income AS v, cik AS w FROM company_years WHERE NOT (cik % 6 = 0 AND yr = 1998)), f AS (SELECT * FROM p WHERE cik IN (SELECT cik FROM p GROUP BY cik HAVING count(DISTINCT yr) = (SELECT count(DISTINCT yr) FROM p)))
+SELECT coalesce(CAST(region AS VARCHAR), 'world') AS region, yr, round(CAST(sum(v * w) AS DOUBLE) / CAST(sum(w) AS DOUBLE), 4) AS weighted FROM f GROUP BY GROUPING SETS ((region, yr), (yr))""")
 def l75_regional_mean(spark, d):
-    return rounded(E.regional_mean(sql(spark, d, BALANCES), ["c_mktsegment"], "n_regionkey", "v", "w", "world"), 4, "weighted")
+    """Over companies with a value in every year; a sixth of them lack one."""
+    rows = kept(years_of(spark, d).filter("NOT (cik % 6 = 0 AND yr = 1998)").select((F.col("sic") % 5).alias("region"), "cik", "yr", F.col("net_income").alias("v"), F.col("cik").alias("w")))
+    return rounded(E.regional_mean(rows, ["yr"], "region", "v", "w", "world", "cik"), 4, "weighted")
 
 
 ADDRESSES = "SELECT '{\"home\":\"' || CAST(c_nationkey AS VARCHAR(3)) || '\",\"office\":\"' || CAST((c_nationkey + c_custkey) % 27 AS VARCHAR(3)) || '\"}' AS addresses FROM customer"
@@ -637,3 +649,145 @@ def l77_annual_tie(spark, d):
 @query(f"""SELECT cik, best_a, best_b, CASE WHEN best_a < best_b THEN 'a_first' WHEN best_a > best_b THEN 'b_first' ELSE 'same' END AS "order", best_a IN (lo, hi) OR best_b IN (lo, hi) AS censored FROM (SELECT cik, arg_max(yr, row(r, yr)) AS best_a, arg_max(yr, row(revenue, yr)) AS best_b, min(yr) AS lo, max(yr) AS hi FROM ({ROA}) GROUP BY cik)""")
 def l78_peak_order(spark, d):
     return L.peak_order(sql(spark, d, ROA), "cik", "yr", "r", "revenue")
+
+
+# Further parts of the analytics above
+
+
+@query(f"""WITH k AS (SELECT cik, year(end_date) AS yr, concept, end_date FROM facts WHERE year(end_date) BETWEEN 1996 AND 2000), w AS (SELECT cik FROM k GROUP BY cik HAVING count(DISTINCT yr) = 5), c AS (SELECT cik, count(DISTINCT year(end_date)) AS n FROM ({RESTATED}) WHERE year(end_date) BETWEEN 1996 AND 2000 GROUP BY cik),
+e AS (SELECT coalesce(c.n, 0) AS years, count(*) AS companies FROM w LEFT JOIN c ON c.cik = w.cik GROUP BY 1) SELECT y AS years, coalesce(companies, 0) AS companies FROM (SELECT unnest(range(6)) AS y) LEFT JOIN e ON e.years = y""")
+def l22_years_changed(spark, d):
+    facts = table(spark, d, "facts").select("cik", F.year("end_date").alias("yr"))
+    return L.years_changed(facts, restated(spark, d).withColumn("yr", F.year("end_date")), "yr", 2000, 5)
+
+
+@query(f"""WITH r AS (SELECT * FROM company_years WHERE cik IN (SELECT cik FROM ({ROA}) WHERE yr = 1996 AND r > -0.02)), b AS (SELECT sic, count(*) AS n, sum(revenue) AS capital, CAST(sum(net_income) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE) AS ret FROM r WHERE yr = 1996 GROUP BY sic), e AS (SELECT sic, count(*) AS n, CAST(sum(net_income) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE) AS ret FROM r WHERE yr = 2001 GROUP BY sic)
+SELECT b.sic, b.n, CAST(b.capital AS DECIMAL(34,2)) AS capital, round(CAST(b.capital AS DOUBLE) / (SELECT CAST(sum(capital) AS DOUBLE) FROM b), 8) AS share, round(b.ret, 8) AS ret, e.n AS exit_n, round(e.ret, 8) AS exit_ret FROM b LEFT JOIN e ON e.sic = b.sic ORDER BY b.capital DESC, b.sic LIMIT 7""")
+def l32_top_industries(spark, d):
+    members = sql(spark, d, ROA).filter("yr = 1996 AND r > -0.02")
+    out = L.top_industries(years_of(spark, d), members, "cik", "sic", "yr", "net_income", "revenue", 1996, 2001, 7)
+    return rounded(out, 8, "share", "ret", "exit_ret").withColumn("capital", F.col("capital").cast("decimal(34,2)"))
+
+
+@query(f"WITH RECURSIVE {WALK}, l AS (SELECT o, arg_max(cur, steps) AS survivor, max(steps) AS steps FROM walk GROUP BY o) SELECT survivor, l.o AS member, e.a AS acquirer, CAST(steps AS BIGINT) AS steps FROM l JOIN edges e ON e.o = l.o WHERE survivor IN (SELECT survivor FROM l GROUP BY survivor HAVING count(*) >= 3)")
+def l48_tree_rows(spark, d):
+    edges = table(spark, d, "edges")
+    return E.tree_rows(E.lineage(edges), edges, 3)
+
+
+AREA_COUNTS = "SELECT event_type AS area, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2 UNION ALL SELECT 'clicks and views', CAST(ts AS DATE), count(*) + CASE WHEN day(ts) = 9 THEN 1 ELSE 0 END FROM events WHERE event_type IN ('click', 'view') GROUP BY CAST(ts AS DATE), day(ts)"
+
+
+@query("SELECT 'clicks and views' AS division, CAST(ts AS DATE) AS day, count(*) + 1 AS own, count(*) AS parts FROM events WHERE event_type IN ('click', 'view') AND day(ts) = 9 GROUP BY CAST(ts AS DATE)")
+def l51_division_gaps(spark, d):
+    divisions = spark.createDataFrame([("clicks and views", "click"), ("clicks and views", "view")], "division string, member string")
+    return E.division_gaps(sql(spark, d, AREA_COUNTS), divisions, "area", ["day"], "n")
+
+
+@query("SELECT CAST(date_trunc('month', ts) AS DATE) AS m, count(*) FILTER (WHERE event_id % 5 > 0) AS total, count(DISTINCT CASE WHEN event_id % 5 > 0 THEN event_type END) AS areas, count(DISTINCT CASE WHEN event_id % 5 > 0 THEN user_id END) AS places FROM events GROUP BY 1")
+def l52_monthly_breadth(spark, d):
+    rows = sql(spark, d, "SELECT ts, event_type, user_id, CASE WHEN event_id % 5 > 0 THEN 1 ELSE 0 END AS v FROM events")
+    return E.monthly_breadth(rows, "ts", "event_type", "user_id", "v")
+
+
+@query("SELECT y, count(*) AS places, count(*) FILTER (WHERE n >= 12) AS over FROM (SELECT year(ts) AS y, user_id, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY y")
+def l52_yearly_places(spark, d):
+    return E.yearly_places(table(spark, d, "events").withColumn("v", F.lit(1)), "ts", "user_id", "v", 12)
+
+
+@query(f"SELECT yr, round(quantile_cont(r, 0.1), 8) AS p10, round(quantile_cont(r, 0.5), 8) AS p50, round(quantile_cont(r, 0.9), 8) AS p90 FROM ({ROA}) GROUP BY yr")
+def l53_share_deciles(spark, d):
+    return rounded(E.share_deciles(sql(spark, d, ROA), "yr", "r"), 8, "p10", "p50", "p90")
+
+
+@query("""SELECT a.yr, CAST(a.v AS DECIMAL(30,2)) AS bands, CAST(b.v AS DECIMAL(30,2)) AS national, CAST(a.v - b.v AS DECIMAL(30,2)) AS gap FROM (SELECT yr, sum(revenue) AS v FROM company_years GROUP BY yr) a
+ FULL JOIN (SELECT CAST(year(l_shipdate) AS INTEGER) AS yr, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS v FROM lineitem WHERE NOT (year(l_shipdate) = 1999 AND l_linenumber = 7) GROUP BY 1) b ON a.yr = b.yr""")
+def l56_band_ties(spark, d):
+    bands = E.band_shares(years_of(spark, d), ["yr"], "revenue", [(500_000, "low"), (1_000_000, "middle")], "high")
+    national = sql(spark, d, "SELECT CAST(year(l_shipdate) AS INTEGER) AS yr, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS v FROM lineitem WHERE NOT (year(l_shipdate) = 1999 AND l_linenumber = 7) GROUP BY 1")
+    return E.band_ties(bands, ["yr"], national, "v").withColumns({c: F.col(c).cast("decimal(30,2)") for c in ("bands", "national", "gap")})
+
+
+@query("""WITH p AS (SELECT p_size % 12 AS st, CASE WHEN p_partkey % 4 = 0 THEN [] ELSE string_split(p_name, ' ') END AS l FROM part) SELECT p.st, count(*) AS preparers, count(*) FILTER (WHERE list_contains(l, 'cold')) AS has_cold, count(*) FILTER (WHERE list_contains(l, 'green')) AS has_green, count(*) FILTER (WHERE len(l) = 0) AS none,
+ round(any_value(r.paid) / count(*), 6) AS paid_each FROM p JOIN (SELECT c_nationkey AS st, count(*) AS paid FROM customer WHERE c_nationkey <> 3 GROUP BY 1) r ON r.st = p.st GROUP BY p.st""")
+def l57_preparers_by_state(spark, d):
+    rows = sql(spark, d, "SELECT p_size % 12 AS st, CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE replace(p_name, ' ', ', ') END AS words FROM part")
+    paid = sql(spark, d, "SELECT c_nationkey AS st, count(*) AS paid FROM customer WHERE c_nationkey <> 3 GROUP BY 1")
+    return rounded(E.preparers_by_state(rows, "st", "words", ["cold", "green"], paid), 6, "paid_each")
+
+
+ORDERS_A_MONTH = "SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m, CAST(count(*) AS DOUBLE) AS v FROM orders GROUP BY 1"
+CENSUS = "SELECT CAST(year(o_orderdate) AS INTEGER) AS y, CAST(quarter(o_orderdate) AS INTEGER) AS q, " + ", ".join(f"sum(CASE WHEN (month(o_orderdate) - 1) % 3 = {k} AND o_orderkey % 10 > 0 THEN 1 ELSE 0 END) AS m{k + 1}" for k in range(3)) + " FROM orders GROUP BY 1, 2"
+
+
+@query("SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS m, CAST(count(*) AS DOUBLE) AS survey, count(*) FILTER (WHERE o_orderkey % 10 > 0) AS census, round(count(*) FILTER (WHERE o_orderkey % 10 > 0) / count(*) - 1, 8) AS gap FROM orders WHERE year(o_orderdate) = 1999 GROUP BY 1")
+def l58_survey_against_census(spark, d):
+    return rounded(E.survey_against_census(sql(spark, d, ORDERS_A_MONTH), sql(spark, d, CENSUS), 1999), 8, "gap")
+
+
+@query("SELECT c_mktsegment, count(*) AS areas, count(*) FILTER (WHERE c_acctbal < 0) AS withheld FROM customer GROUP BY 1")
+def l58_suppression_counts(spark, d):
+    return E.suppression_counts(table(spark, d, "customer"), "c_mktsegment", "c_acctbal < 0")
+
+
+BY_QUARTER = "SELECT c_nationkey AS st, CAST(quarter(o_orderdate) AS INTEGER) AS q, CASE WHEN c_nationkey % 7 = 0 AND quarter(o_orderdate) = 1 THEN NULL ELSE count(*) END AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE year(o_orderdate) = 1999 GROUP BY c_nationkey, quarter(o_orderdate)"
+
+
+@query(f"SELECT a.st, a.n AS high, b.n AS low, round(a.n / b.n, 8) AS ratio FROM ({BY_QUARTER}) a JOIN ({BY_QUARTER}) b ON a.st = b.st AND a.q = 1 AND b.q = 3 WHERE a.n IS NOT NULL AND b.n > 0")
+def l58_seasonal_states(spark, d):
+    return rounded(E.seasonal_states(sql(spark, d, BY_QUARTER), "st", "q", "n"), 8, "ratio")
+
+
+@query(f"""{SPANS_SQL}, q AS (SELECT cik, end_date, val, 'reported' AS source, CAST(k AS INTEGER) AS o FROM sp WHERE quarters = 1 UNION ALL SELECT cik, end_date, year - three, 'less_quarters', 2 FROM y WHERE n_all = 3 AND end_date - last BETWEEN 80 AND 100)
+SELECT 'revenue' AS item, 'year' AS period, end_date, val, 'reported' AS source FROM sp WHERE cik = 10 AND quarters = 4 AND k UNION ALL SELECT 'revenue', 'quarter', end_date, val, source FROM (SELECT * FROM q WHERE cik = 10 QUALIFY row_number() OVER (PARTITION BY end_date ORDER BY o) = 1)""")
+def l59_years_and_quarters(spark, d):
+    return E.company_years_and_quarters(tags_of(spark, d), 10, {"revenue": ["Revenues", "Sales"]})
+
+
+@query("""SELECT CASE WHEN a / n < 150000 THEN 'low' WHEN a / n < 200000 THEN 'middle' ELSE 'high' END AS bucket, count(*) AS firms, CAST(sum(n) AS BIGINT) AS clients, CAST(sum(a) AS DECIMAL(34,2)) AS assets FROM (SELECT o_custkey, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(14,2))) AS a FROM orders GROUP BY 1) WHERE n >= 5 AND a > 0 GROUP BY 1""")
+def l62_adviser_buckets(spark, d):
+    firms = sql(spark, d, "SELECT o_custkey, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(14,2))) AS a FROM orders GROUP BY 1")
+    return E.adviser_buckets(firms, "a", "n", [(150_000, "low"), (200_000, "middle")], "high").withColumn("assets", F.col("assets").cast("decimal(34,2)"))
+
+
+@query("SELECT c_name, n, round(n / (SELECT count(*) FROM orders), 8) AS share, round(a / n, 4) AS each FROM (SELECT c_name, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(14,2))) AS a FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_name) ORDER BY n DESC, c_name LIMIT 12")
+def l62_top_firms(spark, d):
+    firms = sql(spark, d, "SELECT c_name, count(*) AS n, sum(CAST(o_totalprice AS DECIMAL(14,2))) AS a FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_name")
+    return rounded(E.top_firms(firms, "c_name", "n", "a", 12), 8, "share").withColumn("each", F.round("each", 4))
+
+
+@query(f"""WITH e AS (SELECT a.yr, a.macro / b.macro - 1 AS e FROM ({ECONOMY}) a JOIN ({ECONOMY}) b ON a.yr = b.yr + 1), p AS (SELECT a.cik, CAST(a.revenue AS DOUBLE) / CAST(b.revenue AS DOUBLE) - 1 > e.e AS beat FROM company_years a JOIN company_years b ON a.cik = b.cik AND a.yr = b.yr + 1 JOIN e ON e.yr = a.yr WHERE a.yr BETWEEN 1997 AND 2000),
+c AS (SELECT cik, count(*) FILTER (WHERE beat) AS beat FROM p GROUP BY cik HAVING count(*) = 4) SELECT b AS beat, count(c.cik) AS members FROM (SELECT unnest(range(5)) AS b) LEFT JOIN c ON c.beat = b GROUP BY b""")
+def l64_scorecard_distribution(spark, d):
+    return E.scorecard_distribution(years_of(spark, d), "cik", "yr", "revenue", sql(spark, d, ECONOMY).select("yr", "macro"), 1997, 2000)
+
+
+WORLD = f"SELECT year, origin AS place, 'exports' AS direction, sum(v) AS v FROM ({FLOWS}) a GROUP BY 1, 2 UNION ALL SELECT year, dest, 'imports', sum(v) FROM ({FLOWS}) b WHERE year < 2001 OR dest > 3 GROUP BY 1, 2"
+
+
+@query(f"""WITH w AS ({WORLD}), y AS (SELECT max(year) AS year FROM (SELECT year FROM w GROUP BY year HAVING count(*) = 50)), p AS (SELECT year, origin AS place, 'exports' AS direction, sum(v) AS v FROM ({FLOWS}) WHERE dest % 4 <> 0 GROUP BY 1, 2 UNION ALL SELECT year, dest, 'imports', sum(v) FROM ({FLOWS}) WHERE origin % 4 <> 0 GROUP BY 1, 2)
+SELECT w.year, w.place, w.direction, CAST(w.v AS DECIMAL(34,2)) AS total, round(CAST(coalesce(p.v, 0) AS DOUBLE) / CAST(w.v AS DOUBLE), 8) AS covered FROM w JOIN y ON y.year = w.year LEFT JOIN p ON p.year = w.year AND p.place = w.place AND p.direction = w.direction""")
+def l68_partner_coverage(spark, d):
+    flows = kept(sql(spark, d, FLOWS))
+    named = flows.filter("dest % 4 <> 0").select("year", F.col("origin").alias("place"), F.lit("exports").alias("direction"), F.col("dest").alias("partner"), "v").unionByName(flows.filter("origin % 4 <> 0").select("year", F.col("dest").alias("place"), F.lit("imports").alias("direction"), F.col("origin").alias("partner"), "v"))
+    return rounded(E.partner_coverage(named, sql(spark, d, WORLD), 25), 8, "covered").withColumn("total", F.col("total").cast("decimal(34,2)"))
+
+
+@query("""SELECT 'code' AS kind, CASE WHEN l_returnflag = 'R' THEN '(blank)' ELSE l_returnflag END AS label, count(*) AS n FROM lineitem GROUP BY 1, 2 UNION ALL SELECT 'relationship', coalesce(c_mktsegment, '(blank)'), count(*) FROM customer GROUP BY 1, 2""")
+def l71_code_counts(spark, d):
+    trades = sql(spark, d, "SELECT CASE WHEN l_returnflag = 'R' THEN ' ' ELSE l_returnflag END AS code FROM lineitem")
+    return E.code_counts(trades, table(spark, d, "customer"), "code", "c_mktsegment")
+
+
+@query(f"""WITH a AS (SELECT cik, q, sum(v) AS v FROM ({QUARTERS}) WHERE concept = 'NO' GROUP BY 1, 2), b AS (SELECT cik, q, sum(v) AS v FROM ({QUARTERS}) WHERE concept IN ('NO', 'RF', 'AF') GROUP BY 1, 2), x AS (SELECT n.cik, n.q, CAST(n.v AS DOUBLE) / nullif(CAST(p.v AS DOUBLE), 0) - 1 AS g FROM a n JOIN a p ON p.cik = n.cik AND n.q = p.q + INTERVAL 1 YEAR), y AS (SELECT n.cik, n.q, CAST(n.v AS DOUBLE) / nullif(CAST(p.v AS DOUBLE), 0) - 1 AS g FROM b n JOIN b p ON p.cik = n.cik AND n.q = p.q + INTERVAL 1 YEAR)
+SELECT count(*) AS n, round(corr(x.g, y.g), 6) AS fit, count(*) FILTER (WHERE quarter(x.q) <> 4) AS n_early, round(corr(x.g, y.g) FILTER (WHERE quarter(x.q) <> 4), 6) AS fit_early FROM x JOIN y ON x.cik = y.cik AND x.q = y.q""")
+def l77_growth_fit(spark, d):
+    rows = sql(spark, d, QUARTERS)
+    sums = lambda cs: rows.filter(F.col("concept").isin(cs)).groupBy("cik", "q").agg(F.sum("v").alias("v"))
+    return rounded(L.growth_fit(sums(["NO"]), sums(["NO", "RF", "AF"]), ["cik"]), 6, "fit", "fit_early")
+
+
+@query("""WITH s AS (SELECT yr, CAST(sum(revenue) FILTER (WHERE sic = 3) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE) AS a, CAST(sum(revenue) FILTER (WHERE sic = 11) AS DOUBLE) / CAST(sum(revenue) AS DOUBLE) AS b FROM company_years GROUP BY yr)
+SELECT yr, round(coalesce(a, 0), 8) AS share_a, round(coalesce(b, 0), 8) AS share_b, coalesce(a, 0) > coalesce(b, 0) AND NOT coalesce(lag(coalesce(a, 0) > coalesce(b, 0)) OVER (ORDER BY yr), TRUE) AS crossed FROM s""")
+def l78_share_crossing(spark, d):
+    return rounded(L.share_crossing(years_of(spark, d), "yr", "sic", "revenue", 3, 11), 8, "share_a", "share_b")

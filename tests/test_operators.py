@@ -139,3 +139,25 @@ def test_composition(spark):
     got = checks.compose(groups, verdicts, groups.filter("source_group < 'e'"), spark.createDataFrame([("b", "r1"), ("e", "r1")], "source_group string, run_id string"), "r2")
     want = {"a": ("published", "r2", None), "b": ("carried_forward", "r1", "blocked"), "c": ("failed", None, "failed"), "d": ("never_published", None, "no_verdict"), "e": ("carried_forward", "r1", "not_run"), "f": ("not_run", None, "not_run")}
     assert {r.source_group: (r.outcome, r.source_run, r.reason) for r in got.collect()} == want
+
+
+def test_run_log_and_days_without_run(spark):
+    manifest = spark.createDataFrame([("r1", "published"), ("r1", "blocked"), ("r2", "failed"), ("r2", "blocked"), ("r3", "carried_forward"), ("r4", "published"), ("r4", "carried_forward"), ("r5", "published")], "run_id string, outcome string")
+    loads = spark.createDataFrame([("r1", "2024-01-01 00:00:00"), ("r1", "2024-01-01 00:01:30"), ("r2", "2024-01-04 00:00:00"), ("r9", "2024-01-02 00:00:00")], "run_id string, loaded_at string").withColumn("loaded_at", F.col("loaded_at").cast("timestamp"))
+    results = spark.createDataFrame([("r1", "B", "error"), ("r1", "A", "warn"), ("r1", "C", "acknowledged"), ("r2", "A", "passed")], "run_id string, check_id string, status string")
+    got = {r.run_id: (r.outcome, r.seconds, r.blocked, r.failed, r.failing_checks) for r in checks.run_log(manifest, loads, results).collect()}
+    assert got == {"r1": ("partial", 90, 1, 0, "A,B"), "r2": ("failed", 0, 1, 1, None), "r3": ("carried", None, 0, 0, None), "r4": ("partial", None, 0, 0, None), "r5": ("published", None, 0, 0, None), "r9": ("died", 0, 0, 0, None)}
+    assert [str(r.d) for r in checks.days_without_run(checks.run_log(manifest, loads)).collect()] == ["2024-01-03"]
+
+
+def test_audit_reports_too_few_dates(spark):
+    rows = [("a", f"2024-01-0{d}", 0.1 if d == 2 else 0.0) for d in range(1, 5)] + [("b", "2024-01-01", 0.0), ("b", "2024-01-02", None)]
+    gaps = spark.createDataFrame(rows, "ticker string, obs_date string, gap double").withColumn("obs_date", F.col("obs_date").cast("date"))
+    got = {(r.ticker, r.obs_date and str(r.obs_date), r.kind) for r in checks.audit(gaps, 0.05, 2, spark.createDataFrame([("c",), ("a",)], "ticker string")).collect()}
+    assert got == {("a", "2024-01-02", "isolated"), ("b", None, "too_few"), ("c", None, "too_few")}
+
+
+def test_division_gaps_and_bands(spark):
+    counts = spark.createDataFrame([("D", 1, 5), ("a", 1, 2), ("b", 1, 3), ("D", 2, 4), ("a", 2, 1), ("D", 3, 7)], "area string, w int, n int")
+    divisions = spark.createDataFrame([("D", "a"), ("D", "b")], "division string, member string")
+    assert sorted(map(tuple, economy.division_gaps(counts, divisions, "area", ["w"], "n").collect())) == [("D", 2, 4, 1), ("D", 3, 7, 0)]
