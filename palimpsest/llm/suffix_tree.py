@@ -25,7 +25,7 @@ from palimpsest.llm.common import stored, text_of
 
 DEPTH, MIN_COUNT = 5, 50
 #: States of a shard (more only if one pair of last symbols has more), and bytes of shards that a worker keeps between blocks.
-SHARD_STATES, KEEP_BYTES = 50_000, 1 << 26
+SHARD_STATES, KEEP_BYTES = 50_000, 1 << 25
 #: Divergence test: Kullback-Leibler distance to the suffix's distribution, in nats for a symbol, and that times the context's count.
 MIN_NATS, MIN_TOTAL_NATS = 0.005, 10.0
 #: Weight of the suffix's distribution in a context's own, in symbols; count of every symbol that the root adds.
@@ -34,7 +34,8 @@ SMOOTHING, FLOOR = 4.0, 0.5
 START, END, BITS = 0, 257, 9
 #: At most so many frequent words are broadcast: those that make up more than that share of all training tokens each.
 TABLE_ENTRIES = 200_000
-BLOCK, FLUSH = 1 << 20, 300_000
+#: Symbols, words and rows that a task works on at a time.
+BLOCK, FLUSH, ROWS = 1 << 19, 200_000, 1000
 
 
 def lowered(text: str) -> bytes:
@@ -341,7 +342,7 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         common, number = frequent.value, TaskContext.get().partitionId() << 36
         model = Shards(ends, [lambda b=b: _loaded(b) for b in tree])
-        for b in batches:
+        for b in (b.iloc[at : at + ROWS] for b in batches for at in range(0, len(b), ROWS)):
             texts = [lowered(t) for t in b["_text"]]
             cols = {c: [] for c in ("uid", "token", "tf", "n_tokens", "n_known", "log_sum")}
             for t in texts:
