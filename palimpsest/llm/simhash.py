@@ -13,7 +13,7 @@ which links large groups of near copies by few pairs; rows that were not held ag
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -28,7 +28,8 @@ from palimpsest.llm.components import connected
 @dataclass(frozen=True)
 class Plan:
     """words: of a shingle. longs: 64-bit parts of a fingerprint. min_shared: positional bytes that linked fingerprints share at least.
-    max_bits: that may differ, max_bits_small where a set has fewer than SMALL_SET shingles. min_similarity: if above 0, the Jaccard similarity that the shingle sets of linked rows have at least."""
+    max_bits: that may differ, max_bits_small where a set has fewer than SMALL_SET shingles. min_similarity: if above 0, the Jaccard similarity that the shingle sets of linked rows have at least.
+    by_prefix: pairs are not proposed by fingerprints, but all come from the exact search by prefix filtering (_rest)."""
 
     words: int
     longs: int
@@ -36,6 +37,7 @@ class Plan:
     max_bits: int
     max_bits_small: int = 0
     min_similarity: float = 0.0
+    by_prefix: bool = False
 
     @property
     def columns(self) -> list[str]:
@@ -54,12 +56,16 @@ EXACT = Plan(words=3, longs=1, min_shared=5, max_bits=3)
 #: Near copies of a similarity of 0.8 on five-word shingles: sets with that Jaccard similarity differ in 15 % of the bits (48 of 320, give or take 6; a set of four in one of
 #: five in 19 %), unrelated ones in half. By that model one such pair in 20,000 shares fewer than two of the 40 bytes (of four in five: one in 400), and one in 50,000 differs in more than 76 bits.
 NEAR = Plan(words=5, longs=5, min_shared=2, max_bits=76, max_bits_small=92, min_similarity=0.8)
+#: The same links, all of them by the exact search: no pair is lost, and each set's prefix of shingles is shuffled instead of 40 bytes.
+PREFIX = replace(NEAR, by_prefix=True)
 SMALL_SET = 40
 #: A row is held against so many rows under each pair of bytes, and so many of its best partners of each posting are proposed; rows with more go on to the exact search over shingles.
 LOOKS, PARTNERS = 64, 1
 SEED = 42
 #: After so many comparisons of each row, and every time that number has doubled, postings that are one component already are done.
 FIRST_LOOK = 64
+#: A posting of more fingerprints is searched in parts.
+LONG_POSTING = 2048
 #: Links are thinned to a spanning forest beyond so many.
 MANY_LINKS = 500_000
 
@@ -175,7 +181,32 @@ def _linked(x: np.ndarray, plan: Plan) -> np.ndarray:
 
 
 def _search(key: np.ndarray, f: np.ndarray, plan: Plan, links: Links) -> None:
-    """Links within postings, which are runs of equal keys: each row is held against the next, the second next .. to the end of its posting."""
+    """Links within postings, which are runs of equal keys. A long posting is searched in parts.
+
+    Its fingerprints agree in some bytes; the bits of the others are cut into one block more than bits may differ, so those of a pair to be linked agree in one of the blocks, and only such are held
+    against each other: for four other bytes a 256th of all pairs for each block.
+    """
+    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    lengths = np.diff(np.r_[starts, len(key)])
+    short = np.repeat(lengths <= LONG_POSTING, lengths)
+    if short.any():
+        _held(key[short], f[short], plan, links)
+    for a, n in zip(starts[lengths > LONG_POSTING], lengths[lengths > LONG_POSTING]):
+        own = f[a : a + n]
+        places = [p for p in range(8) if ((own ^ own[0]) >> np.uint64(8 * p) & np.uint64(255)).any()]
+        value = np.zeros(n, np.uint64)
+        for i, p in enumerate(places):
+            value |= (own >> np.uint64(8 * p) & np.uint64(255)) << np.uint64(8 * i)
+        bits, parts = 8 * len(places), plan.max_bits + 1
+        cuts = [bits * k // parts for k in range(parts + 1)]
+        for low, high in zip(cuts[:-1], cuts[1:]):
+            block = value >> np.uint64(low) & np.uint64((1 << (high - low)) - 1)
+            order = np.argsort(block, kind="stable")
+            _held(block[order], own[order], plan, links)
+
+
+def _held(key: np.ndarray, f: np.ndarray, plan: Plan, links: Links) -> None:
+    """Links within runs of equal keys: each row is held against the next, the second next .. to the end of its run."""
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     lengths = np.diff(np.r_[starts, len(key)])
     posting = np.repeat(np.arange(len(starts)), lengths)
@@ -322,20 +353,34 @@ def _verified(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     return pairs.filter(shared >= F.lit(plan.min_similarity) * (total - shared) - 1e-9).select("a", "b")
 
 
-def _rest(sets: DataFrame, labels: DataFrame, plan: Plan) -> DataFrame:
-    """Pairs (a, b) of classes of different components that may be similar enough; none that is gets lost.
-
-    Prefix filtering: with shingles in the order of how many of these sets hold them, two sets with a Jaccard similarity of t share one of the first n - ceil(t n) + 1 of either. Shingles of one set
-    alone can't be shared, but stand first and use up its prefix, so most rows drop out before any pair is made. The first that two sets share bounds their overlap by what stands from it on in either.
-    """
+def _prefixes(sets: DataFrame, plan: Plan) -> DataFrame:
+    """Stored: shingles (the class), n, at, g, before: the shingles g of each set's prefix, their place among all of the set's, and the ones up to them. Shingles of one set alone stand first, uncounted rows but for their places."""
     t = plan.min_similarity
     each = sets.select("shingles", F.size("members").alias("n"), F.explode("members").alias("g"))
     common = each.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1")
     held = each.join(common, "g").groupBy("shingles", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "g"))), lambda x: x["g"]).alias("m"))
     alone = F.col("n") - F.size("m")
     length = F.col("n") - F.ceil(F.lit(t) * F.col("n") - 1e-9).cast("int") + 1 - alone
-    first = held.filter(length > 0).select("shingles", "n", "m", F.posexplode(F.slice("m", F.lit(1), length)).alias("at", "g"), alone.alias("alone")).withColumn("before", F.slice("m", F.lit(1), F.col("at")))
-    first = first.join(labels, F.col("shingles") == F.col("node"), "left").select("shingles", "n", (F.col("at") + F.col("alone")).alias("at"), "g", "before", F.coalesce("component", "shingles").alias("component"))
+    first = held.filter(length > 0).select("shingles", "n", "m", F.posexplode(F.slice("m", F.lit(1), length)).alias("at", "g"), alone.alias("alone"))
+    return stored(first.select("shingles", "n", (F.col("at") + F.col("alone")).alias("at"), "g", F.slice("m", F.lit(1), F.col("at")).alias("before")))
+
+
+def _hubs(prefixes: DataFrame, plan: Plan) -> DataFrame:
+    """Pairs (a, b) of each class with the smallest one of each shingle of its prefix, where their numbers of shingles allow the similarity: few pairs, which link large groups of near copies."""
+    least = prefixes.groupBy("g").agg(F.min(F.struct("shingles", "n")).alias("hub"))
+    met = prefixes.select("g", "shingles", "n").join(least, "g").filter("shingles <> hub.shingles")
+    alike = F.least("n", "hub.n") >= F.lit(plan.min_similarity) * F.greatest("n", "hub.n") - 1e-9
+    return met.filter(alike).select(F.col("hub.shingles").alias("a"), F.col("shingles").alias("b")).distinct()
+
+
+def _rest(prefixes: DataFrame, labels: DataFrame, plan: Plan) -> DataFrame:
+    """Pairs (a, b) of classes of different components that may be similar enough; none that is gets lost.
+
+    Prefix filtering: with shingles in the order of how many of these sets hold them, two sets with a Jaccard similarity of t share one of the first n - ceil(t n) + 1 of either. Shingles of one set
+    alone can't be shared, but stand first and use up its prefix, so most rows drop out before any pair is made. The first that two sets share bounds their overlap by what stands from it on in either.
+    """
+    t = plan.min_similarity
+    first = prefixes.join(labels, F.col("shingles") == F.col("node"), "left").select("shingles", "n", "at", "g", "before", F.coalesce("component", "shingles").alias("component"))
     a, b = (first.select("g", *(F.col(c).alias(f"{c}_{s}") for c in ("shingles", "n", "at", "before", "component"))) for s in "ab")
     need = F.lit(t / (1 + t)) * (F.col("n_a") + F.col("n_b")) - 1e-9
     enough = (F.least("n_a", "n_b") >= t * F.greatest("n_a", "n_b") - 1e-9) & (F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b")) >= need)
@@ -351,15 +396,26 @@ def _similar(docs: DataFrame, plan: Plan, id_col: str, text_col: str) -> tuple[D
     row = F.struct(F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), "text_hash")
     classes = stored(prints.groupBy("shingles").agg(F.min(row).alias("rep"), F.min("n").alias("n"), F.min(F.struct(*cols)).alias("f")).select("shingles", "rep", "n", "f.*"))
     keys = F.array(*(F.lit(256 * p) + F.shiftrightunsigned(f"f{p // 8}", 8 * (p % 8)).bitwiseAND(F.lit(255)).cast("int") for p in range(8 * plan.longs)))
+    if plan.by_prefix:
+        every = classes.filter("n > 0").select("shingles")
+        sets = _sets(docs, classes, every, plan, id_col, text_col)
+        prefixes = _prefixes(sets, plan)
+        links = stored(_verified(_hubs(prefixes, plan), sets, plan))
+        more = stored(_rest(prefixes, connected(links), plan))
+        return prints, _named(classes, connected(links.unionByName(_verified(more, sets, plan))))
     index = classes.filter("n > 0").select(F.explode(keys).alias("key"), "shingles", "n", *cols).repartition("key").sortWithinPartitions("key")
     found = stored(index.mapInPandas(lambda it: _partners(it, plan), "a long, b long"))
     pairs, dense = found.filter("b IS NOT NULL"), stored(found.filter("b IS NULL").select(F.col("a").alias("shingles")).distinct())
     sets = _sets(docs, classes, pairs.select(F.explode(F.array("a", "b")).alias("shingles")).unionByName(dense), plan, id_col, text_col)
     links = stored(_verified(pairs, sets, plan))
     labels = connected(links)
-    more = stored(_rest(sets.join(dense, "shingles", "left_semi"), labels, plan).join(pairs, ["a", "b"], "left_anti"))
+    more = stored(_rest(_prefixes(sets.join(dense, "shingles", "left_semi"), plan), labels, plan).join(pairs, ["a", "b"], "left_anti"))
     labels = connected(links.unionByName(_verified(more, sets, plan)))
-    return prints, classes.join(labels, F.col("shingles") == F.col("node"), "left").select("shingles", "rep", F.coalesce("component", "shingles").alias("component"))
+    return prints, _named(classes, labels)
+
+
+def _named(classes: DataFrame, labels: DataFrame) -> DataFrame:
+    return classes.join(labels, F.col("shingles") == F.col("node"), "left").select("shingles", "rep", F.coalesce("component", "shingles").alias("component"))
 
 
 def deduplicate(docs: DataFrame, plan: Plan = NEAR, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -55,6 +55,7 @@ def test_postings_against_all_pairs(monkeypatch):
     rng = np.random.default_rng(3)
     for trial in range(6):
         monkeypatch.setattr(simhash, "FIRST_LOOK", 2 + 3 * trial)
+        monkeypatch.setattr(simhash, "LONG_POSTING", (2048, 30)[trial % 2])
         low = rng.integers(0, 1 << (8 + 3 * trial), 500).astype(np.uint64)
         f = np.unique(low << np.uint64(8 * (trial % 5)) ^ np.uint64(0xABCDEF0123))
         rows = sorted((hash((n, int(x) & sum(0xFF << 8 * p for p in block))), int(x)) for n, block in enumerate(simhash.BLOCKS) for x in f)
@@ -64,6 +65,25 @@ def test_postings_against_all_pairs(monkeypatch):
         assert got == brute_groups([(x, x) for x in f.tolist()])
 
 
+def test_long_postings_lose_no_pair():
+    """Fingerprints that agree in four, five, six bytes, searched in parts and whole, have the same components."""
+    rng = np.random.default_rng(9)
+    for free in (4, 3, 2, 1):
+        places = np.sort(rng.choice(8, free, replace=False))
+        f = np.full(400, 0x1234567890ABCDEF, np.uint64)
+        for p in places:
+            f ^= rng.integers(0, 256 if free < 4 else 16, 400).astype(np.uint64) << np.uint64(8 * int(p))
+        f = np.unique(f)
+        links = simhash.Links()
+        simhash.LONG_POSTING, before = 50, simhash.LONG_POSTING
+        try:
+            simhash._search(np.zeros(len(f), np.int64), f, simhash.EXACT, links)
+        finally:
+            simhash.LONG_POSTING = before
+        a, b = links.thin()
+        assert brute_groups_of_links(f.tolist(), list(zip(a.tolist(), b.tolist()))) == brute_groups([(x, x) for x in f.tolist()])
+
+
 def brute_groups_of_links(nodes, links):
     label = {x: x for x in nodes}
     changed = True
@@ -158,6 +178,21 @@ def test_many_alike_rows(spark, monkeypatch):
     assert got == label and len(near) > 1000
 
 
+def test_exact_plan_links_the_same(more_docs, spark):
+    """The search by prefixes alone gives the components of the fingerprints' plan, which by its bit model may lose one pair in 20,000; large groups of near copies are linked by few pairs."""
+    near, exact = ({r.doc_id: r.component_id for r in simhash.groups(more_docs, plan).select("doc_id", "component_id").collect()} for plan in (simhash.NEAR, simhash.PREFIX))
+    assert near == exact and len(set(exact.values())) < 0.95 * len(exact)
+    words = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join([*words, f"x{i}"])) for i in range(300)] + [(1000 + i, " ".join(f"y{i}z{k}" for k in range(30))) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    prints, classes = simhash._similar(df, simhash.PREFIX, "doc_id", "text")
+    assert classes.select("component").distinct().count() == 51
+    sets = spark.createDataFrame([(simhash.set_hash(m := simhash.shingle_set(simhash.shingle_hashes(t, 5))), m.tolist()) for _, t in rows], "shingles long, members array<long>")
+    assert simhash._hubs(simhash._prefixes(sets, simhash.PREFIX), simhash.PREFIX).count() < 300 * 60
+    got = simhash.groups(spark.createDataFrame(_pairs(80, 90, 200, 5), "doc_id long, text string"), simhash.PREFIX).collect()
+    assert all(r.component_id == r.doc_id - r.doc_id % 2 for r in got)
+
+
 def test_repeats_do_not_part_like_sets(spark):
     """A phrase twice or five times has the same six shingles; long repeated passages leave the similarity of sets as it is."""
     rows = []
@@ -181,7 +216,7 @@ def test_prefix_filter_loses_nothing(spark):
     df = spark.createDataFrame([(i, m) for i, m in sets.items()], "shingles long, members array<long>")
     labels = spark.createDataFrame([(i, i % 3) for i in range(30)], "node long, component long")
     label = {i: i % 3 if i < 30 else i for i in sets}
-    got = {(r.a, r.b) for r in simhash._rest(df, labels, simhash.NEAR).collect()}
+    got = {(r.a, r.b) for r in simhash._rest(simhash._prefixes(df, simhash.NEAR), labels, simhash.NEAR).collect()}
     want = {(a, b) for a in sets for b in sets if a < b and label[a] != label[b] and 5 * len({*sets[a]} & {*sets[b]}) >= 4 * len({*sets[a]} | {*sets[b]})}
     assert len(want) > 100 and want <= got
-    assert {(r.a, r.b) for r in simhash._verified(simhash._rest(df, labels, simhash.NEAR), df, simhash.NEAR).collect()} == want
+    assert {(r.a, r.b) for r in simhash._verified(simhash._rest(simhash._prefixes(df, simhash.NEAR), labels, simhash.NEAR), df, simhash.NEAR).collect()} == want
