@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.operators.joins import CALENDAR_DAYS
 from palimpsest.operators.windows import product
 
 
@@ -24,9 +25,10 @@ def due_period(frequency: Column, lag: Column, today: str) -> Column:
 def periods_behind(catalog: DataFrame, obs: DataFrame, calendar: DataFrame, today: str) -> DataFrame:
     """Active series with their last date, due date and how many periods they are behind it; null where the frequency can't be counted or there is no row.
 
-    Daily series count sessions of the calendar up to today less their lag, monthly and quarterly ones periods. The calendar, a few thousand days, travels as one array.
+    Daily series count sessions of the calendar up to today less their lag, monthly and quarterly ones periods. The calendar travels as one array; one of more than CALENDAR_DAYS days stops.
     """
-    sessions = calendar.agg(F.array_sort(F.collect_set("session")).alias("_days"))
+    days = F.array_sort(F.collect_set("session"))
+    sessions = calendar.agg(F.when(F.count_distinct("session") > CALENDAR_DAYS, F.raise_error(F.lit("a calendar of too many days")).cast("array<date>")).otherwise(days).alias("_days"))
     last = obs.groupBy("series_id").agg(F.max("obs_date").alias("last_date"))
     rows = catalog.filter(F.col("active_to").isNull()).join(last, "series_id", "left").join(F.broadcast(sessions))  # one row
     until = F.date_sub(day(today), F.col("expected_lag_days").cast("int"))

@@ -119,7 +119,7 @@ def share_at_grains(df: DataFrame, member: str, key: int, year: str, value: str,
     own = df.filter(F.col(member) == key)
     shares = [ratio(F.sum(F.when(F.col(member) == key, F.col(value)).otherwise(0)), F.sum(value)).alias("of_all")]
     for name, col in grains.items():
-        df = df.join(F.broadcast(own.select(col).distinct().withColumn(f"_in_{name}", F.lit(True))), col, "left")
+        df = df.join(own.select(col).distinct().withColumn(f"_in_{name}", F.lit(True)), col, "left")
         shares.append(ratio(F.sum(F.when(F.col(member) == key, F.col(value)).otherwise(0)), F.sum(F.when(F.col(f"_in_{name}"), F.col(value)).otherwise(0))).alias(f"of_{name}"))
     return df.groupBy(year).agg(*shares)
 

@@ -73,9 +73,9 @@ def file_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 
 def trading_days(spark: SparkSession, start: Column, end: Column, holidays: DataFrame) -> DataFrame:
-    """Weekdays between two dates, both included, without the dates of `holidays` (its first column; distinct dates are few, so they are broadcast)."""
+    """Weekdays between two dates, both included, without the dates of `holidays` (its first column)."""
     days = spark.range(1).select(F.explode(F.sequence(start, end)).alias("session")).filter(F.weekday("session") < 5)
-    return days.join(F.broadcast(holidays.select(F.col(holidays.columns[0]).alias("session")).distinct()), "session", "left_anti")
+    return days.join(holidays.select(F.col(holidays.columns[0]).alias("session")).distinct(), "session", "left_anti")
 
 
 def due_quarters(spark: SparkSession, today: Column, first: Column, landed: DataFrame, recent: int = 2) -> DataFrame:
