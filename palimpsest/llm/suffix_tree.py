@@ -252,12 +252,12 @@ def shard_ends(kept: DataFrame, most: int | None = None) -> list[int]:
     """Ranges of the last two symbols (as one number) with about equally many states: the first number of each range after the first. The numbers of states are at most 257 x 257 rows."""
     last, second = F.col("state").bitwiseAND(F.lit((1 << BITS) - 1)), F.shiftright("state", BITS).bitwiseAND(F.lit((1 << BITS) - 1))
     deep = kept.filter(F.shiftright("state", BITS * DEPTH) >= 2).select("state", (last * (1 << BITS) + second).alias("pair"))
-    sizes, ends, n = deep.groupBy("pair").agg(F.count_distinct("state").alias("n")).orderBy("pair").collect(), [], 0
-    for r in sizes:
-        if n and n + r["n"] > (most or SHARD_STATES):
-            ends.append(r["pair"])
-            n = 0
-        n += r["n"]
+    sizes, ends, total = deep.groupBy("pair").agg(F.count_distinct("state").alias("n")).orderBy("pair").toArrow(), [], 0
+    for pair, n in zip(sizes["pair"].to_pylist(), sizes["n"].to_pylist()):
+        if total and total + n > (most or SHARD_STATES):
+            ends.append(pair)
+            total = 0
+        total += n
     return ends
 
 
@@ -326,21 +326,23 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     counts = stored(word_counts(train, "_text"))
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     base = math.log10(n + 0.5 * (v + 1))
-    common = {r["token"].encode(): math.log10(r["n"] + 0.5) for r in counts.filter(F.col("n") > n / TABLE_ENTRIES).collect()}
+    common = counts.filter(F.col("n") > n / TABLE_ENTRIES).select("token", "n").toArrow()
     contexts = stored(context_counts(train, "_text"))
     kept = stored(retained(contexts))
     ends = shard_ends(kept)
-    frequent = spark.sparkContext.broadcast(common)
+    frequent = spark.sparkContext.broadcast((common["token"].combine_chunks(), common["n"].to_numpy()))
     tables = stored(shard_tables(kept, ends))
 
     def table(k: int) -> bytes:
-        found = tables.filter(F.col("shard") == k).first()
-        return NO_SHARD if found is None else bytes(found["data"])
+        found = tables.filter(F.col("shard") == k).select("data").toArrow()["data"]
+        return found[0].as_py() if len(found) else NO_SHARD
 
     tree = [spark.sparkContext.broadcast(table(k)) for k in range(len(ends) + 1)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        common, number = frequent.value, TaskContext.get().partitionId() << 36
+        tokens, numbers = frequent.value
+        common = dict(zip((t.encode() for t in tokens.to_pylist()), np.log10(numbers + 0.5).tolist()))
+        number = TaskContext.get().partitionId() << 36
         model = Shards(ends, [lambda b=b: _loaded(b) for b in tree])
         for b in (b.iloc[at : at + ROWS] for b in batches for at in range(0, len(b), ROWS)):
             texts = [lowered(t) for t in b["_text"]]
