@@ -255,7 +255,7 @@ def i13_stream_merge(spark, d):
     root, rows = _fresh(spark), table(spark, d, "landings").select(*COLS)
     for runs in (["r1"], ["r2", "r3"]):
         rows.filter(F.col("run_id").isin(runs)).write.parquet(f"{root}/in/{runs[0]}")
-        served = stream_merge(spark, f"{root}/in", f"{root}/out", f"{root}/state", ["id"], ["run_id"], ", ".join(f"{n} {t}" for n, t in rows.dtypes))
+        served = stream_merge(spark, f"{root}/in", f"{root}/out", f"{root}/state", ["id"], ["run_id"], ", ".join(f"{n} {t}" for n, t in rows.dtypes), part="quarter")
     return served.select(*COLS)
 
 
