@@ -12,6 +12,7 @@ which links large groups of near copies by few pairs; rows that were not held ag
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -64,6 +65,8 @@ LOOKS, PARTNERS = 64, 1
 SEED = 42
 #: After so many comparisons of each row, and every time that number has doubled, postings that are one component already are done.
 FIRST_LOOK = 64
+#: Slots for counting how many sets hold shingles, as a power of two: four megabytes.
+SLOT_BITS = 20
 #: A posting of more fingerprints is searched in parts.
 LONG_POSTING = 2048
 #: Links are thinned to a spanning forest beyond so many.
@@ -353,16 +356,53 @@ def _verified(pairs: DataFrame, sets: DataFrame, plan: Plan) -> DataFrame:
     return pairs.filter(shared >= F.lit(plan.min_similarity) * (total - shared) - 1e-9).select("a", "b")
 
 
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return ((shingles.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _holders(sets: DataFrame) -> np.ndarray:
+    """For each of a fixed number of slots how many sets hold its shingles, together: never less than for one shingle. Summed up in each task first."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(1 << SLOT_BITS, np.int64)
+        for b in batches:
+            for m in b["members"]:
+                np.add.at(counts, _slots(np.asarray(m, np.int64)), 1)
+        at = np.flatnonzero(counts)
+        yield pd.DataFrame({"slot": at, "n": counts[at]})
+
+    sums = sets.select("members").mapInPandas(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(1 << SLOT_BITS, np.uint32)
+    out[sums["slot"].to_numpy()] = np.minimum(sums["n"].to_numpy(), 2**32 - 1)
+    return out
+
+
 def _prefixes(sets: DataFrame, plan: Plan) -> DataFrame:
-    """Stored: shingles (the class), n, at, g, before: the shingles g of each set's prefix, their place among all of the set's, and the ones up to them. Shingles of one set alone stand first, uncounted rows but for their places."""
-    t = plan.min_similarity
-    each = sets.select("shingles", F.size("members").alias("n"), F.explode("members").alias("g"))
-    common = each.groupBy("g").agg(F.count("*").alias("df")).filter("df > 1")
-    held = each.join(common, "g").groupBy("shingles", "n").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "g"))), lambda x: x["g"]).alias("m"))
-    alone = F.col("n") - F.size("m")
-    length = F.col("n") - F.ceil(F.lit(t) * F.col("n") - 1e-9).cast("int") + 1 - alone
-    first = held.filter(length > 0).select("shingles", "n", "m", F.posexplode(F.slice("m", F.lit(1), length)).alias("at", "g"), alone.alias("alone"))
-    return stored(first.select("shingles", "n", (F.col("at") + F.col("alone")).alias("at"), "g", F.slice("m", F.lit(1), F.col("at")).alias("before")))
+    """Stored: shingles (the class), n, at, g, before: the shingles g of each set's prefix, their place among all of the set's, and the ones before them that others may hold.
+
+    The order is one for all sets: by how many sets hold what shares a shingle's slot (_holders, a table of fixed size, broadcast), then by the shingle. So common shingles stand last without a join
+    of sets to their shingles' numbers, and one that is alone in its slot is in one set alone: it stands first and is left out, but uses up the prefix.
+    """
+    t, holders = plan.min_similarity, sets.sparkSession.sparkContext.broadcast(_holders(sets))
+    names = ["shingles", "n", "at", "g", "before"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts, rows, held = holders.value, [], 0
+        for b in batches:
+            for name, m in zip(b["shingles"], b["members"]):
+                m = np.asarray(m, np.int64)
+                df = counts[_slots(m)]
+                m, alone = m[np.lexsort((m, df))], int((df == 1).sum())
+                length = len(m) - math.ceil(t * len(m) - 1e-9) + 1 - alone
+                for k in range(length):
+                    rows.append((name, len(m), alone + k, int(m[alone + k]), m[alone : alone + k]))
+                    held += 8 + k
+                    if held > 500_000:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows, held = [], 0
+        yield pd.DataFrame(rows, columns=names)
+
+    return stored(sets.select("shingles", "members").mapInPandas(run, "shingles long, n int, at int, g long, before array<long>"))
 
 
 def _hubs(prefixes: DataFrame, plan: Plan) -> DataFrame:
@@ -376,7 +416,7 @@ def _hubs(prefixes: DataFrame, plan: Plan) -> DataFrame:
 def _rest(prefixes: DataFrame, labels: DataFrame, plan: Plan) -> DataFrame:
     """Pairs (a, b) of classes of different components that may be similar enough; none that is gets lost.
 
-    Prefix filtering: with shingles in the order of how many of these sets hold them, two sets with a Jaccard similarity of t share one of the first n - ceil(t n) + 1 of either. Shingles of one set
+    Prefix filtering: with shingles in one order, those that few sets hold first, two sets with a Jaccard similarity of t share one of the first n - ceil(t n) + 1 of either. Shingles of one set
     alone can't be shared, but stand first and use up its prefix, so most rows drop out before any pair is made. The first that two sets share bounds their overlap by what stands from it on in either.
     """
     t = plan.min_similarity
