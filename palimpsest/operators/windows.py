@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from palimpsest.operators.finance import ratio
 from palimpsest.operators.ranges import running
 
 
@@ -45,9 +46,9 @@ def rank_in_group(df: DataFrame, group: list[str], value: str) -> DataFrame:
 
 
 def weighted_position(df: DataFrame, by: list[str], order: list[str], weight: str) -> DataFrame:
-    """`position`: share of the group's weight at or before a row. A group's rows are spread over ranges of the order."""
+    """`position`: share of the group's weight at or before a row, as a double (a quotient of decimals keeps six digits). A group's rows are spread over ranges of the order."""
     rows = running(df, by, order, {"running": weight})
-    return rows.withColumn("position", F.try_divide("running", "running_total")).drop("running_total")
+    return rows.withColumn("position", ratio(F.col("running"), F.col("running_total"))).drop("running_total")
 
 
 def weighted_percentiles(df: DataFrame, by: list[str], value: str, tie: list[str], weight: str, probs: list[float]) -> DataFrame:
@@ -57,9 +58,10 @@ def weighted_percentiles(df: DataFrame, by: list[str], value: str, tie: list[str
 
 
 def weight_groups(df: DataFrame, by: list[str], order: list[str], weight: str, n: int) -> DataFrame:
-    """Equal-weight groups 0 .. n - 1 by running weight before the row."""
+    """Equal-weight groups 0 .. n - 1 by running weight before the row. Shares are doubles, as a quotient of decimals keeps six digits and would lift a row just below a bound over it."""
     rows = running(df, by, order, {"_run": weight})
-    group = F.least(F.floor(F.lit(n) * (F.col("_run") - F.col(weight)) / F.col("_run_total")), F.lit(n - 1)).cast("int")
+    below = (F.col("_run") - F.col(weight)).cast("double")
+    group = F.least(F.floor(ratio(F.lit(n) * below, F.col("_run_total"))), F.lit(n - 1)).cast("int")
     return rows.withColumn("weight_group", group).drop("_run", "_run_total")
 
 

@@ -15,6 +15,17 @@ def rows_of(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
+# Shares near a bound
+
+
+def test_shares_of_large_decimal_weights_are_not_rounded_over_a_bound(spark):
+    df = spark.createDataFrame([("g", 1, "1999999.50"), ("g", 2, "8000000.50")], "g string, k int, w string").withColumn("w", F.col("w").cast("decimal(28,2)"))
+    assert rows_of(windows.weight_groups(df, ["g"], ["k"], "w", 5).select("k", "weight_group")) == [(1, 0), (2, 0)]
+    assert rows_of(windows.weight_slices(df, ["g"], ["k"], "w", 5).select("k", "slice")) == [(1, 0), (2, 0)]
+    assert rows_of(windows.weighted_position(df, ["g"], ["k"], "w").select("k", "position")) == [(1, 0.19999995), (2, 1.0)]
+    assert rows_of(windows.weighted_percentiles(df, ["g"], "k", [], "w", [0.2])) == [("g", 2)]
+
+
 # One hot group
 
 
