@@ -10,11 +10,16 @@ from pyspark.sql import functions as F
 from palimpsest.sources.raw import shared_folder
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """Written to the shared folder and read again: later plans start from there, and tasks that are lost don't deal rows out anew."""
+def stored(df: DataFrame) -> str:
+    """The folder, in the shared one, that the rows were written to as Parquet."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return path
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """Written to the shared folder and read again: later plans start from there, and tasks that are lost don't deal rows out anew."""
+    return df.sparkSession.read.schema(df.schema).parquet(stored(df))
 
 
 def cut(df: DataFrame) -> DataFrame:

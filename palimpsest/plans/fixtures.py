@@ -110,35 +110,36 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 AFTER_TABLE = set("WHERE GROUP ORDER LIMIT JOIN LEFT RIGHT FULL CROSS INNER ON UNION EXCEPT HAVING LATERAL PIVOT UNPIVOT QUALIFY WINDOW".split())
 
 
-def _needs(sql: str) -> list[str]:
+def _needs(sql: str, views: dict[str, str]) -> list[str]:
     """Fixture views that the SQL names, each after those that it needs itself."""
     found: list[str] = []
-    for name, body in VIEWS.items():
+    for name, body in views.items():
         if re.search(rf"\b(FROM|JOIN)\s+{name}\b", sql, re.I):
-            found += [x for x in [*_needs(body), name] if x not in found]
+            found += [x for x in [*_needs(body, views), name] if x not in found]
     return found
 
 
-def with_fixtures(sql: str) -> str:
-    """SQL over fixture views as SQL over the driver's tables alone: the views come first, as common table expressions."""
-    names = _needs(sql)
+def with_fixtures(sql: str, stored: dict[str, str] | None = None) -> str:
+    """SQL over fixture views as SQL over the driver's tables alone: the views come first, as common table expressions. Those in `stored` (name: folder) are read from there instead of derived."""
+    views = VIEWS | {x: f"SELECT * FROM parquet.`{path}`" for x, path in (stored or {}).items()}
+    names = _needs(sql, views)
     if not names:
         return sql
-    ctes = ",\n".join(f"{x} AS ({VIEWS[x].strip()})" for x in names)
+    ctes = ",\n".join(f"{x} AS ({views[x].strip()})" for x in names)
     m = re.match(r"\s*WITH\s+(RECURSIVE\s+)?", sql, re.I)
     return f"WITH {m[1] or ''}{ctes},\n{sql[m.end():]}" if m else f"WITH {ctes}\n{sql}"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, stored: dict[str, str] | None = None) -> DataFrame:
     """A driver table or a fixture view over the driver's tables, as a lazy DataFrame."""
     if name in TABLES:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return sql(spark, sf_dir, f"SELECT * FROM {name}")
+    return sql(spark, sf_dir, f"SELECT * FROM {name}", stored)
 
 
-def sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    """Run SQL over driver tables and fixture views, without temporary views in the session's catalog."""
-    text = with_fixtures(text)
+def sql(spark: SparkSession, sf_dir: str, text: str, stored: dict[str, str] | None = None) -> DataFrame:
+    """Run SQL over driver tables and fixture views, without temporary views in the session's catalog. Views in `stored` (name: folder) are read, not derived."""
+    text = with_fixtures(text, stored)
     used = {t for t in TABLES if re.search(rf"\b(FROM|JOIN)\s+{t}\b", text, re.I)}
     for t in used:
         named = lambda m, t=t: f"{m[1]} parquet.`{sf_dir}/{t}.parquet`" + ("" if m[2] and m[2].upper() not in AFTER_TABLE else f" AS {t}")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from palimpsest.operators import economy as E
 from palimpsest.operators import finance as L
 from palimpsest.operators import statements as S
-from palimpsest.operators.ranges import kept
+from palimpsest.operators.ranges import kept, stored
 from palimpsest.plans.fixtures import sql, table, with_fixtures
 
 QUERIES, ORACLES = {}, {}
@@ -172,8 +172,11 @@ s AS (SELECT cik, {", ".join([f"max(close) FILTER (WHERE measure = '{m}') AS {m}
 
 
 def tags_of(spark, d):
-    """The tagged facts, derived once and stored: the operators read them several times."""
-    return kept(table(spark, d, "tags"))
+    """The tagged facts, derived once and stored: the operators read them several times. The quarters and spans that they are made of are stored first, as each branch of the facts reads them."""
+    made: dict[str, str] = {}
+    for name in ("fiscal_quarters", "fiscal_spans"):
+        made[name] = stored(table(spark, d, name, made))
+    return kept(table(spark, d, "tags", made))
 
 
 def statements_of(spark, d):

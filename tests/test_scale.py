@@ -8,8 +8,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from palimpsest.operators import checks, economy, joins, merge, publish, quality, ranges, windows
+from palimpsest.plans.fixtures import table
+from palimpsest.queries import finance
 from palimpsest.streaming.landings import ServedTable, stream_merge
 
+from .conftest import SF
+
 
 def rows_of(df):
     return sorted(map(tuple, df.collect()), key=repr)
@@ -262,3 +266,13 @@ def test_declared_checks_run(spark, tmp_path):
     for files, words in (({}, "no checks"), ({"C1": GOOD, "C1_b": GOOD}, "id C1 repeats")):
         with pytest.raises(ValueError, match=words):
             quality.declared_checks(files, ["g"], spark.sql)
+
+
+# Work done once
+
+
+def test_tagged_facts_derive_their_quarters_once(spark, monkeypatch):
+    monkeypatch.setattr(finance, "kept", lambda df: df)
+    facts = finance.tags_of(spark, SF)
+    assert "lineitem" not in facts._jdf.queryExecution().optimizedPlan().toString()
+    assert rows_of(facts) == rows_of(table(spark, SF, "tags"))
