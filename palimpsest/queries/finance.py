@@ -585,7 +585,7 @@ o AS (SELECT origin AS place, count(DISTINCT dest) AS partners, sum(v) AS e, arg
 SELECT coalesce(o.place, i.place) AS place, coalesce(partners, 0) AS partners, CAST(coalesce(e, 0) AS DECIMAL(34,2)) AS exports, CAST(coalesce(e, 0) - coalesce(i, 0) AS DECIMAL(34,2)) AS balance, round(CAST(coalesce(e, 0) AS DOUBLE) / CAST(gdp AS DOUBLE), 6) AS openness, largest, round(CAST(top AS DOUBLE) / CAST(e AS DOUBLE), 6) AS largest_share
 FROM o FULL JOIN i ON o.place = i.place LEFT JOIN (SELECT g.* FROM g JOIN y ON y.year = g.year) g ON g.place = coalesce(o.place, i.place)""")
 def l68_trade_flows(spark, d):
-    out = E.trade_flows(sql(spark, d, FLOWS), sql(spark, d, GDP))
+    out = E.trade_flows(kept(sql(spark, d, FLOWS)), kept(sql(spark, d, GDP)))
     return rounded(out, 6, "openness", "largest_share").withColumns({c: F.col(c).cast("decimal(34,2)") for c in ("exports", "balance")})
 
 
@@ -765,15 +765,18 @@ def l64_scorecard_distribution(spark, d):
     return E.scorecard_distribution(years_of(spark, d), "cik", "yr", "revenue", sql(spark, d, ECONOMY).select("yr", "macro"), 1997, 2000)
 
 
-WORLD = f"SELECT year, origin AS place, 'exports' AS direction, sum(v) AS v FROM ({FLOWS}) a GROUP BY 1, 2 UNION ALL SELECT year, dest, 'imports', sum(v) FROM ({FLOWS}) b WHERE year < 2001 OR dest > 3 GROUP BY 1, 2"
+WORLD_OF = "SELECT year, origin AS place, 'exports' AS direction, sum(v) AS v FROM ({flows}) a GROUP BY 1, 2 UNION ALL SELECT year, dest, 'imports', sum(v) FROM ({flows}) b WHERE year < 2001 OR dest > 3 GROUP BY 1, 2"
+WORLD = WORLD_OF.format(flows=FLOWS)
 
 
 @query(f"""WITH w AS ({WORLD}), y AS (SELECT max(year) AS year FROM (SELECT year FROM w GROUP BY year HAVING count(*) = 50)), p AS (SELECT year, origin AS place, 'exports' AS direction, sum(v) AS v FROM ({FLOWS}) WHERE dest % 4 <> 0 GROUP BY 1, 2 UNION ALL SELECT year, dest, 'imports', sum(v) FROM ({FLOWS}) WHERE origin % 4 <> 0 GROUP BY 1, 2)
 SELECT w.year, w.place, w.direction, CAST(w.v AS DECIMAL(34,2)) AS total, round(CAST(coalesce(p.v, 0) AS DOUBLE) / CAST(w.v AS DOUBLE), 8) AS covered FROM w JOIN y ON y.year = w.year LEFT JOIN p ON p.year = w.year AND p.place = w.place AND p.direction = w.direction""")
 def l68_partner_coverage(spark, d):
-    flows = kept(sql(spark, d, FLOWS))
+    """The flows are summed once and stored: partners and both directions of the world's totals are read from there."""
+    path = stored(sql(spark, d, FLOWS))
+    flows = spark.read.parquet(path)
     named = flows.filter("dest % 4 <> 0").select("year", F.col("origin").alias("place"), F.lit("exports").alias("direction"), F.col("dest").alias("partner"), "v").unionByName(flows.filter("origin % 4 <> 0").select("year", F.col("dest").alias("place"), F.lit("imports").alias("direction"), F.col("origin").alias("partner"), "v"))
-    return rounded(E.partner_coverage(named, sql(spark, d, WORLD), 25), 8, "covered").withColumn("total", F.col("total").cast("decimal(34,2)"))
+    return rounded(E.partner_coverage(named, sql(spark, d, WORLD_OF.format(flows=f"SELECT * FROM parquet.`{path}`")), 25), 8, "covered").withColumn("total", F.col("total").cast("decimal(34,2)"))
 
 
 @query("""SELECT 'code' AS kind, CASE WHEN l_returnflag = 'R' THEN '(blank)' ELSE l_returnflag END AS label, count(*) AS n FROM lineitem GROUP BY 1, 2 UNION ALL SELECT 'relationship', coalesce(c_mktsegment, '(blank)'), count(*) FROM customer GROUP BY 1, 2""")

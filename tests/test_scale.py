@@ -276,3 +276,7 @@ def test_tagged_facts_derive_their_quarters_once(spark, monkeypatch):
     facts = finance.tags_of(spark, SF)
     assert "lineitem" not in facts._jdf.queryExecution().optimizedPlan().toString()
     assert rows_of(facts) == rows_of(table(spark, SF, "tags"))
+
+
+def test_partner_coverage_sums_the_flows_once(spark):
+    assert "lineitem" not in finance.l68_partner_coverage(spark, SF)._jdf.queryExecution().analyzed().toString()
