@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from palimpsest.operators.quality import require_none
+from palimpsest.operators.ranges import kept
 
 FILE = "_metadata.file_path"
 
@@ -52,12 +53,17 @@ FACTS = """cik long, entityName string, facts map<string, map<string, struct<lab
 
 
 def ingest_companyfacts(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Taxonomy, concept and unit levels as (facts, concepts, changes): `val` stays the text that was sent; a document without facts is a change without rows."""
+    """Taxonomy, concept and unit levels as (facts, concepts, changes): `val` stays the text that was sent; a document without facts is a change without rows.
+
+    Documents are parsed twice: for the facts, and for what concepts and changes share, which is stored without the facts' rows.
+    """
     docs = spark.read.schema(FACTS).option("mode", "FAILFAST").option("multiLine", multi_line).json(paths)
-    concepts = docs.select("cik", "entityName", F.explode("facts").alias("taxonomy", "of")).select("cik", "entityName", "taxonomy", F.explode("of").alias("concept", "c"))
-    facts = concepts.select("cik", "taxonomy", "concept", F.explode("c.units").alias("unit", "rows")).select("cik", "taxonomy", "concept", "unit", F.inline("rows"))
-    named = concepts.select("cik", F.col("entityName").alias("entity_name"), "taxonomy", "concept", "c.label", "c.description")
-    return facts, named, docs.select("cik", (F.coalesce(F.size("facts"), F.lit(0)) > 0).alias("document_found"))
+    opened = docs.select("cik", F.explode("facts").alias("taxonomy", "of")).select("cik", "taxonomy", F.explode("of").alias("concept", "c"))
+    facts = opened.select("cik", "taxonomy", "concept", F.explode("c.units").alias("unit", "rows")).select("cik", "taxonomy", "concept", "unit", F.inline("rows"))
+    named = F.transform_values("facts", lambda _, of: F.transform_values(of, lambda _, c: F.struct(c["label"].alias("label"), c["description"].alias("description"))))
+    heads = kept(docs.select("cik", F.col("entityName").alias("entity_name"), named.alias("facts")))
+    concepts = heads.select("cik", "entity_name", F.explode("facts").alias("taxonomy", "of")).select("cik", "entity_name", "taxonomy", F.explode("of").alias("concept", "c"))
+    return facts, concepts.select("cik", "entity_name", "taxonomy", "concept", "c.label", "c.description"), heads.select("cik", (F.coalesce(F.size("facts"), F.lit(0)) > 0).alias("document_found"))
 
 
 MACRO = "series_id string, count long, observations array<struct<date: date, realtime_start: date, realtime_end: date, value: string>>"

@@ -73,6 +73,15 @@ def test_fact_values_stay_as_sent(spark, tmp_path):
     assert facts.count() == 0 and not changes.first()["document_found"]
 
 
+def test_concepts_are_read_without_their_documents(spark, tmp_path):
+    doc = {"cik": 7, "entityName": "Firm", "facts": {"dei": {}, "us-gaap": {"Assets": {"label": "A", "description": None, "units": {}}, "Cash": {"label": None, "description": "d", "units": {"USD": [{"end": "2024-01-01", "val": 1}]}}}}}
+    (tmp_path / "a.json").write_text("\n".join(map(json.dumps, [doc, {"cik": 8}])))
+    facts, concepts, changes = ingest.ingest_companyfacts(spark, str(tmp_path / "a.json"), multi_line=False)
+    assert not any("json" in x._jdf.queryExecution().analyzed().toString() for x in (concepts, changes))
+    assert sorted(map(tuple, concepts.collect())) == [(7, "Firm", "us-gaap", "Assets", "A", None), (7, "Firm", "us-gaap", "Cash", None, "d")]
+    assert sorted(map(tuple, changes.collect())) == [(7, True), (8, False)] and facts.count() == 1
+
+
 def test_truncated_macro_document_raises(spark, tmp_path):
     series = write(tmp_path / "s.json", json.dumps({"seriess": []}))
     doc = {"series_id": "GDP", "count": 2, "observations": [{"date": "2024-01-01", "realtime_start": "2024-02-01", "realtime_end": "9999-12-31", "value": "."}]}
