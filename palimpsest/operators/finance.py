@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from palimpsest.functions.aggregates import arg_max
 from palimpsest.operators.joins import period_average
-from palimpsest.operators.ranges import running
+from palimpsest.operators.ranges import dealt, running
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -192,11 +192,11 @@ def peer_ranks(df: DataFrame, ids: list[str], measures: list[str], rungs: list[s
 def restatements(facts: DataFrame, keys: list[str], bands: list[float]) -> DataFrame:
     """Periods whose value changed: first and last value, number of filings, the first filing that disagreed, size, its band and how it came about.
 
-    How: scale if the values are a power of a thousand apart, amended if the first filing that disagreed is an amendment, else later.
+    How: scale if the values are a power of a thousand apart, amended if the first filing that disagreed is an amendment, else later. Periods are dealt out by the number of filings, which are counted first.
     """
     w = Window.partitionBy(*keys).orderBy("filed", "accession", "val")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = facts.select("*", F.first("val").over(whole).alias("first_val"), F.last("val").over(whole).alias("last_val"))
+    rows = dealt(facts.select(*keys, "filed", "accession", "val", "form"), keys).select("*", F.first("val").over(whole).alias("first_val"), F.last("val").over(whole).alias("last_val"))
     differs = F.when(F.col("val") != F.col("first_val"), F.struct("filed", "accession", "val", "form"))
     found = rows.groupBy(*keys).agg(F.first("first_val").alias("first_val"), F.first("last_val").alias("last_val"), F.count("*").alias("n"), F.min(differs).alias("_d")).filter("first_val <> last_val")
     size, times = F.abs(ratio(F.col("last_val"), F.col("first_val")) - 1), F.abs(ratio(F.col("last_val"), F.col("first_val")))

@@ -22,6 +22,12 @@ def kept(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(stored(df))
 
 
+def dealt(df: DataFrame, keys: list[str], rows: int = 500_000) -> DataFrame:
+    """Dealt out by key into as many parts as the number of rows asks for, about `rows` in each, and no fewer than the session's: what a task sorts doesn't grow with the input. Keys of one value stay together."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-df.count() // rows)), *keys)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Computed once and kept in the shared checkpoint folder, without the plan that led to it: for rounds of an iteration."""
     shared_folder(df.sparkSession)

@@ -280,3 +280,15 @@ def test_tagged_facts_derive_their_quarters_once(spark, monkeypatch):
 
 def test_partner_coverage_sums_the_flows_once(spark):
     assert "lineitem" not in finance.l68_partner_coverage(spark, SF)._jdf.queryExecution().analyzed().toString()
+
+
+def test_parts_grow_with_rows_and_keep_keys_together(spark):
+    df = spark.range(100).select((F.col("id") % 30).alias("k"))
+    parts = ranges.dealt(df, ["k"], 10)
+    assert parts.rdd.getNumPartitions() == 10 and ranges.dealt(df, ["k"], 1000).rdd.getNumPartitions() == 4
+    assert parts.select("k", F.spark_partition_id()).distinct().count() == 30
+
+
+def test_restatements_deal_filings_out_by_their_number(spark):
+    plan = finance.restated(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
