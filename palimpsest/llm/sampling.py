@@ -16,7 +16,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,14 @@ SPREAD = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 LONG = 96
 #: Log probabilities and positions within distributions are multiples of this, so that sums are exact and results don't depend on which texts are searched together.
 GRAIN = 2.0**-26
+#: The id of a beginning of pieces that is no whole piece.
+NONE = np.iinfo(np.int32).min
 #: What a draw is for.
 ROOT, WALK, SPLIT, TURN, REST = range(5)
+#: No draw gives a Gumbel value so far above its location: draws are at most 1 - 2^-53.
+HIGHEST = 37.0
+#: Decisions whose mass lies at most so far below that of a set are looked at first.
+NEAR = 44.0
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -53,55 +60,66 @@ class Vocabulary:
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [model.id_to_piece(i) for i in range(model.get_piece_size())]
         self.bytes = {int(p[1:-1], 16): i for i, p in enumerate(pieces) if model.is_byte(i)}
-        self.ascii = np.array([self.bytes[b] for b in range(128)])
+        self.ascii = np.array([self.bytes[b] for b in range(128)], np.int32)
         byte_of = {i: b for b, i in self.bytes.items()}
-        self.raw = [bytes([byte_of[i]]) if i in byte_of else p.encode() for i, p in enumerate(pieces)]
-        normal = [i for i in range(len(pieces)) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
+        raw = [bytes([byte_of[i]]) if i in byte_of else p.encode() for i, p in enumerate(pieces)]
+        self.raw, self.size = np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        normal = np.array([i for i in range(len(pieces)) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))], np.int64)
         if any(SPACE in pieces[i].lstrip(SPACE) for i in normal):
             raise ValueError("a piece of this vocabulary goes on after a space")
-        self.weight = np.zeros(len(pieces))
-        self.weight[normal] = -np.log(np.arange(len(normal)) + RANK_OFFSET)
-        self.byte_weight = -math.log(len(normal) + RANK_OFFSET)
-        found: list[dict[int, int]] = []
-        for i in normal:
-            h = np.zeros(1, np.uint64)
-            for n, c in enumerate(pieces[i]):
-                h = h * MULTIPLIER + np.uint64(ord(c) + 1)
-                if n == len(found):
-                    found.append({})
-                found[n].setdefault(int(h[0]), -1)
-            found[len(pieces[i]) - 1][int(h[0])] = i
-        self.longest = len(found)
-        every = [(h, i) for by_hash in found for h, i in by_hash.items()]  # hashes tell lengths apart
-        self.hashes, self.ids = np.array([h for h, _ in every], np.uint64), np.array([i for _, i in every], np.int64)
-        # Cuckoo hashing: every hash stands in its slot of one of two tables, so no search looks further.
-        spots = [self.slot(self.hashes, t).tolist() for t in (0, 1)]
-        tables = [[-1] * (1 << SLOT_BITS), [-1] * (1 << SLOT_BITS)]
-        for n in range(len(every)):
-            at, t, moves = n, 0, 0
-            while at >= 0:
-                spot = spots[t][at]
-                at, tables[t][spot], t, moves = tables[t][spot], at, 1 - t, moves + 1
-                if moves > 1000:
-                    raise ValueError("too many pieces for the tables: raise SLOT_BITS")
-        self.slots = [np.maximum(np.array(t, np.int32), 0) for t in tables]
+        self.odds = np.zeros(len(pieces))
+        self.odds[normal] = 1 / (np.arange(len(normal)) + RANK_OFFSET)
+        self.byte_odds = 1 / (len(normal) + RANK_OFFSET)
+        length = np.array([len(pieces[i]) for i in normal], np.int64)
+        points = np.frombuffer("".join(pieces[i] for i in normal).encode("utf-32-le"), np.uint32).astype(np.uint64)
+        at, h, found = np.cumsum(length) - length, np.zeros(len(normal), np.uint64), []
+        self.longest = int(length.max(initial=0))
+        for n in range(self.longest):
+            some = length > n
+            normal, length, at, h = normal[some], length[some], at[some], h[some]
+            h = h * MULTIPLIER + points[at + n] + np.uint64(1)
+            found.append((h, np.where(length == n + 1, normal, NONE)))
+        every, ids = (np.concatenate(x) for x in zip(*found))  # hashes tell lengths apart
+        order = np.argsort(every)
+        every, ids = every[order], ids[order]
+        firsts = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+        every, ids = every[firsts], np.maximum.reduceat(ids, firsts)
+        # Cuckoo hashing: every hash stands in its slot of one of two tables, so no search looks further. Those that lost or left their slot go to the other table.
+        held, out, t, rounds = np.full((2, 1 << SLOT_BITS), -1), np.arange(len(every)), 0, 0
+        while len(out):
+            spot = self.slot(every[out], t)
+            before = held[t, spot]
+            held[t, spot] = out
+            won = held[t, spot] == out
+            out, t, rounds = np.concatenate([out[~won], before[won & (before >= 0)]]), 1 - t, rounds + 1
+            if rounds > 1000:
+                raise ValueError("too many pieces for the tables: raise SLOT_BITS")
+        held = np.maximum(held, 0)  # an empty slot shows a hash that stands elsewhere, with its id
+        self.hashes, self.ids = every[held], ids[held].astype(np.int32)
 
     @staticmethod
     def slot(h: np.ndarray, table: int) -> np.ndarray:
         return ((h * SPREAD[table]) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which hashes are of beginnings of pieces, and for those the piece's id, -1 if they are no whole piece."""
-        at = self.slots[0][self.slot(h, 0)]
-        miss = np.flatnonzero(self.hashes[at] != h)
-        at[miss] = self.slots[1][self.slot(h[miss], 1)]
-        met = np.ones(len(h), bool)
-        met[miss] = self.hashes[at[miss]] == h[miss]
-        return met, self.ids[at[met]]
+        """The hashes that are of beginnings of pieces, by number, and for those the piece's id, NONE if they are no whole piece."""
+        spot = self.slot(h, 0)
+        met, ids = self.hashes[0][spot] == h, self.ids[0][spot]
+        miss = np.flatnonzero(~met)
+        h = h[miss]
+        spot = self.slot(h, 1)
+        met[miss], ids[miss] = self.hashes[1][spot] == h, self.ids[1][spot]
+        met = np.flatnonzero(met)
+        return met, ids[met]
 
     def spells(self, ids: np.ndarray, text: bytes) -> bool:
         """Whether the ids are a spelling of a text, given as marked()."""
-        return b"".join(map(self.raw.__getitem__, ids.tolist())) == text
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        if (int(ends[-1]) if len(ends) else 0) != len(text):
+            return False
+        return self.raw[np.arange(len(text)) + np.repeat(self.start[ids] - ends + size, size)].tobytes() == text
 
 
 def marked(text: str) -> bytes:
@@ -111,113 +129,158 @@ def marked(text: str) -> bytes:
 
 def split(text: str) -> list[str]:
     """Runs of spaces with the word behind them, spaces as the model writes them and one put in front. No piece goes over such a border."""
-    return WORD.findall(SPACE + text.replace(" ", SPACE)) if text else []
+    if not text:
+        return []
+    return WORD.findall(SPACE + text.replace(" ", SPACE))
+
+
+def numbered(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The words of texts, as split() gives them: each word's number, how many words a text has, and the different words by number."""
+    plain = np.array([bool(t) and t[0] != " " != t[-1] and "  " not in t and SPACE not in t for t in texts], bool)
+    order = np.argsort(~plain, kind="stable")  # texts without runs of spaces are taken apart together, in front of the others
+    parts = pc.split_pattern(pa.array([t for t, x in zip(texts, plain) if x], pa.string()), " ")
+    others = [split(t) for t, x in zip(texts, plain) if not x]
+    coded = pa.concat_arrays([parts.flatten(), pa.array([w[1:] for words in others for w in words], pa.string())]).dictionary_encode()
+    many = np.concatenate([parts.value_lengths().to_numpy(), np.array(list(map(len, others)), np.int64)]).astype(np.int64)
+    first, counts = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
+    counts[order], first[order] = many, np.cumsum(many) - many
+    at, _ = ranges(first, first + counts)
+    return coded.indices.to_numpy().astype(np.int64)[at], counts, [SPACE + w for w in coded.dictionary.to_numpy(zero_copy_only=False).tolist()]
 
 
 class Lattices:
     """Lattices of words, laid out one after another: edges sorted by the position where they start, and for each the probability given all ways to spell the rest.
 
-    first: a position's first edge. upto: position plus the probability of its edges so far, so that a search for position + uniform draw finds an edge. other: logarithm of what the position's
-    other edges have together. Byte fallbacks have the id -1 - code point.
+    first: a position's first edge. upto: position plus the probability of its edges so far, so that a search for position + uniform draw finds an edge. after: where an edge ends, -1 at a word's
+    end. Byte fallbacks have the id -1 - code point.
     """
 
     def __init__(self, vocabulary: Vocabulary, words: list[str]):
-        self.length = length = np.array([len(w) for w in words], np.int64)
+        self.length = length = np.array(list(map(len, words)), np.int64)
         self.base = np.cumsum(length) - length
         points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.uint64)
-        self.points, n = points, len(points)
+        n, wide = len(points), vocabulary.longest
         self.word_end = np.repeat(self.base + length, length)
-        found, many = [], np.zeros(n, np.int64)
-        active, h, single = np.arange(n), np.zeros(n, np.uint64), np.zeros(n, bool)
-        for k in range(vocabulary.longest):
-            inside = active + k < self.word_end[active]
+        far = self.word_end - np.arange(n)
+        table = np.full(n * wide, NONE, np.int32)  # ids, by position and length
+        active, h = np.arange(n), np.zeros(n, np.uint64)
+        for k in range(wide):
+            inside = np.flatnonzero(far[active] > k)
             active, h = active[inside], h[inside]
             h = h * MULTIPLIER + points[active + k] + np.uint64(1)
-            met, at = vocabulary.find(h)
+            met, ids = vocabulary.find(h)
             active, h = active[met], h[met]
-            whole = at >= 0
-            found.append((active[whole], k + 1, at[whole]))
-            many[found[-1][0]] += 1
-            if k == 0:
-                single[active[whole]] = True
-        bare = np.flatnonzero(~single)
-        found.append((bare, 1, -1 - points[bare].astype(np.int64)))
-        many[bare] += 1
-        # Edges of a position stand together, by length, a fallback last.
+            table[active * wide + k] = ids
+        bare = np.flatnonzero(table[::wide] == NONE)
+        table[bare * wide] = -1 - points[bare].astype(np.int32)
+        at = np.flatnonzero(table != NONE)
+        self.pos, self.ids = at // wide, table[at]
+        self.end = at - self.pos * (wide - 1) + 1
+        many = np.bincount(self.pos, minlength=n)
         self.first = np.concatenate([[0], np.cumsum(many)])
-        self.pos = np.repeat(np.arange(n), many)
-        self.ids, self.end, filled = np.zeros(len(self.pos), np.int64), np.zeros(len(self.pos), np.int64), self.first[:-1].copy()
-        for where, size, at in found:
-            slot = filled[where]
-            self.ids[slot], self.end[slot] = at, where + size
-            filled[where] += 1
-        coded = -1 - self.ids
-        n_bytes = 1 + (coded > 0x7F) + (coded > 0x7FF) + (coded > 0xFFFF)
-        weight = np.where(self.ids >= 0, vocabulary.weight[np.maximum(self.ids, 0)], n_bytes * vocabulary.byte_weight)
-        self.last_piece = self.end == self.word_end[self.pos] if n else np.zeros(0, bool)
-        self.log_p = np.round(self._given_the_rest(weight, n) / GRAIN) * GRAIN
-        p = np.exp(self.log_p)
-        upto = p.copy()
-        for k in range(1, int(many.max(initial=0))):  # the k-th edge of each position that has one
-            e = self.first[:-1][many > k] + k
+        self.after = np.where(self.end == self.word_end[self.pos], -1, self.end)
+        self.p = p = vocabulary.odds[self.ids]
+        coded = points[bare]
+        p[self.first[bare]] = vocabulary.byte_odds ** (1.0 + (coded > 0x7F) + (coded > 0x7FF) + (coded > 0xFFFF))
+        self._given_the_rest(p, wide, far)
+        for w in np.flatnonzero(length > LONG):
+            self._given_the_rest_of(int(self.base[w]), int(self.base[w] + length[w]), p)
+        upto, rows, k = p.copy(), np.flatnonzero(many > 1), 1
+        while len(rows):  # the k-th edge of each position that has one
+            e = self.first[rows] + k
             upto[e] += upto[e - 1]
+            k += 1
+            rows = rows[np.flatnonzero(many[rows] > k)]
         upto[self.first[1:] - 1] = 1.0
+        self.upto = self.pos + np.rint(np.minimum(upto, 1.0) / GRAIN) * GRAIN
+
+    def log_of(self, edge: np.ndarray | slice) -> np.ndarray:
+        """Logarithms of edges' probabilities given the rest."""
+        with np.errstate(divide="ignore"):
+            return np.rint(np.log(self.p[edge]) / GRAIN) * GRAIN
+
+    @property
+    def log_p(self) -> np.ndarray:
+        return self.log_of(slice(None))
+
+    def other(self, edge: np.ndarray) -> np.ndarray:
+        """Logarithm of what the other edges of each edge's position have together."""
+        pos, p = self.pos[edge], self.p[edge]
         # What is left beside a large edge is summed up, as 1 - p would lose its digits.
-        small = np.add.reduceat(np.where(p > 0.5, 0.0, p), self.first[:-1]) if n else np.zeros(0)
-        other = np.where(p > 0.5, small[self.pos], np.where(np.repeat(many, many) > 1, 1 - p, 0.0))
-        self.p, self.upto = p, self.pos + np.round(np.minimum(upto, 1.0) / GRAIN) * GRAIN
+        large = np.flatnonzero(p > 0.5)
+        beside, owner = ranges(self.first[pos[large]], self.first[pos[large] + 1])
+        q = self.p[beside]
+        left = 1 - p
+        left[large] = np.bincount(owner, np.where(q > 0.5, 0.0, q), len(large))
         with np.errstate(divide="ignore"):
-            self.other = np.log(other)
-
-    def _given_the_rest(self, weight: np.ndarray, n: int) -> np.ndarray:
-        """Log probability of each edge given all ways to spell the rest of its word; from the words' ends on, positions equally far from them together, those of long words one by one."""
-        rest, log_p = np.zeros(n), np.zeros(len(weight))
-        far = self.word_end[self.pos] - self.pos if n else np.zeros(0, np.int64)
-        long = np.repeat(self.length > LONG, self.length) if n else np.zeros(0, bool)
-        some = np.flatnonzero(~long[self.pos]) if n else np.zeros(0, np.int64)
-        order = some[np.argsort(far[some].astype(np.int16), kind="stable")]  # within one distance edges stay sorted by position
-        cuts = np.flatnonzero(np.r_[True, far[order][1:] != far[order][:-1], True]) if len(order) else []
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            e = order[a:b]
-            value = weight[e] + np.where(self.last_piece[e], 0.0, rest[np.minimum(self.end[e], n - 1)])
-            starts = np.flatnonzero(np.r_[True, self.pos[e][1:] != self.pos[e][:-1]])
-            total = np.logaddexp.reduceat(value, starts)
-            rest[self.pos[e][starts]] = total
-            log_p[e] = value - np.repeat(total, np.diff(np.r_[starts, len(e)]))
-        for w in np.flatnonzero(self.length > LONG):
-            self._given_the_rest_of(int(self.base[w]), int(self.base[w] + self.length[w]), weight, log_p)
-        return log_p
-
-    def _given_the_rest_of(self, start: int, end: int, weight: np.ndarray, log_p: np.ndarray) -> None:
-        """The same within one long word, as products that are scaled up again before they get too small: eight positions are more than 1e-144."""
+            return np.log(left)
+
+    def _given_the_rest(self, odds: np.ndarray, wide: int, far: np.ndarray) -> None:
+        """Turns edges' odds into probabilities given all ways to spell the rest of the word; from the words' ends on, positions equally far from them together.
+
+        For that they stand in a table by length of the edge, distance from the end and word, the longest word first, so that each step reads slices. Sums of products are scaled up
+        again before they get too small: eight positions are more than 1e-144. Long words are left as they are.
+        """
+        short = np.flatnonzero(self.length <= LONG)
+        order = short[np.argsort(-self.length[short], kind="stable")]
+        lengths, rank = self.length[order][::-1], np.zeros(len(self.length), np.int64)
+        rank[order] = np.arange(len(order))
+        most = int(lengths[-1]) if len(order) else 0
+        many = len(order) - np.searchsorted(lengths, np.arange(most + 1))  # words that are so long
+        many[0] = 0
+        n, offset = int(many.sum()), np.cumsum(many) - many
+        spot = (offset[np.minimum(far, most)] + np.repeat(rank, self.length))[self.pos] + (self.end - self.pos - 1) * n
+        edges = slice(None) if len(short) == len(rank) else np.flatnonzero(np.repeat(self.length <= LONG, self.length)[self.pos])
+        spot = spot[edges]
+        table, rest, done = np.zeros(wide * n), np.ones(n), np.ones(len(order))
+        table[spot] = odds[edges]
+        for i in range(1, most + 1):
+            m, here = int(many[i]), slice(int(offset[i]), int(offset[i] + many[i]))
+            total = np.zeros(m)
+            values = table.reshape(wide, n)[: min(i, wide), here]
+            for k, value in enumerate(values):
+                value *= rest[offset[i - k - 1] :][:m] if k + 1 < i else done[:m]
+                total += value
+            values /= total
+            rest[here] = total
+            if not i & 7 and len(low := np.flatnonzero(total < 1e-100)):
+                for k in range(min(i, wide)):
+                    rest[offset[i - k] + low] /= total[low]
+                if i < wide:
+                    done[low] /= total[low]
+        odds[edges] = table[spot]
+
+    def _given_the_rest_of(self, start: int, end: int, odds: np.ndarray) -> None:
+        """The same within one long word, position by position, on edges."""
         a, b = int(self.first[start]), int(self.first[end])
-        cuts, ends, odds = (self.first[start : end + 1] - a).tolist(), (self.end[a:b] - start).tolist(), np.exp(weight[a:b]).tolist()
+        cuts, ends, of = (self.first[start : end + 1] - a).tolist(), (self.end[a:b] - start).tolist(), odds[a:b].tolist()
         size = end - start
         rest, total, out, stop = [1.0] * (size + 1), [1.0] * size, [0.0] * (b - a), b - a
         widest = max(map(int.__sub__, ends, (self.pos[a:b] - start).tolist()))
         for i in range(size - 1, -1, -1):
             at = cuts[i]
-            values = [p * rest[n] for p, n in zip(odds[at:stop], ends[at:stop])]
+            values = [p * rest[n] for p, n in zip(of[at:stop], ends[at:stop])]
             out[at:stop], stop = values, at
             rest[i] = total[i] = t = sum(values)
             if not i & 7 and t < 1e-100:
                 for n in range(i, min(i + widest, size) + 1):
                     rest[n] /= t
-        log_p[a:b] = np.log(out) - np.log(np.repeat(total, np.diff(cuts)))
+        odds[a:b] = np.array(out) / np.repeat(total, np.diff(cuts))
 
 
 class Paths:
-    """One segmentation of each of some texts: words and edges in order, and the log probability before each edge."""
+    """One segmentation of each of some texts: edges in order of their places, and the log probability before edges. by_place has -1 where no edge starts."""
+
+    def __init__(self, lattices: Lattices, text_place: np.ndarray, by_place: np.ndarray):
+        self.place = np.flatnonzero(by_place >= 0)
+        self.edge = by_place[self.place]
+        self.start = np.searchsorted(self.place, text_place)
+        # Less the sums of log probabilities: they never fall, and are exact.
+        self.cost = np.concatenate([[0.0], np.cumsum(-lattices.log_of(self.edge))])
+        self.total = -np.diff(self.cost[self.start])
 
-    def __init__(self, lattices: Lattices, word_text: np.ndarray, texts: int, word: np.ndarray, edge: np.ndarray):
-        order = np.argsort(word << 32 | (lattices.pos[edge] - lattices.base[lattices.word_type[word]]), kind="stable")
-        self.word, self.edge = word[order], edge[order]
-        self.text = word_text[self.word]
-        self.start = np.searchsorted(self.text, np.arange(texts + 1))
-        log_p = lattices.log_p[self.edge]
-        sums = np.concatenate([[0.0], np.cumsum(log_p)])
-        self.before = sums[:-1] - sums[self.start[self.text]]
-        self.total = np.add.reduceat(np.append(log_p, 0.0), self.start[:-1]) * (np.diff(self.start) > 0) if len(log_p) else np.zeros(texts)
+    def before(self, at: np.ndarray, text: np.ndarray) -> np.ndarray:
+        return self.cost[self.start[text]] - self.cost[at]
 
 
 def ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,72 +290,81 @@ def ranges(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n) + start[owner], owner
 
 
-def search(vocabulary: Vocabulary, keys: list[str], texts: list[list[str]], k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
-    """For each text, given as its words, up to k distinct segmentations by falling perturbed log probability: ids, log probability, perturbed, log of the chance to be among the k given the rest.
+def search(vocabulary: Vocabulary, keys: list[str], texts: list[str], k: int) -> list[list[tuple[np.ndarray, float, float, float]]]:
+    """For each text up to k distinct segmentations by falling perturbed log probability: ids, log probability, perturbed, log of the chance to be among the k given the rest.
 
     The threshold of the chances is the value of the best set left after k. A set's value can matter only if it is among the best of its split that are still to be emitted, or next to them, so
     no more are kept. Draws are hashes of a text's key, the round, the use and the place in the text.
     """
-    number: dict[str, int] = {}
-    flat = np.array([number.setdefault(w, len(number)) for words in texts for w in words], np.int64)
-    lattices = Lattices(vocabulary, list(number))
-    lattices.word_type = flat
+    flat, counts, words = numbered(texts)
+    lattices = Lattices(vocabulary, words)
     n_texts = len(texts)
-    counts = np.array([len(x) for x in texts], np.int64)
-    word_text = np.repeat(np.arange(n_texts), counts)
-    text_end = np.cumsum(counts)
-    size = lattices.word_end[lattices.base[flat]] - lattices.base[flat] if len(flat) else flat
-    place = np.cumsum(size) - size  # of a word among all code points; within a text only differences count
-    place -= place[np.minimum(text_end - counts, max(0, len(place) - 1))][word_text] if len(flat) else 0
+    # Places count the code points of all texts, one after another.
+    word_place = np.concatenate([[0], np.cumsum(lattices.length[flat])])
+    shift = word_place[:-1] - lattices.base[flat]  # from a position of the word's lattice to its place
+    text_word = np.concatenate([[0], np.cumsum(counts)])
+    text_place = word_place[text_word]
+    text_of = np.repeat(np.arange(n_texts), np.diff(text_place))
     seed = np.array([xxhash.xxh64_intdigest(x) for x in keys], np.uint64)
 
-    def uniform(text: np.ndarray, at: np.ndarray, turn: int, use: int) -> np.ndarray:
-        x = mixed(mixed(seed[text] + np.array([8 * turn + use + 1], np.uint64) * MULTIPLIER) + at.astype(np.uint64) * MULTIPLIER)
+    def salt(turn: int, use: int) -> np.ndarray:
+        return mixed(seed + np.array([8 * turn + use + 1], np.uint64) * MULTIPLIER) - text_place[:-1].astype(np.uint64) * MULTIPLIER
+
+    def uniform(text: np.ndarray, place: np.ndarray, turn: int, use: int) -> np.ndarray:
+        x = mixed(salt(turn, use)[text] + place.astype(np.uint64) * MULTIPLIER)
         return np.maximum((x >> np.uint64(11)).astype(float) * 2.0**-53, 1e-300)
 
-    def place_of(word: np.ndarray, edge: np.ndarray) -> np.ndarray:
-        return place[word] + lattices.pos[edge] - lattices.base[flat[word]]
-
-    def walk(word: np.ndarray, at: np.ndarray, turn: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Words from positions on to their ends, drawn freely."""
-        words, edges = [], []
-        far = lattices.word_end[at] - at > LONG if len(at) else np.zeros(0, bool)
-        for w, p in zip(word[far].tolist(), at[far].tolist()):
-            edges.append(walk_long(w, p, turn))
-            words.append(np.full(len(edges[-1]), w, np.int64))
-        word, at = word[~far], at[~far]
-        while len(word):
-            u = np.floor(uniform(word_text[word], place[word] + at - lattices.base[flat[word]], turn, WALK) / GRAIN) * GRAIN
-            e, aim = lattices.first[at], at + u
+    def aims(key: np.ndarray, at: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Positions plus draws, which are multiples of GRAIN."""
+        return at + (mixed(key + place.astype(np.uint64) * MULTIPLIER) >> np.uint64(38)) * GRAIN
+
+    def walk(at: np.ndarray, shift: np.ndarray, turn: int, by_place: np.ndarray) -> None:
+        """From positions on to the ends of their words, drawn freely."""
+        key = salt(turn, WALK)[text_of[at + shift]]
+        if lattices.length.max(initial=0) > LONG:
+            far = lattices.word_end[at] - at > LONG
+            for one in np.flatnonzero(far).tolist():
+                walk_long(int(at[one]), int(shift[one]), key[one], by_place)
+            at, shift, key = at[~far], shift[~far], key[~far]
+        while len(at):
+            place = at + shift
+            aim, e = aims(key, at, place), lattices.first[at]
             going = np.flatnonzero(lattices.upto[e] <= aim)  # the last edge of a position reaches 1, which no draw does
+            edge, goal = e[going], aim[going]
             while len(going):
-                e[going] += 1
-                going = going[lattices.upto[e[going]] <= aim[going]]
-            words.append(word)
-            edges.append(e)
-            more = ~lattices.last_piece[e]
-            word, at = word[more], lattices.end[e][more]
-        return words, edges
-
-    def walk_long(word: int, at: int, turn: int) -> np.ndarray:
+                edge += 1
+                e[going] = edge
+                on = np.flatnonzero(lattices.upto[edge] <= goal)
+                going, edge, goal = going[on], edge[on], goal[on]
+            by_place[place] = e
+            at = lattices.after[e]
+            more = np.flatnonzero(at >= 0)
+            at, shift, key = at[more], shift[more], key[more]
+
+    def walk_long(at: int, shift: int, key: np.uint64, by_place: np.ndarray) -> None:
         """The same for one word, position by position. The draws of its positions are made together."""
         end = int(lattices.word_end[at])
         here = np.arange(at, end)
-        u = np.floor(uniform(np.full(len(here), word_text[word]), place[word] + here - lattices.base[flat[word]], turn, WALK) / GRAIN) * GRAIN
-        a = int(lattices.first[at])
-        aim, firsts, upto, ends, i, out = (here + u).tolist(), (lattices.first[at:end] - a).tolist(), lattices.upto[a : lattices.first[end]].tolist(), lattices.end[a : lattices.first[end]].tolist(), at, []
+        a, b = int(lattices.first[at]), int(lattices.first[end])
+        aim, firsts, upto, ends = aims(key, here, here + shift).tolist(), (lattices.first[at:end] - a).tolist(), lattices.upto[a:b].tolist(), lattices.end[a:b].tolist()
+        i, visited, out = at, [], []
         while i < end:
             e, goal = firsts[i - at], aim[i - at]
             while upto[e] <= goal:
                 e += 1
+            visited.append(i)
             out.append(e)
             i = ends[e]
-        return np.array(out, np.int64) + a
+        by_place[np.array(visited) + shift] = np.array(out) + a
 
     def cut_off(mass: np.ndarray, u: np.ndarray, bound: np.ndarray) -> np.ndarray:
         """Gumbel values about the masses' logarithms, given that they are below the bounds."""
         with np.errstate(invalid="ignore"):
-            return np.where(mass > -np.inf, -np.logaddexp(-bound, np.log(-np.log(u)) - mass), -np.inf)
+            return below(mass - np.log(-np.log(u)), bound)
+
+    def below(free: np.ndarray, bound: np.ndarray) -> np.ndarray:
+        """Gumbel values that may be above the bounds as values given that they are not; greater ones stay greater."""
+        return -np.logaddexp(-bound, -free)
 
     room = k * (k + 2)
     value = np.full((n_texts, room), -np.inf)
@@ -307,32 +379,44 @@ def search(vocabulary: Vocabulary, keys: list[str], texts: list[list[str]], k: i
         gone[text, slot] = without[some]
         used[text] += 1
 
-    def put_decisions(path: Paths, number: int, live: np.ndarray, start: np.ndarray, bound: np.ndarray, most: int) -> None:
-        """Sets that leave a path at its decisions from `start` on: the best `most` of each live text."""
-        at, owner = ranges(start, path.start[live + 1])
-        if not len(at):
-            return
-        text = live[owner]
-        values = cut_off(path.before[at] + lattices.other[path.edge[at]], uniform(text, place_of(path.word[at], path.edge[at]), number, SPLIT), bound[text])
-        firsts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-        of = np.cumsum(np.r_[True, owner[1:] != owner[:-1]]) - 1
-        for _ in range(most):
-            top = np.maximum.reduceat(values, firsts)
-            hit = np.flatnonzero((values == top[of]) & (values > -np.inf))
-            if not len(hit):
-                break
-            hit = hit[np.unique(of[hit], return_index=True)[1]]
-            without = np.full((len(hit), k), -1, np.int64)
-            without[:, 0] = path.edge[at[hit]]
-            put(text[hit], values[hit], number, at[hit], without)
+    def highest(path: Paths, number: int, live: np.ndarray, start: np.ndarray, end: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """The highest Gumbel values about the masses that leave a path at its decisions of each range, not cut off, and where."""
+        value, where = np.full((most, len(live)), -np.inf), np.zeros((most, len(live)), np.int64)
+        at, owner = ranges(start, end)
+        values = path.before(at, live[owner]) + lattices.other(path.edge[at]) - np.log(-np.log(uniform(live[owner], path.place[at], number, SPLIT)))
+        firsts = np.flatnonzero(np.diff(owner, prepend=-1))
+        sizes = np.diff(np.append(firsts, len(at)))
+        for i in range(most if len(at) else 0):
+            hit = np.flatnonzero((values == np.repeat(np.maximum.reduceat(values, firsts), sizes)) & (values > -np.inf))
+            hit = hit[np.flatnonzero(np.diff(owner[hit], prepend=-1))]
+            value[i, owner[hit]], where[i, owner[hit]] = values[hit], at[hit]
             values[hit] = -np.inf
+        return value, where
+
+    def put_decisions(path: Paths, number: int, live: np.ndarray, start: np.ndarray, bound: np.ndarray, most: int) -> None:
+        """Sets that leave a path at its decisions from `start` on: the best `most` of each live text.
+
+        A decision has no more mass than the path has up to there, so those behind aren't looked at where those in front have values that they can't reach.
+        """
+        end = path.start[live + 1]
+        near = np.minimum(np.searchsorted(path.cost, path.cost[start] + NEAR, "right"), end)
+        value, where = highest(path, number, live, start, near, most)
+        far = np.flatnonzero((near < end) & (value[-1] <= path.before(near, live) + HIGHEST))
+        if len(far):
+            value[:, far], where[:, far] = highest(path, number, live[far], start[far], end[far], most)
+        for values, at in zip(value, where):
+            without = np.full((len(live), k), -1, np.int64)
+            some = np.flatnonzero(values > -np.inf)
+            without[some, 0] = path.edge[at[some]]
+            put(live, np.where(values > -np.inf, below(values, bound[live]), -np.inf), number, at, without)
 
     every = np.arange(n_texts)
     perturbed = np.full((k, n_texts), -np.inf)
-    perturbed[0] = -np.log(-np.log(uniform(every, np.zeros(n_texts, np.int64), 0, ROOT)))
-    words, edges = walk(np.arange(len(flat)), lattices.base[flat], 0)
+    perturbed[0] = -np.log(-np.log(uniform(every, text_place[:-1], 0, ROOT)))
+    by_place = np.full(len(text_of), -1, np.int64)
+    walk(lattices.base[flat], shift, 0, by_place)
     none = np.zeros(0, np.int64)
-    paths = [Paths(lattices, word_text, n_texts, np.concatenate([*words, none]), np.concatenate([*edges, none]))]
+    paths = [Paths(lattices, text_place, by_place)]
     put_decisions(paths[0], 0, every, paths[0].start[:-1], perturbed[0], k)
     for turn in range(1, k):
         best = value.argmax(axis=1) if room else every
@@ -341,21 +425,22 @@ def search(vocabulary: Vocabulary, keys: list[str], texts: list[list[str]], k: i
         value[live, best[live]] = -np.inf
         perturbed[turn, live] = bound[live]
         base, decision, without = holds[live, best[live], 0], holds[live, best[live], 1], gone[live, best[live]]
-        word, edge, start, before, kept_words, kept_edges = (np.zeros(len(live), t) for t in (np.int64, np.int64, np.int64, float, np.int64, np.int64))
-        kept_words, kept_edges = [], []
+        place, edge, start, before = (np.zeros(len(live), t) for t in (np.int64, np.int64, np.int64, float))
+        by_place = np.full(len(text_of), -1, np.int64)
         for number, path in enumerate(paths):
             mine = np.flatnonzero(base == number)
-            word[mine], edge[mine], before[mine], start[mine] = path.word[decision[mine]], path.edge[decision[mine]], path.before[decision[mine]], path.start[live[mine]]
-            at, _ = ranges(start[mine], decision[mine])
-            kept_words.append(path.word[at])
-            kept_edges.append(path.edge[at])
+            at = decision[mine]
+            place[mine], edge[mine], before[mine], start[mine] = path.place[at], path.edge[at], path.before(at, live[mine]), path.start[live[mine]]
+            kept, _ = ranges(start[mine], at)
+            by_place[path.place[kept]] = path.edge[kept]
+        word = np.searchsorted(word_place, place, "right") - 1
         # Another edge at the decision, by the probabilities of those that the set may take.
         from_ = lattices.pos[edge]
         choice, owner = ranges(lattices.first[from_], lattices.first[from_ + 1])
         odds = np.where((choice[:, None] == without[owner]).any(axis=1), 0.0, lattices.p[choice])
         firsts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else none
         total = np.add.reduceat(odds, firsts) if len(owner) else np.zeros(0)
-        target = uniform(live, place_of(word, edge), turn, TURN) * total
+        target = uniform(live, place, turn, TURN) * total
         sums = np.cumsum(odds)
         sums -= (sums[firsts] - odds[firsts])[owner] if len(owner) else 0
         fits = np.flatnonzero((odds > 0) & (sums >= target[owner]))
@@ -370,36 +455,45 @@ def search(vocabulary: Vocabulary, keys: list[str], texts: list[list[str]], k: i
         taken = choice[taken_at]
         odds[taken_at] = 0.0
         left = np.add.reduceat(odds, firsts) if len(owner) else np.zeros(0)
-        onward = ~lattices.last_piece[taken]
-        later, _ = ranges(word + 1, text_end[live])
-        rest_words, rest_edges = walk(np.concatenate([word[onward], later]), np.concatenate([lattices.end[taken][onward], lattices.base[flat[later]]]), turn)
-        path = Paths(lattices, word_text, n_texts, np.concatenate([*kept_words, word, *rest_words]), np.concatenate([*kept_edges, taken, *rest_edges]))
+        by_place[place] = taken
+        onward = np.flatnonzero(lattices.after[taken] >= 0)
+        later, _ = ranges(word + 1, text_word[live + 1])
+        walk(np.concatenate([lattices.after[taken[onward]], lattices.base[flat[later]]]), np.concatenate([shift[word[onward]], shift[later]]), turn, by_place)
+        path = Paths(lattices, text_place, by_place)
         paths.append(path)
         at = path.start[live] + decision - start
         without = np.concatenate([without[:, :turn], taken[:, None], without[:, turn + 1 :]], axis=1)
         with np.errstate(divide="ignore"):
-            put(live, cut_off(before + np.log(left), uniform(live, place_of(word, edge), turn, REST), bound[live]), turn, at, without)
+            put(live, cut_off(before + np.log(left), uniform(live, place, turn, REST), bound[live]), turn, at, without)
         put_decisions(path, turn, live, at + 1, bound, k - turn)
     threshold = value.max(axis=1, initial=-np.inf)
+    every_ids = [spelled(vocabulary, lattices.ids[path.edge], path.start) for path in paths]
     out = []
     for t in range(n_texts):
         own = []
         for turn in range(k):
-            if perturbed[turn, t] > -np.inf and (turn == 0 or counts[t]):
-                path = paths[turn]
-                p = float(path.total[t])
-                own.append((spelled(vocabulary, lattices.ids[path.edge[path.start[t] : path.start[t + 1]]]), p, float(perturbed[turn, t]), log_chance(p - float(threshold[t]))))
+            if perturbed[turn, t] > -np.inf and (turn == 0 or texts[t]):
+                p, (ids, start) = float(paths[turn].total[t]), every_ids[turn]
+                own.append((ids[start[t] : start[t + 1]], p, float(perturbed[turn, t]), log_chance(p - float(threshold[t]))))
         out.append(own)
     return out
 
 
-def spelled(vocabulary: Vocabulary, ids: np.ndarray) -> np.ndarray:
-    """Ids with byte fallbacks as their bytes' pieces."""
-    plain = (ids < 0) & (ids >= -128)
-    ids = np.where(plain, vocabulary.ascii[np.where(plain, -1 - ids, 0)], ids)
-    if (ids >= 0).all():
-        return ids.astype(np.int32)
-    return np.array([x for i in ids.tolist() for x in ([i] if i >= 0 else [vocabulary.bytes[b] for b in chr(-1 - i).encode()])], np.int32)
+def spelled(vocabulary: Vocabulary, ids: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids with byte fallbacks as their bytes' pieces, and where each text's start."""
+    bare = np.flatnonzero(ids < 0)
+    if not len(bare):
+        return ids, start
+    if ids.min() >= -128:
+        ids[bare] = vocabulary.ascii[-1 - ids[bare]]
+        return ids, start
+    coded = [chr(-1 - i).encode() for i in ids[bare].tolist()]
+    many = np.ones(len(ids), np.int64)
+    many[bare] = list(map(len, coded))
+    ends = np.concatenate([[0], np.cumsum(many)])
+    out = np.repeat(ids, many)
+    out[out < 0] = [vocabulary.bytes[b] for b in b"".join(coded)]
+    return out, ends[start]
 
 
 def log_chance(d: float) -> float:
@@ -414,7 +508,7 @@ def sample(vocabulary: Vocabulary, keys: list[str], texts: list[str], k: int) ->
         end, total = start, 0
         while end < len(texts) and (end == start or total + len(texts[end]) <= TOGETHER):
             total, end = total + len(texts[end]), end + 1
-        yield from search(vocabulary, keys[start:end], [split(t) for t in texts[start:end]], k)
+        yield from search(vocabulary, keys[start:end], texts[start:end], k)
         start = end
 
 
@@ -426,24 +520,31 @@ def sample_segmentations(df: DataFrame, path: str, keys: list[str], text_col: st
     read. Nothing is shuffled; whole texts are segmented, and memory is bounded by one text or TOGETHER code points.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(path)
         for b in batches:
-            row_keys, texts = b.pop("_key").tolist(), b.pop("_text").tolist()
-            names = ("at", "sample", "ids", "log_prob", "perturbed", "log_inclusion", "round_trip")
-            cols: dict[str, list] = {c: [] for c in names}
-            held = 0
+            own = b.select([c for c in b.schema.names if c not in ("_key", "_text")])
+            row_keys, texts = (b.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("_key", "_text"))
+            out, held = [], 0
+
+            def made() -> pa.RecordBatch:
+                at, number, ids, *scores, spelt = zip(*out) if out else ((),) * 7
+                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+                cols = [pa.array(number, pa.int32()), lists, *(pa.array(x, pa.float64()) for x in scores), pa.array(spelt, pa.bool_())]
+                names = ["sample", "ids", "log_prob", "perturbed", "log_inclusion", "round_trip"]
+                return pa.RecordBatch.from_arrays([*own.take(pa.array(at, pa.int64())).columns, *cols], names=[*own.schema.names, *names])
+
             for n, got in enumerate(sample(vocabulary, row_keys, texts, k)):
                 want = marked(texts[n])
-                for i, (ids, p, g, q) in enumerate(got):
-                    for c, x in zip(names, (n, i + 1, ids, p, g, q, vocabulary.spells(ids, want))):
-                        cols[c].append(x)
+                for i, (ids, *scores) in enumerate(got):
+                    out.append((n, i + 1, ids, *scores, vocabulary.spells(ids, want)))
                     held += len(ids)
                 if held > 4 * TOGETHER:
-                    yield b.iloc[cols.pop("at")].reset_index(drop=True).assign(**cols)
-                    cols, held = {c: [] for c in names}, 0
-            yield b.iloc[cols.pop("at")].reset_index(drop=True).assign(**cols)
+                    yield made()
+                    out, held = [], 0
+            yield made()
 
     rows = df.select(*keys, F.concat_ws("\x1f", F.lit(str(seed)), *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in keys)).alias("_key"), F.coalesce(text_col, F.lit("")).alias("_text"))
     own = ", ".join(f"`{n}` {t}" for n, t in rows.drop("_key", "_text").dtypes)
-    return rows.mapInPandas(run, own + ", sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double, round_trip boolean")
+    return rows.mapInArrow(run, own + ", sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double, round_trip boolean")

@@ -305,3 +305,23 @@ def test_long_words_are_like_short_ones(monkeypatch):
     for text in ("".join(rng.choice(list("etaonishrdlu"), 200_000)), "日本語" * 50_000, "\U0001f600" * 50_000):
         (got,) = sampling.sample(vocabulary, ["k"], [text], 3)
         assert len(got) == (3 if len(set(text)) > 3 else 1) and all(vocabulary.spells(ids, sampling.marked(text)) and math.isfinite(p) for ids, p, *_ in got)
+
+
+def test_far_decisions_are_not_looked_at(vocabulary, monkeypatch):
+    """Decisions that can't be among the best are left out: a long text looks at few of them, and has the samples that it has when all are looked at."""
+    texts, seen, other = ["the house of many words " * 1000, "of a", "", "x" * 500], [], sampling.Lattices.other
+    monkeypatch.setattr(sampling.Lattices, "other", lambda self, edge: seen.append(len(edge)) or other(self, edge))
+    few, n_few = list(sampling.sample(vocabulary, list("abcd"), texts, 3)), sum(seen)
+    monkeypatch.setattr(sampling, "NEAR", math.inf)
+    every, n_every = list(sampling.sample(vocabulary, list("abcd"), texts, 3)), sum(seen) - n_few
+    assert n_few < 0.2 * n_every
+    monkeypatch.setattr(sampling, "NEAR", 1.0)  # too near to be sure: the rest is looked at after all
+    for found in (every, sampling.sample(vocabulary, list("abcd"), texts, 3)):
+        assert [[(x[0].tolist(), x[1:]) for x in t] for t in few] == [[(x[0].tolist(), pytest.approx(x[1:])) for x in t] for t in found]
+
+
+def test_words_are_numbered_as_split():
+    texts = ["a b", "", " a", "a ", "a  b a", "▁a ▁ b", "\n\ta b\n", "b", " ", "日本 a"]
+    flat, counts, words = sampling.numbered(texts)
+    assert counts.tolist() == [len(sampling.split(t)) for t in texts] and [words[i] for i in flat] == [w for t in texts for w in sampling.split(t)]
+    assert len(set(words)) == len(words) and sampling.numbered([""])[1].tolist() == [0]
