@@ -2,6 +2,7 @@
 
 import itertools
 import re
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -220,3 +221,17 @@ def test_prefix_filter_loses_nothing(spark):
     want = {(a, b) for a in sets for b in sets if a < b and label[a] != label[b] and 5 * len({*sets[a]} & {*sets[b]}) >= 4 * len({*sets[a]} | {*sets[b]})}
     assert len(want) > 100 and want <= got
     assert {(r.a, r.b) for r in simhash._verified(simhash._rest(simhash._prefixes(df, simhash.NEAR), labels, simhash.NEAR), df, simhash.NEAR).collect()} == want
+
+
+def test_prefixes_of_long_texts_take_little_disk(spark, monkeypatch):
+    """Where every slot is in use, as over a large corpus, what the exact search stores stays below the sets themselves, however long they are; what sets share is among it."""
+    monkeypatch.setattr(simhash, "SLOT_BITS", 8)
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(-(2**63), 2**63 - 1, 3000)) for _ in range(12)]
+    sets[1] = np.unique(np.r_[sets[0][:2900], sets[1][:100]])
+    df = spark.createDataFrame([(i, m.tolist()) for i, m in enumerate(sets)], "shingles long, members array<long>")
+    found = simhash._prefixes(df, simhash.NEAR)
+    size = sum(Path(f.removeprefix("file:").replace("///", "/")).stat().st_size for f in found.inputFiles())
+    assert size < 8 * sum(map(len, sets))
+    labels = spark.createDataFrame([], "node long, component long")
+    assert [(r.a, r.b) for r in simhash._rest(found, labels, simhash.NEAR).collect()] == [(0, 1)]
