@@ -75,7 +75,8 @@ def a9_ingest_companyfacts(spark, d):
     concept = F.create_map(F.lit("Assets"), F.struct(F.lit("Total").alias("label"), F.create_map(F.lit("USD"), rows).alias("units")))
     sql(spark, d, BY_ORDER).select("cik", F.lit("C").alias("entityName"), F.create_map(F.lit("us-gaap"), concept).alias("facts")).write.json(path)
     facts, concepts, changes = ingest.ingest_companyfacts(spark, path, multi_line=False)
-    named = concepts.join(changes, "cik")  # facts, the most rows, are shuffled for one join only
+    # Changes are a row for each document in a few packed bytes: by its files' size their table looks small enough to broadcast, by its rows it isn't.
+    named = concepts.join(changes.hint("merge"), "cik")  # facts, the most rows, are shuffled for one join only
     return facts.join(named, ["cik", "taxonomy", "concept"]).select("cik", "taxonomy", "concept", "label", "unit", "end", "val", "fy", "document_found")
 
 

@@ -7,9 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from palimpsest.operators import merge, publish, transforms
+from palimpsest.queries import landings
 from palimpsest.sources import ingest, raw
 from palimpsest.streaming.landings import stream_merge
 
+from .conftest import SF
+
 NOW = datetime.datetime(2024, 2, 1)
 
 
@@ -142,3 +145,13 @@ def test_stream_merge_equals_reading_all_landings_and_a_rerun_changes_nothing(sp
     got = stream_merge(spark, at("in"), at("out"), at("state"), ["id"], ["run_id"], "id long, v string, run_id string")
     want = merge.merge_newest(rows, ["id"], ["run_id"])
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_changes_of_companyfacts_are_not_broadcast(spark):
+    """The table of changes has a row for each document; its small files don't make it one to collect in the driver."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20k")
+    try:
+        plan = landings.a9_ingest_companyfacts(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") == 2
